@@ -30,14 +30,16 @@ def _cat(*parts) -> Column:
     return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
 
-_SEG = F.col("c_mktsegment")
-_NUM = (F.col("c_custkey") % 50).cast("string")
-_CITY_TEXTS = (
-    _SEG, _cat(" Mt. ", _SEG, " 33401"), _cat("100 N MAIN ST ", _SEG), _cat(_SEG, ", CO 80202"),
-    _cat("St. ", _SEG), _cat(_SEG, " ", _NUM, "  West  Bch"), _cat("Suite ", _NUM, ", ", _SEG, " Hts"),
-    _cat(F.lower(_SEG), " Township"), _cat("ste ", _NUM, " ft ", _SEG), _cat("PO Box ", _NUM),
-    _cat(_NUM, " ", _SEG, " Ctr, TX"), F.lit("nyc"), _cat("Pt ", _SEG, " ", _NUM, "B"),
-)
+def _city_texts() -> tuple[Column, ...]:
+    seg, num = F.col("c_mktsegment"), (F.col("c_custkey") % 50).cast("string")
+    return (
+        seg, _cat(" Mt. ", seg, " 33401"), _cat("100 N MAIN ST ", seg), _cat(seg, ", CO 80202"),
+        _cat("St. ", seg), _cat(seg, " ", num, "  West  Bch"), _cat("Suite ", num, ", ", seg, " Hts"),
+        _cat(F.lower(seg), " Township"), _cat("ste ", num, " ft ", seg), _cat("PO Box ", num),
+        _cat(num, " ", seg, " Ctr, TX"), F.lit("nyc"), _cat("Pt ", seg, " ", num, "B"),
+    )
+
+
 _SEG_SQL, _NUM_SQL = "c_mktsegment", "(c_custkey % 50)::VARCHAR"
 _CITY_SQL = (
     _SEG_SQL, f"' Mt. ' || {_SEG_SQL} || ' 33401'", f"'100 N MAIN ST ' || {_SEG_SQL}",
@@ -90,7 +92,7 @@ SELECT c_custkey, raw, coalesce(nullif(CASE WHEN regexp_matches(c, '\\d') AND la
 
 @query("clean_city", _CLEAN_SQL)
 def clean_city(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _variant("c_custkey", *_CITY_TEXTS)
+    raw = _variant("c_custkey", *_city_texts())
     rows = table(spark, sf_dir, "customer").select("c_custkey", raw.alias("raw"))
     return rows.withColumn("city", places.clean_city(F.col("raw")))
 
@@ -140,12 +142,15 @@ def city_slug(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("o_orderkey", places.city_slug(views.code_letters(), city).alias("city_slug"))
 
 
-_NAME, _KEY = F.col("c_name"), F.col("c_custkey").cast("string")
-_COMPANY_TEXTS = (
-    _NAME, _cat("Walmart-", _KEY), _cat(_SEG, " - ", _KEY, " "), _cat(_SEG, " #", _KEY, "B"),
-    _cat("7-", _SEG), _cat(_SEG, " #"), _cat(_SEG, " Supercenter Inc #", _KEY),
-    _cat(_SEG, " Motors Co., Ltd."), _cat("Wal-Mart ", _SEG, " Store  LLC"),
-)
+def _company_texts() -> tuple[Column, ...]:
+    seg, key = F.col("c_mktsegment"), F.col("c_custkey").cast("string")
+    return (
+        F.col("c_name"), _cat("Walmart-", key), _cat(seg, " - ", key, " "), _cat(seg, " #", key, "B"),
+        _cat("7-", seg), _cat(seg, " #"), _cat(seg, " Supercenter Inc #", key),
+        _cat(seg, " Motors Co., Ltd."), _cat("Wal-Mart ", seg, " Store  LLC"),
+    )
+
+
 _COMPANY_SQL = (
     "c_name", "'Walmart-' || c_custkey", "c_mktsegment || ' - ' || c_custkey || ' '",
     "c_mktsegment || ' #' || c_custkey || 'B'", "'7-' || c_mktsegment", "c_mktsegment || ' #'",
@@ -158,7 +163,7 @@ _RAW_COMPANY_SQL = (
 
 
 def _raw_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _variant("c_custkey", *_COMPANY_TEXTS)
+    raw = _variant("c_custkey", *_company_texts())
     return table(spark, sf_dir, "customer").select("c_custkey", raw.alias("raw"))
 
 
@@ -187,13 +192,16 @@ def alias_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw_companies(spark, sf_dir).withColumn("alias_key", companies.alias_key(F.col("raw")))
 
 
-_PART, _BRAND = F.initcap("p_name"), F.col("p_brand")
-_SECURITY_TEXTS = (
-    _cat(_PART, ".com, Inc. Common Stock"), _cat(_PART, " Inc. Class A Common Stock"),
-    _cat(_PART, " Inc. Class C Capital Stock"), _cat(_PART, ", Inc. (The) Common Stock"),
-    _cat(_PART, " Company common stock common stock"), _cat(_PART, " Corp Warrants"),
-    _cat(_PART, " Ltd. American Depositary Shares"), _cat(_PART, " & Sons Preferred Stock Series B"),
-)
+def _security_texts() -> tuple[Column, ...]:
+    part = F.initcap("p_name")
+    return (
+        _cat(part, ".com, Inc. Common Stock"), _cat(part, " Inc. Class A Common Stock"),
+        _cat(part, " Inc. Class C Capital Stock"), _cat(part, ", Inc. (The) Common Stock"),
+        _cat(part, " Company common stock common stock"), _cat(part, " Corp Warrants"),
+        _cat(part, " Ltd. American Depositary Shares"), _cat(part, " & Sons Preferred Stock Series B"),
+    )
+
+
 _TITLED_SQL = "array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || w[2:]), ' ')"
 _SECURITY_SQL = (
     f"{_TITLED_SQL} || '.com, Inc. Common Stock'", f"{_TITLED_SQL} || ' Inc. Class A Common Stock'",
@@ -229,7 +237,7 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     brand = F.col("p_brand")
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("line"), brand.alias("symbol"),
-        _variant("p_partkey", *_SECURITY_TEXTS).alias("name"),
+        _variant("p_partkey", *_security_texts()).alias("name"),
         F.format_string("$%d", F.col("p_size")).alias("lastsale"),
         F.lit("").alias("netchange"), F.lit(None).cast("string").alias("%change"),
         F.when(F.col("p_size") % 3 == 0, "").otherwise(F.col("p_size").cast("string")).alias("marketcap"),
@@ -332,9 +340,6 @@ def details_json_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_DAY, _DAY_SQL = F.date_format("o_orderdate", "yyyy-MM-dd"), "strftime(o_orderdate, '%Y-%m-%d')"
-
-
 @query(
     "tolerant_dates",
     f"""SELECT o_orderkey, CASE o_orderkey % 8 WHEN 0 THEN {sql_stamp('o_orderdate')}
@@ -347,10 +352,11 @@ _DAY, _DAY_SQL = F.date_format("o_orderdate", "yyyy-MM-dd"), "strftime(o_orderda
       FROM orders""",
 )
 def tolerant_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
     raw = _variant(
-        "o_orderkey", _DAY, _cat(_DAY, "T10:20:30.000Z"), F.date_format("o_orderdate", "yyyy"),
-        _cat(_DAY, " 10:20:30"), F.date_format("o_orderdate", "MM/dd/yyyy"), F.lit("T10:00"),
-        F.lit(""), _cat(_DAY, "Tjunk"),
+        "o_orderkey", day, _cat(day, "T10:20:30.000Z"), F.date_format("o_orderdate", "yyyy"),
+        _cat(day, " 10:20:30"), F.date_format("o_orderdate", "MM/dd/yyyy"), F.lit("T10:00"),
+        F.lit(""), _cat(day, "Tjunk"),
     )
     rows = table(spark, sf_dir, "orders").select("o_orderkey", raw.alias("raw"))
     return rows.select(

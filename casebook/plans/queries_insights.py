@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from casebook.functions import dates
 from casebook.operators import insights, rollup
 from casebook.plans import views
-from casebook.plans.queries_rollup import AS_OF
+from casebook.plans.queries_rollup import as_of
 from casebook.plans.views import longs, query, sql_stamp, table, with_base
 
 _DAY_SQL = "TIMESTAMP '2001-12-31'"
@@ -93,7 +93,7 @@ def recent20_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def trend_12m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return insights.trend(views.latest(spark, sf_dir), ["state"], AS_OF)
+    return insights.trend(views.latest(spark, sf_dir), ["state"], as_of())
 
 
 @query(
@@ -157,7 +157,7 @@ def date_range_facet(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = views.latest(spark, sf_dir)
     out = None
     for label, years in (("all", None), ("1", 1), ("5", 5), ("10", 10)):
-        part = insights.since_years(rows, AS_OF, years).groupBy("state").agg(
+        part = insights.since_years(rows, as_of(), years).groupBy("state").agg(
             F.count("*").alias("events")
         ).select(F.lit(label).alias("range"), "state", "events")
         out = part if out is None else out.unionByName(part)

@@ -11,8 +11,12 @@ from casebook.operators import documents, rollup, sites
 from casebook.plans import views
 from casebook.plans.views import longs, query, sql_stamp, with_base
 
-AS_OF = F.lit("2001-12-31").cast("timestamp")
-STAMPED = "2001-12-31T00:00:00.000Z"
+AS_OF_DAY = "2001-12-31"
+STAMPED = f"{AS_OF_DAY}T00:00:00.000Z"
+
+
+def as_of() -> Column:
+    return F.lit(AS_OF_DAY).cast("timestamp")
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,7 +137,7 @@ def company_recent5(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def nation_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = rollup.nation_totals(_cube(spark, sf_dir), AS_OF)
+    totals = rollup.nation_totals(_cube(spark, sf_dir), as_of())
     return totals.withColumn("aggregation_date", F.col("aggregation_date").cast("string"))
 
 
@@ -302,7 +306,7 @@ def city_document_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def nation_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gold = rollup.nation_gold(*_shared(spark, sf_dir), AS_OF)
+    gold = rollup.nation_gold(*_shared(spark, sf_dir), as_of())
     docs = documents.nation_documents(gold, _stamp()).select(
         F.col("PK").alias("pk"), F.col("stats.totalEvents").alias("total_events"),
         F.col("stats.totalStates").alias("total_states"),
@@ -321,7 +325,7 @@ def nation_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def nation_gold_recents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gold = rollup.nation_gold(*_shared(spark, sf_dir), AS_OF)
+    gold = rollup.nation_gold(*_shared(spark, sf_dir), as_of())
     rows = gold.select(F.explode("recentByEventSource").alias("event_source", "list")).select(
         "event_source", F.posexplode("list").alias("position", "e")
     )

@@ -7,6 +7,7 @@ Every header row decides how its own file is read, so files are grouped by
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -39,12 +40,20 @@ class Layout:
     paths: tuple[str, ...]
 
 
+_SCHEME = r"^[A-Za-z0-9+.\-]+:/+"
+
+
 def object_key(path: Column, root: str) -> Column:
-    """The file's path below the landing root, decoded."""
-    folder = root.rstrip("/").split("://", 1)[-1]
-    plain = F.regexp_replace(path, r"^[A-Za-z0-9+.\-]+:/+", "/")
-    below = F.substring_index(plain, f"/{folder.strip('/')}/", -1)
-    return F.url_decode(F.replace(below, F.lit("+"), F.lit("%2B")))
+    """The file's path below the landing root."""
+    folder = re.sub(_SCHEME, "/", root).strip("/")
+    plain = F.regexp_replace(path, _SCHEME, "/")
+    return F.substring_index(plain, f"/{folder}/", -1)
+
+
+def scanned_path() -> Column:
+    """The row's file. Scans report it URL-encoded, listings do not."""
+    encoded = F.col("_metadata.file_path")
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
 def is_admitted(key: Column) -> Column:
@@ -177,5 +186,5 @@ def read_rows(
     )
     return rows.select(
         *[F.coalesce(F.col(n), F.lit("")).alias(n) for n in names],
-        object_key(F.col("_metadata.file_path"), root).alias("key"),
+        object_key(scanned_path(), root).alias("key"),
     )

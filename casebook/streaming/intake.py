@@ -18,7 +18,7 @@ from casebook.plans import pipeline
 from casebook.sources import landing, tables
 
 
-def _run(
+def run(
     stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, once: bool
 ) -> StreamingQuery:
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
@@ -39,7 +39,7 @@ def intake(
         pipeline.run_ingest(files.sparkSession, paths, files, **options)
 
     stream = landing.stream_landing(spark, paths.landing, max_files)
-    return _run(stream, handle, f"{paths.checkpoints}/intake", once)
+    return run(stream, handle, f"{paths.checkpoints}/intake", once)
 
 
 def upsert(
@@ -65,7 +65,7 @@ def upsert(
         .option("maxFilesPerTrigger", max_files)
         .parquet(tables.zone_path(paths.lake, "reef"))
     )
-    return _run(stream, handle, f"{paths.checkpoints}/upsert", once)
+    return run(stream, handle, f"{paths.checkpoints}/upsert", once)
 
 
 def serve(
@@ -84,4 +84,4 @@ def serve(
         .option("recursiveFileLookup", True).option("maxFilesPerTrigger", max_files)
         .load(paths.gold).select("path")
     )
-    return _run(stream, handle, f"{paths.checkpoints}/serve", once)
+    return run(stream, handle, f"{paths.checkpoints}/serve", once)
