@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casebook import vocab
 from casebook.functions import text as tx
@@ -51,10 +52,15 @@ def details_json(fields: Mapping[str, Column]) -> Column:
     )
 
 
-def detail_number(details: Column, *keys: str) -> Column:
-    """Sum of numeric overflow fields, 0 where a field is missing or not a number."""
+def with_details(rows: DataFrame, *keys: str, column: str = "details") -> DataFrame:
+    """Add the named overflow fields as a struct of texts, parsed in one go."""
+    fields = T.StructType([T.StructField(k, T.StringType()) for k in keys])
+    return rows.withColumn(column, F.from_json("event_details", fields))
+
+
+def number_sum(*texts: Column) -> Column:
+    """Sum of numeric texts, 0 for what is missing or not a number."""
     total = F.lit(0.0)
-    for key in keys:
-        value = F.get_json_object(details, f"$.{key}").try_cast("double")
-        total = total + F.coalesce(value, F.lit(0.0))
+    for text in texts:
+        total = total + F.coalesce(text.try_cast("double"), F.lit(0.0))
     return total

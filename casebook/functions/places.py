@@ -42,21 +42,28 @@ def city_tail(city: Column) -> Column:
     return F.when(city.contains(","), F.coalesce(F.try_element_at(named, F.lit(-1)), city)).otherwise(city)
 
 
+_WORD = r"[^\d\s]{2,}"
+_BROKEN = r"(?:\S*\d\S*|\S)"
+# Gaps of a text that has both a digit and a plain word; each match starts where
+# the one before ended.
+_GAPS = rf"(?:^(?=.*\d)(?=(?:.*\s)?{_WORD}(?:\s|$))|(?!^)\G)(\S*)\s+"
+_LAST_RUN = rf"^(?=.*\d)(?:.*?\s)??((?:{_WORD}\s)*{_WORD})(?:\s{_BROKEN})*\s*$"
+
+
 def last_plain_words(city: Column) -> Column:
-    """The last unbroken run of words without digits, where the text has digits."""
-    word, broken = r"[^\d\s]{2,}", r"(?:\S*\d\S*|\S)"
-    run = F.regexp_extract(
-        city, rf"(?:^|\s)((?:{word}\s+)*{word})(?:\s+{broken})*\s*$", 1
-    )
-    return F.when(
-        city.rlike(r"\d") & (run != ""), tx.squeeze(run)
-    ).otherwise(city)
+    """The last unbroken run of words without digits, where the text has digits.
+
+    Written so that ``city`` is named once: it stands for a long chain of
+    rewrites, which would otherwise run again for every mention.
+    """
+    return F.regexp_replace(F.regexp_replace(city, _GAPS, "$1 "), _LAST_RUN, "$1")
 
 
 def clean_city(raw: Column, fix_saint_dot: bool = False) -> Column:
     """Upper-case city name without street, unit and zip noise.
 
     ``St.`` keeps its dot (``SAINT. LOUIS``) unless ``fix_saint_dot`` is set.
+    Where nothing would be left, the upper-cased input stays.
     """
     upper = F.upper(tx.trim(raw))
     city = tx.trim(tx.replace_each(city_tail(upper), vocab.CITY_PREFIX_RULES))
@@ -65,7 +72,8 @@ def clean_city(raw: Column, fix_saint_dot: bool = False) -> Column:
     if fix_saint_dot:
         city = F.regexp_replace(city, r"\b(STE?)\.", "$1")
     city = last_plain_words(tx.replace_each(city, vocab.CITY_WORD_RULES))
-    return F.when(raw == "", raw).otherwise(F.coalesce(tx.empty_to_null(city), upper))
+    kept = F.filter(F.array(city, upper), lambda c: c != "")
+    return F.when(raw.isNotNull(), F.coalesce(F.try_element_at(kept, F.lit(1)), F.lit("")))
 
 
 def city_slug(state: Column, city: Column) -> Column:

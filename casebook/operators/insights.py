@@ -60,10 +60,13 @@ def since_years(silver: DataFrame, as_of: Column, years: int | None) -> DataFram
     return silver.where(F.col("event_date") >= start)
 
 
+def _detail(*keys: str) -> Column:
+    return events.number_sum(*[F.col(f"details.{k}") for k in keys])
+
+
 def severity_filter(silver: DataFrame, severity: str) -> DataFrame:
-    return silver.where(
-        events.detail_number(F.col("event_details"), *SEVERITIES[severity]) > 0
-    )
+    keys = SEVERITIES[severity]
+    return events.with_details(silver, *keys).where(_detail(*keys) > 0).drop("details")
 
 
 def directory_search(directory: DataFrame, text: str) -> DataFrame:
@@ -91,33 +94,33 @@ def ordered_directory(directory: DataFrame, by: str = "most_incidents") -> DataF
 
 def company_directory(silver: DataFrame) -> DataFrame:
     """Companies with the fields every ordering needs."""
-    fines = F.sum(_optional_number(*FINES))
-    return silver.where("company_slug is not null").groupBy(
-        F.col("company_slug").alias("slug")
-    ).agg(
-        F.max("company_name").alias("name"), F.count("*").alias("count"),
-        F.max("event_date").alias("last_date"), fines.alias("fines"),
+    known = events.with_details(silver.where("company_slug is not null"), *FINES)
+    named = known.groupBy(F.col("company_slug").alias("slug"), "company_name").agg(
+        F.count("*").alias("count"), F.max("event_date").alias("last_date"),
+        F.sum(_optional_number(*FINES)).alias("fines"),
+    )
+    return named.groupBy("slug").agg(
+        F.max("company_name").alias("name"), F.sum("count").alias("count"),
+        F.max("last_date").alias("last_date"), F.sum("fines").alias("fines"),
     )
 
 
 def _optional_number(*keys: str) -> Column:
     """Sum of the given overflow fields, null where none of them is a number."""
-    values = [F.get_json_object("event_details", f"$.{k}").try_cast("double") for k in keys]
-    total = F.lit(0.0)
-    for v in values:
-        total = total + F.coalesce(v, F.lit(0.0))
-    return F.when(F.coalesce(*values).isNotNull(), total)
+    given = F.coalesce(*[F.col(f"details.{k}").try_cast("double") for k in keys])
+    return F.when(given.isNotNull(), _detail(*keys))
 
 
 def severity_stats(silver: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Injuries, fatalities and fines per key; no fines on record stay null."""
-    number = lambda names: F.sum(events.detail_number(F.col("event_details"), *names))
+    fields = dict.fromkeys((*INJURIES, *FATALITIES, *HOSPITALISATIONS, *FINES))
+    parsed = events.with_details(silver, *fields)
     fine = _optional_number(*FINES)
-    return silver.groupBy(*keys).agg(
+    return parsed.groupBy(*keys).agg(
         F.count("*").alias("total_events"),
-        number(INJURIES).alias("total_injuries"),
-        number(FATALITIES).alias("total_fatalities"),
-        number(HOSPITALISATIONS).alias("total_hospitalisations"),
+        F.sum(_detail(*INJURIES)).alias("total_injuries"),
+        F.sum(_detail(*FATALITIES)).alias("total_fatalities"),
+        F.sum(_detail(*HOSPITALISATIONS)).alias("total_hospitalisations"),
         F.sum(fine).alias("total_fines"),
         F.avg(fine).alias("avg_fines"),
     )

@@ -6,14 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casebook import schemas, vocab
+from casebook.functions import events
 from casebook.functions import text as tx
 
 TITLE_LIMIT = 80
 KEY_POINTS = (3, 5)
 
 
+FACTS = (
+    "semantic_id", "violation_type", "naics_code", "injuries_hospitalized",
+    "injuries_amputation", "injuries_eye_loss", "violation_code", "violation_part",
+    "event_code", "violation_source",
+)
+
+
 def _detail(key: str) -> Column:
-    return F.get_json_object("event_details", f"$.{key}")
+    return F.col(f"details.{key}")
 
 
 def _text(value: Column) -> Column:
@@ -24,7 +32,7 @@ def _number(value: Column) -> Column:
     return F.coalesce(value.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
-def payload(rows: DataFrame) -> Column:
+def payload() -> Column:
     """The facts of one event as a nested struct without gaps."""
     own = _text(tx.empty_to_null(F.coalesce(_detail("semantic_id"), F.col("event_id"))))
     return F.struct(
@@ -52,7 +60,8 @@ def payload(rows: DataFrame) -> Column:
 
 def requests(rows: DataFrame) -> DataFrame:
     """One request per event: its facts and the two messages built from them."""
-    built = rows.select("event_id", payload(rows).alias("payload"))
+    parsed = events.with_details(rows, *FACTS)
+    built = parsed.select("event_id", payload().alias("payload"))
     user = F.concat(
         F.lit(vocab.NARRATIVE_REQUEST_HEAD),
         F.to_json("payload", {"pretty": "true"}),
@@ -84,12 +93,12 @@ def check_replies(replies: DataFrame) -> DataFrame:
     )
 
 
-def enrich(events: DataFrame, checked: DataFrame) -> DataFrame:
+def enrich(rows: DataFrame, checked: DataFrame) -> DataFrame:
     """Valid replies fill the enriched title and description of their events."""
     side = checked.where("is_valid").select(
         "event_id", F.col("title").alias("_title"), F.col("explanation").alias("_text")
     )
-    joined = events.join(side, "event_id", "left")
+    joined = rows.join(side, "event_id", "left")
     return joined.select(
         *[
             {
@@ -97,6 +106,6 @@ def enrich(events: DataFrame, checked: DataFrame) -> DataFrame:
                 "bedrock_event_description": F.coalesce("_text", "bedrock_event_description"),
                 "bedrock_verified": F.col("_title").isNotNull() | F.col("bedrock_verified"),
             }.get(c, F.col(c)).alias(c)
-            for c in events.columns
+            for c in rows.columns
         ]
     )

@@ -20,6 +20,7 @@ from casebook import vocab
 from casebook.functions import dates
 
 CELL = ("state", "city_slug", "company_slug")
+LABELS = ("city", "company_name")
 EVENT = (
     "event_source", "event_id", "event_title", "event_description", "event_date",
     "company_slug", "company_name", "city_slug", "city", "state", "site_id",
@@ -79,13 +80,18 @@ def _given(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def event_cube(silver: DataFrame, cell: Sequence[str] = CELL) -> DataFrame:
-    """Counts per cell. Partial sums run before the exchange, so a cell that
-    holds a third of all events moves as one row per task."""
-    return silver.groupBy(*cell).agg(
+    """Counts and date range per cell and its labels.
+
+    The labels are grouping columns, not ``max`` aggregates: counts and dates
+    have fixed width, so this pass over all events is a hash aggregate, and the
+    sort that a text ``max`` needs happens later on the few rows of the cube.
+    Partial sums run before the exchange, so a cell that holds a third of all
+    events moves as one row per task.
+    """
+    return silver.groupBy(*cell, *LABELS).agg(
         F.count("*").alias("events"),
         F.min("event_date").alias("first_date"),
         F.max("event_date").alias("last_date"),
-        *[F.max(c).alias(f"max_{c}") for c in ("city", "company_name", "state") if c not in cell],
     )
 
 
@@ -95,7 +101,7 @@ def _total() -> Column:
 
 def city_stats(cube: DataFrame) -> DataFrame:
     return _given(cube, CITY.keys).groupBy("city_slug").agg(
-        F.max("max_city").alias("city"),
+        F.max("city").alias("city"),
         F.max("state").alias("state"),
         _total(),
         F.count_distinct("company_slug").alias("total_companies"),
@@ -112,18 +118,22 @@ def state_stats(cube: DataFrame) -> DataFrame:
 
 def company_stats(cube: DataFrame) -> DataFrame:
     return _given(cube, COMPANY.keys).groupBy("company_slug").agg(
-        F.max("max_company_name").alias("company_name"),
+        F.max("company_name").alias("company_name"),
         _total(),
         dates.stamp(F.max("last_date")).alias("last_active"),
     )
 
 
 def site_stats(silver: DataFrame) -> DataFrame:
-    """Sites are finer than the cube, so they are counted from the events."""
-    return _given(silver, SITE.keys).groupBy("company_slug", "site_id").agg(
+    """Sites are finer than the cube's cells, so they are counted from the events:
+    per name first (a hash aggregate), then the names of a site are folded."""
+    named = _given(silver, SITE.keys).groupBy(*SITE.keys, "company_name").agg(
+        F.count("*").alias("events"), F.max("event_date").alias("last_date")
+    )
+    return named.groupBy(*SITE.keys).agg(
         F.max("company_name").alias("company_name"),
-        F.count("*").alias("total_events"),
-        dates.stamp(F.max("event_date")).alias("last_active"),
+        _total(),
+        dates.stamp(F.max("last_date")).alias("last_active"),
     )
 
 
@@ -139,22 +149,24 @@ def nation_totals(cube: DataFrame, as_of: Column) -> DataFrame:
     ).withColumn("aggregation_date", as_of.cast("date"))
 
 
-def directory(cube: DataFrame, level: Level) -> DataFrame:
-    """Long form of a directory: key, child slug, label, events of the child."""
-    rows = _given(cube, (*level.keys, level.child))
-    label = {"city": "max_city", "company_name": "max_company_name"}.get(
-        level.child_label, level.child_label
-    )
-    if level.keys == (level.child,):
-        raise ValueError("a level cannot be its own child")
-    keys = [*level.keys, level.child]
-    counted = rows.groupBy(*keys).agg(
-        F.max(label).alias("name"), F.sum("events").alias("count")
+def child_counts(cube: DataFrame, level: Level) -> DataFrame:
+    """Events per key and child, events without a child included.
+
+    Filtering on the key only keeps this reading of the cube equal to the one
+    the stats use, so the two share one exchange.
+    """
+    counted = _given(cube, level.keys).groupBy(*level.keys, level.child).agg(
+        F.max(level.child_label).alias("name"), F.sum("events").alias("count")
     )
     slug = F.lower(level.child) if level.child == "state" else F.col(level.child)
     return counted.select(*level.keys, slug.alias("slug"), "name", "count")
 
 
+def directory(cube: DataFrame, level: Level) -> DataFrame:
+    """Long form of a directory: key, child slug, label, events of the child."""
+    return child_counts(cube, level).where("slug is not null")
+
+
 def ranked(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], top: int) -> DataFrame:
     """First ``top`` rows per key with their ``rank``. The limit is applied
     before the exchange as well, so hot keys arrive already short."""
@@ -202,7 +214,9 @@ def directory_arrays(rows: DataFrame, level: Level) -> DataFrame:
     """One array per key, most events first. An array holds one item per known
     child (states, registered cities, registered companies): its length follows
     the registry, not the number of events."""
-    item = F.struct(F.negative("count").alias("o"), "slug", "name", "count")
+    item = F.when(
+        F.col("slug").isNotNull(), F.struct(F.negative("count").alias("o"), "slug", "name", "count")
+    )
     in_order = F.transform(
         F.array_sort(F.collect_list(item)),
         lambda x: F.struct(x["slug"].alias("slug"), x["name"].alias("name"), x["count"].alias("count")),
@@ -285,14 +299,14 @@ def assemble(stats: DataFrame, level: Level, recents: DataFrame, children: DataF
 def nation_gold(cube: DataFrame, candidates: DataFrame, as_of: Column) -> DataFrame:
     return assemble(
         nation_totals(cube, as_of), NATION, recent_events(candidates, ()),
-        directory(cube, NATION),
+        child_counts(cube, NATION),
     )
 
 
 def state_gold(cube: DataFrame, candidates: DataFrame) -> DataFrame:
     return assemble(
         state_stats(cube), STATE, recent_events(candidates, STATE.keys),
-        directory(cube, STATE),
+        child_counts(cube, STATE),
     )
 
 
@@ -300,7 +314,7 @@ def city_gold(cube: DataFrame, candidates: DataFrame) -> DataFrame:
     """``state`` comes last: the files are partitioned by it."""
     gold = assemble(
         city_stats(cube), CITY, recent_events(candidates, CITY.keys),
-        directory(cube, CITY),
+        child_counts(cube, CITY),
     )
     return gold.select(*[c for c in gold.columns if c != "state"], "state")
 

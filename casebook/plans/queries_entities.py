@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook import schemas, vocab
+from casebook import schemas, session, vocab
 from casebook.operators import dimensions, ingest, resolve
 from casebook.plans import views
 from casebook.plans.queries_functions import RAW_LISTING_SQL, raw_listings
@@ -80,9 +80,9 @@ _CELLS_SQL = """cells AS (
 
 def _landing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as rows of a raw file: positional text cells and the file's key."""
+    orders = session.spread(table(spark, sf_dir, "orders"), "o_orderkey")
     rows = (
-        table(spark, sf_dir, "orders")
-        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        orders.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     )
     order = F.col("o_orderkey")

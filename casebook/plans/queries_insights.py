@@ -59,9 +59,8 @@ def top_companies_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def company_state_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     cube = rollup.event_cube(views.latest(spark, sf_dir), ("state", "company_slug"))
-    return cube.where("state is not null and company_slug is not null").select(
-        "state", "company_slug", "events"
-    )
+    known = cube.where("state is not null and company_slug is not null")
+    return known.groupBy("state", "company_slug").agg(F.sum("events").alias("events"))
 
 
 @query(

@@ -288,7 +288,7 @@ def stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events file as a stream, upserted batch by batch, then counted."""
     root = session.scratch_path(spark, "stream")
     schema = table(spark, sf_dir, "events").schema
-    stream = spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/events.parquet*")
 
     def upsert(rows: DataFrame, batch_id: int) -> None:
         merge.merge_into_silver(

@@ -9,10 +9,13 @@ line number together name the event, so repeated pairs are re-deliveries.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from casebook import session
 from casebook.functions import places
 from casebook.functions import text as tx
 from casebook.operators import merge
@@ -33,8 +36,15 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the given tables; its schema is looked up once per path."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def longs(df: DataFrame, *columns: str) -> DataFrame:
@@ -51,12 +61,13 @@ def code_letters() -> Column:
 TIES = ("l_partkey", "l_suppkey", "l_extendedprice")
 
 
+@lru_cache(maxsize=8)
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All deliveries of all events (the bronze role)."""
+    """All deliveries of all events (the bronze role). Only the plan is kept."""
     t = lambda name: table(spark, sf_dir, name)
+    facts = session.spread(t("lineitem"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     rows = (
-        t("lineitem")
-        .join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        facts.join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
@@ -102,6 +113,7 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=8)
 def latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per event, its newest delivery (the silver role)."""
     return merge.latest_per_event(deliveries(spark, sf_dir), [F.col(c).asc() for c in TIES])

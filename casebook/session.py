@@ -51,6 +51,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Let every core work on an input whose files make too few tasks.
+
+    Large inputs already have more tasks than cores and come back unchanged, so
+    no exchange is added to them. The keys should tell rows well apart.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() >= cores:
+        return rows
+    return rows.repartition(cores, *keys)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast only after counting that the side stays within a bound.
 
