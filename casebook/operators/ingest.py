@@ -42,22 +42,24 @@ def header_map_for(
     return (vocab.HEADER_MAPS if maps is None else maps).get((source, dataset))
 
 
-def to_events(
+def layout_events(
     rows: DataFrame,
     layout: landing.Layout,
-    company_lookup: DataFrame,
-    city_keys: DataFrame,
     ingested_at: Column | None = None,
     fix_saint_dot: bool = False,
     maps: dict | None = None,
 ) -> DataFrame:
-    """The conformed event row with ``zone`` and partition columns."""
+    """One layout's rows with every column that needs no lookup.
+
+    ``state`` and ``city`` may still be empty texts, which the check tells from
+    missing ones; ``lookup_name`` is the company name to resolve.
+    """
     header = layout.header
     cells = [F.col(f"c{i}") for i in range(len(header))]
     fields = canonical_fields(header, cells, header_map_for(layout.source, layout.dataset, maps))
     stamp = dates.iso_millis(F.current_timestamp() if ingested_at is None else ingested_at)
 
-    # Stage 1: raw JSON, id and cleaned places become real columns, so that the
+    # The raw JSON and the cleaned places become real columns first, so that the
     # expressions below refer to them instead of repeating them.
     computed = dict(fields)
     if "state" in fields:
@@ -74,53 +76,49 @@ def to_events(
     def own(key: str) -> Column:
         return field.get(key, F.lit(None).cast("string"))
 
-    # Stage 2: company, site and slug.
-    name = own("company_name")
-    base = base.select(
-        "*",
-        F.coalesce(companies.site_number(name), own("site_id")).alias("_site"),
-        companies.without_site_number(name).alias("_lookup"),
-        F.coalesce(places.city_slug(own("state"), own("city")), own("city_slug")).alias("city_slug"),
-    )
-    if "company_name" in field:
-        base = resolve.resolve_companies(base, company_lookup, "_lookup")
-    else:
-        base = base.withColumn("company_slug", own("company_slug"))
-
-    # Stage 3: the check sees empty and missing values as different texts.
-    base = base.withColumn("state", own("state")).withColumn("city", own("city"))
-    checked = resolve.validate(base, city_keys)
-
-    details = dict(field)
-    details.pop("bedrock_verified", None)
+    details = {k: v for k, v in field.items() if k != "bedrock_verified"}
     details["bedrock_verified"] = F.lit(False)
-    source = layout.source.upper()
+    source = layout.source.upper() or vocab.UNKNOWN_SOURCE
+    name = own("company_name")
     given = {
         "event_id": events.event_id(F.col("_raw")),
-        "event_source": F.lit(source or vocab.UNKNOWN_SOURCE),
+        "event_source": F.lit(source),
         "source_url": F.col("key"),
         "ingested_at": stamp,
-        "site_id": F.col("_site"),
+        "city_slug": F.coalesce(places.city_slug(own("state"), own("city")), own("city_slug")),
+        "site_id": F.coalesce(companies.site_number(name), own("site_id")),
         "event_title": events.event_title(field),
         "event_description": own("description"),
         "event_details": events.details_json(details),
         "raw_data": F.col("_raw"),
         "bedrock_verified": F.lit(False),
     }
-    direct = {"state", "city", "city_slug", "company_slug", "quarantine_reason"}
+    columns = [c for c in schemas.BRONZE_COLUMNS if c != "quarantine_reason"]
+    return base.select(
+        *[given.get(c, own(c)).alias(c) for c in columns],
+        companies.without_site_number(name).alias("lookup_name"),
+        F.lit(source).alias("partition_source"),
+        F.substring(stamp, 1, 4).alias("partition_year"),
+    )
 
-    def column(name: str) -> Column:
-        if name == "bedrock_verified":
-            return F.lit(False).alias(name)
-        value = given.get(name, F.col(name) if name in direct else own(name))
-        return tx.empty_to_null(value).alias(name)
 
+def settle(rows: DataFrame, company_lookup: DataFrame, city_keys: DataFrame) -> DataFrame:
+    """Resolve companies, check the place, and route each row to its zone."""
+    rows = rows.withColumnRenamed("company_slug", "given_slug")
+    resolved = resolve.resolve_companies(rows, company_lookup, "lookup_name")
+    checked = resolve.validate(resolved, city_keys)
+    # A file's own slug only counts where there is no company name to resolve.
+    slug = F.when(tx.empty_to_null(F.col("company_name")).isNull(), F.col("given_slug"))
+    values = {"company_slug": F.coalesce("company_slug", slug)}
+    kept = ("bedrock_verified", "quarantine_reason")
     reason = F.col("quarantine_reason")
     return checked.select(
-        *[column(n) for n in schemas.BRONZE_COLUMNS],
+        *[
+            F.col(c) if c in kept else tx.empty_to_null(values.get(c, F.col(c))).alias(c)
+            for c in schemas.BRONZE_COLUMNS
+        ],
         F.when(reason.isNull(), vocab.BRONZE_ZONE).otherwise(vocab.QUARANTINE_ZONE).alias("zone"),
-        F.lit(source or vocab.UNKNOWN_SOURCE).alias("partition_source"),
-        F.substring(stamp, 1, 4).alias("partition_year"),
+        "partition_source", "partition_year",
     )
 
 
@@ -133,12 +131,12 @@ def ingest_files(
     multiline: bool = True,
     **options,
 ) -> DataFrame | None:
-    """Events of all listed files; one scan per header layout, unioned."""
+    """Events of all listed files: one scan per header layout, united before the
+    lookups, so each lookup is joined once however many layouts there are."""
     frames = [
-        to_events(
-            landing.read_rows(spark, layout, root, multiline),
-            layout, company_lookup, city_keys, **options,
-        )
+        layout_events(landing.read_rows(spark, layout, root, multiline), layout, **options)
         for layout in landing.layouts(files)
     ]
-    return reduce(DataFrame.unionByName, frames) if frames else None
+    if not frames:
+        return None
+    return settle(reduce(DataFrame.unionByName, frames), company_lookup, city_keys)

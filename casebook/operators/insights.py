@@ -56,8 +56,11 @@ def since_years(silver: DataFrame, as_of: Column, years: int | None) -> DataFram
     """Events of the last N years before a given day; None keeps them all."""
     if years is None:
         return silver
-    start = (as_of - F.make_ym_interval(F.lit(years))).cast("timestamp")
-    return silver.where(F.col("event_date") >= start)
+    return silver.where(F.col("event_date") >= _years_before(as_of, years))
+
+
+def _years_before(as_of: Column, years: int) -> Column:
+    return (as_of - F.make_ym_interval(F.lit(years))).cast("timestamp")
 
 
 def _detail(*keys: str) -> Column:
@@ -69,6 +72,24 @@ def severity_filter(silver: DataFrame, severity: str) -> DataFrame:
     return events.with_details(silver, *keys).where(_detail(*keys) > 0).drop("details")
 
 
+def severity_facets(silver: DataFrame) -> DataFrame:
+    """Every event once per severity it has, for all facets in one pass."""
+    parsed = events.with_details(silver, *[k for keys in SEVERITIES.values() for k in keys])
+    hits = F.array_compact(
+        F.array(*[F.when(_detail(*keys) > 0, F.lit(name)) for name, keys in SEVERITIES.items()])
+    )
+    return parsed.withColumn("severity", F.explode(hits)).drop("details")
+
+
+def range_facets(silver: DataFrame, as_of: Column, years: Sequence[int] = (1, 5, 10)) -> DataFrame:
+    """Every event once per date range it falls in (``all`` included), one pass."""
+    day = F.col("event_date")
+    ranges = [
+        F.when(day >= _years_before(as_of, n), F.lit(str(n))) for n in years
+    ]
+    return silver.withColumn("range", F.explode(F.array_compact(F.array(F.lit("all"), *ranges))))
+
+
 def directory_search(directory: DataFrame, text: str) -> DataFrame:
     """Items whose name holds the text, whatever the case."""
     return directory.where(F.contains(F.lower("name"), F.lower(F.lit(text))))

@@ -153,9 +153,11 @@ _INGESTED = (*schemas.BRONZE_COLUMNS, "zone", "partition_source", "partition_yea
 )
 def ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = landing.Layout(*_DATASET, header=_HEADER, paths=())
-    return ingest.to_events(
-        _landing_rows(spark, sf_dir), layout, _segment_aliases(spark, sf_dir),
-        _port_cities(spark, sf_dir), F.lit("2002-01-01").cast("timestamp"),
+    rows = ingest.layout_events(
+        _landing_rows(spark, sf_dir), layout, F.lit("2002-01-01").cast("timestamp")
+    )
+    return ingest.settle(
+        rows, _segment_aliases(spark, sf_dir), _port_cities(spark, sf_dir)
     ).select(*_INGESTED)
 
 
@@ -221,9 +223,10 @@ def _part_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
       FROM lineitem JOIN part ON l_partkey = p_partkey)""",
 )
 def resolve_company(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem").join(
-        table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
+    facts = session.spread(
+        table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey"
     )
+    rows = facts.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     line, name = F.col("l_linenumber") % 4, F.col("p_name")
     raw = (
         F.when(line == 0, F.upper(name))

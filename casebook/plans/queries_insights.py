@@ -132,13 +132,17 @@ _FACETS = {"fatalities": "deaths", "hospitalizations": "hospitalized", "amputati
     ),
 )
 def severity_facet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = views.latest(spark, sf_dir)
-    parts = [
-        insights.severity_filter(rows, name).groupBy("event_source").agg(F.count("*").alias("events"))
-        .select(F.lit(name).alias("severity"), "event_source", "events")
-        for name in _FACETS
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    rows = insights.severity_facets(views.latest(spark, sf_dir))
+    return rows.groupBy("severity", "event_source").agg(F.count("*").alias("events"))
+
+
+@query(
+    "severity_only_amputations",
+    with_base("SELECT event_id, company_slug, site_id FROM silver WHERE amputation > 0"),
+)
+def severity_only_amputations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = insights.severity_filter(views.latest(spark, sf_dir), "amputations")
+    return rows.select("event_id", "company_slug", "site_id")
 
 
 @query(
@@ -153,14 +157,17 @@ def severity_facet(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def date_range_facet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = views.latest(spark, sf_dir)
-    out = None
-    for label, years in (("all", None), ("1", 1), ("5", 5), ("10", 10)):
-        part = insights.since_years(rows, as_of(), years).groupBy("state").agg(
-            F.count("*").alias("events")
-        ).select(F.lit(label).alias("range"), "state", "events")
-        out = part if out is None else out.unionByName(part)
-    return out
+    rows = insights.range_facets(views.latest(spark, sf_dir), as_of())
+    return rows.groupBy("range", "state").agg(F.count("*").alias("events"))
+
+
+@query(
+    "last_year_events",
+    with_base(f"SELECT event_id, state FROM silver WHERE event_date >= {_DAY_SQL} - INTERVAL 1 YEAR"),
+)
+def last_year_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = insights.since_years(views.latest(spark, sf_dir), as_of(), 1)
+    return rows.select("event_id", "state")
 
 
 _CITY_DIRECTORY_SQL = (

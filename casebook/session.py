@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -15,9 +14,11 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even where that costs one more exchange downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Dimension tables are a few MB; Catalyst compares their size with this
-    # before it broadcasts, and shuffles them beyond it.
-    "spark.sql.autoBroadcastJoinThreshold": "64MB",
+    # Dimension tables are a few MB; Catalyst compares their size (files count
+    # threefold, as they unpack) with this before it broadcasts, and shuffles
+    # them beyond it. Nothing is hinted past this check.
+    "spark.sql.autoBroadcastJoinThreshold": "32MB",
+    "spark.sql.sources.fileCompressionFactor": "3.0",
     "spark.sql.parquet.compression.codec": "snappy",
 }
 
@@ -52,23 +53,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """Let every core work on an input whose files make too few tasks.
+    """Let every core work on an input whose files make far too few tasks.
 
-    Large inputs already have more tasks than cores and come back unchanged, so
-    no exchange is added to them. The keys should tell rows well apart.
+    Large inputs already have enough tasks and come back unchanged, so no
+    exchange is added to them. The keys should tell rows well apart.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() >= cores:
+    if rows.rdd.getNumPartitions() * 4 > cores:
         return rows
     return rows.repartition(cores, *keys)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only after counting that the side stays within a bound.
-
-    The count stops at ``max_rows + 1``. Beyond the bound the side is returned
-    as it is and the join shuffles (with AQE splitting hot keys).
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df

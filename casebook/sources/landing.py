@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casebook import vocab
+from casebook import session, vocab
 
 HEAD_BYTES = 1 << 20
 LISTING = T.StructType(
@@ -53,7 +53,7 @@ def object_key(path: Column, root: str) -> Column:
 def scanned_path() -> Column:
     """The row's file. Scans report it URL-encoded, listings do not."""
     encoded = F.col("_metadata.file_path")
-    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+    return F.try_url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
 def is_admitted(key: Column) -> Column:
@@ -184,7 +184,10 @@ def read_rows(
         .option("mode", "PERMISSIVE")
         .csv(list(layout.paths))
     )
-    return rows.select(
+    cells = rows.select(
         *[F.coalesce(F.col(n), F.lit("")).alias(n) for n in names],
         object_key(scanned_path(), root).alias("key"),
     )
+    # A file with quoted line breaks is one task; a few big ones are spread
+    # before the cleaning starts.
+    return session.spread(cells, *cells.columns)
