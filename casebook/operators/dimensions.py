@@ -46,6 +46,21 @@ def cities(gazetteer: DataFrame) -> DataFrame:
     )
 
 
+def city_load_counts(gazetteer: DataFrame) -> DataFrame:
+    """What a city load takes in: lines, skipped, imported, and key collisions."""
+    usable = F.coalesce((F.col("USPS") != "") & (F.col("NAME") != ""), F.lit(False))
+    name = places.place_parts(F.col("NAME"))["name"]
+    key = F.when(usable, F.concat(F.upper("USPS"), F.lit("-"), tx.underscored(name)))
+    per_key = gazetteer.groupBy(key.alias("city_slug")).agg(F.count("*").alias("n"))
+    named = F.col("city_slug").isNotNull()
+    return per_key.agg(
+        F.sum("n").alias("lines"),
+        F.coalesce(F.sum(F.when(~named, F.col("n"))), F.lit(0)).alias("skipped"),
+        F.count("city_slug").alias("imported"),
+        F.coalesce(F.sum(F.when(named, F.col("n") - 1)), F.lit(0)).alias("collisions"),
+    )
+
+
 def city_aliases(dim: DataFrame) -> DataFrame:
     """Canonical alias of every city and the colloquial one where it has one."""
     target = F.concat(F.lit("CITY#"), "city_slug")
@@ -126,6 +141,18 @@ def listed_companies(listings: DataFrame) -> DataFrame:
     )
 
 
+def listing_load_counts(listings: DataFrame) -> DataFrame:
+    """What a listing load takes in: lines, skipped, and distinct companies."""
+    usable = F.coalesce((tx.trim("symbol") != "") & (tx.trim("name") != ""), F.lit(False))
+    slug = F.when(usable, tx.slugify(companies.listed_name(tx.trim(F.col("name")))))
+    per_slug = listings.groupBy(slug.alias("slug")).agg(F.count("*").alias("n"))
+    return per_slug.agg(
+        F.sum("n").alias("lines"),
+        F.coalesce(F.sum(F.when(F.col("slug").isNull(), F.col("n"))), F.lit(0)).alias("skipped"),
+        F.count("slug").alias("companies"),
+    )
+
+
 def listed_company_aliases(dim: DataFrame) -> DataFrame:
     """Every ticker, and the cleaned name where it differs from the slug."""
     words = companies.listed_alias(F.col("name"))

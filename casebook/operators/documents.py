@@ -237,6 +237,21 @@ BUILDERS = {
 }
 
 
+def first_page(docs: DataFrame, level: str) -> DataFrame:
+    """What a page shows before it is expanded: the head of its lists."""
+    heads = {}
+    if "directory" in docs.columns:
+        page = vocab.NATION_DIRECTORY_PAGE if level == "nation" else vocab.DIRECTORY_PAGE
+        heads["directory"] = F.slice("directory", 1, page)
+    if level == "company":
+        page = F.lit(vocab.COMPANY_RECENTS_PAGE)
+        if "sites" in docs.columns:
+            has_sites = F.coalesce(F.size("sites") > 0, F.lit(False))
+            page = F.when(has_sites, vocab.COMPANY_RECENTS_WITH_SITES).otherwise(page)
+        heads["recentEvents"] = F.slice("recentEvents", F.lit(1), page)
+    return docs.withColumns(heads) if heads else docs
+
+
 def serving_table(documents: dict[str, DataFrame]) -> DataFrame:
     """All levels in one table: key, level, the document as JSON, its time."""
     rows = None

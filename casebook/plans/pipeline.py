@@ -8,7 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casebook.functions import dates
-from casebook.operators import dimensions, documents, ingest, merge, rollup, sites, sitemap
+from casebook.operators import (
+    dimensions,
+    documents,
+    ingest,
+    merge,
+    quarantine,
+    rollup,
+    sitemap,
+    sites,
+)
 from casebook.sources import landing, tables
 
 
@@ -108,6 +117,22 @@ def run_ingest(
     return True
 
 
+def run_backfill(spark: SparkSession, paths: Paths, **options) -> bool:
+    """Take every historical CSV file in again; silver stays one row per event."""
+    files = landing.backfill_listing(spark, paths.landing)
+    return run_ingest(spark, paths, files, **options)
+
+
+def run_recovery(spark: SparkSession, paths: Paths, fixes: DataFrame) -> DataFrame:
+    """Append corrected quarantine rows that now pass to bronze; returns the
+    rows that still fail. The quarantine itself keeps its history."""
+    _, city_keys = lookups(spark, paths)
+    held = tables.read_quarantine(spark, paths.lake)
+    checked = quarantine.recover(held, fixes, city_keys)
+    tables.write_zones(quarantine.recovered(checked), paths.lake)
+    return checked.where("quarantine_reason is not null")
+
+
 def run_merge(
     spark: SparkSession,
     paths: Paths,

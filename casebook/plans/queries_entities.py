@@ -271,6 +271,18 @@ def company_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "listing_load_counts",
+    f"""WITH {_ROWS_SQL} SELECT count(*) AS lines, count(*) FILTER (WHERE p_size % 7 = 0) AS skipped,
+      count(DISTINCT slug) FILTER (WHERE p_size % 7 <> 0) AS companies FROM rows""",
+)
+def listing_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes that are a multiple of seven come without a symbol."""
+    blank = F.col("lastsale").rlike(r"^\$(7|14|21|28|35|42|49)$")
+    rows = raw_listings(spark, sf_dir).withColumn("symbol", F.when(~blank, F.col("symbol")).otherwise(" "))
+    return dimensions.listing_load_counts(rows)
+
+
 @query(
     "company_tickers",
     f"""WITH {_ROWS_SQL} SELECT slug, symbol, arg_max(share_type, line) AS type, arg_max(raw_name, line) AS raw_name,
@@ -336,6 +348,15 @@ def city_dim_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "city_load_counts",
+    f"""WITH {_GAZETTEER_SQL} SELECT sum(copies)::BIGINT AS lines, 0::BIGINT AS skipped, count(*) AS imported,
+      sum(copies - 1)::BIGINT AS collisions FROM first""",
+)
+def city_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dimensions.city_load_counts(_gazetteer(spark, sf_dir))
+
+
 _CITY_ALIASES_SQL = """SELECT replace(lower(name), ' ', '_') || '-' || lower(usps) AS alias_key,
       'CITY#' || city_slug AS target FROM first
     UNION ALL SELECT usps || '-' || lower(string_split(name, '-')[1]), 'CITY#' || city_slug FROM first

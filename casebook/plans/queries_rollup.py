@@ -370,6 +370,36 @@ def company_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_events(docs, "pk", "name", "total_events", "last_active")
 
 
+@query(
+    "document_first_pages",
+    with_base(
+        "SELECT 'CITY#' || city_slug AS pk, least(count(DISTINCT company_slug), 30) AS listed, NULL::BIGINT AS recents "
+        "FROM silver WHERE city_slug IS NOT NULL GROUP BY city_slug UNION ALL "
+        "SELECT 'COMPANY#' || company_slug, NULL, least(sum(least(n, 5)), CASE WHEN bool_or(sited) THEN 5 ELSE 10 END)::BIGINT FROM ("
+        "SELECT company_slug, event_source, count(*) AS n, bool_or(site_id IS NOT NULL) AS sited FROM silver "
+        "WHERE company_slug IS NOT NULL GROUP BY 1, 2) GROUP BY 1"
+    ),
+)
+def document_first_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cube, recents = _shared(spark, sf_dir)
+    none = F.lit(None).cast("bigint")
+    lists = sites.site_lists(sites.company_sites(views.latest(spark, sf_dir)))
+    city = documents.first_page(
+        documents.city_documents(rollup.city_gold(cube, recents), _stamp()), "city"
+    )
+    firm = documents.first_page(
+        documents.company_documents(rollup.company_gold(cube, recents), _stamp(), lists), "company"
+    )
+    return city.select(
+        F.col("PK").alias("pk"), F.size("directory").cast("bigint").alias("listed"), none.alias("recents")
+    ).unionByName(
+        firm.select(
+            F.col("PK").alias("pk"), none.alias("listed"),
+            F.size("recentEvents").cast("bigint").alias("recents"),
+        )
+    )
+
+
 @query(
     "site_documents",
     with_base(

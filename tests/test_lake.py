@@ -188,6 +188,30 @@ def test_stream_equals_batch(spark, paths, tmp_path):
     assert spark.read.parquet(built.documents).where("level = 'nation'").count() == 1
 
 
+def test_recovery_and_backfill_reach_silver(spark, tmp_path):
+    built = lake.build(spark, tmp_path)
+    stamp = lake.stamp("2025-06-01 00:00:00")
+    pipeline.run_ingest(spark, built, ingested_at=stamp)
+    pipeline.run_merge(spark, built)
+    held = tables.read_quarantine(spark, built.lake)
+    event = held.first().event_id
+    fixes = spark.createDataFrame(
+        [(event, "DENVER", "CO"), ("no such event", "AUSTIN", "TX")],
+        "event_id string, city string, state string",
+    )
+    assert pipeline.run_recovery(spark, built, fixes).count() == 0
+    old = tmp_path / "lake" / "landing" / "Historical/OSHA/severe-incident/old.csv"
+    old.parent.mkdir(parents=True)
+    old.write_text(lake.INCIDENTS.replace("Local Shop Co", "Old Shop"))
+    assert pipeline.run_backfill(spark, built, ingested_at=stamp)
+    pipeline.run_merge(spark, built)
+    silver = merge.read_silver(spark, built.silver)
+    # Eight valid rows, the recovered one, and the one historical row that is new.
+    assert silver.count() == 10
+    assert silver.where(F.col("event_id") == event).first().city_slug == "CO-denver"
+    assert silver.where("company_name = 'Old Shop'").first().source_url.startswith("Historical/")
+
+
 def test_backfill_lists_historical_files(spark, tmp_path):
     for name in ("Historical/OSHA/ita/a.csv", "Historical/OSHA/ita/a.txt", "estuary/OSHA/ita/b.csv"):
         (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
