@@ -58,13 +58,21 @@ def payload() -> Column:
     )
 
 
+def indented_json(value: str) -> Column:
+    """JSON over several lines, two spaces deep, ``"key": value``. The printer
+    puts a space before colons; keys start their line, texts never do."""
+    return F.regexp_replace(
+        F.to_json(value, {"pretty": "true"}), r'(?m)^(\s*"[A-Za-z]+") : ', "$1: "
+    )
+
+
 def requests(rows: DataFrame) -> DataFrame:
     """One request per event: its facts and the two messages built from them."""
     parsed = events.with_details(rows, *FACTS)
     built = parsed.select("event_id", payload().alias("payload"))
     user = F.concat(
         F.lit(vocab.NARRATIVE_REQUEST_HEAD),
-        F.to_json("payload", {"pretty": "true"}),
+        indented_json("payload"),
         F.lit(vocab.NARRATIVE_REQUEST_TAIL),
     )
     message = lambda role, content: F.struct(

@@ -76,6 +76,15 @@ def file_name(stem: Column, chunk: Column) -> Column:
     )
 
 
+def file_names(pages: DataFrame, per_file: int = vocab.SITEMAP_URLS) -> DataFrame:
+    """The files the pages will fill, from the page counts alone."""
+    counts = pages.groupBy("stem").agg(F.count("*").alias("n"))
+    numbers = F.sequence(F.lit(1), F.ceil(F.col("n") / per_file).cast("int"))
+    return counts.select("stem", F.explode(numbers).alias("chunk")).select(
+        file_name(F.col("stem"), F.col("chunk")).alias("file")
+    )
+
+
 def url_element(url: Column, day: Column) -> Column:
     return F.concat(
         F.lit("<url><loc>"), tx.xml_escape(url), F.lit("</loc><lastmod>"),

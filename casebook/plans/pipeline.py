@@ -102,22 +102,37 @@ def build_dimensions(
 
 
 def run_ingest(
-    spark: SparkSession, paths: Paths, files: DataFrame | None = None, **options
-) -> bool:
-    """Append every admitted file's rows to their zone; False if none came."""
+    spark: SparkSession,
+    paths: Paths,
+    files: DataFrame | None = None,
+    files_per_batch: int = 20_000,
+    **options,
+) -> int:
+    """Append every admitted file's rows to their zone; returns the file count.
+
+    File names are plan-time metadata, so a large landing is worked off in
+    batches: no task or driver ever holds more names than a batch has.
+    """
     if files is None:
         files = landing.list_landing(spark, paths.landing)
     company_lookup, city_keys = lookups(spark, paths)
-    routed = ingest.ingest_files(
-        spark, files, paths.landing, company_lookup, city_keys, **options
-    )
-    if routed is None:
-        return False
-    tables.write_zones(routed, paths.lake)
-    return True
+    files = files.persist()
+    try:
+        count = files.count()
+        batches = -(-count // files_per_batch)
+        for number in range(batches):
+            batch = files.where(F.pmod(F.xxhash64("path"), F.lit(batches)) == number)
+            routed = ingest.ingest_files(
+                spark, batch, paths.landing, company_lookup, city_keys, **options
+            )
+            if routed is not None:
+                tables.write_zones(routed, paths.lake)
+    finally:
+        files.unpersist()
+    return count
 
 
-def run_backfill(spark: SparkSession, paths: Paths, **options) -> bool:
+def run_backfill(spark: SparkSession, paths: Paths, **options) -> int:
     """Take every historical CSV file in again; silver stays one row per event."""
     files = landing.backfill_listing(spark, paths.landing)
     return run_ingest(spark, paths, files, **options)
@@ -179,10 +194,9 @@ def run_serving(spark: SparkSession, paths: Paths, as_of: Column) -> None:
 
 def run_sitemaps(spark: SparkSession, paths: Paths, base_url: str, as_of: Column) -> None:
     keys = tables.document_keys(spark.read.parquet(paths.documents))
-    files = sitemap.sitemap_files(sitemap.chunked(sitemap.urls(keys, base_url)), as_of)
-    sitemap.write_sitemaps(files, paths.sitemaps)
-    listed = spark.read.text(paths.sitemaps).select("file").distinct()
-    index = sitemap.sitemap_index(listed, base_url, as_of)
+    pages = sitemap.urls(keys, base_url)
+    sitemap.write_sitemaps(sitemap.sitemap_files(sitemap.chunked(pages), as_of), paths.sitemaps)
+    index = sitemap.sitemap_index(sitemap.file_names(pages), base_url, as_of)
     index.select("value").write.mode("overwrite").text(f"{paths.sitemaps}-index")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook import schemas, session
+from casebook import schemas, session, vocab
 from casebook.functions import dates
 from casebook.operators import documents, merge, narrative, rollup, sitemap
 from casebook.plans import views
@@ -170,6 +170,11 @@ def sitemap_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sitemap.sitemap_index(sitemap_files(spark, sf_dir), _BASE_URL, as_of())
 
 
+@query("sitemap_file_names", with_base("SELECT file FROM files", _KEYS_SQL, _URLS_SQL, _CHUNKS_SQL, _FILES_SQL))
+def sitemap_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sitemap.file_names(page_urls(spark, sf_dir), 100)
+
+
 @query("sitemap_totals", with_base("SELECT stem, count(*) AS urls, max(chunk) AS files FROM chunks GROUP BY 1", _KEYS_SQL, _URLS_SQL, _CHUNKS_SQL))
 def sitemap_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = _chunks(spark, sf_dir).groupBy("stem").agg(
@@ -181,10 +186,27 @@ def sitemap_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Narratives --------------------------------------------------------------
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_FACTS_SQL = """'{' || chr(10) || '  "id": "' || event_id || '",' || chr(10) || '  "oshaId": "' || event_id || '",' || chr(10)
+  || '  "eventDate": "' || strftime(event_date, '%Y-%m-%d %H:%M:%S') || '",' || chr(10)
+  || '  "violationType": "' || violation_type || '",' || chr(10) || '  "location": {' || chr(10)
+  || '    "city": "' || coalesce(city, '') || '",' || chr(10) || '    "state": "' || coalesce(state, '') || '"' || chr(10)
+  || '  },' || chr(10) || '  "establishment": {' || chr(10) || '    "name": "' || company_name || '",' || chr(10)
+  || '    "naics": "' || naics || '"' || chr(10) || '  },' || chr(10) || '  "injury": {' || chr(10)
+  || '    "hospitalized": ' || hospitalized || ',' || chr(10) || '    "amputation": ' || amputation || ',' || chr(10)
+  || '    "lossOfEye": 0,' || chr(10) || '    "narrative": "' || event_description || '",' || chr(10)
+  || '    "nature": "",' || chr(10) || '    "bodyPart": "",' || chr(10) || '    "event": "",' || chr(10)
+  || '    "source": ""' || chr(10) || '  }' || chr(10) || '}'"""
+
+
 @query(
     "prompt_requests",
     with_base(
-        f"""SELECT event_id, event_id AS id, {views.sql_stamp('event_date')} AS event_date, violation_type,
+        f"""SELECT md5({_quoted(vocab.NARRATIVE_REQUEST_HEAD)} || {_FACTS_SQL} || {_quoted(vocab.NARRATIVE_REQUEST_TAIL)}) AS user_md5,
+          event_id, event_id AS id, {views.sql_stamp('event_date')} AS event_date, violation_type,
           coalesce(city, '') AS city, coalesce(state, '') AS state, company_name AS name, naics::VARCHAR AS naics,
           hospitalized::BIGINT AS hospitalized, amputation::BIGINT AS amputation, 0::BIGINT AS loss_of_eye,
           event_description AS narrative, '' AS nature, 2::BIGINT AS messages, 'system,user' AS roles FROM silver"""
@@ -203,6 +225,7 @@ def prompt_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         p["injury"]["narrative"].alias("narrative"), p["injury"]["nature"].alias("nature"),
         F.size("messages").cast("bigint").alias("messages"),
         F.array_join(F.col("messages.role"), ",").alias("roles"),
+        F.md5(F.col("messages")[1]["content"].cast("binary")).alias("user_md5"),
     )
 
 

@@ -191,7 +191,7 @@ def test_stream_equals_batch(spark, paths, tmp_path):
 def test_recovery_and_backfill_reach_silver(spark, tmp_path):
     built = lake.build(spark, tmp_path)
     stamp = lake.stamp("2025-06-01 00:00:00")
-    pipeline.run_ingest(spark, built, ingested_at=stamp)
+    assert pipeline.run_ingest(spark, built, files_per_batch=2, ingested_at=stamp) == 4
     pipeline.run_merge(spark, built)
     held = tables.read_quarantine(spark, built.lake)
     event = held.first().event_id
