@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from casebook.llm import digests
+from casebook.llm import digests, mixing, simhash
 
-QUERIES = {"op10_digest_index": digests.op10}
-ORACLES = {"op10_digest_index": digests.OP10_SQL}
+QUERIES = {
+    "op3_pareto_mix": mixing.op3,
+    "op8_simhash_ring": simhash.op8,
+    "op10_digest_index": digests.op10,
+}
+ORACLES = {
+    "op3_pareto_mix": mixing.OP3_SQL,
+    "op10_digest_index": digests.OP10_SQL,
+}
