@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from casebook.llm import digests, mixing, simhash
+from casebook.llm import digests, langid, mixing, pieces, quality, simhash
 
 QUERIES = {
+    "op1_neighbour_quality": quality.op1,
     "op3_pareto_mix": mixing.op3,
+    "op5_sentencepiece": pieces.op5,
     "op8_simhash_ring": simhash.op8,
+    "op9_gated_langid": langid.op9,
     "op10_digest_index": digests.op10,
 }
 ORACLES = {
