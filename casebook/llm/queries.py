@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from casebook.llm import digests, langid, mixing, pieces, quality, simhash
+from casebook.llm import chat, digests, langid, mixing, phrases, pieces, quality, repeats, simhash, token_files
 
 QUERIES = {
     "op1_neighbour_quality": quality.op1,
+    "op2_reply_trees": chat.op2,
     "op3_pareto_mix": mixing.op3,
+    "op4_phrase_fingerprints": phrases.op4,
     "op5_sentencepiece": pieces.op5,
+    "op6_token_files": token_files.op6,
+    "op7_suffix_repeats": repeats.op7,
     "op8_simhash_ring": simhash.op8,
     "op9_gated_langid": langid.op9,
     "op10_digest_index": digests.op10,
 }
 ORACLES = {
+    "op2_reply_trees": chat.OP2_SQL,
     "op3_pareto_mix": mixing.OP3_SQL,
     "op10_digest_index": digests.OP10_SQL,
 }
