@@ -7,7 +7,7 @@ import os
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from casebook.session import scratch_path
@@ -55,13 +55,16 @@ def bounded_sample(rows: DataFrame, label: str, limit: int, per_label: bool) ->
     label, so neither copies nor partitions sway the choice. Two narrow passes: the
     hashes first, then the texts of the chosen ones.
     """
-    from pyspark.sql import Window
-
     hashed = rows.select(F.col(label).alias("label"), F.xxhash64("text").alias("h"), "text")
     distinct = hashed.select("label", "h").distinct()
     if per_label:
-        place = F.row_number().over(Window.partitionBy("label").orderBy("h"))
-        chosen = distinct.withColumn("place", place).filter(F.col("place") <= limit).select("label", "h")
+        # By parts of the hash first, so that no label's rows meet in one task before
+        # they are few.
+        chosen = distinct.withColumn("part", F.pmod("h", F.lit(256)))
+        for keys in (("label", "part"), ("label",)):
+            place = F.row_number().over(Window.partitionBy(*keys).orderBy("h"))
+            chosen = chosen.withColumn("place", place).filter(F.col("place") <= limit).drop("place")
+        chosen = chosen.select("label", "h")
     else:
         chosen = distinct.orderBy("h", "label").limit(limit)
     # Proven bound: `limit` rows, or as many for each label.

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from casebook.llm import common
@@ -112,18 +112,16 @@ def fresh_index(spark: SparkSession, id_type: str = "bigint") -> DigestIndex:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The documents that stay, each column as it was; repeated rows once."""
-    from pyspark.sql import Window
-
     id_key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     index = fresh_index(docs.sparkSession, docs.schema["doc_id"].dataType.simpleString())
-    kept = exact_groups(docs, index).filter("kept").select(F.col("digest").alias("_digest"), id_key.alias("_id"))
+    kept = exact_groups(docs, index).filter("kept").select("digest", id_key.alias("id"))
     # The join leaves rows dealt by both keys, so the window moves nothing.
-    once = F.row_number().over(Window.partitionBy("_digest", "_id").orderBy("_id"))
+    once = F.row_number().over(Window.partitionBy("digest", "id").orderBy("id"))
     return (
-        docs.withColumns({"_digest": text_digest("text"), "_id": id_key})
-        .join(kept, ["_digest", "_id"])
-        .withColumn("_place", once).filter("_place = 1")
-        .select(*docs.columns)
+        docs.select(F.struct("*").alias("row"), text_digest("text").alias("digest"), id_key.alias("id"))
+        .join(kept, ["digest", "id"])
+        .withColumn("place", once).filter("place = 1")
+        .select("row.*")
     )
 
 
@@ -140,6 +138,6 @@ WITH d AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
   FROM documents)
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
-       doc_id = min(doc_id) OVER g AS kept, text_sha256
+       row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id) = 1 AS kept, text_sha256
 FROM d WINDOW g AS (PARTITION BY text_sha256)
 """

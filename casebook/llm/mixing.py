@@ -66,16 +66,27 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, cap: int = CAP, seed: str = S
     docs has doc_id, source and text, and any other columns; one called mix is
     replaced. Null text has size 0, null source is a source of its own, equal ids draw
     equal numbers. A source without words has target 0. No row is dropped: what is not
-    taken has 0 copies. A rerun takes the same copies.
+    taken has 0 copies. A rerun takes the same copies. An empty table gives no rows.
 
     Ranks are summed in fixed buckets first, whatever a source's share of the rows, and
     only the bucket in which a source reaches its target is sorted.
     """
-    own = F.struct(
-        common.words_in(F.col("text")).alias("size"), random_unit(seed=seed).alias("u")
+    return _mixed(docs.drop("mix"), weights, cap, seed).select("row.*", "mix")
+
+
+def repeated(docs: DataFrame) -> DataFrame:
+    """The mixed documents, a row for every copy taken, with the columns of docs."""
+    taken = _mixed(docs).filter("mix.copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("mix.copies")))).select("row.*")
+
+
+def _mixed(docs: DataFrame, weights: tuple = WEIGHTS, cap: int = CAP, seed: str = SEED) -> DataFrame:
+    """(row, mix): each row of docs as it was, and what the mix takes of it."""
+    sized = docs.select(
+        F.struct("*").alias("row"), "source", "doc_id",
+        common.words_in(F.col("text")).alias("size"), random_unit(seed=seed).alias("u"),
     )
-    sized = docs.drop("mix").withColumn("_mix", own)
-    narrow = common.stored(sized.select("source", "_mix"), "mix-sizes").select("source", "_mix.*")
+    narrow = common.stored(sized.select("source", "size", "u"), "mix-sizes")
     sources = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     facts = (
@@ -84,60 +95,49 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, cap: int = CAP, seed: str = S
         .withColumn("inclusion", ratio - F.floor(ratio))
         .withColumn("room", F.col("target") - F.col("whole") * F.col("source_size"))
     )
-    facts = common.stored(facts.select(F.struct(*facts.columns).alias("_facts")), "mix-sources")
+    facts = common.stored(facts.select(F.struct(*facts.columns).alias("facts")), "mix-sources")
 
-    def placed(rows: DataFrame, u: Column, facts: DataFrame) -> DataFrame:
-        rank = pareto_rank(u, F.col("_facts.inclusion"))
-        same = F.col("source").eqNullSafe(F.col("_facts.source"))
+    def placed(rows: DataFrame, facts: DataFrame) -> DataFrame:
+        rank = pareto_rank(F.col("u"), F.col("facts.inclusion"))
         return (
-            rows.join(facts, same)
-            .withColumn("_rank", rank)
-            .withColumn("_bucket", F.floor(F.col("_rank") * BUCKETS).cast("int"))
+            rows.join(facts, F.col("source").eqNullSafe(F.col("facts.source")))
+            .withColumn("rank", rank)
+            .withColumn("bucket", F.floor(F.col("rank") * BUCKETS).cast("int"))
         )
 
     summed = (
-        placed(narrow, F.col("u"), facts).filter(F.col("_bucket").isNotNull())
-        .groupBy("_facts", "_bucket").agg(F.sum("size").alias("words"))
+        placed(narrow, facts).filter(F.col("bucket").isNotNull())
+        .groupBy("facts", "bucket").agg(F.sum("size").alias("words"))
     )
-    upto = F.sum("words").over(Window.partitionBy("_facts.source").orderBy("_bucket"))
+    upto = F.sum("words").over(Window.partitionBy("facts.source").orderBy("bucket"))
     border = (
         summed.withColumn("upto", upto)
-        .filter(F.col("upto") > F.col("_facts.room"))
-        .groupBy("_facts").agg(F.min(F.struct("_bucket", (F.col("upto") - F.col("words")).alias("before"))).alias("b"))
+        .filter(F.col("upto") > F.col("facts.room"))
+        .groupBy("facts").agg(F.min(F.struct("bucket", (F.col("upto") - F.col("words")).alias("before"))).alias("b"))
+        .select(F.col("facts.source").alias("s"), F.col("b.bucket").alias("cut"), "b.before")
     )
-    facts = facts.join(
-        border.select(F.col("_facts.source").alias("s"), F.col("b._bucket").alias("cut"), F.col("b.before").alias("before")),
-        F.col("_facts.source").eqNullSafe(F.col("s")), "left",
-    ).drop("s")
+    facts = facts.join(border, F.col("facts.source").eqNullSafe(F.col("s")), "left").drop("s")
     facts = common.stored(facts, "mix-borders")
 
-    rows = placed(sized, F.col("_mix.u"), facts)
-    at_border = F.coalesce(F.col("_bucket") == F.col("cut"), F.lit(False))
-    plain = rows.filter(~at_border).withColumn(
-        "_drawn", F.col("_bucket").isNotNull() & F.coalesce(F.col("_bucket") < F.col("cut"), F.lit(True))
-    )
-    order = Window.partitionBy("_facts.source").orderBy("_rank", "doc_id", "_mix.size")
-    run = F.sum("_mix.size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_mix.size")
+    rows = placed(sized, facts)
+    at_border = F.coalesce(F.col("bucket") == F.col("cut"), F.lit(False))
+    below = F.col("bucket").isNotNull() & F.coalesce(F.col("bucket") < F.col("cut"), F.lit(True))
+    plain = rows.filter(~at_border).withColumn("drawn", below)
+    order = Window.partitionBy("facts.source").orderBy("rank", "doc_id", "size")
+    upto = F.col("before") + F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
     # The row that crosses the target is taken where that ends nearer to it.
-    nearest = F.col("before") + F.col("_run") + F.col("_mix.size") / 2 <= F.col("_facts.room")
-    border_rows = rows.filter(at_border).withColumn("_run", run).withColumn("_drawn", nearest).drop("_run")
-    copies = F.col("_facts.whole") + F.col("_drawn").cast("int")
+    nearest = F.col("upto") - F.col("size") / 2 <= F.col("facts.room")
+    border_rows = rows.filter(at_border).withColumn("upto", upto).withColumn("drawn", nearest).drop("upto")
+    copies = F.col("facts.whole") + F.col("drawn").cast("int")
     return plain.unionByName(border_rows).select(
-        *[F.col(c) for c in docs.columns if c != "mix"],
+        "row",
         F.struct(
-            F.col("_mix.size").alias("size"), F.col("_facts.source_size").alias("source_size"),
-            F.col("_facts.target").alias("target"), copies.alias("copies"),
-            (copies * F.col("_mix.size")).alias("taken"),
+            "size", "facts.source_size", "facts.target", copies.alias("copies"),
+            (copies * F.col("size")).alias("taken"),
         ).alias("mix"),
     )
 
 
-def repeated(docs: DataFrame) -> DataFrame:
-    """The mixed documents, a row for every copy taken, with the columns of docs."""
-    mixed = mix(docs).filter("mix.copies > 0")
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("mix.copies")))).select(*docs.columns)
-
-
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mix(docs).select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")

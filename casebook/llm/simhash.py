@@ -236,10 +236,15 @@ def near_groups(docs: DataFrame, words: int = 3) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The document with the smallest id of every near group; its repeated rows stay."""
+    """Of every near group the document with the smallest id, columns as they were.
+
+    Rows that share that id all stay.
+    """
     groups = near_groups(docs)
-    stay = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(stay.withColumnRenamed("doc_id", "_keep"), F.col("doc_id").eqNullSafe(F.col("_keep")), "left_semi")
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    stay = groups.filter(stays).select(F.col("doc_id").alias("stay")).distinct()
+    rows = docs.select(F.struct("*").alias("row"))
+    return rows.join(stay, F.col("row.doc_id").eqNullSafe(F.col("stay")), "left_semi").select("row.*")
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
