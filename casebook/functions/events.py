@@ -12,6 +12,9 @@ from casebook import vocab
 from casebook.functions import text as tx
 
 
+DIGITS = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,2})?$"
+
+
 def raw_json(fields: Sequence[tuple[str, Column]]) -> Column:
     """The file's row as JSON, headers in file order, empty cells kept as ``""``."""
     return F.to_json(F.struct(*[value.alias(header) for header, value in fields]))
@@ -58,9 +61,15 @@ def with_details(rows: DataFrame, *keys: str, column: str = "details") -> DataFr
     return rows.withColumn(column, F.from_json("event_details", fields))
 
 
+def number(text: Column) -> Column:
+    """A text in digits as a number, else null: ``NaN`` or ``Infinity`` in one
+    cell would spoil every sum above it."""
+    return F.when(tx.trim(text).rlike(DIGITS), text).try_cast("double")
+
+
 def number_sum(*texts: Column) -> Column:
     """Sum of numeric texts, 0 for what is missing or not a number."""
     total = F.lit(0.0)
     for text in texts:
-        total = total + F.coalesce(text.try_cast("double"), F.lit(0.0))
+        total = total + F.coalesce(number(text), F.lit(0.0))
     return total

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -242,5 +243,15 @@ def write_dimension(dim: DataFrame, path: str) -> None:
     dim.write.mode("overwrite").parquet(path)
 
 
+def stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """A stored table, None where there is none yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as problem:
+        if "PATH_NOT_FOUND" in str(problem):
+            return None
+        raise
+
+
 def read_aliases(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.ALIASES).parquet(path)

@@ -75,11 +75,20 @@ def recent_by_agency(gold: DataFrame, kind: str) -> Column:
             v, lambda e, i: shaped_event(e, i, kind, F.upper(k), fields)
         ),
     )
-    return F.transform_keys(shaped, lambda k, _: F.upper(k))
+    # Sources that differ only in case share a key: their lists are joined.
+    entries = F.map_entries(shaped)
+    keys = F.array_distinct(F.transform(entries, lambda e: F.upper(e["key"])))
+    return F.map_from_arrays(
+        keys,
+        F.transform(keys, lambda k: F.flatten(F.transform(
+            F.filter(entries, lambda e: F.upper(e["key"]) == k), lambda e: e["value"]
+        ))),
+    )
 
 
-def flat_recents(gold: DataFrame, kind: str, top: int = vocab.COMPANY_RECENTS_PAGE) -> Column:
-    """All sources' lists as one, newest first. The lists hold five per source."""
+def flat_recents(gold: DataFrame, kind: str) -> Column:
+    """All sources' lists as one, newest first. The lists hold five per source;
+    ``first_page`` shortens what a page shows."""
     fields = _event_fields(gold, "recentByEventSource")
     tagged = F.flatten(
         F.transform(
@@ -99,9 +108,8 @@ def flat_recents(gold: DataFrame, kind: str, top: int = vocab.COMPANY_RECENTS_PA
             .when(ia < ib, -1).when(ia > ib, 1).otherwise(0)
         )
 
-    newest = F.slice(F.array_sort(tagged, newer), 1, top)
     return F.transform(
-        newest,
+        F.array_sort(tagged, newer),
         lambda x, i: shaped_event(x["event"], i, kind, F.upper(x["source"]), fields),
     )
 
@@ -207,6 +215,16 @@ def company_documents(
     )
 
 
+def site_page_documents(pages: DataFrame, updated_at: Column) -> DataFrame:
+    """The second and later pages of companies' sites, below the company's key."""
+    slug = tx.strip_key_prefix(F.col("company_slug"), "COMPANY", "SLUG")
+    return pages.where("page > 1").select(
+        F.concat(F.lit("COMPANY#"), slug).alias("PK"),
+        F.concat(F.lit("SITES#"), F.lpad(F.col("page").cast("string"), 8, "0")).alias("SK"),
+        "page", "sites", updated_at.alias("updatedAt"),
+    )
+
+
 def site_documents(
     gold: DataFrame, updated_at: Column, siblings: DataFrame | None = None
 ) -> DataFrame:
@@ -252,10 +270,15 @@ def first_page(docs: DataFrame, level: str) -> DataFrame:
     return docs.withColumns(heads) if heads else docs
 
 
+# Kinds of documents that are kept with another level's.
+PARTS = {"company_sites": "company"}
+
+
 def serving_table(documents: dict[str, DataFrame]) -> DataFrame:
     """All levels in one table: key, level, the document as JSON, its time."""
     rows = None
     for level, docs in documents.items():
+        level = PARTS.get(level, level)
         body = F.to_json(F.struct(*[c for c in docs.columns if c not in ("PK", "SK")]))
         part = docs.select(
             "PK", "SK", F.lit(level).alias("level"), body.alias("document"), "updatedAt"

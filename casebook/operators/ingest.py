@@ -14,6 +14,7 @@ from casebook.operators import resolve
 from casebook.sources import landing
 
 _MARK = "_f_"
+SURPLUS = "_record"
 
 
 def canonical_fields(
@@ -66,9 +67,12 @@ def layout_events(
         computed["state"] = places.state_code(fields["state"])
     if "city" in fields:
         computed["city"] = places.clean_city(fields["city"], fix_saint_dot)
+    # Cells beyond the header have no name; their record stays in the raw JSON, so
+    # that rows which differ only there stay apart.
+    surplus = [(SURPLUS, F.col("surplus"))] if "surplus" in rows.columns else []
     base = rows.select(
         "key",
-        events.raw_json(list(dict(zip(header, cells)).items())).alias("_raw"),
+        events.raw_json([*dict(zip(header, cells)).items(), *surplus]).alias("_raw"),
         *[v.alias(_MARK + k) for k, v in computed.items()],
     )
     field = {k: F.col(_MARK + k) for k in fields}
@@ -128,7 +132,7 @@ def ingest_files(
     root: str,
     company_lookup: DataFrame,
     city_keys: DataFrame,
-    multiline: bool = True,
+    multiline: bool | None = None,
     **options,
 ) -> DataFrame | None:
     """Events of all listed files: one scan per header layout, united before the

@@ -128,7 +128,7 @@ def company_directory(silver: DataFrame) -> DataFrame:
 
 def _optional_number(*keys: str) -> Column:
     """Sum of the given overflow fields, null where none of them is a number."""
-    given = F.coalesce(*[F.col(f"details.{k}").try_cast("double") for k in keys])
+    given = F.coalesce(*[events.number(F.col(f"details.{k}")) for k in keys])
     return F.when(given.isNotNull(), _detail(*keys))
 
 

@@ -1,7 +1,8 @@
 """Latest version per event, and the upsert into the silver table.
 
 Silver is plain Parquet: ``data/version=N/event_source=S/event_year=Y`` plus one
-small manifest per version that says which version holds each (source, year).
+small manifest per version (``manifests/version=N``) that says which version
+holds each (source, year).
 A merge rewrites only the partitions it touches and then adds a manifest, so
 readers of the previous version are never disturbed and a job that dies half
 way leaves nothing visible.
@@ -22,8 +23,10 @@ from casebook.functions import dates
 
 # Columns an update leaves as they were.
 KEPT_ON_UPDATE = ("quarantine_reason",)
+# Decide between deliveries of one ingest time, smaller first.
+TIES = ("event_source", "source_url", "event_title", "event_details")
 ENRICHMENT = ("bedrock_event_title", "bedrock_event_description", "bedrock_verified")
-NO_YEAR = "none"
+NO_YEAR = NO_SOURCE = "none"
 
 MANIFEST = T.StructType(
     [
@@ -51,11 +54,20 @@ def latest_per_event(
     return rows.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1").drop("_rn")
 
 
+def _ties(value: dict[str, Column]) -> Column:
+    """Comparable struct of a row's tie-breakers, null last, long texts as a hash."""
+    parts = []
+    for name in TIES[:2]:
+        if name in value:
+            parts += [value[name].isNull().alias(f"{name}_null"), value[name].alias(name)]
+    texts = [value[name] for name in TIES[2:] if name in value]
+    return F.struct(*parts, F.xxhash64(F.lit(0), *texts).alias("texts"))
+
+
 def bronze_to_silver(bronze: DataFrame, us_dates: bool = False) -> DataFrame:
     """Deduplicated bronze rows with silver's types."""
-    stable = [F.col("partition_source").asc(), F.col("source_url").asc_nulls_last(),
-              F.xxhash64("event_title", "event_details", "quarantine_reason").asc()]
-    rows = latest_per_event(bronze, stable)
+    named = {c: F.col(c) for c in TIES} | {"event_source": F.col("partition_source")}
+    rows = latest_per_event(bronze, [_ties(named).asc(), F.col("quarantine_reason").asc()])
     typed = {
         "event_source": F.col("partition_source"),
         "ingested_at": dates.iso_timestamp(F.col("ingested_at")),
@@ -75,13 +87,23 @@ def merge_rows(
     """Upsert by ``event_id``; both sides hold each id once.
 
     A match takes every incoming value, nulls too, except the columns an
-    update leaves alone. ``keep_enrichment`` keeps enriched texts where the
-    incoming row has none. Presence is a flag, never a null test on data.
+    update leaves alone, unless the incoming row is the older one: the newest
+    ``ingested_at`` wins (null is oldest), however late it comes, and ties go
+    by the same columns as within a batch. ``keep_enrichment`` keeps enriched
+    texts where the incoming row has none. Presence is a flag, never a null
+    test on data.
     """
     old = current.select(*columns).withColumn("_old", F.lit(True)).alias("o")
     new = incoming.select(*columns).withColumn("_new", F.lit(True)).alias("n")
     joined = old.join(new, F.col("o.event_id") == F.col("n.event_id"), "full_outer")
     is_new, is_old = F.col("_new").isNotNull(), F.col("_old").isNotNull()
+    before_at, after_at = F.col("o.ingested_at"), F.col("n.ingested_at")
+    first = [_ties({c: F.col(f"{side}.{c}") for c in TIES if c in columns}) for side in "no"]
+    newer = (
+        F.when(before_at.eqNullSafe(after_at), first[0] <= first[1])
+        .otherwise(before_at.isNull() | F.coalesce(after_at > before_at, F.lit(False)))
+    )
+    wins = is_new & (~is_old | newer)
 
     def merged(name: str) -> Column:
         before, after = F.col(f"o.{name}"), F.col(f"n.{name}")
@@ -89,8 +111,8 @@ def merge_rows(
             return F.when(is_old, before).otherwise(after)
         if keep_enrichment and name in ENRICHMENT:
             keep = is_old & F.col("n.bedrock_event_title").isNull()
-            return F.when(is_new & ~keep, after).otherwise(before)
-        return F.when(is_new, after).otherwise(before)
+            return F.when(wins & ~keep, after).otherwise(before)
+        return F.when(wins, after).otherwise(before)
 
     return joined.select(*[merged(c).alias(c) for c in columns])
 
@@ -110,44 +132,45 @@ def event_year(moment: Column) -> Column:
 
 
 def _manifests(spark: SparkSession, table: str) -> DataFrame | None:
+    """All manifests; only their folder names are listed until rows are asked for."""
     try:
-        return (
-            spark.read.schema(MANIFEST).json(f"{table.rstrip('/')}/manifests")
-        )
+        return spark.read.schema(MANIFEST).json(f"{table.rstrip('/')}/manifests")
     except AnalysisException as problem:
         if "PATH_NOT_FOUND" in str(problem):
             return None
         raise
 
 
+def versions(spark: SparkSession, table: str) -> list[int]:
+    """Versions there are, from the names of the manifests' folders."""
+    if _manifests(spark, table) is None:
+        return []
+    listed = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        .load(f"{table.rstrip('/')}/manifests")
+    )
+    number = F.regexp_extract("path", r"/version=(\d+)/", 1).cast("int")
+    return [r.v for r in listed.select(number.alias("v")).distinct().orderBy("v").collect()]
+
+
 def manifest(spark: SparkSession, table: str, version: int | None = None) -> list:
     """Entries of one version (default: the newest); empty for a new table.
 
-    One entry per (source, year): bounded by the partitions of the table.
+    One entry per (source, year): bounded by the partitions of the table. No
+    other version's manifest is read.
     """
-    every = _manifests(spark, table)
-    if every is None:
+    known = versions(spark, table)
+    if not known:
         return []
-    if version is None:
-        version = every.agg(F.max("version").alias("v")).collect()[0].v
-    held = (F.col("version") == version) & F.col("holder").isNotNull()
-    return every.where(held).collect()
+    # The version is the manifests' partition column, so this prunes folders.
+    newest = F.col("version") == (known[-1] if version is None else version)
+    return _manifests(spark, table).where(newest & F.col("holder").isNotNull()).collect()
 
 
-def versions(spark: SparkSession, table: str) -> list[int]:
-    every = _manifests(spark, table)
-    if every is None:
-        return []
-    return [r.version for r in every.select("version").distinct().orderBy("version").collect()]
-
-
-def merged_batches(spark: SparkSession, table: str) -> set[str]:
-    """Batch ids already in the table, to skip replays."""
+def is_merged(spark: SparkSession, table: str, batch: str) -> bool:
+    """Whether a batch is in the table already, so that a replay is skipped."""
     every = _manifests(spark, table)
-    if every is None:
-        return set()
-    rows = every.where("batch is not null").select("batch").distinct().collect()
-    return {r.batch for r in rows}
+    return every is not None and not every.where(F.col("batch") == batch).isEmpty()
 
 
 def _read_entries(spark: SparkSession, table: str, entries: Sequence) -> DataFrame:
@@ -157,13 +180,13 @@ def _read_entries(spark: SparkSession, table: str, entries: Sequence) -> DataFra
         )
     data = f"{table.rstrip('/')}/data"
     holders = sorted({e.holder for e in entries})
-    wanted = [f"{e.holder}/{e.event_source}/{e.event_year}" for e in entries]
+    wanted = [f"{e.holder}/{e.event_source or NO_SOURCE}/{e.event_year}" for e in entries]
     stored = (
         spark.read.schema(schemas.SILVER_STORED).option("basePath", data)
         .parquet(*[f"{data}/version={h}" for h in holders])
     )
     # Only partition columns, so this prunes folders and reads no other file.
-    place = F.concat_ws("/", "version", "event_source", "event_year")
+    place = F.concat_ws("/", "version", F.coalesce("event_source", F.lit(NO_SOURCE)), "event_year")
     return stored.where(place.isin(wanted)).select(*schemas.SILVER_COLUMNS, "event_year")
 
 
@@ -190,35 +213,37 @@ def merge_into_silver(
     batch: str | None = None,
     keep_enrichment: bool = False,
 ) -> int | None:
-    """Upsert typed, deduplicated rows; returns the version written."""
-    entries = manifest(spark, table)
-    if batch is not None and batch in merged_batches(spark, table):
+    """Upsert typed, deduplicated rows; returns the version written, None where
+    the batch is in the table already. A repeated event_id is an error."""
+    if batch is not None and is_merged(spark, table, batch):
         return None
-    version = max((e.version for e in entries), default=0) + 1
-    incoming = incoming.withColumn("event_year", event_year(F.col("event_date"))).persist()
+    entries = manifest(spark, table)
+    version = max(versions(spark, table), default=0) + 1
+    incoming = incoming.withColumn("event_year", event_year(F.col("event_date")))
+    place = ["event_source", "event_year"]
+    # Keys only: the wide rows are read once, where they are written.
+    keys = incoming.select("event_id", *place).persist()
     try:
-        place = ["event_source", "event_year"]
-        touched = incoming.select(*place).distinct()
+        assert_unique(keys)
+        touched = keys.select(*place).distinct()
         if entries:
             # Where do earlier versions of these events live? Reads three
             # columns; the ids of a small batch are broadcast or Bloom-filtered.
             earlier = (
                 _read_entries(spark, table, entries).select("event_id", *place)
-                .join(incoming.select("event_id"), "event_id", "left_semi")
+                .join(keys.select("event_id"), "event_id", "left_semi")
                 .select(*place).distinct()
             )
             touched = touched.unionByName(earlier).distinct()
-        keys = {(r.event_source, r.event_year) for r in touched.collect()}
-        hit = [e for e in entries if (e.event_source, e.event_year) in keys]
-        rows = incoming
-        if hit:
-            merged = merge_rows(
-                _read_entries(spark, table, hit), incoming, keep_enrichment
-            )
-            rows = merged.withColumn("event_year", event_year(F.col("event_date")))
-        path = _write_version(rows, table, version)
+        found = {(r.event_source, r.event_year) for r in touched.collect()}
     finally:
-        incoming.unpersist()
+        keys.unpersist()
+    hit = [e for e in entries if (e.event_source, e.event_year) in found]
+    rows = incoming
+    if hit:
+        merged = merge_rows(_read_entries(spark, table, hit), incoming, keep_enrichment)
+        rows = merged.withColumn("event_year", event_year(F.col("event_date")))
+    path = _write_version(rows, table, version)
     # Old versions of a moved event are gone from `hit`, so a partition may have
     # become empty: list what was really written.
     written = (
@@ -228,7 +253,8 @@ def merge_into_silver(
     kept = [(e.event_source, e.event_year, e.holder) for e in entries if e not in hit]
     listed = kept + [(r.event_source, r.event_year, version) for r in written]
     listed = [(*e, batch, version) for e in listed] or [(None, None, None, batch, version)]
-    spark.createDataFrame(listed, MANIFEST).coalesce(1).write.mode("append").json(
-        f"{table.rstrip('/')}/manifests"
+    (
+        spark.createDataFrame(listed, MANIFEST).coalesce(1).write.mode("append")
+        .partitionBy("version").json(f"{table.rstrip('/')}/manifests")
     )
     return version

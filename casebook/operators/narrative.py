@@ -102,9 +102,15 @@ def check_replies(replies: DataFrame) -> DataFrame:
 
 
 def enrich(rows: DataFrame, checked: DataFrame) -> DataFrame:
-    """Valid replies fill the enriched title and description of their events."""
-    side = checked.where("is_valid").select(
-        "event_id", F.col("title").alias("_title"), F.col("explanation").alias("_text")
+    """Valid replies fill the enriched title and description of their events.
+
+    Of several valid replies to an event the one with the smallest title, then
+    explanation, is used, so an event stays one row.
+    """
+    side = (
+        checked.where("is_valid").groupBy("event_id")
+        .agg(F.min(F.struct("title", "explanation")).alias("_reply"))
+        .select("event_id", F.col("_reply.title").alias("_title"), F.col("_reply.explanation").alias("_text"))
     )
     joined = rows.join(side, "event_id", "left")
     return joined.select(

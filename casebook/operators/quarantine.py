@@ -33,12 +33,14 @@ def top_groups(held: DataFrame, limit: int = vocab.QUARANTINE_GROUPS) -> DataFra
 def recover(held: DataFrame, fixes: DataFrame, city_keys: DataFrame) -> DataFrame:
     """Held rows with corrected fields, checked again.
 
-    ``fixes`` has one row per event_id and any of the fixable columns; a null
-    leaves the held value. The slug follows a corrected city or state unless
+    ``fixes`` has an event_id and any of the fixable columns; a null leaves the
+    held value. Several fixes of one event are reduced to the smallest by their
+    columns in order, so no row is multiplied. The slug follows a corrected city or state unless
     the fix brings its own. Rows that still fail keep a reason.
     """
     given = [c for c in fixes.columns if c in FIXABLE]
-    side = fixes.select("event_id", *[F.col(c).alias(f"_fix_{c}") for c in given])
+    once = fixes.groupBy("event_id").agg(F.min(F.struct(F.lit(0), *given)).alias("_fix"))
+    side = once.select("event_id", *[F.col(f"_fix.{c}").alias(f"_fix_{c}") for c in given])
     rows = held.join(side, "event_id")
     for name in given:
         rows = rows.withColumn(name, F.coalesce(f"_fix_{name}", name))

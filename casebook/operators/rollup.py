@@ -167,13 +167,17 @@ def directory(cube: DataFrame, level: Level) -> DataFrame:
     return child_counts(cube, level).where("slug is not null")
 
 
-def ranked(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], top: int) -> DataFrame:
-    """First ``top`` rows per key with their ``rank``. The limit is applied
-    before the exchange as well, so hot keys arrive already short."""
+def ranked(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[Column], top: int | None = None
+) -> DataFrame:
+    """First ``top`` rows per key (None: all) with their ``rank``. A limit is
+    applied before the exchange as well, so hot keys arrive already short."""
+    window = Window.partitionBy(*keys).orderBy(*order)
+    if top is None:
+        return rows.withColumn("rank", F.row_number().over(window))
     if not keys:
         # A global top-k: each task keeps its own best rows first.
         rows = rows.orderBy(*order).limit(top)
-    window = Window.partitionBy(*keys).orderBy(*order)
     return rows.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= top)
 
 

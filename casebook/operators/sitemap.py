@@ -23,7 +23,7 @@ def page_url(pk: Column, base: str) -> Column:
         *[
             F.when(
                 pk.startswith(f"{kind}#"),
-                F.concat(F.lit(f"{base}/{folder}/"), F.substring(pk, len(kind) + 2, 1 << 20)),
+                F.concat(F.lit(f"{base}/{folder}/"), F.substr(pk, F.lit(len(kind) + 2))),
             )
             for kind, (folder, _) in PAGES.items()
         ]

@@ -62,6 +62,18 @@ class Paths:
     def companies(self) -> str:
         return self._at("dimensions/companies")
 
+    @property
+    def states(self) -> str:
+        return self._at("dimensions/states")
+
+    @property
+    def curated(self) -> str:
+        return self._at("dimensions/curated")
+
+    @property
+    def ledger(self) -> str:
+        return self._at("ledger")
+
     @property
     def aliases(self) -> str:
         return self._at("dimensions/aliases")
@@ -86,19 +98,30 @@ def build_dimensions(
     listings: DataFrame | None = None,
     curated: list[tuple[str, str, list[str]]] = (),
 ) -> None:
-    """Rebuild the dimensions that have an input, and the alias index over all."""
-    producers = [dimensions.state_aliases(dimensions.states(spark))]
+    """Rebuild the dimensions that have an input, and the alias index over all
+    stored ones, so that an earlier load's aliases stay. Curated companies are
+    added to those stored; one given again replaces its earlier row."""
+    dimensions.write_dimension(dimensions.states(spark), paths.states)
     if gazetteer is not None:
         dimensions.write_dimension(dimensions.cities(gazetteer), paths.cities)
-        producers.append(dimensions.city_aliases(spark.read.parquet(paths.cities)))
     if listings is not None:
         dimensions.write_dimension(dimensions.listed_companies(listings), paths.companies)
-        producers.append(dimensions.listed_company_aliases(spark.read.parquet(paths.companies)))
     if curated:
-        producers.append(
-            dimensions.curated_aliases(dimensions.curated_companies(spark, curated))
-        )
-    dimensions.write_dimension(dimensions.alias_index(*producers), paths.aliases)
+        given = dimensions.curated_companies(spark, curated)
+        earlier = dimensions.stored(spark, paths.curated)
+        if earlier is not None:
+            kept = earlier.join(given.select("slug"), "slug", "left_anti").collect()
+            # Hand-kept, hence few; collected, as their own folder is written anew.
+            given = given.unionByName(spark.createDataFrame(kept, given.schema))
+        dimensions.write_dimension(given, paths.curated)
+    producers = (
+        (paths.states, dimensions.state_aliases), (paths.cities, dimensions.city_aliases),
+        (paths.companies, dimensions.listed_company_aliases),
+        (paths.curated, dimensions.curated_aliases),
+    )
+    found = [(dimensions.stored(spark, path), aliases) for path, aliases in producers]
+    index = dimensions.alias_index(*[aliases(dim) for dim, aliases in found if dim is not None])
+    dimensions.write_dimension(index, paths.aliases)
 
 
 def run_ingest(
@@ -110,11 +133,17 @@ def run_ingest(
 ) -> int:
     """Append every admitted file's rows to their zone; returns the file count.
 
+    Without a list of files, those below the landing folder that no earlier call
+    took in: a ledger of paths is kept, so running again appends nothing twice.
     File names are plan-time metadata, so a large landing is worked off in
     batches: no task or driver ever holds more names than a batch has.
     """
-    if files is None:
+    listed = files is None
+    if listed:
         files = landing.list_landing(spark, paths.landing)
+        done = dimensions.stored(spark, paths.ledger)
+        if done is not None:
+            files = files.join(done.select("path"), "path", "left_anti")
     company_lookup, city_keys = lookups(spark, paths)
     files = files.persist()
     try:
@@ -127,6 +156,8 @@ def run_ingest(
             )
             if routed is not None:
                 tables.write_zones(routed, paths.lake)
+            if listed:
+                batch.select("path").write.mode("append").parquet(paths.ledger)
     finally:
         files.unpersist()
     return count
@@ -189,6 +220,7 @@ def run_serving(spark: SparkSession, paths: Paths, as_of: Column) -> None:
         )
         for level in tables.LEVELS
     }
+    docs["company_sites"] = documents.site_page_documents(sites.site_pages(company_sites), updated_at)
     tables.write_documents(documents.serving_table(docs), paths.documents)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook import schemas, session, vocab
+from casebook import schemas, vocab
 from casebook.operators import dimensions, ingest, resolve
 from casebook.plans import views
 from casebook.plans.queries_functions import RAW_LISTING_SQL, raw_listings
@@ -80,7 +80,7 @@ _CELLS_SQL = """cells AS (
 
 def _landing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as rows of a raw file: positional text cells and the file's key."""
-    orders = session.spread(table(spark, sf_dir, "orders"), "o_orderkey")
+    orders = table(spark, sf_dir, "orders").repartition("o_orderkey")
     rows = (
         orders.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -223,9 +223,7 @@ def _part_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
       FROM lineitem JOIN part ON l_partkey = p_partkey)""",
 )
 def resolve_company(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = session.spread(
-        table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey"
-    )
+    facts = table(spark, sf_dir, "lineitem").repartition("l_orderkey", "l_linenumber")
     rows = facts.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     line, name = F.col("l_linenumber") % 4, F.col("p_name")
     raw = (

@@ -51,7 +51,7 @@ def _recent_sql(*keys: str) -> str:
 def _directory(spark: SparkSession, sf_dir: str, level: rollup.Level) -> DataFrame:
     rows = rollup.directory(_cube(spark, sf_dir), level)
     return longs(
-        rollup.ranked(rows, level.keys, [F.desc("count"), F.asc("slug")], 1 << 30), "rank"
+        rollup.ranked(rows, level.keys, [F.desc("count"), F.asc("slug")]), "rank"
     )
 
 
@@ -358,7 +358,7 @@ def _flat_events(docs: DataFrame, *columns: str) -> DataFrame:
         "ORDER BY event_date DESC, event_id) AS rank FROM shown WHERE company_slug IS NOT NULL) "
         "WHERE rank <= 5) f JOIN (SELECT company_slug, max(company_name) AS top_name, "
         f"count(*) AS total_events, {sql_stamp('max(event_date)')} AS last_active FROM silver "
-        "WHERE company_slug IS NOT NULL GROUP BY 1) s ON f.company_slug = s.company_slug WHERE place <= 10"
+        "WHERE company_slug IS NOT NULL GROUP BY 1) s ON f.company_slug = s.company_slug"
     ),
 )
 def company_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -453,13 +453,16 @@ def company_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_base(
         "SELECT company_slug, rank - 1 AS position, site_id AS slug, '#' || site_id AS name, count, "
         "concat_ws(', ', city, state) AS subtitle FROM (SELECT *, row_number() OVER (PARTITION BY "
-        "company_slug ORDER BY count DESC, site_id) AS rank FROM counted) WHERE rank <= 30",
+        "company_slug ORDER BY count DESC, site_id) AS rank FROM counted)",
         _SITES_SQL,
     ),
 )
 def company_site_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lists = sites.site_lists(sites.company_sites(views.latest(spark, sf_dir)))
-    rows = lists.select("company_slug", F.posexplode("sites").alias("position", "s"))
+    """All sites of every company, page after page."""
+    pages = sites.site_pages(sites.company_sites(views.latest(spark, sf_dir)))
+    rows = pages.select("company_slug", "page", F.posexplode("sites").alias("place", "s")).withColumn(
+        "position", (F.col("page") - 1) * vocab.DIRECTORY_PAGE + F.col("place")
+    )
     return longs(rows.select("company_slug", "position", "s.*"), "position")
 
 

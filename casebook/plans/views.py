@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from casebook import session
 from casebook.functions import places
 from casebook.functions import text as tx
 from casebook.operators import merge
@@ -65,7 +64,7 @@ TIES = ("l_partkey", "l_suppkey", "l_extendedprice")
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All deliveries of all events (the bronze role). Only the plan is kept."""
     t = lambda name: table(spark, sf_dir, name)
-    facts = session.spread(t("lineitem"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    facts = t("lineitem").repartition("l_orderkey", "l_linenumber")
     rows = (
         facts.join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))

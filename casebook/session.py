@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -33,15 +33,20 @@ def build_session(
         builder = builder.master(master)
     for key, value in {**SETTINGS, **(extra or {})}.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
-    return spark
+    return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; one of our own only where it is unset."""
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    Where it is unset, a local session gets a folder of its own, as in tests; on a
+    cluster that is an error, as executors would not see each other's files.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="casebook-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
@@ -49,16 +54,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder; nothing is ever reused or removed."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
-def spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """Let every core work on an input whose files make far too few tasks.
-
-    Large inputs already have enough tasks and come back unchanged, so no
-    exchange is added to them. The keys should tell rows well apart.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() * 4 > cores:
-        return rows
-    return rows.repartition(cores, *keys)

@@ -8,18 +8,16 @@ from __future__ import annotations
 
 import csv
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casebook import session, vocab
+from casebook import vocab
+from casebook.functions import text as tx
 
-HEAD_BYTES = 1 << 20
 LISTING = T.StructType(
     [
         T.StructField("path", T.StringType()),
@@ -32,12 +30,14 @@ LISTING = T.StructType(
 
 @dataclass(frozen=True)
 class Layout:
-    """Files of one dataset that share one header row."""
+    """Files of one dataset that share one header row; `quoted` are those with
+    line breaks inside quotes."""
 
     source: str
     dataset: str
     header: tuple[str, ...]
     paths: tuple[str, ...]
+    quoted: frozenset[str] = frozenset()
 
 
 _SCHEME = r"^[A-Za-z0-9+.\-]+:/+"
@@ -124,70 +124,133 @@ def backfill_listing(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def with_headers(files: DataFrame) -> DataFrame:
-    """Each file's header row, read from its first bytes by the executors."""
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
-        def header(path: str) -> list[str]:
-            if path.startswith("file:"):
-                system, name = fs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
-            else:
-                system, name = fs.FileSystem.from_uri(path)
-            with system.open_input_stream(name) as stream:
-                text = stream.read(HEAD_BYTES).decode("utf-8", errors="replace")
-            lines = (ln for ln in text.lstrip("\ufeff").splitlines(True) if ln.strip())
-            return [cell.strip() for cell in next(csv.reader(lines), [])]
-
-        for batch in batches:
-            yield batch.assign(header=[header(p) for p in batch["path"]])
-
-    schema = "path string, key string, source string, dataset string, header array<string>"
-    # One row per file: spread them, the work is a round trip each.
-    spread = files.repartition(max(1, files.sparkSession.sparkContext.defaultParallelism))
-    return spread.mapInPandas(read, schema)
-
-
-def layouts(files: DataFrame) -> list[Layout]:
-    """Distinct layouts with their files: plan-time metadata, like a file index."""
-    rows = (
-        with_headers(files)
-        .where(F.size("header") > 0)
-        .groupBy("source", "dataset", "header")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        .orderBy("source", "dataset", F.to_json("header"))
-        .collect()
+class UnreadableFiles(ValueError):
+    """Files without a header line: nothing of them could be taken in."""
+
+    def __init__(self, paths: list[str]):
+        super().__init__(f"{len(paths)} landing files have no header line, first: {paths[0]}")
+        self.paths = paths
+
+
+def _first_lines(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, bool, bool]]:
+    """File -> its first line that is not blank, and whether quotes stay open at
+    the end of that line and of any line.
+
+    One pass of text splits through Spark's own file systems, reduced to a row
+    per file before anything moves; a header may be of any length.
+    """
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id())
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("file"), scanned_path().alias("path"), place.alias("place"), "value",
+        (F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1).alias("open"),
     )
-    return [Layout(r.source, r.dataset, tuple(r.header), tuple(r.paths)) for r in rows]
+    filled = tx.trim(F.regexp_replace("value", "^\ufeff", "")) != ""
+    first = F.min_by(F.struct("value", "open"), F.when(filled, F.col("place")))
+    found = lines.groupBy("path").agg(first.alias("first"), F.bool_or("open").alias("broken"))
+    rows = found.where("first is not null").collect()
+    return {_plain(r.path): (r.first.value, r.first.open, r.broken) for r in rows}
+
+
+def _plain(path: str) -> str:
+    """The path without scheme, so that spellings of it compare equal."""
+    return re.sub(_SCHEME, "/", path)
+
+
+def _header_cells(spark: SparkSession, path: str, line: str, is_open: bool) -> tuple[str, ...]:
+    if is_open:
+        # A line break inside a quoted header: only a record reader can tell its end.
+        row = spark.read.option("multiLine", True).option("escape", '"').csv(path).first()
+        cells = ["" if c is None else c for c in row]
+    else:
+        csv.field_size_limit((1 << 31) - 1)
+        cells = next(csv.reader([line]))
+    return tuple(c.lstrip("\ufeff").strip() for c in cells)
+
+
+def layouts(files: DataFrame, on_unreadable: str = "raise") -> list[Layout]:
+    """Distinct layouts with their files: plan-time metadata, like a file index.
+
+    A file without a header line is an error, or left out with
+    ``on_unreadable="skip"``; either way nothing is lost in silence, as
+    ``UnreadableFiles`` and ``unreadable`` name them.
+    """
+    spark = files.sparkSession
+    listed = files.select("path", "source", "dataset").collect()
+    if not listed:
+        return []
+    heads = _first_lines(spark, [f.path for f in listed])
+    missing = sorted(f.path for f in listed if _plain(f.path) not in heads)
+    if missing and on_unreadable == "raise":
+        raise UnreadableFiles(missing)
+    groups: dict[tuple, list[tuple[str, bool]]] = {}
+    parsed: dict[str, tuple[str, ...]] = {}
+    for f in listed:
+        if _plain(f.path) not in heads:
+            continue
+        line, is_open, broken = heads[_plain(f.path)]
+        if is_open or line not in parsed:
+            header = _header_cells(spark, f.path, line, is_open)
+            if not is_open:
+                parsed[line] = header
+        else:
+            header = parsed[line]
+        groups.setdefault((f.source, f.dataset, header), []).append((f.path, broken))
+    return [
+        Layout(*key, tuple(sorted(p for p, _ in found)), frozenset(p for p, broken in found if broken))
+        for key, found in sorted(groups.items())
+    ]
+
+
+def unreadable(files: DataFrame) -> list[str]:
+    """Listed files without a header line."""
+    listed = [r.path for r in files.select("path").collect()]
+    heads = _first_lines(files.sparkSession, listed) if listed else {}
+    return sorted(p for p in listed if _plain(p) not in heads)
 
 
 def read_rows(
-    spark: SparkSession, layout: Layout, root: str, multiline: bool = True
+    spark: SparkSession, layout: Layout, root: str, multiline: bool | None = None
 ) -> DataFrame:
-    """Rows of one layout: ``c0..cN`` all strings in header order, plus ``key``.
+    """Rows of one layout: ``c0..cN`` all strings in header order, plus ``key``
+    and ``surplus``, the whole record where a row has more cells than the header.
 
     Columns are positional, so header names that differ only in case are fine.
-    Empty cells are ``""``, never null. ``multiline`` allows line breaks inside
-    quotes; switch it off for known one-line rows and large files split.
+    Empty cells are ``""``, never null. Files whose quotes span lines are read a
+    record at a time, a task each; all others split. ``multiline`` sets one way
+    for all files.
     """
     names = [f"c{i}" for i in range(len(layout.header))]
-    rows = (
-        spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .option("ignoreLeadingWhiteSpace", True)
-        .option("ignoreTrailingWhiteSpace", True)
-        .option("mode", "PERMISSIVE")
-        .csv(list(layout.paths))
+    whole = "_record"
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, whole)])
+
+    def scan(paths: list[str], across_lines: bool) -> DataFrame:
+        return (
+            spark.read.schema(schema)
+            .option("header", True)
+            .option("enforceSchema", True)
+            .option("quote", '"')
+            .option("escape", '"')
+            .option("multiLine", across_lines)
+            .option("ignoreLeadingWhiteSpace", True)
+            .option("ignoreTrailingWhiteSpace", True)
+            .option("maxCharsPerColumn", -1)
+            .option("maxColumns", max(20480, 4 * len(names)))
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", whole)
+            .csv(paths)
+            .select("*", object_key(scanned_path(), root).alias("key"))
+        )
+
+    spanning = [p for p in layout.paths if (p in layout.quoted if multiline is None else multiline)]
+    single = [p for p in layout.paths if p not in set(spanning)]
+    rows = reduce(
+        DataFrame.unionByName,
+        [scan(paths, across) for paths, across in ((single, False), (spanning, True)) if paths],
     )
-    cells = rows.select(
-        *[F.coalesce(F.col(n), F.lit("")).alias(n) for n in names],
-        object_key(scanned_path(), root).alias("key"),
+    # A record of another length than the header comes with its text.
+    unquoted = F.regexp_replace(whole, '"([^"]|"")*"', "")
+    cells = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","))) + 1
+    surplus = F.when(cells > len(names), tx.trim(F.col(whole)))
+    return rows.select(
+        *[F.coalesce(F.col(n), F.lit("")).alias(n) for n in names], "key", surplus.alias("surplus")
     )
-    # A file with quoted line breaks is one task; a few big ones are spread
-    # before the cleaning starts.
-    return session.spread(cells, *cells.columns)

@@ -30,6 +30,12 @@ def run(
     return query
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gave the stream: a new checkpoint is a new stream, whose
+    batches start at 0 again and must not pass for another's."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first().id
+
+
 def intake(
     spark: SparkSession, paths: pipeline.Paths, max_files: int = 1000, once: bool = True, **options
 ) -> StreamingQuery:
@@ -50,22 +56,22 @@ def upsert(
     us_dates: bool = False,
     keep_enrichment: bool = False,
 ) -> StreamingQuery:
-    """New bronze files -> silver. Only files not merged before are read; a late
-    or corrected version wins by its ingest time, however late it comes."""
+    """New bronze files -> silver. Only files not merged before are read; the
+    version with the newest ingest time wins, in whatever order they come."""
+    checkpoint = f"{paths.checkpoints}/upsert"
 
     def handle(bronze: DataFrame, batch_id: int) -> None:
         session = bronze.sparkSession
         rows = merge.bronze_to_silver(bronze, us_dates)
-        merge.merge_into_silver(
-            session, rows, paths.silver, f"upsert-{batch_id}", keep_enrichment
-        )
+        batch = f"upsert-{stream_id(session, checkpoint)}-{batch_id}"
+        merge.merge_into_silver(session, rows, paths.silver, batch, keep_enrichment)
 
     stream = (
         spark.readStream.schema(schemas.BRONZE)
         .option("maxFilesPerTrigger", max_files)
         .parquet(tables.zone_path(paths.lake, "reef"))
     )
-    return run(stream, handle, f"{paths.checkpoints}/upsert", once)
+    return run(stream, handle, checkpoint, once)
 
 
 def serve(

@@ -35,18 +35,18 @@ def _by(rows, key):
 
 def test_dimensions(spark, paths):
     cities = _by(spark.read.parquet(paths.cities).collect(), "city_slug")
-    assert set(cities) == {"CO-denver", "TN-nashville-davidson", "TX-austin", "GA-atlanta"}
-    assert cities["TX-austin"].copies == 2 and cities["TX-austin"].place_type == "City"
-    assert cities["GA-atlanta"].area.water_sqm is None
+    assert set(cities) == {"OR-ridgemont", "KY-larkspur-dover", "NM-sandpoint", "ME-coldwater"}
+    assert cities["NM-sandpoint"].copies == 2 and cities["NM-sandpoint"].place_type == "City"
+    assert cities["ME-coldwater"].area.water_sqm is None
     firms = _by(spark.read.parquet(paths.companies).collect(), "slug")
-    alphabet = firms["alphabet-inc"]
-    assert (alphabet.sector, alphabet.market_cap) == ("Technology", "1800")
-    assert alphabet.primary_ticker == "GOOGL" and set(alphabet.tickers) == {"GOOG", "GOOGL"}
-    assert firms["target-corporation"].ipo_year is None
+    nimbus = firms["nimbus-inc"]
+    assert (nimbus.sector, nimbus.market_cap) == ("Technology", "1800")
+    assert nimbus.primary_ticker == "NMBSA" and set(nimbus.tickers) == {"NMBS", "NMBSA"}
+    assert firms["marlow-corporation"].ipo_year is None
     index = dimensions.read_aliases(spark, paths.aliases)
-    assert dimensions.find_alias(index, "amazon").first().target == "SLUG#amazon-com-inc"
-    assert dimensions.find_alias(index, "TN-nashville").first().target == "CITY#TN-nashville-davidson"
-    assert dimensions.find_alias(index, "tennessee").first().target == "STATE#TN"
+    assert dimensions.find_alias(index, "halyard").first().target == "SLUG#halyard-com-inc"
+    assert dimensions.find_alias(index, "KY-larkspur").first().target == "CITY#KY-larkspur-dover"
+    assert dimensions.find_alias(index, "kentucky").first().target == "STATE#KY"
 
 
 def test_listing_and_layouts(spark, paths):
@@ -68,35 +68,35 @@ def test_bronze_and_quarantine(spark, paths):
     assert len(good) + len(held) == 5 + 2 + 1 + 1
     titles = _by(good, "event_title")
     assert set(titles) == {
-        "Incident at Test Company Inc in DENVER, CO", "Incident at Walmart #1234 in NASHVILLE, TN",
-        "Incident at ABC Manufacturing LLC in AUSTIN, TX", "Incident at Local Shop Co in DENVER, CO",
-        "2025 AMAZON Annual Safety Report", "2025 TARGET Annual Safety Report",
-        "2004 Unknown Company Annual Safety Report", "Incident at Acme - 9 in AUSTIN, TX",
+        "Incident at Bluefern Mills LLC in RIDGEMONT, OR", "Incident at Kestrel Foods #771 in LARKSPUR, KY",
+        "Incident at Quarry Nine Co in SANDPOINT, NM", "Incident at Bluefern Outlet in RIDGEMONT, OR",
+        "2023 HALYARD Annual Safety Report", "2023 MARLOW Annual Safety Report",
+        "2003 Unknown Company Annual Safety Report", "Incident at Pinyon - 9 in SANDPOINT, NM",
     }
-    walmart = titles["Incident at Walmart #1234 in NASHVILLE, TN"]
-    assert (walmart.city_slug, walmart.company_slug, walmart.site_id) == (
-        "TN-nashville", "walmart-inc", "1234",
+    kestrel = titles["Incident at Kestrel Foods #771 in LARKSPUR, KY"]
+    assert (kestrel.city_slug, kestrel.company_slug, kestrel.site_id) == (
+        "KY-larkspur", "kestrel-foods", "771",
     )
-    assert walmart.partition_source == "OSHA" and walmart.partition_year == "2025"
-    assert walmart.ingested_at == "2025-06-01T00:00:00.000Z"
-    assert list(json.loads(walmart.raw_data)) == [
+    assert kestrel.partition_source == "OSHA" and kestrel.partition_year == "2025"
+    assert kestrel.ingested_at == "2025-06-01T00:00:00.000Z"
+    assert list(json.loads(kestrel.raw_data)) == [
         "ID", "EventDate", "Employer", "City", "State", "Nature", "Hospitalized", "Amputation",
         "Final Narrative",
     ]
-    details = json.loads(walmart.event_details)
-    assert details["company_name"] == "Walmart #1234" and details["bedrock_verified"] is False
-    assert details["violation_code"] == "Amputations" and "state" not in details
+    details = json.loads(kestrel.event_details)
+    assert details["company_name"] == "Kestrel Foods #771" and details["bedrock_verified"] is False
+    assert details["violation_code"] == "Cuts" and "state" not in details
     # A line break inside quotes stays inside its row.
-    assert "\n" in titles["Incident at ABC Manufacturing LLC in AUSTIN, TX"].event_description
+    assert "\n" in titles["Incident at Quarry Nine Co in SANDPOINT, NM"].event_description
     # An empty first alias beats a filled second one.
-    old = titles["2004 Unknown Company Annual Safety Report"]
+    old = titles["2003 Unknown Company Annual Safety Report"]
     assert old.company_name is None and old.company_slug is None
-    assert titles["2025 AMAZON Annual Safety Report"].company_slug == "amazon-com-inc"
-    assert titles["2025 TARGET Annual Safety Report"].company_slug == "target-corporation"
-    acme = titles["Incident at Acme - 9 in AUSTIN, TX"]
-    assert (acme.event_source, acme.site_id) == ("FDA", "9")
-    assert acme.source_url == "estuary/fda/recalls/a file.csv"
-    assert held[0].quarantine_reason == "Unknown City: PHOENIX (AZ-phoenix)"
+    assert titles["2023 HALYARD Annual Safety Report"].company_slug == "halyard-com-inc"
+    assert titles["2023 MARLOW Annual Safety Report"].company_slug == "marlow-corporation"
+    pinyon = titles["Incident at Pinyon - 9 in SANDPOINT, NM"]
+    assert (pinyon.event_source, pinyon.site_id) == ("FDA", "9")
+    assert pinyon.source_url == "estuary/fda/recalls/a file.csv"
+    assert held[0].quarantine_reason == "Unknown City: WINDMERE (KS-windmere)"
     rows, total = tables.peek_quarantine(spark, paths.lake)
     assert total == 1 and rows.count() == 1
     assert tables.peek_bronze(spark, paths.lake).count() == 3
@@ -106,8 +106,8 @@ def test_bronze_and_quarantine(spark, paths):
 def test_silver_dates_and_idempotence(spark, paths):
     silver = merge.read_silver(spark, paths.silver)
     dates = {r.event_title: r.event_date for r in silver.collect()}
-    assert dates["Incident at Test Company Inc in DENVER, CO"] is None
-    assert str(dates["2025 AMAZON Annual Safety Report"]) == "2025-01-01 00:00:00"
+    assert dates["Incident at Bluefern Mills LLC in RIDGEMONT, OR"] is None
+    assert str(dates["2023 HALYARD Annual Safety Report"]) == "2023-01-01 00:00:00"
     before = sorted(map(str, silver.collect()))
     pipeline.run_merge(spark, paths)
     assert sorted(map(str, merge.read_silver(spark, paths.silver).collect())) == before
@@ -120,19 +120,19 @@ def test_gold_and_documents(spark, paths):
     assert nation.total_events == 8 and nation.total_states == 4
     states = tables.read_gold(spark, paths.gold, "state").collect()
     assert sum(s.total_events for s in states) == 8
-    city = _by(tables.read_gold(spark, paths.gold, "city").collect(), "city_slug")["TX-austin"]
-    assert city.state == "TX" and set(city.recentByEventSource) == {"OSHA", "FDA"}
+    city = _by(tables.read_gold(spark, paths.gold, "city").collect(), "city_slug")["NM-sandpoint"]
+    assert city.state == "NM" and set(city.recentByEventSource) == {"OSHA", "FDA"}
     docs = spark.read.parquet(paths.documents)
     assert docs.groupBy("PK", "SK").count().where("count > 1").isEmpty()
-    state = json.loads(tables.find_document(docs, "STATE#TX").first().document)
-    assert state["name"] == "Texas" and state["stats"]["totalEvents"] == 4
-    assert state["directory"][0] == {"slug": "TX-austin", "name": "Austin", "count": 4}
+    state = json.loads(tables.find_document(docs, "STATE#NM").first().document)
+    assert state["name"] == "New Mexico" and state["stats"]["totalEvents"] == 4
+    assert state["directory"][0] == {"slug": "NM-sandpoint", "name": "Sandpoint", "count": 4}
     assert set(state["recentByAgency"]) == {"OSHA", "FDA"}
     assert state["updatedAt"] == "2026-01-01T00:00:00.000Z"
-    firm = json.loads(tables.find_document(docs, "COMPANY#walmart-inc").first().document)
-    assert firm["sites"][0]["slug"] == "1234" and firm["recentEvents"][0]["agency"] == "OSHA"
-    site = json.loads(tables.find_document(docs, "SITE#walmart-inc_1234").first().document)
-    assert site["name"] == "Walmart #1234 #1234"
+    firm = json.loads(tables.find_document(docs, "COMPANY#kestrel-foods").first().document)
+    assert firm["sites"][0]["slug"] == "771" and firm["recentEvents"][0]["agency"] == "OSHA"
+    site = json.loads(tables.find_document(docs, "SITE#kestrel-foods_771").first().document)
+    assert site["name"] == "Kestrel Foods #771 #771"
 
 
 def test_sitemaps(spark, paths):
@@ -154,9 +154,9 @@ def test_recovery(spark, paths):
     _, city_keys = pipeline.lookups(spark, paths)
     held = tables.read_quarantine(spark, paths.lake)
     event = held.first().event_id
-    fixes = spark.createDataFrame([(event, "AUSTIN", "TX")], "event_id string, city string, state string")
+    fixes = spark.createDataFrame([(event, "SANDPOINT", "NM"), (event, "SANDPOINT", "NM")], "event_id string, city string, state string")
     checked = quarantine.recover(held, fixes, city_keys)
-    assert checked.first().quarantine_reason is None and checked.first().city_slug == "TX-austin"
+    assert checked.first().quarantine_reason is None and checked.first().city_slug == "NM-sandpoint"
     assert quarantine.recovered(checked).count() == 1
     groups = quarantine.top_groups(held).collect()
     assert groups[0]["count"] == 1 and groups[0].file_key
@@ -196,19 +196,19 @@ def test_recovery_and_backfill_reach_silver(spark, tmp_path):
     held = tables.read_quarantine(spark, built.lake)
     event = held.first().event_id
     fixes = spark.createDataFrame(
-        [(event, "DENVER", "CO"), ("no such event", "AUSTIN", "TX")],
+        [(event, "RIDGEMONT", "OR"), ("no such event", "SANDPOINT", "NM")],
         "event_id string, city string, state string",
     )
     assert pipeline.run_recovery(spark, built, fixes).count() == 0
     old = tmp_path / "lake" / "landing" / "Historical/OSHA/severe-incident/old.csv"
     old.parent.mkdir(parents=True)
-    old.write_text(lake.INCIDENTS.replace("Local Shop Co", "Old Shop"))
+    old.write_text(lake.INCIDENTS.replace("Bluefern Outlet", "Old Shop"))
     assert pipeline.run_backfill(spark, built, ingested_at=stamp)
     pipeline.run_merge(spark, built)
     silver = merge.read_silver(spark, built.silver)
     # Eight valid rows, the recovered one, and the one historical row that is new.
     assert silver.count() == 10
-    assert silver.where(F.col("event_id") == event).first().city_slug == "CO-denver"
+    assert silver.where(F.col("event_id") == event).first().city_slug == "OR-ridgemont"
     assert silver.where("company_name = 'Old Shop'").first().source_url.startswith("Historical/")
 
 
@@ -230,3 +230,141 @@ def test_catalog_tables(spark, paths, tmp_path):
     assert tables.read_bronze(spark, paths.lake).count() == 8
     tables.create_silver_table(spark, f"file:{tmp_path}/deep", "silver_check")
     assert spark.table("silver_check.events").columns[-2:] == ["event_source", "event_year"]
+
+
+def _event(event_id, day, title, source="OSHA", stamp="2024-06-01"):
+    return (event_id, source, stamp, day, title)
+
+
+def _silver_rows(spark, *events):
+    rows = spark.createDataFrame(list(events), "event_id string, event_source string, stamp string, day string, event_title string")
+    own = {
+        "ingested_at": F.col("stamp").cast("timestamp"), "event_date": F.col("day").cast("timestamp"),
+        "event_id": F.col("event_id"), "event_source": F.col("event_source"), "event_title": F.col("event_title"),
+    }
+    return rows.select(*[own.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in merge.schemas.SILVER.fields])
+
+
+def test_newest_ingest_wins_in_any_order(spark, tmp_path):
+    new = _event("a", "2024-01-01", "new", stamp="2024-06-02")
+    old = _event("a", "2023-01-01", "old", stamp="2024-06-01")
+    for name, order in (("up", (old, new)), ("down", (new, old))):
+        table = f"file:{tmp_path}/{name}"
+        for row in order:
+            merge.merge_into_silver(spark, _silver_rows(spark, row), table)
+        assert [r.event_title for r in merge.read_silver(spark, table).collect()] == ["new"]
+    tied = [_event("a", "2024-01-01", t) for t in ("x", "y")]
+    ends = set()
+    for k, order in enumerate((tied, tied[::-1])):
+        table = f"file:{tmp_path}/tie{k}"
+        for row in order:
+            merge.merge_into_silver(spark, _silver_rows(spark, row), table)
+        ends.add(merge.read_silver(spark, table).first().event_title)
+    assert len(ends) == 1
+
+
+def test_batches_sources_and_repeated_ids(spark, tmp_path):
+    table = f"file:{tmp_path}/silver"
+    assert merge.merge_into_silver(spark, _silver_rows(spark, _event("a", None, "no source", None)), table, "one-0") == 1
+    assert merge.merge_into_silver(spark, _silver_rows(spark, _event("b", "2024-01-01", "t")), table, "one-0") is None
+    assert merge.merge_into_silver(spark, _silver_rows(spark, _event("b", "2024-01-01", "t")), table, "two-0") == 2
+    assert {r.event_id for r in merge.read_silver(spark, table).collect()} == {"a", "b"}
+    assert {r.event_id for r in merge.read_silver(spark, table, 1).collect()} == {"a"}
+    with pytest.raises(ValueError):
+        merge.merge_into_silver(spark, _silver_rows(spark, *[_event("c", None, "t")] * 2), table)
+
+
+def test_new_checkpoint_is_a_new_stream(spark, paths, tmp_path):
+    built = lake.build(spark, tmp_path)
+    intake.intake(spark, built, ingested_at=lake.stamp("2025-06-01 00:00:00"))
+    intake.upsert(spark, built)
+    count = merge.read_silver(spark, built.silver).count()
+    (tmp_path / "lake" / "landing" / "estuary/fda/recalls/more.csv").write_text("Company_Name,CITY,State\nNew One,Sandpoint,NM\n")
+    (tmp_path / "lake" / "checkpoints").rename(tmp_path / "earlier")
+    intake.intake(spark, built, ingested_at=lake.stamp("2025-06-02 00:00:00"))
+    intake.upsert(spark, built)
+    assert merge.read_silver(spark, built.silver).count() == count + 1
+
+
+def test_ingest_takes_a_file_in_once(spark, tmp_path):
+    built = lake.build(spark, tmp_path)
+    assert pipeline.run_ingest(spark, built) == 4
+    rows = tables.read_bronze(spark, built.lake).count()
+    assert pipeline.run_ingest(spark, built) == 0
+    assert tables.read_bronze(spark, built.lake).count() == rows
+
+
+def test_aliases_of_earlier_loads_stay(spark, tmp_path):
+    built = lake.build(spark, tmp_path)
+    before = {tuple(r) for r in dimensions.read_aliases(spark, built.aliases).collect()}
+    pipeline.build_dimensions(spark, built, curated=[("Osprey Works", "osprey", []), ("Kestrel", "kestrel-foods", ["kestrel foods"])])
+    after = {tuple(r) for r in dimensions.read_aliases(spark, built.aliases).collect()}
+    assert after - before == {("osprey works", "COMPANY#osprey")}
+    assert before - after == {("kestrel foods inc", "COMPANY#kestrel-foods")}
+    assert spark.read.parquet(built.states).count() > 49
+
+
+def _landing(spark, root, **files):
+    for name, text in files.items():
+        path = root / "landing" / "estuary" / "fda" / "recalls" / f"{name}.csv"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(text)
+    return landing.list_landing(spark, f"file:{root}/landing")
+
+
+def test_long_rows_keep_their_cells(spark, tmp_path):
+    files = _landing(spark, tmp_path, wide='id,City\n1,Austin,EXTRA1\n1,Austin,EXTRA2\n2\n3,"a,b"\n4,"a\nb",more\n')
+    (layout,) = landing.layouts(files)
+    assert layout.quoted == frozenset(layout.paths)
+    rows = landing.read_rows(spark, layout, f"file:{tmp_path}/landing").orderBy("c0", "surplus").collect()
+    assert [(r.c0, r.c1, r.surplus) for r in rows] == [
+        ("1", "Austin", "1,Austin,EXTRA1"), ("1", "Austin", "1,Austin,EXTRA2"), ("2", "", None), ("3", "a,b", None),
+        ("4", "a\nb", '4,"a\nb",more'),
+    ]
+
+
+def test_headers_of_any_length_and_place(spark, tmp_path):
+    names = [f"column number {k} with a long name" for k in range(40_000)]
+    files = _landing(
+        spark, tmp_path, long=",".join(names) + "\n", late="\n" * (1 << 20) + "\ufeffid,City\n7,Waco\n", broken='id,"two\nlines"\n8,x\n',
+    )
+    found = {len(x.header): x for x in landing.layouts(files)}
+    assert list(found[40_000].header) == names
+    headers = {x.header for x in found.values()} | {x.header for x in landing.layouts(files)}
+    assert ("id", "City") in headers and ("id", "two\nlines") in headers
+    late = next(x for x in landing.layouts(files) if x.header == ("id", "City"))
+    assert [(r.c0, r.c1) for r in landing.read_rows(spark, late, f"file:{tmp_path}/landing").collect()] == [("7", "Waco")]
+
+
+def test_files_without_a_header_are_named(spark, tmp_path):
+    files = _landing(spark, tmp_path, blank="\n\n  \n", fine="id\n1\n")
+    with pytest.raises(landing.UnreadableFiles) as caught:
+        landing.layouts(files)
+    assert [p.rsplit("/", 1)[1] for p in caught.value.paths] == ["blank.csv"]
+    assert len(landing.layouts(files, on_unreadable="skip")) == 1
+    assert len(landing.unreadable(files)) == 1
+
+
+def test_one_reply_and_digits_only(spark):
+    from casebook.functions import events
+    from casebook.operators import narrative
+
+    rows = spark.createDataFrame([("a", None, None, False)], "event_id string, bedrock_event_title string, bedrock_event_description string, bedrock_verified boolean")
+    replies = spark.createDataFrame([("a", "t2", "e", True), ("a", "t1", "e", True), ("a", "t0", "e", False)], "event_id string, title string, explanation string, is_valid boolean")
+    assert [r.bedrock_event_title for r in narrative.enrich(rows, replies).collect()] == ["t1"]
+    cells = spark.createDataFrame([("NaN", "1"), ("Infinity", " 2.5 "), ("-1e2", "x"), (None, "")], "a string, b string")
+    assert [r.s for r in cells.select(events.number_sum(F.col("a"), F.col("b")).alias("s")).collect()] == [1.0, 2.5, -100.0, 0.0]
+
+
+def test_every_site_is_in_some_document(spark, tmp_path):
+    from casebook.operators import documents, sites
+
+    rows = spark.range(100).select(
+        F.lit("firm").alias("company_slug"), F.col("id").cast("string").alias("site_id"), F.col("id").alias("count"),
+        F.lit("X").alias("city"), F.lit("NM").alias("state"),
+    )
+    pages = sites.site_pages(rows)
+    assert [len(r.sites) for r in pages.orderBy("page").collect()] == [30, 30, 30, 10]
+    assert pages.select(F.explode("sites.slug").alias("s")).distinct().count() == 100
+    docs = documents.site_page_documents(pages, F.lit("now"))
+    assert sorted(r.SK for r in docs.collect()) == [f"SITES#{k:08d}" for k in (2, 3, 4)]
