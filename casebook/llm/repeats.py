@@ -13,8 +13,6 @@ passage that a third of all documents share reaches its group once a chunk.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -29,7 +27,7 @@ WIDTH = 13
 PREFIXES, BITS = (1, 2, 4), (12, 16, 16)
 #: Leaves of a group, bytes of text in a chunk, and bits of a path digest: a group's
 #: size bounds the chance that two windows in it are confused, 2^21 in 2^56.
-GROUP, CHUNK, DIGEST_BITS = 1 << 21, 1 << 23, 56
+GROUP, CHUNK, DIGEST_BITS = 1 << 21, 1 << 22, 56
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 _N = np.uint64(0xBF58476D1CE4E5B9)
@@ -143,13 +141,21 @@ def _unpacked(blob: bytes, columns: int) -> list[np.ndarray]:
     return out
 
 
-def _positions(docs: np.ndarray, places: np.ndarray):
-    """(doc, places as int32 bytes) for each distinct doc."""
-    order = np.lexsort((places, docs))
-    docs, places = docs[order], places[order].astype(np.int32)
-    edges = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]]) if len(docs) else np.zeros(0, np.int64)
-    for a, b in zip(edges, np.append(edges[1:], len(docs))):
-        yield int(docs[a]), places[a:b].tobytes()
+def _by_bucket(docs: np.ndarray, places: np.ndarray, buckets: int):
+    """(bucket, packed documents and places) for each bucket of documents."""
+    bucket = np.mod(docs, buckets)
+    order = np.lexsort((places, docs, bucket))
+    bucket, docs, places = bucket[order], docs[order], places[order]
+    edges = np.flatnonzero(np.diff(bucket, prepend=-1))
+    for a, b in zip(edges, np.append(edges[1:], len(bucket))):
+        yield int(bucket[a]), _packed(docs[a:b].view(np.uint64), places[a:b])
+
+
+def _prime_from(n: int) -> int:
+    """The smallest prime from n on: ids with a common step still spread over it."""
+    while any(n % k == 0 for k in range(2, int(n**0.5) + 1)):
+        n += 1
+    return n
 
 
 def prefix_counts(rows: DataFrame, width: int) -> list[np.ndarray]:
@@ -174,15 +180,19 @@ def prefix_counts(rows: DataFrame, width: int) -> list[np.ndarray]:
     return counts
 
 
-def repeated_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(doc_id, places): for each document, first places of windows that a smaller id has too.
+def repeated_windows(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, int]:
+    """(bucket, blob) rows and the number of buckets: repeats by bucket of documents.
 
-    doc_id is an integer; documents with a null id are left out here. places are 32-bit
-    integers in a binary, each distinct window of a document once.
+    A blob packs documents and the first places of windows in them that a smaller id has
+    too, each distinct window of a document once. A document's bucket is its id modulo
+    the number of buckets, which grows with the number of windows so that a bucket's
+    repeats fit in memory. doc_id is an integer; null ids are left out.
     """
     common.python_ready(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
-    shared = docs.sparkSession.sparkContext.broadcast(Partition(prefix_counts(rows, width)))
+    counts = prefix_counts(rows, width)
+    buckets = _prime_from(8 + 8 * int(counts[0].sum()) // GROUP)
+    shared = docs.sparkSession.sparkContext.broadcast(Partition(counts))
 
     def leaves(batches):
         """A chunk's leaves by group, and the repeats that lie within the chunk."""
@@ -208,27 +218,31 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             edges = np.flatnonzero(np.r_[True, group[keys][1:] != group[keys][:-1]])
             out = [(int(group[keys[a]]), None, _packed(digest[k := keys[a:b]], ids[owner[k]].view(np.uint64), place[k]))
                    for a, b in zip(edges, np.append(edges[1:], len(keys)))]
-            out += [(-1, doc, blob) for doc, blob in _positions(ids[owner[here]], place[here])]
+            out += [(-1, k, blob) for k, blob in _by_bucket(ids[owner[here]], place[here], buckets)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.binary()))],
-                ["grp", "doc_id", "blob"],
+                [pa.array(x, t) for x, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.binary()))],
+                ["grp", "bucket", "blob"],
             )
 
     def trees(batches):
         """Nodes of whole groups: leaves in documents beyond a node's smallest are repeats."""
         held, at = [], None
         for batch in batches:
-            for group, doc, blob in zip(*(batch.column(c).to_pylist() for c in ("grp", "doc_id", "blob"))):
+            for group, bucket, blob in zip(*(batch.column(c).to_pylist() for c in ("grp", "bucket", "blob"))):
                 if group < 0:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([doc], pa.int64()), pa.array([blob], pa.binary())], ["doc_id", "places"]
-                    )
+                    yield made([(bucket, blob)])
                     continue
                 if group != at:
-                    yield from nodes(held)
+                    yield made(nodes(held))
                     held, at = [], group
                 held.append(_unpacked(blob, 3))
-        yield from nodes(held)
+        yield made(nodes(held))
+
+    def made(found):
+        found = list(found)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([k for k, _ in found], pa.int32()), pa.array([b for _, b in found], pa.binary())], ["bucket", "blob"]
+        )
 
     def nodes(held):
         if len(held) < 2:
@@ -239,17 +253,12 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         digest, doc, place = digest[order], doc[order], place[order]
         new = np.r_[True, digest[1:] != digest[:-1]]
         repeat = doc > doc[new][np.cumsum(new) - 1]
-        found = list(_positions(doc[repeat], place[repeat]))
-        if found:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([d for d, _ in found], pa.int64()), pa.array([b for _, b in found], pa.binary())],
-                ["doc_id", "places"],
-            )
+        yield from _by_bucket(doc[repeat], place[repeat], buckets)
 
-    dealt = rows.mapInArrow(leaves, "grp int, doc_id long, blob binary")
-    # Repeats found within a chunk need no group: they are spread by their document.
-    dealt = dealt.repartition("grp", F.when(F.col("grp") < 0, F.col("doc_id"))).sortWithinPartitions("grp")
-    return dealt.mapInArrow(trees, "doc_id long, places binary")
+    dealt = rows.mapInArrow(leaves, "grp int, bucket int, blob binary")
+    # Repeats found within a chunk need no group: they are spread by their bucket.
+    dealt = dealt.repartition("grp", F.when(F.col("grp") < 0, F.col("bucket"))).sortWithinPartitions("grp")
+    return dealt.mapInArrow(trees, "bucket int, blob binary"), buckets
 
 
 def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -260,49 +269,65 @@ def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     have no words; texts shorter than a window keep all; documents with one id never
     repeat one another; rows with a null id keep all. Other columns are not read.
     """
-    found = common.stored(repeated_windows(docs, width), "repeats")
-    # Bounded by the document: each of its windows comes once from its chunk or its group.
-    merged = found.groupBy("doc_id").agg(F.collect_list("places").alias("places"))
-    rows = docs.select("doc_id", "text").join(merged, "doc_id", "left")
+    found, buckets = repeated_windows(docs, width)
+    found = common.stored(found, "repeats")
     kind = docs.schema["doc_id"].dataType.simpleString()
+    own = F.pmod(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")), F.lit(buckets)).cast("int")
+    texts = docs.select(own.alias("bucket"), F.lit(1).alias("kind"), "doc_id", "text", F.lit(None).cast("binary").alias("blob"))
+    repeats = found.select(
+        "bucket", F.lit(0).alias("kind"), F.lit(None).cast(kind).alias("doc_id"), F.lit(None).cast("string").alias("text"), "blob"
+    )
+    # A bucket's repeats come before its texts, which then pass one by one.
+    dealt = texts.unionByName(repeats).repartition("bucket").sortWithinPartitions("bucket", "kind")
 
     def run(batches):
+        at, blobs, docs, places = None, [], np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
-            texts = batch.column("text").cast(pa.large_binary()).fill_null(b"")
-            places = batch.column("places").to_pylist()
-            counts, removed, kept = [], [], []
-            for text, blobs in zip(texts, places):
-                text = text.as_py()
-                if not blobs:
-                    words = text.split()
-                    counts.append(len(words))
-                    removed.append(0)
-                    kept.append(b" ".join(words))
+            out = []
+            rows = zip(
+                *(batch.column(c).to_pylist() for c in ("bucket", "kind", "doc_id", "blob")),
+                batch.column("text").cast(pa.large_binary()).fill_null(b""),
+            )
+            for bucket, is_text, doc, blob, text in rows:
+                if bucket != at:
+                    at, blobs, docs, places = bucket, [], np.zeros(0, np.int64), np.zeros(0, np.int64)
+                if not is_text:
+                    blobs.append(_unpacked(blob, 2))
                     continue
-                chunk = Chunk([text], width)
-                at = np.unique(np.concatenate([np.frombuffer(b, np.int32) for b in blobs]))
-                digest = chunk.digests(width)
-                at = at[at < len(digest)]
-                # A window found once in a document goes wherever the document has it.
-                start = np.flatnonzero(np.isin(digest, digest[at]))
-                cover = np.zeros(len(chunk.hashes) + 1, np.int64)
-                cover[start] += 1
-                np.add.at(cover, start + width, -1)
-                stays = np.cumsum(cover)[:-1] == 0
-                words = chunk.words[0]
-                counts.append(len(words))
-                removed.append(int(len(words) - stays.sum()))
-                kept.append(b" ".join(w for w, s in zip(words, stays.tolist()) if s))
+                if blobs:
+                    docs, places = (np.concatenate(x).view(np.int64) for x in zip(*blobs))
+                    order = np.argsort(docs, kind="stable")
+                    docs, places, blobs = docs[order], places[order], []
+                first, last = np.searchsorted(docs, [doc, doc + 1]) if doc is not None else (0, 0)
+                out.append((doc, *_kept(text.as_py(), np.unique(places[first:last]), width)))
+            columns = list(zip(*out)) if out else [[]] * 4
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()),
-                    pa.array(kept, pa.binary()).cast(pa.string()),
+                    pa.array(columns[0], batch.schema.field("doc_id").type), pa.array(columns[1], pa.int64()),
+                    pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.binary()).cast(pa.string()),
                 ],
                 ["doc_id", "n_words", "n_removed", "kept"],
             )
 
-    common.python_ready(docs.sparkSession)
-    return rows.mapInArrow(run, f"doc_id {kind}, n_words long, n_removed long, kept string")
+    return dealt.mapInArrow(run, f"doc_id {kind}, n_words long, n_removed long, kept string")
+
+
+def _kept(text: bytes, places: np.ndarray, width: int) -> tuple[int, int, bytes]:
+    """Words, words that go, and the text of those that stay."""
+    words = text.split()
+    if not len(places):
+        return len(words), 0, b" ".join(words)
+    chunk = Chunk([text], width)
+    digest = chunk.digests(width)
+    places = places[places < len(digest)]
+    # A window found once in a document goes wherever the document has it.
+    start = np.flatnonzero(np.isin(digest, digest[places]))
+    cover = np.zeros(len(words) + 1, np.int64)
+    cover[start] += 1
+    np.add.at(cover, start + width, -1)
+    stays = np.cumsum(cover)[:-1] == 0
+    kept = b" ".join(w for w, s in zip(words, stays.tolist()) if s)
+    return len(words), int(len(words) - stays.sum()), kept
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
