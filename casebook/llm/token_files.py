@@ -27,8 +27,8 @@ from casebook.llm import common
 from casebook.session import scratch_path
 
 END_ID = 2
-#: Bytes of text in a block, words kept encoded in a worker.
-BLOCK, KEPT = 1 << 22, 250_000
+#: Bytes of text in a block, words kept encoded in a worker, words encoded at a time.
+BLOCK, KEPT, SLICE = 1 << 21, 200_000, 4096
 FIELDS = (
     "shard int, before long, n_ids long, doc_ids array<long>, lengths array<long>, "
     "table binary, control binary, data binary"
@@ -64,8 +64,12 @@ class Encoder:
         seen = Counter(chain.from_iterable(words))
         known = self.known
         new = [w for w in seen if w not in known]
-        coded = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-        found = {w: e.ids for w, e in zip(new, coded)}
+        found = {}
+        # The library's results are large: a slice at a time, and only the ids stay.
+        for at in range(0, len(new), SLICE):
+            part = new[at : at + SLICE]
+            coded = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
+            found.update(zip(part, (e.ids for e in coded)))
         # Words met once are rarely met again: only the others are kept, while there is room.
         if len(known) < KEPT:
             known.update((w, ids) for w, ids in found.items() if seen[w] > 1)
