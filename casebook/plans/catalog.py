@@ -5,6 +5,7 @@ from casebook.plans import (  # noqa: F401
     queries_functions,
     queries_history,
     queries_insights,
+    queries_lake,
     queries_rollup,
     queries_serving,
 )

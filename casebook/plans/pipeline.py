@@ -110,7 +110,7 @@ def build_dimensions(
         given = dimensions.curated_companies(spark, curated)
         earlier = dimensions.stored(spark, paths.curated)
         if earlier is not None:
-            kept = earlier.join(given.select("slug"), "slug", "left_anti").collect()
+            kept = earlier.join(given.select("slug"), "slug", "left_anti").select(given.columns).collect()
             # Hand-kept, hence few; collected, as their own folder is written anew.
             given = given.unionByName(spark.createDataFrame(kept, given.schema))
         dimensions.write_dimension(given, paths.curated)

@@ -304,7 +304,7 @@ def company_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- City dimension ----------------------------------------------------------
 
-_GAZETTEER_SQL = """lines AS (SELECT c_custkey AS line, chr(65 + n_nationkey) || chr(65 + n_regionkey) AS usps,
+GAZETTEER_SQL = """lines AS (SELECT c_custkey AS line, chr(65 + n_nationkey) || chr(65 + n_regionkey) AS usps,
     CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment || '-Davidson' ELSE c_mktsegment || ' Grove' END AS name,
     CASE c_custkey % 3 WHEN 1 THEN 'Town' ELSE 'Metropolitan government' END AS kind, c_custkey,
     c_acctbal FROM customer JOIN nation ON c_nationkey = n_nationkey),
@@ -313,7 +313,7 @@ _GAZETTEER_SQL = """lines AS (SELECT c_custkey AS line, chr(65 + n_nationkey) ||
     count(*) OVER (PARTITION BY city_slug) AS copies FROM slugs) WHERE rn = 1)"""
 
 
-def _gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as gazetteer lines; the customer key is the line number."""
     rows = table(spark, sf_dir, "customer").join(
         table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
@@ -334,12 +334,12 @@ def _gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "city_dim_keep_first",
-    f"""WITH {_GAZETTEER_SQL} SELECT city_slug, kind AS place_type, name, usps AS state, c_custkey || '.5' AS lat,
+    f"""WITH {GAZETTEER_SQL} SELECT city_slug, kind AS place_type, name, usps AS state, c_custkey || '.5' AS lat,
       '-' || c_custkey AS lon, c_custkey::VARCHAR AS land_sqm, NULL::VARCHAR AS water_sqm,
       c_custkey::VARCHAR AS geoid, NULL::VARCHAR AS ansi, copies FROM first""",
 )
 def city_dim_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dim = dimensions.cities(_gazetteer(spark, sf_dir))
+    dim = dimensions.cities(gazetteer(spark, sf_dir))
     return dim.select(
         "city_slug", "place_type", "name", "state", "location.lat", "location.lon",
         "area.land_sqm", "area.water_sqm", "census.geoid", "census.ansi", "copies",
@@ -348,30 +348,30 @@ def city_dim_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "city_load_counts",
-    f"""WITH {_GAZETTEER_SQL} SELECT sum(copies)::BIGINT AS lines, 0::BIGINT AS skipped, count(*) AS imported,
+    f"""WITH {GAZETTEER_SQL} SELECT sum(copies)::BIGINT AS lines, 0::BIGINT AS skipped, count(*) AS imported,
       sum(copies - 1)::BIGINT AS collisions FROM first""",
 )
 def city_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dimensions.city_load_counts(_gazetteer(spark, sf_dir))
+    return dimensions.city_load_counts(gazetteer(spark, sf_dir))
 
 
-_CITY_ALIASES_SQL = """SELECT replace(lower(name), ' ', '_') || '-' || lower(usps) AS alias_key,
+CITY_ALIASES_SQL = """SELECT replace(lower(name), ' ', '_') || '-' || lower(usps) AS alias_key,
       'CITY#' || city_slug AS target FROM first
     UNION ALL SELECT usps || '-' || lower(string_split(name, '-')[1]), 'CITY#' || city_slug FROM first
       WHERE contains(name, '-')"""
 
 
-@query("city_aliases", f"WITH {_GAZETTEER_SQL} {_CITY_ALIASES_SQL}")
+@query("city_aliases", f"WITH {GAZETTEER_SQL} {CITY_ALIASES_SQL}")
 def city_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dimensions.city_aliases(dimensions.cities(_gazetteer(spark, sf_dir)))
+    return dimensions.city_aliases(dimensions.cities(gazetteer(spark, sf_dir)))
 
 
 @query(
     "city_keys",
-    f"WITH {_GAZETTEER_SQL} SELECT city_slug AS city_key FROM first UNION SELECT alias_key FROM ({_CITY_ALIASES_SQL})",
+    f"WITH {GAZETTEER_SQL} SELECT city_slug AS city_key FROM first UNION SELECT alias_key FROM ({CITY_ALIASES_SQL})",
 )
 def city_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dim = dimensions.cities(_gazetteer(spark, sf_dir))
+    dim = dimensions.cities(gazetteer(spark, sf_dir))
     return dimensions.city_lookup(dim, dimensions.city_aliases(dim))
 
 
@@ -394,8 +394,8 @@ def curated_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "alias_index",
-    f"""WITH {_ROWS_SQL}, {_GAZETTEER_SQL} SELECT DISTINCT * FROM ({_LISTED_ALIASES_SQL}
-      UNION ALL {_CITY_ALIASES_SQL} UNION ALL {_CURATED_SQL}
+    f"""WITH {_ROWS_SQL}, {GAZETTEER_SQL} SELECT DISTINCT * FROM ({_LISTED_ALIASES_SQL}
+      UNION ALL {CITY_ALIASES_SQL} UNION ALL {_CURATED_SQL}
       UNION ALL SELECT lower(n_name), 'STATE#' || chr(65 + n_nationkey) || chr(65 + n_regionkey) FROM nation)""",
 )
 def alias_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -404,7 +404,7 @@ def alias_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return dimensions.alias_index(
         dimensions.listed_company_aliases(dimensions.listed_companies(raw_listings(spark, sf_dir))),
-        dimensions.city_aliases(dimensions.cities(_gazetteer(spark, sf_dir))),
+        dimensions.city_aliases(dimensions.cities(gazetteer(spark, sf_dir))),
         dimensions.curated_aliases(_curated(spark, sf_dir)),
         dimensions.state_aliases(nations),
     )

@@ -283,7 +283,7 @@ def enriched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Streaming ---------------------------------------------------------------
 
 
-def _event_rows(rows: DataFrame) -> DataFrame:
+def event_rows(rows: DataFrame) -> DataFrame:
     """The events table as bronze rows: a user and a day name one event."""
     user, day = F.col("user_id").cast("string"), F.date_format("ts", "yyyy-MM-dd")
     own = {
@@ -315,7 +315,7 @@ def stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def upsert(rows: DataFrame, batch_id: int) -> None:
         merge.merge_into_silver(
-            rows.sparkSession, merge.bronze_to_silver(_event_rows(rows)), f"{root}/silver",
+            rows.sparkSession, merge.bronze_to_silver(event_rows(rows)), f"{root}/silver",
             f"upsert-{batch_id}",
         )
 
