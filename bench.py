@@ -19,6 +19,7 @@ HEADLINE = (
     "ingest_events", "resolve_company", "company_fold", "clean_city", "event_id_hash",
     "top_companies_by_state", "recent20_by_state", "trend_12m", "safety_score",
     "sitemap_chunks", "prompt_requests", "stream_equals_batch",
+    "landing_csv_ingest", "upsert_out_of_order", "gold_round_trip",
 )
 
 

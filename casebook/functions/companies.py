@@ -24,7 +24,7 @@ def without_site_number(company: Column) -> Column:
 def alias_key(company: Column) -> Column:
     """Simplified key of an incoming company name."""
     letters = F.regexp_replace(F.lower(company), "[#0-9]", "")
-    kept = F.regexp_replace(letters, rf"(?i)\b({'|'.join(vocab.COMPANY_NOISE)})\b", "")
+    kept = F.regexp_replace(letters, tx.ascii_words(rf"(?i)\b({'|'.join(vocab.COMPANY_NOISE)})\b"), "")
     return tx.trim(tx.squeeze(F.replace(kept, F.lit("-"), F.lit(" "))))
 
 
@@ -50,6 +50,6 @@ def share_type(security: Column) -> Column:
 
 def listed_alias(name: Column) -> Column:
     """Words of a listed company's name, spaces still in."""
-    lowered = F.regexp_replace(F.lower(name), r"\.com\b", "")
-    bare = F.regexp_replace(lowered, rf"(?i)\b({'|'.join(vocab.LEGAL_FORMS)})\b", "")
+    lowered = F.regexp_replace(F.lower(name), tx.ascii_words(r"\.com\b"), "")
+    bare = F.regexp_replace(lowered, tx.ascii_words(rf"(?i)\b({'|'.join(vocab.LEGAL_FORMS)})\b"), "")
     return tx.trim(tx.squeeze(F.regexp_replace(bare, r"[^a-z0-9\s]", "")))

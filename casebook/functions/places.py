@@ -70,7 +70,7 @@ def clean_city(raw: Column, fix_saint_dot: bool = False) -> Column:
     for nickname, name in vocab.CITY_NICKNAMES.items():
         city = F.regexp_replace(city, f"^{nickname}$", name)
     if fix_saint_dot:
-        city = F.regexp_replace(city, r"\b(STE?)\.", "$1")
+        city = F.regexp_replace(city, tx.ascii_words(r"\b(STE?)\."), "$1")
     city = last_plain_words(tx.replace_each(city, vocab.CITY_WORD_RULES))
     kept = F.filter(F.array(city, upper), lambda c: c != "")
     return F.when(raw.isNotNull(), F.coalesce(F.try_element_at(kept, F.lit(1)), F.lit("")))

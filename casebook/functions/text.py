@@ -24,10 +24,17 @@ def empty_to_null(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
 
+def ascii_words(pattern: str) -> str:
+    """The pattern with word boundaries of ASCII words, whatever the JVM takes
+    ``\\b`` to mean: an accented letter is no part of a word."""
+    word = "[A-Za-z0-9_]"
+    return pattern.replace(r"\b", f"(?:(?<!{word})(?={word})|(?<={word})(?!{word}))")
+
+
 def replace_each(text: Column, rules) -> Column:
     """Apply (pattern, replacement) pairs in order, case-insensitively."""
     return reduce(
-        lambda out, rule: F.regexp_replace(out, "(?i)" + rule[0], rule[1]), rules, text
+        lambda out, rule: F.regexp_replace(out, "(?i)" + ascii_words(rule[0]), rule[1]), rules, text
     )
 
 

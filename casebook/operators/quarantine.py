@@ -30,6 +30,17 @@ def top_groups(held: DataFrame, limit: int = vocab.QUARANTINE_GROUPS) -> DataFra
     return groups(held).orderBy(*order).limit(limit)
 
 
+def file_counts(held: DataFrame, scanned: DataFrame) -> DataFrame:
+    """How many quarantine files there are, and how many of them statistics read."""
+    both = held.select("file_key", F.lit(False).alias("scanned")).unionByName(
+        scanned.select("file_key", F.lit(True).alias("scanned"))
+    )
+    return both.agg(
+        F.count_distinct(F.when(~F.col("scanned"), F.col("file_key"))).alias("total_files"),
+        F.count_distinct(F.when(F.col("scanned"), F.col("file_key"))).alias("scanned_files"),
+    )
+
+
 def recover(held: DataFrame, fixes: DataFrame, city_keys: DataFrame) -> DataFrame:
     """Held rows with corrected fields, checked again.
 

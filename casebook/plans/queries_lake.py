@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from casebook import schemas, session, vocab
 from casebook.functions import dates, events
-from casebook.operators import dimensions, merge, rollup
+from casebook.operators import dimensions, merge, quarantine, rollup
 from casebook.plans import pipeline, queries_entities, views
 from casebook.plans.queries_rollup import as_of
 from casebook.plans.queries_serving import event_rows
@@ -80,8 +80,8 @@ _ZONED_SQL = """zoned AS (SELECT upper(event_type) AS partition_source, strftime
 @query(
     "zones_round_trip",
     f"WITH {_ZONED_SQL} SELECT zone, partition_source, partition_year, count(*) AS events, "
-    "count(DISTINCT event_id) AS ids, count(*) FILTER (WHERE zone = 'quarantine') AS reasons, "
-    "min(least(3, (SELECT count(*) FROM zoned WHERE zone = 'reef'))) AS peeked FROM zoned GROUP BY 1, 2, 3",
+    "count(DISTINCT event_id) AS ids, count(*) FILTER (WHERE zone = 'quarantine') AS reasons FROM zoned GROUP BY 1, 2, 3 "
+    "UNION ALL SELECT 'peek', NULL, NULL, least(3, count(*)), NULL, NULL FROM zoned WHERE zone = 'reef'",
 )
 def zones_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Routed rows written in one pass and both zones read again."""
@@ -90,13 +90,31 @@ def zones_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = tables.read_bronze(spark, lake).withColumn("zone", F.lit("reef"))
     held = tables.read_quarantine(spark, lake).where("file_key is not null").withColumn("zone", F.lit("quarantine"))
     both = good.unionByName(held.drop("file_key"))
-    peeked = tables.peek_bronze(spark, lake).agg(F.count("*").alias("peeked"))
+    none = F.lit(None)
+    peeked = tables.peek_bronze(spark, lake).agg(F.count("*").alias("events")).select(
+        F.lit("peek").alias("zone"), none.cast("string").alias("partition_source"),
+        none.cast("string").alias("partition_year"), "events",
+        none.cast("bigint").alias("ids"), none.cast("bigint").alias("reasons"),
+    )
     counts = both.groupBy("zone", "partition_source", "partition_year").agg(
         F.count("*").alias("events"), F.count_distinct("event_id").alias("ids"),
         F.count("quarantine_reason").alias("reasons"),
     )
-    # One row of one number.
-    return counts.join(F.broadcast(peeked))
+    return counts.unionByName(peeked)
+
+
+@query(
+    "quarantine_file_counts",
+    f"WITH {_ZONED_SQL}, files AS (SELECT DISTINCT partition_source, partition_year FROM zoned WHERE zone = 'quarantine') "
+    "SELECT count(*) AS total_files, least(2, count(*)) AS scanned_files FROM files",
+)
+def quarantine_file_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file a source and year; statistics over the newest two."""
+    lake = _scratch(spark, "quarantine-files")
+    tables.write_zones(_zoned(spark, sf_dir).repartition("partition_source", "partition_year", "zone"), lake)
+    return quarantine.file_counts(
+        tables.read_quarantine(spark, lake), tables.read_quarantine(spark, lake, newest_files=2)
+    )
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook import vocab
+from casebook import session, vocab
 from casebook.functions import dates
 from casebook.operators import documents, rollup, sites
 from casebook.plans import views
@@ -169,7 +169,8 @@ _NAMES_SQL = "names AS (SELECT * FROM (VALUES {}) AS v(code, full_name))".format
 
 
 def _shared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    events = _events(spark, sf_dir)
+    """Cube and candidates, both from events that are deduplicated once."""
+    events = session.stored(_events(spark, sf_dir), "shown-events")
     return rollup.event_cube(events), rollup.recent_candidates(events)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -52,6 +52,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder, for what is read more than once."""
+    path = scratch_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder; nothing is ever reused or removed."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

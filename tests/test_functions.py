@@ -109,3 +109,10 @@ def test_raw_json_keeps_order_and_empty_cells(spark):
         events.raw_json([("b", F.lit("")), ("A", F.lit('x"y/z')), ("a", F.lit("é"))]).alias("j")
     )
     assert row.first().j == '{"b":"","A":"x\\"y/z","a":"é"}'
+
+
+def test_word_boundaries_are_ascii(spark):
+    rows = spark.createDataFrame([("ÉST ST JEAN",), ("ST. ÉLOI",)], "c string")
+    from casebook.functions import places
+
+    assert [r.c for r in rows.select(places.clean_city(rows.c).alias("c")).collect()] == ["ÉSAINT SAINT JEAN", "SAINT. ÉLOI"]
