@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -205,23 +206,32 @@ def run_gold(spark: SparkSession, paths: Paths, as_of: Column) -> None:
             frame.unpersist()
 
 
-def run_serving(spark: SparkSession, paths: Paths, as_of: Column) -> None:
-    """Gold files -> documents with site lists and siblings; a full refresh."""
+def run_serving(
+    spark: SparkSession, paths: Paths, as_of: Column, levels: Collection[str] | None = None
+) -> None:
+    """Gold files -> documents with site lists and siblings: all of them, or a
+    refresh of the given levels, whose gold alone is read."""
     updated_at = dates.iso_millis(as_of.cast("timestamp"))
-    silver = merge.read_silver(spark, paths.silver)
-    company_sites = sites.company_sites(silver)
-    extra = {
-        "company": {"sites": sites.site_lists(company_sites)},
-        "site": {"siblings": sites.sibling_lists(sites.siblings(company_sites))},
-    }
+    wanted = [level for level in tables.LEVELS if levels is None or level in levels]
+    if not wanted:
+        return
+    extra: dict[str, dict[str, DataFrame]] = {}
+    parts: dict[str, DataFrame] = {}
+    if {"company", "site"} & set(wanted):
+        company_sites = sites.company_sites(merge.read_silver(spark, paths.silver))
+        extra["company"] = {"sites": sites.site_lists(company_sites)}
+        extra["site"] = {"siblings": sites.sibling_lists(sites.siblings(company_sites))}
+        if "company" in wanted:
+            pages = sites.site_pages(company_sites)
+            parts["company_sites"] = documents.site_page_documents(pages, updated_at)
     docs = {
         level: documents.BUILDERS[level](
             tables.read_gold(spark, paths.gold, level), updated_at, **extra.get(level, {})
         )
-        for level in tables.LEVELS
+        for level in wanted
     }
-    docs["company_sites"] = documents.site_page_documents(sites.site_pages(company_sites), updated_at)
-    tables.write_documents(documents.serving_table(docs), paths.documents)
+    table = documents.serving_table(docs | parts)
+    tables.write_documents(table, paths.documents, whole=levels is None)
 
 
 def run_sitemaps(spark: SparkSession, paths: Paths, base_url: str, as_of: Column) -> None:

@@ -208,6 +208,34 @@ def gold_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows
 
 
+@query(
+    "serving_refresh",
+    views.with_base(
+        "SELECT level, n AS documents, CASE level WHEN 'city' THEN '2002-06-01T00:00:00.000Z' "
+        "ELSE '2001-12-31T00:00:00.000Z' END AS updated_at FROM ("
+        "SELECT 'nation' AS level, 1::BIGINT AS n UNION ALL SELECT 'state', count(DISTINCT state) FROM silver UNION ALL "
+        "SELECT 'city', count(DISTINCT city_slug) FROM silver UNION ALL "
+        "SELECT 'company', (count(DISTINCT company_slug) + (SELECT coalesce(sum((n - 1) // 30), 0) FROM pairs))::BIGINT "
+        "FROM silver UNION ALL SELECT 'site', (SELECT sum(n) FROM pairs)::BIGINT)",
+        "pairs AS (SELECT company_slug, count(DISTINCT site_id) AS n FROM silver "
+        "WHERE company_slug IS NOT NULL AND site_id IS NOT NULL GROUP BY 1)",
+    ),
+)
+def serving_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, then a refresh after city files changed: other levels keep theirs."""
+    paths = pipeline.Paths(_scratch(spark, "serving"))
+    silver = views.latest(spark, sf_dir).select(*schemas.SILVER_COLUMNS)
+    merge.merge_into_silver(spark, silver, paths.silver)
+    pipeline.run_gold(spark, paths, as_of())
+    intake.serve(spark, paths, as_of())
+    cities = tables.read_gold(spark, paths.gold, "city")
+    changed = session.stored(cities, "changed-cities")
+    tables.write_gold(changed, paths.gold, "city")
+    intake.serve(spark, paths, F.lit("2002-06-01").cast("timestamp"))
+    docs = spark.read.parquet(paths.documents)
+    return docs.groupBy("level", F.col("updatedAt").alias("updated_at")).agg(F.count("*").alias("documents"))
+
+
 @query(
     "dimension_rebuild",
     f"WITH {queries_entities.GAZETTEER_SQL} SELECT DISTINCT alias_key, target FROM ("

@@ -107,9 +107,12 @@ def level_of_path(key: Column) -> Column:
     )
 
 
-def write_documents(docs: DataFrame, path: str) -> None:
-    """Full refresh: entities that vanished from gold vanish here too."""
-    docs.write.mode("overwrite").partitionBy("level").parquet(path)
+def write_documents(docs: DataFrame, path: str, whole: bool = True) -> None:
+    """Replace all documents, or only the levels that ``docs`` has. Entities that
+    vanished from gold vanish here too."""
+    mode = "static" if whole else "dynamic"
+    writer = docs.write.mode("overwrite").option("partitionOverwriteMode", mode)
+    writer.partitionBy("level").parquet(path)
 
 
 def upsert_documents(current: DataFrame, changed: DataFrame) -> DataFrame:

@@ -77,13 +77,14 @@ def upsert(
 def serve(
     spark: SparkSession, paths: pipeline.Paths, as_of, max_files: int = 10_000, once: bool = True
 ) -> StreamingQuery:
-    """Changed gold files -> a refresh of the documents."""
+    """Changed gold files -> a refresh of their levels' documents."""
 
     def handle(files: DataFrame, batch_id: int) -> None:
         session = files.sparkSession
         changed = files.select(tables.level_of_path(files["path"]).alias("level"))
-        if not changed.where("level is not null").isEmpty():
-            pipeline.run_serving(session, paths, as_of)
+        # Five levels at most.
+        levels = [r.level for r in changed.where("level is not null").distinct().collect()]
+        pipeline.run_serving(session, paths, as_of, levels)
 
     stream = (
         spark.readStream.format("binaryFile").schema(landing.LISTING)
