@@ -220,24 +220,33 @@ def _encoded(batch: pa.RecordBatch, path: str):
         yield a, b, own, ids, ends
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
-    """All columns of docs and ids, an array of piece ids of the whole text.
+def encode(docs: DataFrame, path: str, keep_text: bool = True) -> DataFrame:
+    """All columns of docs, ids and exact: piece ids of the whole text, and whether
+    decoding them gave the text back.
 
-    Null and empty texts have empty arrays. A column called ids is replaced. The model
-    file's path must hold on every executor.
+    Null and empty texts have empty arrays. Columns called ids or exact are replaced;
+    `keep_text=False` leaves the text out. The model file's path must hold on every
+    executor.
     """
     common.python_ready(docs.sparkSession)
-    docs = docs.drop("ids")
-    row = docs.select(F.struct(*docs.columns).alias("_row"), "text")
+    docs = docs.drop("ids", "exact")
+    others = [c for c in docs.columns if c != "text"]
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("_row"), "text")
 
     def run(batches):
         for batch in batches:
-            for a, b, _, ids, ends in _encoded(batch, path):
+            pieces = load(path)
+            for a, b, own, ids, ends in _encoded(batch, path):
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
-                yield pa.RecordBatch.from_arrays([batch.column("_row").slice(a, b - a), lists], ["_row", "ids"])
+                same = pa.array([x == y for x, y in zip(own, pieces.decode(ids, ends))], pa.bool_())
+                kept = [batch.column("text").slice(a, b - a)] if keep_text else []
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("_row").slice(a, b - a), *kept, lists, same], ["_row", *["text"] * keep_text, "ids", "exact"]
+                )
 
-    schema = f"_row {row.schema['_row'].dataType.simpleString()}, ids array<int>"
-    return row.mapInArrow(run, schema).select("_row.*", "ids")
+    text = ["text string"] * keep_text
+    schema = ", ".join([f"_row {row.schema['_row'].dataType.simpleString()}", *text, "ids array<int>", "exact boolean"])
+    return row.mapInArrow(run, schema).select("_row.*", *["text"] * keep_text, "ids", "exact")
 
 
 def decode(rows: DataFrame, path: str) -> DataFrame:

@@ -134,8 +134,10 @@ def test_pieces_against_a_plain_search(small):
 def test_pieces_round_trip(spark, odd):
     docs = spark.read.parquet(f"{odd}/documents.parquet")
     path = pieces.model_path()
-    back = pieces.decode(pieces.encode(docs, path), path)
-    assert set(back.columns) == set(docs.columns)
+    encoded = pieces.encode(docs, path)
+    assert sorted(encoded.columns) == sorted({*docs.columns, "ids", "exact"}) and encoded.filter("NOT exact").count() == 0
+    back = pieces.decode(encoded, path)
+    assert sorted(back.columns) == sorted(encoded.columns)
     texts = {r.doc_id: r.text for r in docs.collect()}
     assert all(r.text == (texts[r.doc_id] or "") for r in back.collect())
     assert all(r.exact for r in pieces.op5(spark, odd).collect())
