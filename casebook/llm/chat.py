@@ -13,6 +13,8 @@ left inside, and taking away one backslash of each pair gives everything back.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,10 +42,11 @@ def unescape(text: Column) -> Column:
 def chains(rows: DataFrame, tree: str, order: str) -> DataFrame:
     """Linear conversations as reply trees: message 1 is the root, each later one replies.
 
-    Adds message, parent and score 0. Rows go by `order` (null first), then role and
-    text, so that repeated turns have one defined order.
+    Adds message, parent and score 0. Rows go by `order` (null last), then role and
+    text (null as empty), so that repeated turns have one defined order.
     """
-    place = Window.partitionBy("tree").orderBy(order, "role", "text")
+    ties = [F.coalesce(c, F.lit("")) for c in ("role", "text")]
+    place = Window.partitionBy("tree").orderBy(F.col(order).asc_nulls_last(), *ties)
     message = F.row_number().over(place).cast("long")
     return (
         rows.select(F.col(tree).alias("tree"), F.col(order).alias(order), "role", "text")
@@ -55,54 +58,74 @@ def chains(rows: DataFrame, tree: str, order: str) -> DataFrame:
     )
 
 
+def _tree_key(tree: str = "tree") -> Column:
+    """A key that is never null, so that messages without a tree are one tree."""
+    return F.coalesce(F.concat(F.lit("#"), F.col(tree).cast("string")), F.lit(""))
+
+
 def paths(messages: DataFrame, branches: int | None = None) -> DataFrame:
-    """(tree, leaf, message, back): the messages of each chosen path, back steps from its leaf.
+    """(key, leaf, message, back): the messages of each chosen path, back steps from its leaf.
 
-    messages has tree, message, parent, score; (tree, message) is unique. A message
-    whose parent is null or missing is a root. Branches of a tree are ranked by the mean
-    score of their messages (null scores count 0), then by leaf; the first `branches`
-    of each are chosen, None for all. Messages in a ring have no leaf and are left out.
+    messages has tree, message, parent, score; (tree, message) is unique, a null tree is
+    a tree of its own. A message whose parent is null or missing is a root. Branches of
+    a tree are ranked by the mean score of their messages (null scores count 0), then by
+    leaf; the first `branches` of each are chosen, None for all. Messages in a ring have
+    no leaf and are left out.
+
+    A tree of n messages is finished after log2(n) rounds and takes no part in later
+    ones, so one long tree does not make all others wait.
     """
-    own = common.stored(messages.select("tree", "message", "parent", F.coalesce("score", F.lit(0.0)).alias("score")), "chat-messages")
-    known = own.select("tree", F.col("message").alias("parent"))
-    linked = own.join(known.withColumn("found", F.lit(True)), ["tree", "parent"], "left")
-    up = F.when(F.col("found"), F.col("parent"))
+    own = messages.select(_tree_key().alias("key"), "message", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
+    sizes = own.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    own = common.stored(own.join(sizes, "key"), "chat-messages")
+    known = own.select("key", F.col("message").alias("parent"), F.lit(True).alias("found"))
+    linked = common.stored(own.join(known, ["key", "parent"], "left"), "chat-links")
     # far: the ancestor 2^k steps up; total and steps: what lies before it.
-    jump = common.stored(
-        linked.select("tree", "message", up.alias("far"), F.col("score").alias("total"), F.lit(1).cast("long").alias("steps")),
+    state = common.stored(
+        linked.select(
+            "key", "n", "message", F.when(F.col("found"), F.col("parent")).alias("far"),
+            F.col("score").alias("total"), F.lit(1).cast("long").alias("steps"),
+        ),
         "chat-jump-0",
     )
-    jumps = [jump]
-    rounds = own.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
-    while jump.filter("far IS NOT NULL").limit(1).count() and 1 << (len(jumps) - 1) < rounds:
-        above = jump.select(
-            "tree", F.col("message").alias("far"), F.col("far").alias("farther"),
+    longest = own.agg(F.max("n")).first()[0] or 1
+    jumps, finished, k = [], [], 0
+    while True:
+        jumps.append(state.filter("far IS NOT NULL").select("key", "message", "far"))
+        finished.append(state.filter(F.col("n") <= (1 << k)))
+        if 1 << k >= longest:
+            break
+        live = state.filter(F.col("n") > (1 << k))
+        above = live.select(
+            "key", F.col("message").alias("far"), F.col("far").alias("farther"),
             F.col("total").alias("above"), F.col("steps").alias("more"),
         )
-        jump = common.stored(
-            jump.join(above, ["tree", "far"], "left").select(
-                "tree", "message", F.col("farther").alias("far"),
-                (F.col("total") + F.coalesce("above", F.lit(0.0))).alias("total"),
-                (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
-            ),
-            f"chat-jump-{len(jumps)}",
+        farther = live.filter("far IS NOT NULL").join(above, ["key", "far"]).select(
+            "key", "n", "message", F.col("farther").alias("far"),
+            (F.col("total") + F.col("above")).alias("total"), (F.col("steps") + F.col("more")).alias("steps"),
         )
-        jumps.append(jump)
-    replied = linked.filter("found").select("tree", F.col("parent").alias("message")).distinct()
-    leaves = jump.filter("far IS NULL").join(replied, ["tree", "message"], "left_anti")
+        k += 1
+        state = common.stored(farther.unionByName(live.filter("far IS NULL")), f"chat-jump-{k}")
+    replied = common.stored(
+        linked.filter("found").select("key", F.col("parent").alias("message")).distinct(), "chat-replied"
+    )
+    seen = reduce(DataFrame.unionByName, finished).filter("far IS NULL")
+    leaves = seen.join(replied, ["key", "message"], "left_anti")
     if branches is not None:
-        rank = Window.partitionBy("tree").orderBy((F.col("total") / F.col("steps")).desc(), "message")
+        rank = Window.partitionBy("key").orderBy((F.col("total") / F.col("steps")).desc(), "message")
         leaves = leaves.withColumn("place", F.row_number().over(rank)).filter(F.col("place") <= branches)
-    reached = leaves.select("tree", F.col("message").alias("leaf"), "message", F.lit(0).cast("long").alias("back"))
+    reached = leaves.select("key", "n", F.col("message").alias("leaf"), "message", F.lit(0).cast("long").alias("back"))
+    reached = common.stored(reached, "chat-leaves")
     # The same doubling downwards: after round k all messages less than 2^k steps up are there.
+    done = []
     for k, jump in enumerate(jumps):
-        ahead = (
-            reached.join(jump.select("tree", "message", "far"), ["tree", "message"])
-            .filter("far IS NOT NULL")
-            .select("tree", "leaf", F.col("far").alias("message"), (F.col("back") + (1 << k)).alias("back"))
+        done.append(reached.filter(F.col("n") <= (1 << k)))
+        live = reached.filter(F.col("n") > (1 << k))
+        ahead = live.join(jump, ["key", "message"]).select(
+            "key", "n", "leaf", F.col("far").alias("message"), (F.col("back") + (1 << k)).alias("back")
         )
-        reached = common.stored(reached.unionByName(ahead), f"chat-paths-{k}")
-    return reached
+        reached = common.stored(live.unionByName(ahead), f"chat-paths-{k}")
+    return reduce(DataFrame.unionByName, [*done, reached]).drop("n")
 
 
 def conversations(messages: DataFrame, branches: int | None = None) -> DataFrame:
@@ -116,17 +139,20 @@ def conversations(messages: DataFrame, branches: int | None = None) -> DataFrame
     """
     chosen = paths(messages, branches)
     block = F.concat(F.lit("### "), escape_role(F.col("role")), F.lit(":\n"))
-    turns = chosen.join(messages.select("tree", "message", "role", "text"), ["tree", "message"]).select(
-        "tree", "leaf", "back", block.alias("head"), escape(F.col("text")).alias("body"), F.col("role").eqNullSafe("assistant").alias("learned"),
+    own = messages.select(_tree_key().alias("key"), "tree", "message", "role", "text")
+    turns = chosen.join(own, ["key", "message"]).select(
+        "key", "tree", "leaf", "back", block.alias("head"), escape(F.col("text")).alias("body"), F.col("role").eqNullSafe("assistant").alias("learned"),
     )
     size = F.length("head") + F.length("body") + len(END)
-    before = Window.partitionBy("tree", "leaf").orderBy(F.desc("back")).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("key", "leaf").orderBy(F.desc("back")).rowsBetween(Window.unboundedPreceding, -1)
     placed = turns.withColumn("start", F.coalesce(F.sum(size).over(before), F.lit(0)) + F.length("head"))
     turn = F.struct(
         "start", F.concat("head", "body", F.lit(END)).alias("block"),
         F.when(F.col("learned"), F.struct("start", F.length("body").cast("long").alias("length"))).alias("span"),
     )
-    gathered = placed.groupBy("tree", "leaf").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    gathered = placed.groupBy("key", "leaf").agg(
+        F.first("tree").alias("tree"), F.sort_array(F.collect_list(turn)).alias("turns")
+    )
     return gathered.select(
         "tree", "leaf", F.size("turns").cast("long").alias("n_turns"),
         F.concat_ws("", F.col("turns.block")).alias("formatted"),
