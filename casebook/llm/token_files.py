@@ -13,9 +13,9 @@ block), n_ids, doc_ids, lengths, table, control, data. They can lie in any store
 from __future__ import annotations
 
 import os
+import re
 import zlib
-from collections import Counter
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +28,7 @@ from casebook.session import scratch_path
 
 END_ID = 2
 #: Bytes of text in a block, words kept encoded in a worker, words encoded at a time.
-BLOCK, KEPT, SLICE = 1 << 21, 200_000, 4096
+BLOCK, KEPT, SLICE = 3 << 21, 300_000, 2048
 FIELDS = (
     "shard int, before long, n_ids long, doc_ids array<long>, lengths array<long>, "
     "table binary, control binary, data binary"
@@ -45,48 +45,114 @@ def tokenizer_path() -> str:
 
 
 class Encoder:
-    """The tokenizers library over whole texts, each distinct word encoded once.
+    """The tokenizers library over whole texts, each distinct unit encoded once.
 
-    The tokenizer drops white space and never joins words across it, so a text's ids
-    are those of its words, one after the other.
+    The tokenizer lower-cases, drops white space and never joins words across it; signs
+    behind an ASCII letter or digit are pieces of their own to it. So a text's ids are
+    those of its lower-cased words and the signs that end them, one after the other.
+    Texts that may hold special tokens are only cut at white space.
+
+    Words of Latin letters alone pass the tokenizer's normaliser and splitter in one
+    piece, so they go straight to its merge model, a byte a symbol; all else goes
+    through the whole tokenizer.
     """
 
+    #: Stands between units in one call of the library and in no unit itself.
+    MARK = b"\x01"
+    #: Ends a document; no byte of UTF-8.
+    END = b"\xff"
+    SIGNS = re.compile(rb"(?<=[a-z0-9])[.,;:!?|]+(?![^ \t-\r])")
+    #: Small letters of ASCII and Latin-1 and capitals of the latter, all composed.
+    LETTERS = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00de\u00df-\u00f6\u00f8-\u00ff]+")
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, list[int]] = {}
+        self.model = self.tokenizer.model
+        bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = filter(self.LETTERS.fullmatch, map(chr, range(256)))
+        self.symbols = {ord(c): bytewise.pre_tokenize_str(c.lower())[0][0] for c in letters}
+        (self.mark,) = self.tokenizer.encode(self.MARK.decode(), add_special_tokens=False).ids
+        # The first unit ends a document.
+        self.known: dict[bytes, int] = {self.END: 0}
+        self.flat, self.size = np.zeros(1, np.int64), np.ones(1, np.int64)
+
+    def units(self, texts: list[bytes]) -> list[bytes]:
+        """Units of all texts, END after each."""
+        between = b" " + self.END + b" "
+        if any(b"<|" in t for t in texts):
+            texts = [t if b"<|" in t else self.SIGNS.sub(rb" \g<0>", t.lower()) for t in texts]
+            return between.join([*texts, b""]).split()
+        return self.SIGNS.sub(rb" \g<0>", between.join([*texts, b""]).lower()).split()
+
+    def _coded(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units, one after the other, and how many each has."""
+        plain, others, tokens = [], [], []
+        for k, unit in enumerate(map(bytes.decode, units)):
+            if self.LETTERS.fullmatch(unit):
+                plain.append(k)
+                tokens.append([t.id for t in self.model.tokenize(unit.translate(self.symbols))])
+            else:
+                others.append(k)
+        flat, size = self._whole([units[k] for k in others]) if others else (self.flat[:0], self.size[:0])
+        sizes = np.empty(len(units), np.int64)
+        sizes[plain], sizes[others] = list(map(len, tokens)), size
+        first = np.cumsum(sizes) - sizes
+        out = np.empty(int(sizes.sum()), np.int64)
+        for at, runs, ids in ((plain, sizes[plain], chain.from_iterable(tokens)), (others, size, flat)):
+            shift = np.cumsum(runs) - runs
+            out[np.repeat(first[at] - shift, runs) + np.arange(runs.sum())] = np.fromiter(ids, np.int64, int(runs.sum()))
+        return out, sizes
+
+    def _whole(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same through the whole tokenizer."""
+        odd = [k for k, u in enumerate(units) if self.MARK in u]
+        alone = {k: self.tokenizer.encode(units[k].decode(), add_special_tokens=False).ids for k in odd}
+        ids, sizes = [], []
+        # The library's results are large: a slice at a time, and only the ids stay.
+        for at in range(0, len(units), SLICE):
+            part = [b"" if at + k in alone else u for k, u in enumerate(units[at : at + SLICE])]
+            text = (b" " + self.MARK + b" ").join([*part, b""]).decode()
+            found = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int64)
+            marks = np.flatnonzero(found == self.mark)
+            ids.append(np.delete(found, marks))
+            sizes.append(np.diff(marks, prepend=-1) - 1)
+        flat, size = np.concatenate(ids), np.concatenate(sizes)
+        if alone:
+            runs = np.split(flat, np.cumsum(size)[:-1])
+            runs = [np.array(alone[k], np.int64) if k in alone else r for k, r in enumerate(runs)]
+            flat, size = np.concatenate(runs), np.array([len(r) for r in runs], np.int64)
+        return flat, size
 
     def encode(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, `end` after each, and how many each text has."""
-        words = [t.split() for t in texts]
-        seen = Counter(chain.from_iterable(words))
-        known = self.known
-        new = [w for w in seen if w not in known]
-        found = {}
-        # The library's results are large: a slice at a time, and only the ids stay.
-        for at in range(0, len(new), SLICE):
-            part = new[at : at + SLICE]
-            coded = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-            found.update(zip(part, (e.ids for e in coded)))
-        # Words met once are rarely met again: only the others are kept, while there is room.
-        if len(known) < KEPT:
-            known.update((w, ids) for w, ids in found.items() if seen[w] > 1)
-        ids = [found[w] if w in found else known[w] for w in seen]
-        size = np.array([len(x) for x in ids] + [1], np.int64)
-        first = np.cumsum(size) - size
-        flat = np.fromiter(chain(chain.from_iterable(ids), [end]), np.int64, int(size.sum()))
-        number = {w: k for k, w in enumerate(seen)}
-        total = sum(map(len, words)) + len(words)
-        # The end mark is the last of the distinct units.
-        mark = [len(seen)]
-        unit = np.fromiter(chain.from_iterable(chain(map(number.__getitem__, w), mark) for w in words), np.int64, total)
-        each = size[unit]
+        units, known = self.units(texts), self.known
+        new = list(set(units).difference(known))
+        flat, size = self._coded(new) if new else (self.flat[:0], self.size[:0])
+        base = len(self.size)
+        known.update(zip(new, range(base, base + len(new))))
+        unit = np.fromiter(map(known.__getitem__, units), np.int64, len(units))
+        sizes, every = np.concatenate([self.size, size]), np.concatenate([self.flat, flat])
+        every[0] = end
+        first = np.cumsum(sizes) - sizes
+        each = sizes[unit]
         upto = np.r_[0, np.cumsum(each)]
-        out = flat[np.repeat(first[unit] - upto[:-1], each) + np.arange(upto[-1])]
-        ends = np.cumsum([len(w) + 1 for w in words], dtype=np.int64)
-        return out, np.diff(upto[np.r_[0, ends]]) if len(ends) else np.zeros(0, np.int64)
+        out = every[np.repeat(first[unit] - upto[:-1], each) + np.arange(upto[-1])]
+        ends = upto[np.flatnonzero(unit == 0) + 1]
+        # Units met once are rarely met again: only the others are kept, while there is room.
+        often = np.bincount(unit, minlength=len(sizes))[base:] > 1
+        often[np.cumsum(often) > KEPT - base] = False
+        kept = np.flatnonzero(often)
+        for unit_of_one in compress(new, ~often):
+            del known[unit_of_one]
+        known.update(zip(compress(new, often), range(base, base + len(kept))))
+        runs = size[kept]
+        shift = np.cumsum(runs) - runs
+        place = np.repeat((np.cumsum(size) - size)[kept] - shift, runs) + np.arange(runs.sum())
+        self.flat, self.size = np.concatenate([self.flat, flat[place]]), np.concatenate([self.size, runs])
+        return out, np.diff(ends, prepend=0)
 
 
 _LOADED: dict[str, Encoder] = {}
@@ -103,11 +169,17 @@ def pack(ids: np.ndarray) -> tuple[bytes, bytes, bytes]:
 
     Of ids as frequent as one another the smaller ranks first.
     """
-    distinct, place, count = np.unique(ids, return_inverse=True, return_counts=True)
+    if len(ids) and ids.max() < 1 << 22:
+        # Vocabularies are small: counting beats sorting.
+        counts = np.bincount(ids)
+        distinct = np.flatnonzero(counts)
+        count, place = counts[distinct], (np.cumsum(counts > 0) - 1)[ids]
+    else:
+        distinct, place, count = np.unique(ids, return_inverse=True, return_counts=True)
     order = np.lexsort((distinct, -count))
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    values = rank[place].astype(np.uint32)
+    rank = np.empty(len(order), np.uint32)
+    rank[order] = np.arange(len(order), dtype=np.uint32)
+    values = rank[place]
     extra = (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
     padded = np.zeros(-(-len(values) // 4) * 4, np.uint8)
     padded[: len(values)] = extra
