@@ -235,6 +235,13 @@ def near_groups(docs: DataFrame, words: int = 3) -> DataFrame:
     return rows.join(final, "fp").select("doc_id", "fp", "component_id")
 
 
+def kept_rows(docs: DataFrame, keepers: DataFrame) -> DataFrame:
+    """The rows with the ids and text hashes (stay, t), each once, columns as they were."""
+    rows = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("t"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("stay")) & (rows["t"] == keepers["t"])
+    return rows.join(keepers, same).select("row", "stay", rows["t"]).dropDuplicates(["stay", "t"]).select("row.*")
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
     """Of every near group the document with the smallest id, columns as they were.
 
