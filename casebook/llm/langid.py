@@ -256,9 +256,18 @@ def learnable(id_column: str = "doc_id") -> Column:
 
 
 def accepted(docs: DataFrame) -> DataFrame:
-    """The documents in a language the network was taught, columns as they were."""
-    texts = predict(docs.select(F.struct(*docs.columns).alias("_row"), "text"), fit(docs, learnable()))
-    return texts.filter(F.col("lang_pred") != UNKNOWN).select("_row.*")
+    """The documents with a language, columns as they were; a null lang is the predicted one.
+
+    Texts without a letter go. Where no language could be learned, those with a letter
+    stay as they are.
+    """
+    net = fit(docs, learnable())
+    if not net.langs:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    texts = predict(docs.select(F.struct(*docs.columns).alias("_row"), "text"), net)
+    filled = F.coalesce("_row.lang", "lang_pred").alias("lang")
+    columns = [filled if c == "lang" else F.col(f"_row.`{c}`") for c in docs.columns]
+    return texts.filter(F.col("lang_pred") != UNKNOWN).select(*columns)
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
