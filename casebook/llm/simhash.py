@@ -243,15 +243,17 @@ def kept_rows(docs: DataFrame, keepers: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """Of every near group the document with the smallest id, columns as they were.
+    """Of every near group the row with the smallest id, columns as they were.
 
-    Rows that share that id all stay.
+    Null ids come last. Among rows of that id the one with the smallest text hash stays.
     """
-    groups = near_groups(docs)
-    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    stay = groups.filter(stays).select(F.col("doc_id").alias("stay")).distinct()
-    rows = docs.select(F.struct("*").alias("row"))
-    return rows.join(stay, F.col("row.doc_id").eqNullSafe(F.col("stay")), "left_semi").select("row.*")
+    hashed = docs.select(F.struct("doc_id", F.xxhash64("text").alias("t")).alias("doc_id"), "text")
+    rows = fingerprints(hashed)
+    rank = F.struct(F.isnull("doc_id.doc_id").alias("void"), "doc_id.doc_id", "doc_id.t")
+    nodes = common.stored(rows.groupBy("fp").agg(F.min(rank).alias("rep")), "simhash-nodes")
+    named = nodes.join(components(links(nodes.select("fp"))).withColumnRenamed("node", "fp"), "fp", "left")
+    best = named.groupBy(F.coalesce("root", "fp")).agg(F.min("rep").alias("rep"))
+    return kept_rows(docs, common.stored(best.select(F.col("rep.doc_id").alias("stay"), "rep.t"), "simhash-keepers"))
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 import random
 
 import corpus_pipeline
-from casebook.llm import near
+from casebook.llm import near, simhash
 from tests.llm import brute
 from tests.llm.conftest import prose
 
@@ -48,3 +48,16 @@ def test_large_cluster_in_parts(spark, monkeypatch):
     rows = [(k, edited(rng, base, rng.randint(1, 5))) for k in range(150)]
     left = near.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(r.doc_id for r in left) == sorted(d for d, _ in jaccard_keepers(rows))
+
+
+def test_one_row_of_each_group_with_repeated_and_null_ids(spark):
+    rng = random.Random(6)
+    texts = [prose(rng, 300) for _ in range(4)]
+    copy = lambda t: t.upper()
+    # Null ids alone, beside a keeper, and one id over two texts of different groups.
+    rows = [(None, texts[0]), (None, copy(texts[0])), (1, texts[1]), (None, copy(texts[1])), (2, texts[2]), (5, copy(texts[3])), (5, copy(texts[2])), (7, texts[3]), (7, texts[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for kept in (near.one_of_each(docs), simhash.one_of_each(docs)):
+        left = kept.collect()
+        assert sorted(r.text.lower() for r in left) == sorted(texts)
+        assert {r.text.lower(): r.doc_id for r in left} == dict(zip(texts, [None, 1, 2, 5]))
