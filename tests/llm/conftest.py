@@ -39,7 +39,7 @@ def odd_rows():
 
 @pytest.fixture(scope="session")
 def odd(spark, tmp_path_factory):
-    """A folder of tables: documents with odd rows and clashing columns, labels, conversations."""
+    """A folder of tables: documents with odd rows and clashing columns, labels, benchmark, conversations."""
     folder = tmp_path_factory.mktemp("odd")
     rows = [(d, t, g, s, None if t is None else len(t), *["clash"] * len(CLASHES)) for d, t, g, s in odd_rows()]
     kinds = T.StructType([T.StructField(n, k) for n, k in FIELDS] + [T.StructField(n, T.StringType()) for n in CLASHES])
@@ -51,6 +51,11 @@ def odd(spark, tmp_path_factory):
         (2, None, None, None), (2, 3, "assistant", None), (2, 4, "assistant", ""), (3, 5, "tool: a\\:##", "é \U0001f600 #### x"),
         (4, 0, "assistant", "a"), (4, 1, "assistant", "b" * 50000), (None, 0, "user", "no conversation"),
     ] + [(5, k, ("user", "assistant")[k % 2], f"turn {k}") for k in range(40)]
+    items = [
+        (0, "one two THE again"), (1, None), (2, ""), (2, "the the one"), (None, "again " * 30), (4, " ".join(odd_rows()[0][1].split()[:15])),
+        (5, "!! -- ##"), (6, "nowhere else"), (7, "éß nbsp 42"),
+    ]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     spark.createDataFrame(talk, "conv_id long, turn long, role string, text string").write.parquet(f"{folder}/conversations.parquet")
     return str(folder)
 
@@ -59,7 +64,7 @@ def odd(spark, tmp_path_factory):
 def void(spark, odd, tmp_path_factory):
     """The same tables without rows."""
     folder = tmp_path_factory.mktemp("void")
-    for name in ("documents", "labels", "conversations"):
+    for name in ("documents", "labels", "benchmark", "conversations"):
         spark.read.parquet(f"{odd}/{name}.parquet").limit(0).write.parquet(f"{folder}/{name}.parquet")
     return str(folder)
 
