@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from casebook.llm import chat, digests, langid, mixing, phrases, pieces, quality, repeats, resampling, simhash, token_files
+from casebook.llm import chat, digests, factors, langid, mixing, phrases, pieces, quality, repeats, resampling, simhash, token_files
 
 QUERIES = {
     "op1_neighbour_quality": quality.op1,
@@ -16,10 +16,12 @@ QUERIES = {
     "op9_gated_langid": langid.op9,
     "op10_digest_index": digests.op10,
     "op12_gumbel_resampling": resampling.op12,
+    "op13_previous_factors": factors.op13,
 }
 ORACLES = {
     "op2_reply_trees": chat.OP2_SQL,
     "op3_pareto_mix": mixing.OP3_SQL,
     "op10_digest_index": digests.OP10_SQL,
     "op12_gumbel_resampling": resampling.OP12_SQL,
+    "op13_previous_factors": factors.OP13_SQL,
 }

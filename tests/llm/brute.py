@@ -97,3 +97,23 @@ def best_path(text: str, table: dict, byte_ids, byte_score: float) -> list[int]:
         ids.append(back[at][1])
         at -= back[at][0]
     return ids[::-1]
+
+
+def byte_repeats(rows, width: int = 50) -> list:
+    """(doc_id, bytes, spans that go, bytes kept) of (doc_id, text) rows."""
+    data = [(d, (t or "").encode()) for d, t in rows]
+    first = {}
+    for d, b in data:
+        for k in range(len(b) - width + 1 if d is not None else 0):
+            window = b[k : k + width]
+            first[window] = min(d, first.get(window, d))
+    out = []
+    for d, b in data:
+        goes = bytearray(len(b))
+        for k in range(len(b) - width + 1 if d is not None else 0):
+            if first[b[k : k + width]] < d:
+                goes[k : k + width] = b"\1" * width
+        edges = [k for k in range(len(b) + 1) if (goes[k - 1] if k else 0) != (goes[k] if k < len(b) else 0)]
+        spans = tuple((x, y - x) for x, y in zip(edges[::2], edges[1::2]))
+        out.append((str(d), len(b), spans, bytes(c for c, g in zip(b, goes) if not g)))
+    return sorted(out)
