@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from casebook.llm import chat, digests, factors, langid, mixing, phrases, pieces, quality, repeats, resampling, simhash, token_files
+from casebook.llm import chat, digests, factors, langid, mixing, phrases, pieces, quality, repeats, resampling, simhash, token_files, treaps
 
 QUERIES = {
     "op1_neighbour_quality": quality.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_simhash_ring": simhash.op8,
     "op9_gated_langid": langid.op9,
     "op10_digest_index": digests.op10,
+    "op11_treap_search": treaps.op11,
     "op12_gumbel_resampling": resampling.op12,
     "op13_previous_factors": factors.op13,
 }
@@ -22,6 +23,7 @@ ORACLES = {
     "op2_reply_trees": chat.OP2_SQL,
     "op3_pareto_mix": mixing.OP3_SQL,
     "op10_digest_index": digests.OP10_SQL,
+    "op11_treap_search": treaps.OP11_SQL,
     "op12_gumbel_resampling": resampling.OP12_SQL,
     "op13_previous_factors": factors.OP13_SQL,
 }

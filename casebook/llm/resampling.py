@@ -31,19 +31,25 @@ NGRAMS, BUCKETS, MIN_WORDS, PERCENT, SEED = 1, 10_000, 20, 10, 2024
 BATCH = 1 << 22
 
 
-def features(texts: list[bytes], ngrams: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(owner, bucket) of every n-gram of the texts, and the texts' numbers of words.
-
-    An n-gram's bucket is the crc32 of its words joined by one space, modulo buckets.
-    """
+def words_of(texts: list[bytes], known: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(owner, number) of every lower-cased word; known holds the words' numbers and grows."""
     joined = SENTINEL.join(texts).translate(LOWER)
     offsets = np.cumsum([0] + [len(t) + 1 for t in texts])
     spans = np.fromiter(chain.from_iterable(m.span() for m in WORDS.finditer(joined)), np.int64).reshape(-1, 2)
     owner = np.searchsorted(offsets, spans[:, 0], side="right") - 1
-    known: dict[bytes, int] = {}
     word = np.fromiter(
         (known.setdefault(joined[a:b], len(known)) for a, b in spans.tolist()), np.int64, len(spans)
     )
+    return owner, word
+
+
+def features(texts: list[bytes], ngrams: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, bucket) of every n-gram of the texts, and the texts' numbers of words.
+
+    An n-gram's bucket is the crc32 of its words joined by one space, modulo buckets.
+    """
+    known: dict[bytes, int] = {}
+    owner, word = words_of(texts, known)
     distinct = list(known)
     gram, crc = word, np.fromiter(map(zlib.crc32, distinct), np.int64, len(distinct))
     owners, found = [owner], [crc[gram] % buckets]
@@ -62,7 +68,7 @@ def features(texts: list[bytes], ngrams: int, buckets: int) -> tuple[np.ndarray,
     return np.concatenate(owners), np.concatenate(found), np.bincount(owner, minlength=len(texts))
 
 
-def _slices(batches, columns: list[str]):
+def text_slices(batches, columns: list[str]):
     """(record batch without text, texts) of about BATCH bytes at a time, each text whole."""
     for batch in batches:
         data, offsets = common.utf8(batch.column("text"))
@@ -77,7 +83,7 @@ def bucket_counts(texts: DataFrame, ngrams: int, buckets: int) -> np.ndarray:
 
     def run(batches):
         total = np.zeros(buckets, np.int64)
-        for _, part in _slices(batches, []):
+        for _, part in text_slices(batches, []):
             total += np.bincount(features(part, ngrams, buckets)[1], minlength=buckets)
         bucket = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(total[bucket])], ["bucket", "n"])
@@ -102,7 +108,7 @@ def weighed(docs: DataFrame, gain: np.ndarray, ngrams: int, seed: int) -> DataFr
 
     def run(batches):
         gain = shared.value
-        for rows, texts in _slices(batches, ["doc_id"]):
+        for rows, texts in text_slices(batches, ["doc_id"]):
             owner, bucket, n_words = features(texts, ngrams, len(gain))
             n_features = np.bincount(owner, minlength=len(texts))
             # Sums of integers far below 2^53 are exact in doubles.
