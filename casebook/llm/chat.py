@@ -7,8 +7,9 @@ from DataFrame functions only.
 
 A turn is written `### role:`, a line break, the text, `</turn>` and a line break.
 Inside roles and texts a backslash is doubled, the second of two number signs and the
-slash of a closing mark get a backslash, and so do colons in roles. No control string is
-left inside, and taking away one backslash of each pair gives everything back.
+slash of a closing mark get a backslash, and so do colons and line breaks in roles. No
+control string is left inside, the first colon before a line break ends the role, and
+taking away one backslash of each pair gives everything back, whatever the length.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ def escape(text: Column) -> Column:
 
 
 def escape_role(role: Column) -> Column:
-    return F.regexp_replace(escape(role), ":", r"\\:")
+    return F.regexp_replace(escape(role), "([:\n])", r"\\$1")
 
 
 def unescape(text: Column) -> Column:
@@ -164,11 +165,16 @@ def parsed(formatted: Column) -> Column:
     """The (role, text) turns of a formatted conversation."""
     pieces = F.split(formatted, END)
     turns = F.slice(pieces, 1, F.size(pieces) - 1)
-    head = r"(?s)^### ((?:[^\\:]|\\.)*):\n"
-    return F.transform(turns, lambda t: F.struct(
-        unescape(F.regexp_extract(t, head, 1)).alias("role"),
-        unescape(F.regexp_replace(t, head, "")).alias("text"),
-    ))
+    start = len("### ") + 1
+
+    def turn(t: Column) -> Column:
+        end = F.instr(t, F.lit(":\n"))
+        return F.struct(
+            unescape(t.substr(F.lit(start), end - start)).alias("role"),
+            unescape(t.substr(end + 2, F.length(t))).alias("text"),
+        )
+
+    return F.transform(turns, turn)
 
 
 def masked(formatted: Column, loss: Column) -> Column:
@@ -210,6 +216,6 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-       sum(length('### ' || replace(r, ':', '\:') || ':' || chr(10) || t || '</turn>' || chr(10)))::BIGINT AS formatted_chars
+       sum(length('### ' || replace(replace(r, ':', '\:'), chr(10), '\' || chr(10)) || ':' || chr(10) || t || '</turn>' || chr(10)))::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id
 """

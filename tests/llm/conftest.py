@@ -50,6 +50,7 @@ def odd(spark, tmp_path_factory):
         (1, 0, "user", "hi"), (1, 1, "assistant", "### no\n</turn>\n\\"), (1, 1, "assistant", "### no\n</turn>\n\\"),
         (2, None, None, None), (2, 3, "assistant", None), (2, 4, "assistant", ""), (3, 5, "tool: a\\:##", "é \U0001f600 #### x"),
         (4, 0, "assistant", "a"), (4, 1, "assistant", "b" * 50000), (None, 0, "user", "no conversation"),
+        (6, 0, "a:\n\\\\:#\n" * 12000, "long role"), (6, 1, "assistant", "x"), (6, 2, ":\n", ":\n"), (6, 3, "\\", "\n"), (6, 4, "r:", "\\:\n"),
     ] + [(5, k, ("user", "assistant")[k % 2], f"turn {k}") for k in range(40)]
     items = [
         (0, "one two THE again"), (1, None), (2, ""), (2, "the the one"), (None, "again " * 30), (4, " ".join(odd_rows()[0][1].split()[:15])),
