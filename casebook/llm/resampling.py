@@ -144,7 +144,8 @@ def resample(
     """
     common.python_ready(docs.sparkSession)
     gain = gains(bucket_counts(docs, ngrams, buckets), bucket_counts(target, ngrams, buckets))
-    rows = weighed(docs, gain, ngrams, seed).withColumn("able", F.col("n_words") >= min_words)
+    # Ranges are cut by a first look at the rows, which should not read the texts again.
+    rows = common.stored(weighed(docs, gain, ngrams, seed), "weighed").withColumn("able", F.col("n_words") >= min_words)
     order = [
         F.when(F.col("able"), F.col("score")).desc_nulls_last(), F.col("doc_id").asc_nulls_last(), F.col("n_features").asc(),
     ]
