@@ -5,26 +5,29 @@ Where a phrase starts is decided by deterministic coin tossing: a symbol is rela
 the lowest bit in which it differs from the one before it, three times over, and labels
 that are local maxima start phrases. Names are hashes of what a phrase spells, so equal
 substrings get equal names wherever they lie, but for a few symbols at their ends. A
-fingerprint keeps the smallest names of one level, and the likeness of two fingerprints
-estimates the share of phrases that two texts have in common.
+fingerprint keeps the smallest names of every level, a fixed number of each, and the
+likeness of two fingerprints estimates the share of phrases that two texts have in
+common: long texts fill the shares, most of which are high phrases; short texts have few
+of these and are told by their low ones.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from casebook.llm import common
 
-#: Level whose names make a fingerprint (about twenty bytes a phrase), names kept, and
-#: the number of names below which a text's lower levels count as well.
-LEVEL, KEPT, FEW = 3, 64, 8
+#: Names kept of each level, from the lowest; a phrase of the highest has about twenty bytes.
+SHARES = (8, 16, 64)
+#: A name's highest bits tell its level.
+TAG = 30
 #: Bytes parsed at a time, documents in a range of ids, and ranges at most (then wider).
 CHUNK, RANGE, MOST_RANGES = 1 << 20, 2048, 1 << 16
 
@@ -101,7 +104,7 @@ def _level(symbols: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return names, np.searchsorted(begin, first)
 
 
-def levels(data: np.ndarray, offsets: np.ndarray, upto: int = LEVEL) -> list:
+def levels(data: np.ndarray, offsets: np.ndarray, upto: int = len(SHARES)) -> list:
     """(names, starts of texts) of levels 1 to `upto`; every text has a byte at least."""
     symbols, first = data, offsets[:-1]
     out = []
@@ -112,30 +115,26 @@ def levels(data: np.ndarray, offsets: np.ndarray, upto: int = LEVEL) -> list:
 
 
 def sketches(texts: list[bytes]) -> list[np.ndarray]:
-    """The KEPT smallest 32-bit names of each text, ascending; none for an empty text."""
+    """The smallest names of each text, SHARES of each level, ascending; none for an empty text."""
     out = [np.zeros(0, np.uint32) for _ in texts]
     full = [k for k, t in enumerate(texts) if t]
     if not full:
         return out
     sizes = np.array([len(texts[k]) for k in full])
     found = levels(np.frombuffer(b"".join(texts[k] for k in full), np.uint8), np.r_[0, np.cumsum(sizes)])
-    owners, names = [], []
-    few = np.ones(len(full), bool)
-    for level in range(LEVEL - 1, -1, -1):
-        symbols, first = found[level]
-        count = np.diff(np.append(first, len(symbols)))
-        owner = np.repeat(np.arange(len(full)), count)
-        take = few[owner]
-        owners.append(owner[take])
-        # The level is part of a name, so that levels never meet.
-        names.append((_mixed(symbols[take] + np.uint64(level)) >> np.uint64(32)).astype(np.uint64))
-        few &= count < FEW
-    key = np.unique(np.concatenate(owners).astype(np.uint64) << np.uint64(32) | np.concatenate(names))
-    owner = (key >> np.uint64(32)).astype(np.int64)
-    edges = np.searchsorted(owner, np.arange(len(full) + 1))
-    small = (key & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    keys = []
+    for level, (symbols, first) in enumerate(found):
+        owner = np.repeat(np.arange(len(full), dtype=np.uint64), np.diff(np.append(first, len(symbols))))
+        name = _mixed(symbols + np.uint64(level)) >> np.uint64(64 - TAG)
+        keys.append(owner << np.uint64(32) | np.uint64(level << TAG) | name)
+    key = np.unique(np.concatenate(keys))
+    group = key >> np.uint64(TAG)
+    place = np.arange(len(key)) - np.searchsorted(group, group)
+    key = key[place < np.array(SHARES)[(group & np.uint64(3)).astype(np.int64)]]
+    edges = np.searchsorted(key >> np.uint64(32), np.arange(len(full) + 1))
+    small = key.astype(np.uint32)
     for j, k in enumerate(full):
-        out[k] = small[edges[j] : min(edges[j + 1], edges[j] + KEPT)]
+        out[k] = small[edges[j] : edges[j + 1]]
     return out
 
 
@@ -146,13 +145,16 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    union = np.union1d(a, b)
-    if len(a) == KEPT or len(b) == KEPT:
-        # Beyond KEPT names a sketch says nothing, so only the smallest of both count.
-        union = union[:KEPT]
-    shared = np.intersect1d(np.intersect1d(a, b), union)
-    jaccard = len(shared) / len(union)
-    return 2 * jaccard / (1 + jaccard)
+    shared = seen = 0
+    for level, most in enumerate(SHARES):
+        x, y = a[a >> TAG == level], b[b >> TAG == level]
+        union = np.union1d(x, y)
+        if len(x) == most or len(y) == most:
+            # Beyond its share a level says nothing, so only the smallest of both count.
+            union = union[:most]
+        shared += len(np.intersect1d(np.intersect1d(x, y), union))
+        seen += len(union)
+    return 2 * shared / (seen + shared)
 
 
 def _hex(sketch: np.ndarray) -> str:
@@ -165,6 +167,19 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - k] + following[:k]
 
 
+def _below(value: Column, cuts: list) -> Column:
+    """How many of the ascending cuts lie below the value, by halving."""
+    table = F.from_json(F.lit(json.dumps(cuts)), "array<bigint>")
+    steps = [1 << k for k in reversed(range(len(cuts).bit_length()))]
+
+    def step(at: Column, size: Column) -> Column:
+        reached = at + size
+        # Beyond the last cut there is none to compare with.
+        return F.when(F.coalesce(F.get(table, reached - 1) < value, F.lit(False)), reached).otherwise(at)
+
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step) if steps else F.lit(0)
+
+
 def neighbours(docs: DataFrame) -> DataFrame:
     """doc_id, text, part, carry: rows dealt and sorted so that each meets its next.
 
@@ -180,13 +195,9 @@ def neighbours(docs: DataFrame) -> DataFrame:
     cuts = rows.agg(F.percentile_approx("doc_id", share, max(10_000, 4 * ranges)).alias("c")).first()["c"] if share else None
     cuts = sorted(set(cuts or []))
 
-    @F.pandas_udf("int")
-    def part_of(ids: pd.Series) -> pd.Series:
-        """Range 0 is the highest; null ids form one below the lowest."""
-        below = np.searchsorted(np.array(cuts, np.int64), ids.fillna(0).to_numpy(np.int64))
-        return pd.Series(np.where(ids.isna(), len(cuts) + 1, len(cuts) - below))
-
-    dealt = rows.withColumn("part", part_of("doc_id"))
+    # Range 0 is the highest; null ids form one below the lowest.
+    part = F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(len(cuts) - _below(F.col("doc_id"), cuts))
+    dealt = rows.withColumn("part", part)
     tops = [(r["part"], r["top"]) for r in dealt.groupBy("part").agg(F.max("doc_id").alias("top")).orderBy("part").collect()]
     if not tops:
         return dealt.withColumn("carry", F.lit(False)).limit(0)
@@ -201,7 +212,7 @@ def neighbours(docs: DataFrame) -> DataFrame:
         .select("doc_id", "text", F.col("goes").alias("part"), F.lit(True).alias("carry"))
     )
     together = dealt.withColumn("carry", F.lit(False)).unionByName(carried)
-    return together.repartition(max(1, ranges // 2), "part").sortWithinPartitions(
+    return together.repartitionById(ranges + 1, "part").sortWithinPartitions(
         "part", "carry", F.col("doc_id").desc_nulls_last(), "text"
     )
 

@@ -54,21 +54,22 @@ def simhash_groups(rows) -> dict:
     return {d: (f"{prints[d]:016x}", found[d]) for d in prints}
 
 
-def repeats(rows, width: int = 13) -> dict:
-    """{doc_id: (n_words, n_removed, sha256 of the kept words)}."""
-    words = {d: WORD.findall(t or "") for d, t in rows}
+def repeats(rows, width: int = 13) -> list:
+    """(doc_id, n_words, n_removed, sha256 of the kept words) of every row."""
+    words = [(d, WORD.findall(t or "")) for d, t in rows]
     first = {}
-    for d in sorted(words):
-        for k in range(len(words[d]) - width + 1):
-            first.setdefault(tuple(words[d][k : k + width]), d)
-    out = {}
-    for d, w in words.items():
+    for d, w in words:
+        for k in range(len(w) - width + 1 if d is not None else 0):
+            window = tuple(w[k : k + width])
+            first[window] = min(d, first.get(window, d))
+    out = []
+    for d, w in words:
         gone = set()
-        for k in range(len(w) - width + 1):
+        for k in range(len(w) - width + 1 if d is not None else 0):
             if first[tuple(w[k : k + width])] < d:
                 gone.update(range(k, k + width))
-        out[d] = (len(w), len(gone), sha(" ".join(x for k, x in enumerate(w) if k not in gone)))
-    return out
+        out.append((str(d), len(w), len(gone), sha(" ".join(x for k, x in enumerate(w) if k not in gone))))
+    return sorted(out)
 
 
 def token_rows(rows, tokenizer, end: int = 2) -> dict:
@@ -117,3 +118,57 @@ def byte_repeats(rows, width: int = 50) -> list:
         spans = tuple((x, y - x) for x, y in zip(edges[::2], edges[1::2]))
         out.append((str(d), len(b), spans, bytes(c for c, g in zip(b, goes) if not g)))
     return sorted(out)
+
+
+WRAP = (1 << 64) - 1
+SPREAD = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
+
+
+def spread(x: int) -> int:
+    x = ((x ^ x >> 30) * SPREAD[1]) & WRAP
+    x = ((x ^ x >> 27) * SPREAD[2]) & WRAP
+    return x ^ x >> 31
+
+
+def toss(a: int, b: int) -> int:
+    """Twice the lowest bit in which a differs from b, plus a's bit there."""
+    low = ((a ^ b) & -(a ^ b)).bit_length() - 1
+    return 0 if a == b else 2 * low + (a >> low & 1)
+
+
+def phrase_names(symbols: list[int]) -> list[int]:
+    """Names of the phrases of one text's symbols."""
+    heads = []
+    for s in symbols:
+        if heads and heads[-1][0] == s:
+            heads[-1][1] += 1
+        else:
+            heads.append([s, 1])
+    labels = [h for h, _ in heads]
+    for _ in range(3):
+        labels = [0] + [toss(a, b) for b, a in zip(labels, labels[1:])]
+    starts = [k for k in range(len(labels)) if k == 0 or k + 1 < len(labels) and labels[k] > max(labels[k - 1], labels[k + 1])]
+    return [
+        spread(sum(spread((h + n * SPREAD[0] + k * SPREAD[1]) & WRAP) for k, (h, n) in enumerate(heads[a:b])) & WRAP)
+        for a, b in zip(starts, starts[1:] + [len(heads)])
+    ]
+
+
+def phrase_sketch(text: str, shares=(8, 16, 64)) -> list[set]:
+    symbols, out = list(text.encode()), []
+    for level, most in enumerate(shares):
+        symbols = phrase_names(symbols)
+        out.append(set(sorted({spread((s + level) & WRAP) >> 34 for s in symbols})[:most]))
+    return out
+
+
+def phrase_likeness(a: list[set], b: list[set], shares=(8, 16, 64)) -> float:
+    if not a[0] or not b[0]:
+        return float(not a[0] and not b[0])
+    both = seen = 0
+    for x, y, most in zip(a, b, shares):
+        union = sorted(x | y)
+        if most in (len(x), len(y)):
+            union = union[:most]
+        both, seen = both + len(x & y & set(union)), seen + len(union)
+    return 2 * both / (both + seen)

@@ -1,17 +1,19 @@
 """Quality, language, SentencePiece, token files, fingerprints."""
 
 import hashlib
+import random
 from collections import Counter
 
 import numpy as np
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from casebook.llm import langid, phrases, pieces, quality, token_files
 from casebook.session import scratch_path
 from tests.llm import brute
-from tests.llm.conftest import SF_DIR
+from tests.llm.conftest import SF_DIR, prose
 
 LARGER = "/root/testdata/sf0.1"
 
@@ -184,12 +186,18 @@ def test_fingerprints_of_edited_texts(spark, small, odd, monkeypatch):
     monkeypatch.setattr(phrases, "RANGE", 16)
     found = {r.doc_id: r for r in phrases.op4(spark, SF_DIR).collect()}
     rows = sorted(small, reverse=True)
-    for k, (d, text) in enumerate(rows):
-        changed = phrases.edited(text, rows[(k + 1) % len(rows)][1])
-        assert found[d].n_chars == len(text)
+    plain = [brute.phrase_sketch(t) for _, t in rows]
+    text = lambda sketch: "".join(f"{level << 30 | x:08x}" for level, names in enumerate(sketch) for x in sorted(names))
+    for k, (d, t) in enumerate(rows):
+        following = (k + 1) % len(rows)
+        third = len(t) // 3
+        changed = t[: len(t) - third] + rows[following][1][:third]
+        assert found[d].n_chars == len(t)
         assert found[d].edited_sha256 == hashlib.sha256(changed.encode()).hexdigest()
-        assert found[d].fingerprint == phrases._hex(phrases.sketches([text.encode()])[0])
-        assert found[d].edited_fingerprint == phrases._hex(phrases.sketches([changed.encode()])[0])
+        new = brute.phrase_sketch(changed)
+        assert (found[d].fingerprint, found[d].edited_fingerprint) == (text(plain[k]), text(new))
+        assert found[d].near_edited == pytest.approx(brute.phrase_likeness(plain[k], new))
+        assert found[d].near_next == pytest.approx(brute.phrase_likeness(plain[k], plain[following]))
     long = [r for r in found.values() if r.n_chars > 400]
     assert np.mean([r.near_edited > 0.4 for r in long]) > 0.97
     assert np.mean([r.near_next < 0.2 for r in long]) > 0.97
@@ -198,6 +206,26 @@ def test_fingerprints_of_edited_texts(spark, small, odd, monkeypatch):
     assert {r.fingerprint for r in odd_rows if r.n_chars == 0} == {""}
 
 
+@pytest.mark.parametrize("words", range(8, 41, 2))
+def test_short_texts_have_no_cliff(words):
+    rng = random.Random(words)
+    texts = [prose(rng, words) for _ in range(200)]
+    near, far = [], []
+    for a, b in zip(texts, texts[1:]):
+        x, y, z = phrases.sketches([t.encode() for t in (a, phrases.edited(a, b), b)])
+        near.append(phrases.likeness(x, y))
+        far.append(phrases.likeness(x, z))
+    assert np.mean(near) > 0.55 and np.mean(np.array(near) < 0.3) < 0.02
+    assert np.mean(far) < 0.2
+
+
+def test_ranges_of_ids(spark):
+    for cuts in ([], [5], list(range(0, 3000, 7))):
+        ids = [-9, 0, 1, 5, 6, 7, 2990, 2996, 2997, 10**15]
+        got = spark.createDataFrame([(k,) for k in ids], "k long").select("k", phrases._below(F.col("k"), cuts).alias("n")).collect()
+        assert {r.k: r.n for r in got} == {k: sum(c < k for c in cuts) for k in ids}
+
+
 @pytest.mark.parametrize("before", [b"", b"x", b"zzz 9 ", b"another beginning of some length"])
 def test_equal_substrings_share_phrases(small, before):
     text = small[3][1].encode()
