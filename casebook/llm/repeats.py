@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casebook.llm import common
@@ -74,12 +74,12 @@ class Chunk:
 
 
 def _chunks(batches):
-    """(ids, texts) of some documents at a time, each text whole."""
+    """((id, tag) rows, texts) of some documents at a time, each text whole."""
     ids, texts, size = [], [], 0
     for batch in batches:
         data = batch.column("text").cast(pa.large_binary()).fill_null(b"")
-        for k, text in zip(batch.column("doc_id").to_pylist(), data):
-            ids.append(k)
+        for k, tag, text in zip(batch.column("doc_id").to_pylist(), batch.column("tag").to_pylist(), data):
+            ids.append((k, tag))
             texts.append(text.as_py())
             size += len(texts[-1])
             if size >= CHUNK:
@@ -141,14 +141,23 @@ def _unpacked(blob: bytes, columns: int) -> list[np.ndarray]:
     return out
 
 
-def _by_bucket(docs: np.ndarray, places: np.ndarray, buckets: int):
-    """(bucket, packed documents and places) for each bucket of documents."""
+def _by_bucket(docs: np.ndarray, tags: np.ndarray, places: np.ndarray, buckets: int):
+    """(bucket, packed documents, tags and places) for each bucket of documents."""
     bucket = np.mod(docs, buckets)
-    order = np.lexsort((places, docs, bucket))
-    bucket, docs, places = bucket[order], docs[order], places[order]
+    order = np.lexsort((places, tags, docs, bucket))
+    bucket, docs, tags, places = bucket[order], docs[order], tags[order], places[order]
     edges = np.flatnonzero(np.diff(bucket, prepend=-1))
     for a, b in zip(edges, np.append(edges[1:], len(bucket))):
-        yield int(bucket[a]), _packed(docs[a:b].view(np.uint64), places[a:b])
+        yield int(bucket[a]), _packed(docs[a:b].view(np.uint64), tags[a:b], places[a:b])
+
+
+def _repeats(node: np.ndarray, docs: np.ndarray, tags: np.ndarray):
+    """(head, repeat) by leaf, sorted by node, document, tag: whether a row is the first leaf
+    of its row under its node, in a node's smallest document or beyond it."""
+    new = np.r_[True, node[1:] != node[:-1]]
+    smallest = docs[new][np.cumsum(new) - 1]
+    once = new | np.r_[True, (docs[1:] != docs[:-1]) | (tags[1:] != tags[:-1])]
+    return once & (docs == smallest), once & (docs > smallest)
 
 
 def _prime_from(n: int) -> int:
@@ -180,16 +189,21 @@ def prefix_counts(rows: DataFrame, width: int) -> list[np.ndarray]:
     return counts
 
 
+def _tag() -> Column:
+    """32 bits of a text's hash: rows that repeat an id over different texts are told apart."""
+    return F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
+
+
 def repeated_windows(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, int]:
     """(bucket, blob) rows and the number of buckets: repeats by bucket of documents.
 
-    A blob packs documents and the first places of windows in them that a smaller id has
-    too, each distinct window of a document once. A document's bucket is its id modulo
+    A blob packs documents, their texts' tags and the first places of windows in them that
+    a smaller id has too, each distinct window of a row once. A document's bucket is its id modulo
     the number of buckets, which grows with the number of windows so that a bucket's
     repeats fit in memory. doc_id is an integer; null ids are left out.
     """
     common.python_ready(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _tag().alias("tag"), "text").filter("doc_id IS NOT NULL")
     counts = prefix_counts(rows, width)
     buckets = _prime_from(8 + 8 * int(counts[0].sum()) // GROUP)
     shared = docs.sparkSession.sparkContext.broadcast(Partition(counts))
@@ -201,24 +215,24 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, in
             chunk = Chunk(texts, width)
             if not len(chunk.starts):
                 continue
-            ids = np.array(ids, np.int64)
+            ids, tags = np.array(ids, np.int64).T
             digest = chunk.digests(width) >> np.uint64(64 - DIGEST_BITS)
             group = partition.of(chunk.codes(), digest)
-            # By window, then document, then place; the first leaf stands for the window.
-            rank = np.argsort(np.argsort(ids, kind="stable"), kind="stable")
+            # By window, then row, then place; rows of the smallest document go on to the group.
+            rank = np.argsort(np.lexsort((tags, ids)))
             order = np.lexsort((rank[chunk.owner], digest, group))
             digest, group, owner = digest[order], group[order], chunk.owner[order]
             place = chunk.starts[order] - chunk.offsets[owner]
-            new = np.r_[True, (digest[1:] != digest[:-1]) | (group[1:] != group[:-1])]
-            node = np.cumsum(new) - 1
-            smallest = ids[owner[new]][node]
-            again = np.r_[False, ~new[1:] & (ids[owner[1:]] == ids[owner[:-1]])]
-            here = (ids[owner] > smallest) & ~again
-            keys = np.flatnonzero(new)
+            node = np.cumsum(np.r_[True, (digest[1:] != digest[:-1]) | (group[1:] != group[:-1])])
+            head, here = _repeats(node, ids[owner], tags[owner])
+            keys = np.flatnonzero(head)
             edges = np.flatnonzero(np.r_[True, group[keys][1:] != group[keys][:-1]])
-            out = [(int(group[keys[a]]), None, _packed(digest[k := keys[a:b]], ids[owner[k]].view(np.uint64), place[k]))
-                   for a, b in zip(edges, np.append(edges[1:], len(keys)))]
-            out += [(-1, k, blob) for k, blob in _by_bucket(ids[owner[here]], place[here], buckets)]
+            out = []
+            for a, b in zip(edges, np.append(edges[1:], len(keys))):
+                k = keys[a:b]
+                blob = _packed(digest[k], ids[owner[k]].view(np.uint64), tags[owner[k]], place[k])
+                out.append((int(group[k[0]]), None, blob))
+            out += [(-1, k, blob) for k, blob in _by_bucket(ids[owner[here]], tags[owner[here]], place[here], buckets)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x, t) for x, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.binary()))],
                 ["grp", "bucket", "blob"],
@@ -235,7 +249,7 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, in
                 if group != at:
                     yield made(nodes(held))
                     held, at = [], group
-                held.append(_unpacked(blob, 3))
+                held.append(_unpacked(blob, 4))
         yield made(nodes(held))
 
     def made(found):
@@ -247,13 +261,12 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, in
     def nodes(held):
         if len(held) < 2:
             return
-        digest, doc, place = (np.concatenate(x) for x in zip(*held))
-        doc = doc.view(np.int64)
-        order = np.lexsort((doc, digest))
-        digest, doc, place = digest[order], doc[order], place[order]
-        new = np.r_[True, digest[1:] != digest[:-1]]
-        repeat = doc > doc[new][np.cumsum(new) - 1]
-        yield from _by_bucket(doc[repeat], place[repeat], buckets)
+        digest, doc, tag, place = (np.concatenate(x) for x in zip(*held))
+        doc, tag = doc.view(np.int64), tag.view(np.int64)
+        order = np.lexsort((tag, doc, digest))
+        digest, doc, tag, place = digest[order], doc[order], tag[order], place[order]
+        _, repeat = _repeats(digest, doc, tag)
+        yield from _by_bucket(doc[repeat], tag[repeat], place[repeat], buckets)
 
     dealt = rows.mapInArrow(leaves, "grp int, bucket int, blob binary")
     # Repeats found within a chunk need no group: they are spread by their bucket.
@@ -266,40 +279,44 @@ def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
     A repeat is a window of `width` words that also starts in a document with a smaller
     id, judged on the input. Kept words are joined by one space. Null and empty texts
-    have no words; texts shorter than a window keep all; documents with one id never
-    repeat one another; rows with a null id keep all. Other columns are not read.
+    have no words; texts shorter than a window keep all; rows with one id never repeat one
+    another, and each loses only what its own text repeats; rows with a null id keep all.
+    Texts of any length are read whole. Other columns are not read.
     """
     found, buckets = repeated_windows(docs, width)
     found = common.stored(found, "repeats")
     kind = docs.schema["doc_id"].dataType.simpleString()
     own = F.pmod(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")), F.lit(buckets)).cast("int")
-    texts = docs.select(own.alias("bucket"), F.lit(1).alias("kind"), "doc_id", "text", F.lit(None).cast("binary").alias("blob"))
+    texts = docs.select(own.alias("bucket"), F.lit(1).alias("kind"), "doc_id", _tag().alias("tag"), "text", F.lit(None).cast("binary").alias("blob"))
     repeats = found.select(
-        "bucket", F.lit(0).alias("kind"), F.lit(None).cast(kind).alias("doc_id"), F.lit(None).cast("string").alias("text"), "blob"
+        "bucket", F.lit(0).alias("kind"), F.lit(None).cast(kind).alias("doc_id"), F.lit(None).cast("long").alias("tag"),
+        F.lit(None).cast("string").alias("text"), "blob",
     )
     # A bucket's repeats come before its texts, which then pass one by one.
     dealt = texts.unionByName(repeats).repartition("bucket").sortWithinPartitions("bucket", "kind")
 
     def run(batches):
-        at, blobs, docs, places = None, [], np.zeros(0, np.int64), np.zeros(0, np.int64)
+        none = [np.zeros(0, np.int64)] * 3
+        at, blobs, (docs, tags, places) = None, [], none
         for batch in batches:
             out = []
             rows = zip(
-                *(batch.column(c).to_pylist() for c in ("bucket", "kind", "doc_id", "blob")),
+                *(batch.column(c).to_pylist() for c in ("bucket", "kind", "doc_id", "tag", "blob")),
                 batch.column("text").cast(pa.large_binary()).fill_null(b""),
             )
-            for bucket, is_text, doc, blob, text in rows:
+            for bucket, is_text, doc, tag, blob, text in rows:
                 if bucket != at:
-                    at, blobs, docs, places = bucket, [], np.zeros(0, np.int64), np.zeros(0, np.int64)
+                    at, blobs, (docs, tags, places) = bucket, [], none
                 if not is_text:
-                    blobs.append(_unpacked(blob, 2))
+                    blobs.append(_unpacked(blob, 3))
                     continue
                 if blobs:
-                    docs, places = (np.concatenate(x).view(np.int64) for x in zip(*blobs))
+                    docs, tags, places = (np.concatenate(x).view(np.int64) for x in zip(*blobs))
                     order = np.argsort(docs, kind="stable")
-                    docs, places, blobs = docs[order], places[order], []
+                    docs, tags, places, blobs = docs[order], tags[order], places[order], []
                 first, last = np.searchsorted(docs, [doc, doc + 1]) if doc is not None else (0, 0)
-                out.append((doc, *_kept(text.as_py(), np.unique(places[first:last]), width)))
+                mine = places[first:last][tags[first:last] == tag]
+                out.append((doc, *_kept(text.as_py(), np.unique(mine), width)))
             columns = list(zip(*out)) if out else [[]] * 4
             yield pa.RecordBatch.from_arrays(
                 [
