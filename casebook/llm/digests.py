@@ -9,12 +9,16 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from casebook.llm import common
 from casebook.session import scratch_path
 
+#: Buckets of a new index, and the folder in it that says how it was made.
+BUCKETS, ABOUT = 64, "_index"
+
 
 def text_digest(text) -> F.Column:
     """SHA-256 of the text with every run of white space replaced by one space."""
@@ -25,19 +29,46 @@ def text_digest(text) -> F.Column:
 class DigestIndex:
     """First keeper of every digest seen so far.
 
-    path: the index folder; an existing one is opened with the bucket count it was
-    made with, which the caller keeps. Appends add files, so a bucket may hold
-    several; `compact` writes a new index with one file a bucket.
+    path: the index folder. Its bucket count and id type are stored beside the data
+    when it is made; an existing index is opened with these, and asking for others is an
+    error. Appends add files, so a bucket may hold several; `compact` writes a new index
+    with one file a bucket. Used as a context, or closed, it leaves no table behind.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 64, id_type: str = "bigint"):
-        self.spark, self.path, self.buckets, self.id_type = spark, path, buckets, id_type
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None, id_type: str | None = None):
+        known = self._known(spark, path)
+        if known is None:
+            known = {"buckets": buckets or BUCKETS, "id_type": id_type or "bigint"}
+            spark.createDataFrame([tuple(known.values())], "buckets int, id_type string").write.parquet(f"{path}/{ABOUT}")
+        for name, asked in (("buckets", buckets), ("id_type", id_type)):
+            if asked is not None and asked != known[name]:
+                raise ValueError(f"the index at {path} has {name} {known[name]}, not {asked}")
+        self.spark, self.path, self.buckets, self.id_type = spark, path, known["buckets"], known["id_type"]
         self.name = f"digest_index_{uuid.uuid4().hex}"
         spark.sql(
-            f"CREATE TABLE {self.name} (digest BINARY, keep_id {id_type}) USING parquet "
-            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'"
+            f"CREATE TABLE {self.name} (digest BINARY, keep_id {self.id_type}) USING parquet "
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{path}'"
         )
 
+    @staticmethod
+    def _known(spark: SparkSession, path: str) -> dict | None:
+        try:
+            return spark.read.parquet(f"{path}/{ABOUT}").first().asDict()
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
+    def close(self) -> None:
+        """Drop the catalog entry; the files stay."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+    def __enter__(self) -> "DigestIndex":
+        return self
+
+    def __exit__(self, *failure) -> None:
+        self.close()
+
     def rows(self) -> DataFrame:
         self.spark.catalog.refreshTable(self.name)
         return self.spark.table(self.name)
@@ -78,7 +109,8 @@ def exact_groups(docs: DataFrame, index: DigestIndex, batches: int = 2) -> DataF
     The rows enter the index in `batches` runs of ascending id, so that of equal texts
     the smallest id is the one that stays. Where a row is repeated with its id, one of
     them stays. A group that has only null ids has a null keeper, and one of it stays.
-    An empty table gives no rows. Other columns are not read.
+    An empty table gives no rows. Texts of any length are read whole and leave the row
+    as a digest. Other columns are not read. The index may be closed afterwards.
     """
     rows = digest_rows(docs)
     share = [k / batches for k in range(1, batches)]
@@ -113,8 +145,8 @@ def fresh_index(spark: SparkSession, id_type: str = "bigint") -> DigestIndex:
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The documents that stay, each column as it was; repeated rows once."""
     id_key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    index = fresh_index(docs.sparkSession, docs.schema["doc_id"].dataType.simpleString())
-    kept = exact_groups(docs, index).filter("kept").select("digest", id_key.alias("id"))
+    with fresh_index(docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()) as index:
+        kept = exact_groups(docs, index).filter("kept").select("digest", id_key.alias("id"))
     # The join leaves rows dealt by both keys, so the window moves nothing.
     once = F.row_number().over(Window.partitionBy("digest", "id").orderBy("id"))
     return (
@@ -127,7 +159,8 @@ def drop_copies(docs: DataFrame) -> DataFrame:
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = exact_groups(docs, fresh_index(spark))
+    with fresh_index(spark) as index:
+        rows = exact_groups(docs, index)
     return rows.select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )

@@ -66,7 +66,8 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, cap: int = CAP, seed: str = S
     docs has doc_id, source and text, and any other columns; one called mix is
     replaced. Null text has size 0, null source is a source of its own, equal ids draw
     equal numbers. A source without words has target 0. No row is dropped: what is not
-    taken has 0 copies. A rerun takes the same copies. An empty table gives no rows.
+    taken has 0 copies. A rerun takes the same copies. An empty table gives no rows. A
+    text of any length is counted whole.
 
     Ranks are summed in fixed buckets first, whatever a source's share of the rows, and
     only the bucket in which a source reaches its target is sorted.
