@@ -4,8 +4,8 @@ import re
 
 import corpus_pipeline
 from casebook.llm import common, langid, mixing, pieces
-from tests.llm import brute
 from tests.llm.conftest import SF_DIR
+from tests.llm.test_near import jaccard_keepers
 
 
 def test_stages_one_by_one(spark, odd):
@@ -30,8 +30,8 @@ def test_stages_one_by_one(spark, odd):
 
     docs = common.stored(stages["near_dedup"](spark, docs, odd), "t")
     assert docs.columns == columns
-    groups = brute.simhash_groups([(r.doc_id, r.text) for r in rows])
-    assert sorted(r.doc_id for r in docs.collect()) == sorted({c for _, c in groups.values()})
+    want = jaccard_keepers([(r.doc_id, r.text) for r in rows])
+    assert sorted(r.doc_id for r in docs.collect()) == sorted(d for d, _ in want)
 
     mixed = common.stored(stages["mixing_sources"](spark, docs, odd), "t")
     assert mixed.columns == columns
