@@ -266,6 +266,17 @@ def _columns(blob: bytes, n: int) -> list[np.ndarray]:
     return out
 
 
+def _trimmed(content: np.ndarray, count: np.ndarray, shape: Shape) -> bytes:
+    """The segments' bytes one after the other, without what fills their rows; compressed."""
+    return zstandard.compress(content.view(np.uint8)[shape.masks[count - 1].view(np.uint8) > 0].tobytes(), 3)
+
+
+def _filled(data: bytes, count: np.ndarray, shape: Shape) -> np.ndarray:
+    rows = np.zeros((len(count), shape.row), np.uint8)
+    rows[shape.masks[count - 1].view(np.uint8) > 0] = np.frombuffer(data, np.uint8)
+    return rows.view(np.uint64)
+
+
 def _by_bucket(doc, tag, start, count, buckets: int):
     """(bucket, blob) of runs of windows that go, by bucket of rows."""
     bucket = tag % buckets
@@ -396,7 +407,7 @@ def later_copies(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, int]:
                 for a, b in zip(edges, np.append(edges[1:], len(order))):
                     part = found.of(order[a:b])
                     head = _planes(chunk.doc[part.row], chunk.tag[part.row], part.start, part.far, part.count)
-                    out.append((int(group[order[a]]), None, head, zstandard.compress(part.content.tobytes(), 3)))
+                    out.append((int(group[order[a]]), None, head, _trimmed(part.content, part.count, shape)))
                 places = (chunk.doc[later.row], chunk.tag[later.row], later.start, later.count)
                 out += [(-1, k, blob, None) for k, blob in _by_bucket(*places, buckets)]
             kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
@@ -428,9 +439,7 @@ def later_copies(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, int]:
         if not held:
             return
         doc, tag, start, far, count = (np.concatenate(c) for c in zip(*(_columns(blob, 5) for blob, _ in held)))
-        content = np.concatenate([
-            np.frombuffer(zstandard.decompress(c), np.uint64).reshape(-1, shape.row // 8) for _, c in held
-        ])
+        content = _filled(b"".join(zstandard.decompress(c) for _, c in held), count, shape)
         order = np.lexsort((start, tag, doc))
         doc, tag, start, far, count, content = (c[order] for c in (doc, tag, start, far, count, content))
         row = np.cumsum(np.r_[True, (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])]) - 1
@@ -469,13 +478,19 @@ def without_later_copies(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     found = common.stored(found, "later-copies")
     rows = tagged(docs)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = rows.select(
-        F.pmod("tag", F.lit(buckets)).cast("int").alias("bucket"), F.lit(1).alias("kind"), "doc_id", "tag", "text",
-        F.lit(None).cast("binary").alias("blob"),
+
+    def packed(batches):
+        """Texts compressed: they are moved once more than anything else of their size."""
+        for batch in batches:
+            texts = batch.column("text").cast(pa.large_binary())
+            blobs = pa.array([zstandard.compress(t.as_py(), 3) for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tag"), blobs], ["doc_id", "tag", "blob"])
+
+    texts = rows.mapInArrow(packed, "doc_id long, tag long, blob binary").select(
+        F.pmod("tag", F.lit(buckets)).cast("int").alias("bucket"), F.lit(1).alias("kind"), "doc_id", "tag", "blob"
     )
     runs = found.select(
-        "bucket", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("tag"),
-        F.lit(None).cast("string").alias("text"), "blob",
+        "bucket", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("tag"), "blob"
     )
     # A bucket's runs come before its texts, which then pass one by one.
     dealt = texts.unionByName(runs).repartition("bucket").sortWithinPartitions("bucket", "kind")
@@ -484,9 +499,8 @@ def without_later_copies(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         at, blobs, places = None, [], [np.zeros(0, np.int64)] * 4
         for batch in batches:
             out = []
-            columns = (batch.column(c).to_pylist() for c in ("bucket", "kind", "doc_id", "tag", "blob"))
-            texts = batch.column("text").cast(pa.large_binary()).fill_null(b"")
-            for bucket, is_text, doc, tag, blob, text in zip(*columns, texts):
+            for bucket, is_text, doc, tag, blob in zip(*(batch.column(c) for c in ("bucket", "kind", "doc_id", "tag", "blob"))):
+                bucket, is_text, doc, tag, blob = (x.as_py() for x in (bucket, is_text, doc, tag, blob))
                 if bucket != at:
                     at, blobs, places = bucket, [], [np.zeros(0, np.int64)] * 4
                 if not is_text:
@@ -498,7 +512,7 @@ def without_later_copies(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                     places, blobs = [c[order] for c in places], []
                 a, b = np.searchsorted(places[0], [doc, doc + 1]) if doc is not None else (0, 0)
                 mine = a + np.flatnonzero(places[1][a:b] == tag)
-                out.append((doc, *_kept(text.as_py(), places[2][mine], places[3][mine], width)))
+                out.append((doc, *_kept(zstandard.decompress(blob), places[2][mine], places[3][mine], width)))
             ids, sizes, starts, lengths, kept = zip(*out) if out else [()] * 5
             offsets = np.cumsum([0] + [len(s) for s in starts])
             spans = pa.StructArray.from_arrays(
