@@ -1,16 +1,20 @@
 """Latest version per event, and the upsert into the silver table.
 
-Silver is plain Parquet: ``data/version=N/event_source=S/event_year=Y`` plus one
-small manifest per version (``manifests/version=N``) that says which version
-holds each (source, year).
-A merge rewrites only the partitions it touches and then adds a manifest, so
-readers of the previous version are never disturbed and a job that dies half
-way leaves nothing visible.
+Silver is plain Parquet: ``data/version=N/event_source=S/event_year=Y/id_part=P``
+plus one small manifest per version (``manifests/version=N``) that says which
+version holds each partition. ``id_part`` is a hash of the event's id, so a batch
+can only hit the parts its own ids fall in: no other partition is looked at, and
+of those only the ones that hold an earlier version, or get a row, are rewritten.
+A merge adds its manifest last, so readers of the previous version are never
+disturbed and a job that dies half way leaves nothing visible. What a merge reads
+besides data is one manifest and one marker named after its batch, however long
+the table has lived.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Collection, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,14 +31,18 @@ KEPT_ON_UPDATE = ("quarantine_reason",)
 TIES = ("event_source", "source_url", "event_title", "event_details")
 ENRICHMENT = ("bedrock_event_title", "bedrock_event_description", "bedrock_verified")
 NO_YEAR = NO_SOURCE = "none"
+# Parts by id of a new table; an existing one keeps the number it was made with.
+ID_PARTS = 8
+PLACE = ("event_source", "event_year", "id_part")
 
 MANIFEST = T.StructType(
     [
         T.StructField("event_source", T.StringType()),
         T.StructField("event_year", T.StringType()),
+        T.StructField("id_part", T.StringType()),
         T.StructField("holder", T.LongType()),
+        T.StructField("parts", T.LongType()),
         T.StructField("batch", T.StringType()),
-        T.StructField("version", T.LongType()),
     ]
 )
 
@@ -117,11 +125,14 @@ def merge_rows(
     return joined.select(*[merged(c).alias(c) for c in columns])
 
 
+REPEATED = "merge source holds an event_id more than once"
+
+
 def assert_unique(rows: DataFrame) -> None:
     """A merge source with a repeated key is an error."""
     repeated = rows.groupBy("event_id").count().where("count > 1").limit(1)
     if not repeated.isEmpty():
-        raise ValueError("merge source holds an event_id more than once")
+        raise ValueError(REPEATED)
 
 
 # --- Stored table ------------------------------------------------------------
@@ -131,68 +142,111 @@ def event_year(moment: Column) -> Column:
     return F.coalesce(F.year(moment).cast("string"), F.lit(NO_YEAR))
 
 
-def _manifests(spark: SparkSession, table: str) -> DataFrame | None:
-    """All manifests; only their folder names are listed until rows are asked for."""
+def id_part(parts: int) -> Column:
+    return F.pmod(F.xxhash64("event_id"), F.lit(parts)).cast("string")
+
+
+def _lines(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame | None:
+    """JSON lines below a path; None where there is no such path."""
     try:
-        return spark.read.schema(MANIFEST).json(f"{table.rstrip('/')}/manifests")
+        return spark.read.schema(schema).json(path)
     except AnalysisException as problem:
-        if "PATH_NOT_FOUND" in str(problem):
+        if problem.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
+def _manifest_path(table: str, version: int | str = "") -> str:
+    return f"{table.rstrip('/')}/manifests" + (f"/version={version}" if version else "")
+
+
+def _newest_path(table: str) -> str:
+    return f"{table.rstrip('/')}/newest"
+
+
+def _marker_path(table: str, batch: str) -> str:
+    return f"{table.rstrip('/')}/batches/{hashlib.sha256(batch.encode()).hexdigest()}"
+
+
 def versions(spark: SparkSession, table: str) -> list[int]:
-    """Versions there are, from the names of the manifests' folders."""
-    if _manifests(spark, table) is None:
+    """Versions there are, from the names of the manifests' folders. For looking
+    back only: a merge or a read of the newest version lists none of them."""
+    if _lines(spark, _manifest_path(table), MANIFEST) is None:
         return []
     listed = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .load(f"{table.rstrip('/')}/manifests")
+        .load(_manifest_path(table))
     )
     number = F.regexp_extract("path", r"/version=(\d+)/", 1).cast("int")
     return [r.v for r in listed.select(number.alias("v")).distinct().orderBy("v").collect()]
 
 
+def newest_version(spark: SparkSession, table: str) -> int:
+    """Newest version, 0 for a new table.
+
+    A note names it, written after the manifest. Where the note is behind, as
+    after a merge that died in between, the manifests that follow are tried.
+    """
+    note = _lines(spark, _newest_path(table), "version long")
+    found = None if note is None else note.first()
+    version = found.version if found else 0
+    while _lines(spark, _manifest_path(table, version + 1), MANIFEST) is not None:
+        version += 1
+    return version
+
+
 def manifest(spark: SparkSession, table: str, version: int | None = None) -> list:
     """Entries of one version (default: the newest); empty for a new table.
 
-    One entry per (source, year): bounded by the partitions of the table. No
-    other version's manifest is read.
+    One entry per partition of the table, read from that version's folder alone.
+    A version without rows has one entry without a holder.
     """
-    known = versions(spark, table)
-    if not known:
-        return []
-    # The version is the manifests' partition column, so this prunes folders.
-    newest = F.col("version") == (known[-1] if version is None else version)
-    return _manifests(spark, table).where(newest & F.col("holder").isNotNull()).collect()
+    version = version or newest_version(spark, table)
+    lines = _lines(spark, _manifest_path(table, version), MANIFEST) if version else None
+    return [] if lines is None else lines.collect()
 
 
 def is_merged(spark: SparkSession, table: str, batch: str) -> bool:
-    """Whether a batch is in the table already, so that a replay is skipped."""
-    every = _manifests(spark, table)
-    return every is not None and not every.where(F.col("batch") == batch).isEmpty()
+    """Whether a batch is in the table already, so that a replay is skipped. Looks
+    for the batch's own marker only."""
+    return _lines(spark, _marker_path(table, batch), "version long") is not None
 
 
 def _read_entries(spark: SparkSession, table: str, entries: Sequence) -> DataFrame:
+    entries = [e for e in entries if e.holder is not None]
     if not entries:
         return spark.createDataFrame([], schemas.SILVER_STORED).select(
-            *schemas.SILVER_COLUMNS, "event_year"
+            *schemas.SILVER_COLUMNS, *PLACE[1:]
         )
     data = f"{table.rstrip('/')}/data"
     holders = sorted({e.holder for e in entries})
-    wanted = [f"{e.holder}/{e.event_source or NO_SOURCE}/{e.event_year}" for e in entries]
+    wanted = [f"{e.holder}/{e.event_source or NO_SOURCE}/{e.event_year}/{e.id_part}" for e in entries]
     stored = (
         spark.read.schema(schemas.SILVER_STORED).option("basePath", data)
         .parquet(*[f"{data}/version={h}" for h in holders])
     )
     # Only partition columns, so this prunes folders and reads no other file.
-    place = F.concat_ws("/", "version", F.coalesce("event_source", F.lit(NO_SOURCE)), "event_year")
-    return stored.where(place.isin(wanted)).select(*schemas.SILVER_COLUMNS, "event_year")
+    place = F.concat_ws("/", "version", F.coalesce("event_source", F.lit(NO_SOURCE)), *PLACE[1:])
+    return stored.where(place.isin(wanted)).select(*schemas.SILVER_COLUMNS, *PLACE[1:])
 
 
 def read_silver(spark: SparkSession, table: str, version: int | None = None) -> DataFrame:
     """The table as of a version; the newest one by default."""
-    return _read_entries(spark, table, manifest(spark, table, version)).drop("event_year")
+    return _read_entries(spark, table, manifest(spark, table, version)).drop(*PLACE[1:])
+
+
+def earlier_places(
+    spark: SparkSession, table: str, entries: Sequence, keys: DataFrame, parts: Collection[str]
+) -> DataFrame:
+    """Partitions that hold an earlier version of one of the keys. Only those of
+    the given id parts are read, and of these three columns; the ids of a small
+    batch are broadcast or Bloom-filtered."""
+    possible = [e for e in entries if e.id_part in parts]
+    return (
+        _read_entries(spark, table, possible).select("event_id", *PLACE)
+        .join(keys.select("event_id"), "event_id", "left_semi")
+        .select(*PLACE).distinct()
+    )
 
 
 def _write_version(rows: DataFrame, table: str, version: int) -> str:
@@ -200,61 +254,72 @@ def _write_version(rows: DataFrame, table: str, version: int) -> str:
     # Rebalancing by the partition columns avoids a file per task and partition;
     # AQE splits the partitions that are large.
     (
-        rows.hint("rebalance", F.col("event_source"), F.col("event_year"))
-        .write.mode("overwrite").partitionBy("event_source", "event_year").parquet(path)
+        rows.hint("rebalance", *[F.col(c) for c in PLACE])
+        .write.mode("overwrite").partitionBy(*PLACE).parquet(path)
     )
     return path
 
 
+def _note(spark: SparkSession, version: int, path: str) -> None:
+    spark.createDataFrame([(version,)], "version long").coalesce(1).write.mode("overwrite").json(path)
+
+
 def merge_into_silver(
     spark: SparkSession,
     incoming: DataFrame,
     table: str,
     batch: str | None = None,
     keep_enrichment: bool = False,
+    id_parts: int = ID_PARTS,
 ) -> int | None:
     """Upsert typed, deduplicated rows; returns the version written, None where
-    the batch is in the table already. A repeated event_id is an error."""
+    the batch is in the table already. A repeated event_id is an error. A batch
+    that died before its marker was written is merged again, to the same rows."""
     if batch is not None and is_merged(spark, table, batch):
         return None
-    entries = manifest(spark, table)
-    version = max(versions(spark, table), default=0) + 1
-    incoming = incoming.withColumn("event_year", event_year(F.col("event_date")))
-    place = ["event_source", "event_year"]
+    before = newest_version(spark, table)
+    entries = manifest(spark, table, before) if before else []
+    version = before + 1
+    parts = entries[0].parts if entries else id_parts
+    incoming = incoming.withColumns(
+        {"event_year": event_year(F.col("event_date")), "id_part": id_part(parts)}
+    )
     # Keys only: the wide rows are read once, where they are written.
-    keys = incoming.select("event_id", *place).persist()
+    keys = incoming.select("event_id", *PLACE).persist()
     try:
-        assert_unique(keys)
-        touched = keys.select(*place).distinct()
+        # One job finds both the partitions touched and ids given twice.
+        ids = keys.groupBy("event_id").agg(
+            F.count("*").alias("n"), F.first(F.struct(*PLACE)).alias("place")
+        )
+        touched = ids.groupBy("place").agg(F.max("n").alias("n")).collect()
+        if any(r.n > 1 for r in touched):
+            raise ValueError(REPEATED)
+        found = {tuple(r.place) for r in touched}
+        own_parts = {place[2] for place in found}
         if entries:
-            # Where do earlier versions of these events live? Reads three
-            # columns; the ids of a small batch are broadcast or Bloom-filtered.
-            earlier = (
-                _read_entries(spark, table, entries).select("event_id", *place)
-                .join(keys.select("event_id"), "event_id", "left_semi")
-                .select(*place).distinct()
-            )
-            touched = touched.unionByName(earlier).distinct()
-        found = {(r.event_source, r.event_year) for r in touched.collect()}
+            earlier = earlier_places(spark, table, entries, keys, own_parts)
+            found |= {tuple(r) for r in earlier.collect()}
     finally:
         keys.unpersist()
-    hit = [e for e in entries if (e.event_source, e.event_year) in found]
+    hit = [e for e in entries if (e.event_source, e.event_year, e.id_part) in found]
     rows = incoming
     if hit:
         merged = merge_rows(_read_entries(spark, table, hit), incoming, keep_enrichment)
-        rows = merged.withColumn("event_year", event_year(F.col("event_date")))
+        rows = merged.withColumns(
+            {"event_year": event_year(F.col("event_date")), "id_part": id_part(parts)}
+        )
     path = _write_version(rows, table, version)
     # Old versions of a moved event are gone from `hit`, so a partition may have
     # become empty: list what was really written.
     written = (
         spark.read.schema(schemas.SILVER_STORED).parquet(path)
-        .groupBy("event_source", "event_year").count().collect()
-    )
-    kept = [(e.event_source, e.event_year, e.holder) for e in entries if e not in hit]
-    listed = kept + [(r.event_source, r.event_year, version) for r in written]
-    listed = [(*e, batch, version) for e in listed] or [(None, None, None, batch, version)]
-    (
-        spark.createDataFrame(listed, MANIFEST).coalesce(1).write.mode("append")
-        .partitionBy("version").json(f"{table.rstrip('/')}/manifests")
+        .groupBy(*PLACE).count().collect()
     )
+    kept = [(*(e[c] for c in PLACE), e.holder) for e in entries if e not in hit and e.holder is not None]
+    listed = kept + [(*(r[c] for c in PLACE), version) for r in written]
+    listed = [(*e, parts, batch) for e in listed] or [(None, None, None, None, parts, batch)]
+    spark.createDataFrame(listed, MANIFEST).coalesce(1).write.json(_manifest_path(table, version))
+    _note(spark, version, _newest_path(table))
+    if batch is not None:
+        _note(spark, version, _marker_path(table, batch))
     return version

@@ -34,7 +34,7 @@ SILVER = T.StructType(
 SILVER_STORED = T.StructType(
     [f for f in SILVER.fields if f.name != "event_source"]
     + [T.StructField("version", T.LongType())]
-    + _texts("event_source", "event_year")
+    + _texts("event_source", "event_year", "id_part")
 )
 
 DIRECTORY_ITEM = T.StructType(

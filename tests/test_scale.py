@@ -186,3 +186,61 @@ def test_scope_reaches_the_scan(spark, tmp_path):
 def test_cube_is_a_hash_aggregate(spark, silver):
     plan = _plan(rollup.event_cube(silver))
     assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def _files_read(frame) -> int:
+    """Files the frame's scan opens once its partition filters have pruned folders."""
+    run = frame._jdf.queryExecution()
+    run.toRdd().count()
+    leaves = run.executedPlan().collectLeaves()
+    return sum(leaves.apply(k).metrics().apply("numFiles").value() for k in range(leaves.size()))
+
+
+def test_a_merge_looks_at_its_own_id_parts_only(spark, tmp_path):
+    table = f"file:{tmp_path}/silver"
+
+    def rows(ids, day, stamp):
+        frame = spark.createDataFrame([(k,) for k in ids], "event_id string")
+        own = {
+            "event_id": F.col("event_id"), "event_source": F.lit("OSHA"),
+            "event_date": F.lit(day).cast("timestamp"), "ingested_at": F.lit(stamp).cast("timestamp"),
+        }
+        return frame.select(*[own.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in merge.schemas.SILVER.fields])
+
+    ids = [f"event {k}" for k in range(400)]
+    for year in (2021, 2022, 2023):
+        merge.merge_into_silver(spark, rows(ids[year - 2021 :: 3], f"{year}-05-01", "2024-01-01"), table, f"b{year}", id_parts=16)
+    entries = merge.manifest(spark, table)
+    assert len(entries) == 48 and {e.parts for e in entries} == {16}
+    # One event moves from 2021 to 2024: its part alone is looked at, in every year.
+    one = rows(ids[:1], "2024-05-01", "2024-02-01")
+    part = one.select(merge.id_part(16).alias("p")).first().p
+    possible = [e for e in entries if e.id_part == part]
+    assert _files_read(merge._read_entries(spark, table, possible).select("event_id")) == 3
+    assert _files_read(merge._read_entries(spark, table, entries).select("event_id")) == 48
+    places = merge.earlier_places(spark, table, entries, one, {part})
+    assert "PartitionFilters: [concat_ws" in places._jdf.queryExecution().toString()
+    assert [tuple(r) for r in places.collect()] == [("OSHA", "2021", part)]
+    assert merge.merge_into_silver(spark, one, table, "move") == 4
+    after = merge.manifest(spark, table)
+    assert {(e.event_year, e.id_part) for e in after if e.holder == 4} == {("2021", part), ("2024", part)}
+    assert sum(e.holder != 4 for e in after) == 47
+    silver = merge.read_silver(spark, table)
+    assert silver.count() == 400 and silver.where("year(event_date) = 2024").count() == 1
+    # A table keeps its number of parts, whatever a later merge would choose.
+    merge.merge_into_silver(spark, rows(["new"], "2024-05-01", "2024-02-01"), table, id_parts=3)
+    assert {e.parts for e in merge.manifest(spark, table)} == {16}
+
+
+def test_newest_version_without_its_note(spark, tmp_path):
+    table = tmp_path / "silver"
+    row = spark.createDataFrame([("a",)], "event_id string").select(
+        *[(F.col("event_id") if f.name == "event_id" else F.lit(None).cast(f.dataType)).alias(f.name) for f in merge.schemas.SILVER.fields]
+    )
+    for k in range(3):
+        merge.merge_into_silver(spark, row, f"file:{table}", f"b{k}")
+    assert merge.newest_version(spark, f"file:{table}") == 3
+    # The note of a merge that died before writing it, and one that was never written.
+    (table / "newest").rename(tmp_path / "late")
+    assert merge.newest_version(spark, f"file:{table}") == 3
+    assert merge.is_merged(spark, f"file:{table}", "b1") and not merge.is_merged(spark, f"file:{table}", "b3")
