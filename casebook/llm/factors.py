@@ -90,16 +90,18 @@ class Shape:
 
 class Segments:
     """Segments of some rows: row, start in the text, first window's distance to the anchor,
-    number of windows, and the bytes, a row of the same size for each."""
+    number of windows, whether the row has an equal one, and the bytes, a row of the same
+    size for each."""
 
-    def __init__(self, row, start, far, count, content):
-        self.row, self.start, self.far, self.count, self.content = row, start, far, count, content
+    def __init__(self, row, start, far, count, twice, content):
+        self.row, self.start, self.far, self.count = row, start, far, count
+        self.twice, self.content = twice, content
 
     def __len__(self):
         return len(self.row)
 
     def of(self, chosen: np.ndarray) -> "Segments":
-        return Segments(*(c[chosen] for c in (self.row, self.start, self.far, self.count, self.content)))
+        return Segments(*(c[chosen] for c in (self.row, self.start, self.far, self.count, self.twice, self.content)))
 
     def digests(self) -> np.ndarray:
         total = self.count.astype(np.uint64)
@@ -151,11 +153,12 @@ def keyed(data: Bytes, pieces, shape: Shape, level: int):
 
 
 def merged(found: Segments, doc: np.ndarray):
-    """(kept, later): of equal segments those of the smallest document, and those beyond it.
+    """(kept, later, alike): of equal segments those of the smallest document, those beyond
+    it, and which of the kept are equal.
 
-    Segments come with ascending documents and rows. A row needs an equal segment once:
-    what goes, goes wherever the row has it. Digests only bring equal segments together;
-    they are merged by their bytes.
+    Segments come with ascending documents and rows. A row needs an equal segment once and
+    is marked: what goes of it, goes wherever the row has it. Digests only bring equal
+    segments together; they are merged by their bytes.
     """
     digest = found.digests()
     order = np.argsort(digest, kind="stable")
@@ -167,6 +170,7 @@ def merged(found: Segments, doc: np.ndarray):
     of = doc[row]
     head = of[new][np.cumsum(new) - 1] if len(of) else of
     once = np.r_[True, row[1:] != row[:-1]] | new
+    found.twice[order] |= ~once | np.r_[~once[1:], False]
     return order[once & (of == head)], order[once & (of > head)], np.cumsum(new)[once & (of == head)]
 
 
@@ -277,15 +281,15 @@ def _filled(data: bytes, count: np.ndarray, shape: Shape) -> np.ndarray:
     return rows.view(np.uint64)
 
 
-def _by_bucket(doc, tag, start, count, buckets: int):
-    """(bucket, blob) of runs of windows that go, by bucket of rows."""
+def _by_bucket(doc, tag, start, count, twice, buckets: int):
+    """(bucket, blob) of runs of windows that go, here or wherever the row has them, by bucket of rows."""
     bucket = tag % buckets
     order = np.lexsort((start, tag, doc, bucket))
     bucket = bucket[order]
     edges = np.flatnonzero(np.diff(bucket, prepend=-1))
     for a, b in zip(edges, np.append(edges[1:], len(bucket))):
         k = order[a:b]
-        yield int(bucket[a]), _planes(doc[k], tag[k], start[k], count[k])
+        yield int(bucket[a]), _planes(doc[k], tag[k], start[k], count[k], twice[k])
 
 
 class Chunk:
@@ -303,7 +307,7 @@ class Chunk:
     def segments(self, row, place, anchor, count) -> Segments:
         words = [self.data.low[place + 8 * j] for j in range(self.shape.row // 8)]
         content = np.stack(words, 1) & self.shape.masks[count - 1]
-        return Segments(row, place - self.offsets[row], anchor - place, count, content)
+        return Segments(row, place - self.offsets[row], anchor - place, count, np.zeros(len(row), bool), content)
 
     def keyed(self, heavy: list[np.ndarray]):
         """(segments, keys, later segments): cut as finely as their keys are frequent."""
@@ -385,7 +389,8 @@ def frequent_keys(rows: DataFrame, shape: Shape, limit: int) -> tuple[int, list[
 def later_copies(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, int]:
     """(bucket, blob) rows and the number of buckets: windows that go, by bucket of rows.
 
-    A blob packs ids, tags, first windows and numbers of windows. A row's bucket is its
+    A blob packs ids, tags, first windows, numbers of windows, and whether the row may have
+    equal ones elsewhere. A row's bucket is its
     tag modulo the number of buckets, which grows with the input.
     """
     shape = Shape(width)
@@ -406,9 +411,9 @@ def later_copies(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, int]:
                 edges = np.flatnonzero(np.diff(group[order], prepend=-1))
                 for a, b in zip(edges, np.append(edges[1:], len(order))):
                     part = found.of(order[a:b])
-                    head = _planes(chunk.doc[part.row], chunk.tag[part.row], part.start, part.far, part.count)
+                    head = _planes(chunk.doc[part.row], chunk.tag[part.row], part.start, part.far, part.count, part.twice)
                     out.append((int(group[order[a]]), None, head, _trimmed(part.content, part.count, shape)))
-                places = (chunk.doc[later.row], chunk.tag[later.row], later.start, later.count)
+                places = (chunk.doc[later.row], chunk.tag[later.row], later.start, later.count, later.twice)
                 out += [(-1, k, blob, None) for k, blob in _by_bucket(*places, buckets)]
             kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays(
@@ -438,22 +443,22 @@ def later_copies(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, int]:
         """What goes of a whole group."""
         if not held:
             return
-        doc, tag, start, far, count = (np.concatenate(c) for c in zip(*(_columns(blob, 5) for blob, _ in held)))
+        doc, tag, start, far, count, twice = (np.concatenate(c) for c in zip(*(_columns(blob, 6) for blob, _ in held)))
         content = _filled(b"".join(zstandard.decompress(c) for _, c in held), count, shape)
         order = np.lexsort((start, tag, doc))
-        doc, tag, start, far, count, content = (c[order] for c in (doc, tag, start, far, count, content))
+        doc, tag, start, far, count, twice, content = (c[order] for c in (doc, tag, start, far, count, twice > 0, content))
         row = np.cumsum(np.r_[True, (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])]) - 1
         first = np.flatnonzero(np.diff(row, prepend=-1))
-        found = Segments(row, start, far, count, content)
+        found = Segments(row, start, far, count, twice, content)
         kept, later, alike = merged(found, doc[first])
-        yield from _by_bucket(doc[later], tag[later], start[later], count[later], buckets)
+        yield from _by_bucket(doc[later], tag[later], start[later], count[later], twice[later], buckets)
         # One stands for all that are equal; what goes of it goes of each.
         head = np.flatnonzero(np.diff(alike, prepend=-1))
         segment, window, n = copied(found.of(kept[head]), doc[first], shape)
         times = np.diff(np.r_[head, len(kept)])[segment]
         pick = np.repeat(head[segment] - np.cumsum(times) + times, times) + np.arange(int(times.sum()))
         k = kept[pick]
-        yield from _by_bucket(doc[k], tag[k], start[k] + np.repeat(window, times), np.repeat(n, times), buckets)
+        yield from _by_bucket(doc[k], tag[k], start[k] + np.repeat(window, times), np.repeat(n, times), twice[k], buckets)
 
     dealt = rows.mapInArrow(split, "grp int, bucket int, blob binary, content binary")
     # What goes within a chunk needs no group: it is spread by its bucket.
@@ -472,7 +477,7 @@ def without_later_copies(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     all and take nothing. Texts of any length are read whole. An empty table gives no
     rows. Other columns are not read.
 
-    Within one text that has a copy, equal windows are found by a 64-bit hash.
+    Equal windows of one text that has a copy are found by a 64-bit hash.
     """
     found, buckets = later_copies(docs, width)
     found = common.stored(found, "later-copies")
@@ -496,15 +501,14 @@ def without_later_copies(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     dealt = texts.unionByName(runs).repartition("bucket").sortWithinPartitions("bucket", "kind")
 
     def run(batches):
-        at, blobs, places = None, [], [np.zeros(0, np.int64)] * 4
+        at, blobs, places = None, [], [np.zeros(0, np.int64)] * 5
         for batch in batches:
             out = []
-            for bucket, is_text, doc, tag, blob in zip(*(batch.column(c) for c in ("bucket", "kind", "doc_id", "tag", "blob"))):
-                bucket, is_text, doc, tag, blob = (x.as_py() for x in (bucket, is_text, doc, tag, blob))
+            for bucket, is_text, doc, tag, blob in zip(*(batch.column(c).to_pylist() for c in ("bucket", "kind", "doc_id", "tag", "blob"))):
                 if bucket != at:
-                    at, blobs, places = bucket, [], [np.zeros(0, np.int64)] * 4
+                    at, blobs, places = bucket, [], [np.zeros(0, np.int64)] * 5
                 if not is_text:
-                    blobs.append(_columns(blob, 4))
+                    blobs.append(_columns(blob, 5))
                     continue
                 if blobs:
                     places = [np.concatenate(c) for c in zip(*blobs)]
@@ -512,7 +516,7 @@ def without_later_copies(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                     places, blobs = [c[order] for c in places], []
                 a, b = np.searchsorted(places[0], [doc, doc + 1]) if doc is not None else (0, 0)
                 mine = a + np.flatnonzero(places[1][a:b] == tag)
-                out.append((doc, *_kept(zstandard.decompress(blob), places[2][mine], places[3][mine], width)))
+                out.append((doc, *_kept(zstandard.decompress(blob), *(c[mine] for c in places[2:]), width)))
             ids, sizes, starts, lengths, kept = zip(*out) if out else [()] * 5
             offsets = np.cumsum([0] + [len(s) for s in starts])
             spans = pa.StructArray.from_arrays(
@@ -529,21 +533,24 @@ def without_later_copies(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     return out.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
-def _kept(text: bytes, start: np.ndarray, count: np.ndarray, width: int):
+def _kept(text: bytes, start: np.ndarray, count: np.ndarray, twice: np.ndarray, width: int):
     """Bytes, starts and lengths of the runs that go, and the bytes that stay."""
     none = np.zeros(0, np.int64)
     if not len(start):
         return len(text), none, none, text
-    data = Bytes(text, width)
-    listed = np.repeat(start - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
-    wanted = np.unique(data.digests(np.unique(listed), width))
-    cover = np.zeros(len(text) + 1, np.int64)
-    for a in range(0, len(text) - width + 1, CHUNK):
-        at = np.arange(a, min(a + CHUNK, len(text) - width + 1))
-        # A window listed once for a text goes wherever the text has it.
-        at = at[np.isin(data.digests(at, width), wanted)]
-        cover[at] += 1
-        cover[at + width] -= 1
+    size = len(text) + 1
+    cover = np.bincount(start, minlength=size) - np.bincount(start + count - 1 + width, minlength=size)
+    start, count = start[twice > 0], count[twice > 0]
+    if len(start):
+        data = Bytes(text, width)
+        listed = np.repeat(start - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
+        wanted = np.unique(data.digests(np.unique(listed), width))
+        for a in range(0, len(text) - width + 1, CHUNK):
+            at = np.arange(a, min(a + CHUNK, len(text) - width + 1))
+            # A window listed once for such a text goes wherever the text has it.
+            at = at[np.isin(data.digests(at, width), wanted)]
+            cover[at] += 1
+            cover[at + width] -= 1
     goes = np.cumsum(cover)[:-1] > 0
     turns = np.flatnonzero(np.diff(np.r_[False, goes, False]))
     first, last = turns[::2], turns[1::2]
