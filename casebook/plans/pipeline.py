@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Collection
 from dataclasses import dataclass
 
@@ -19,7 +20,7 @@ from casebook.operators import (
     sitemap,
     sites,
 )
-from casebook.sources import landing, tables
+from casebook.sources import landing, ledger, tables
 
 
 @dataclass(frozen=True)
@@ -130,38 +131,63 @@ def run_ingest(
     paths: Paths,
     files: DataFrame | None = None,
     files_per_batch: int = 20_000,
+    batch: str | None = None,
     **options,
 ) -> int:
     """Append every admitted file's rows to their zone; returns the file count.
 
-    Without a list of files, those below the landing folder that no earlier call
-    took in: a ledger of paths is kept, so running again appends nothing twice.
+    Without a list of files: first the batches that an earlier call planned and
+    did not finish, then all files below the landing folder that no batch has
+    yet. With one: these files, under the name given, so that the same call made
+    again replaces what it wrote before.
     File names are plan-time metadata, so a large landing is worked off in
     batches: no task or driver ever holds more names than a batch has.
     """
-    listed = files is None
-    if listed:
-        files = landing.list_landing(spark, paths.landing)
-        done = dimensions.stored(spark, paths.ledger)
-        if done is not None:
-            files = files.join(done.select("path"), "path", "left_anti")
-    company_lookup, city_keys = lookups(spark, paths)
+    count = 0
+    if files is None:
+        listed = landing.list_landing(spark, paths.landing)
+        for name in ledger.pending(spark, paths.ledger):
+            mine = ledger.planned(spark, paths.ledger).where(F.col("batch") == name)
+            count += take_in(spark, paths, name, listed.join(mine.select("path"), "path", "left_semi"), **options)
+        known = ledger.planned(spark, paths.ledger).select("path")
+        files = listed.join(known, "path", "left_anti")
+    batch = batch or f"ingest-{uuid.uuid4().hex}"
     files = files.persist()
     try:
-        count = files.count()
-        batches = -(-count // files_per_batch)
+        new = files.count()
+        batches = -(-new // files_per_batch)
         for number in range(batches):
-            batch = files.where(F.pmod(F.xxhash64("path"), F.lit(batches)) == number)
-            routed = ingest.ingest_files(
-                spark, batch, paths.landing, company_lookup, city_keys, **options
-            )
-            if routed is not None:
-                tables.write_zones(routed, paths.lake)
-            if listed:
-                batch.select("path").write.mode("append").parquet(paths.ledger)
+            part = files.where(F.pmod(F.xxhash64("path"), F.lit(batches)) == number)
+            take_in(spark, paths, f"{batch}-{number}-of-{batches}", part, **options)
     finally:
         files.unpersist()
-    return count
+    return count + new
+
+
+def take_in(
+    spark: SparkSession, paths: Paths, batch: str, files: DataFrame,
+    ingested_at: Column | None = None, **options,
+) -> int:
+    """One batch of files -> zones, exactly once: planned, written under its name,
+    then entered as done. Returns its number of files, 0 if it was done already."""
+    if ledger.is_done(spark, paths.ledger, batch):
+        return 0
+    entry = ledger.plan(spark, paths.ledger, batch, files, ingested_at)
+    found = entry.agg(F.count("*").alias("files"), F.max("ingested_at").alias("moment")).first()
+    write_batch(spark, paths, batch, files, F.lit(found.moment), **options)
+    ledger.finish(spark, paths.ledger, batch)
+    return found.files
+
+
+def write_batch(
+    spark: SparkSession, paths: Paths, batch: str, files: DataFrame, ingested_at: Column, **options
+) -> None:
+    company_lookup, city_keys = lookups(spark, paths)
+    routed = ingest.ingest_files(
+        spark, files, paths.landing, company_lookup, city_keys, ingested_at=ingested_at, **options
+    )
+    if routed is not None:
+        tables.write_zones(routed, paths.lake, batch=batch)
 
 
 def run_backfill(spark: SparkSession, paths: Paths, **options) -> int:

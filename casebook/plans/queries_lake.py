@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casebook import schemas, session, vocab
@@ -12,7 +12,7 @@ from casebook.plans import pipeline, queries_entities, views
 from casebook.plans.queries_rollup import as_of
 from casebook.plans.queries_serving import event_rows
 from casebook.plans.views import query, table
-from casebook.sources import landing, reference_files, tables
+from casebook.sources import landing, ledger, reference_files, tables
 from casebook.streaming import intake
 
 STAMP = "2025-06-01 00:00:00"
@@ -264,13 +264,8 @@ def gazetteer_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _scratch(spark, "gazetteer")
     names = reference_files.GAZETTEER_COLUMNS
     rows = queries_entities.gazetteer(spark, sf_dir)
-    lines = rows.select(F.col("line").alias("at"), F.concat_ws("\t", *names).alias("value"))
-    head = spark.range(3).select(
-        (F.col("id") - 3).alias("at"),
-        F.element_at(F.array(F.lit("places"), F.lit(""), F.lit("\t".join(names))), (F.col("id") + 1).cast("int")).alias("value"),
-    )
-    # The header has to lead its file, so this input is a file of its own.
-    head.unionByName(lines).coalesce(1).sortWithinPartitions("at").select("value").write.text(path)
+    lines = rows.select("line", F.concat_ws("\t", *names).alias("value"))
+    _headed(lines, F.col("line"), ["places", "", "\t".join(names)]).write.text(path)
     found = reference_files.read_gazetteer(spark, path)
     return found.select(F.col("USPS").alias("state"), F.col("NAME").alias("full_name"), F.col("GEOID").alias("geoid"), F.col("INTPTLAT").alias("lat"))
 
@@ -297,9 +292,22 @@ def listing_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Landing files ---------------------------------------------------------------
 
 
+def _headed(rows: DataFrame, key: Column, head: list[str]) -> DataFrame:
+    """Text lines (value) dealt over as many files as tasks, each led by the head lines."""
+    parts = rows.sparkSession.sparkContext.defaultParallelism
+    part = F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+    lines = rows.select(part.alias("part"), F.lit(len(head)).alias("at"), "value")
+    heads = rows.sparkSession.range(parts).select(
+        F.col("id").cast("int").alias("part"), F.posexplode(F.array(*map(F.lit, head))).alias("at", "value")
+    )
+    dealt = heads.unionByName(lines).repartitionById(parts, "part")
+    return dealt.sortWithinPartitions("part", "at").select("value")
+
+
 def _write_landing(spark: SparkSession, sf_dir: str, root: str) -> None:
     """Orders as raw files of two layouts: quoted line breaks, and surplus cells."""
     orders = table(spark, sf_dir, "orders")
+    orders = orders.repartition(spark.sparkContext.defaultParallelism)
     key = F.col("o_orderkey").cast("string")
     wide = orders.select(
         key.alias("ID"), F.concat(F.lit("Firm "), F.col("o_custkey").cast("string")).alias("Employer"),
@@ -308,11 +316,9 @@ def _write_landing(spark: SparkSession, sf_dir: str, root: str) -> None:
     )
     wide.write.option("header", True).option("escape", '"').csv(f"{root}/estuary/OSHA/severe-incident")
     extra = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit(",MORE "), key)).otherwise("")
-    # As text, so that the comma starts a cell of its own; the header leads its file.
-    lines = orders.select(F.col("o_orderkey").alias("at"), F.concat(key, F.lit(","), "o_orderstatus", extra).alias("value"))
-    head = spark.range(1).select(F.lit(-1).cast("long").alias("at"), F.lit("id,Note").alias("value"))
-    ragged = head.unionByName(lines).coalesce(1).sortWithinPartitions("at").select("value")
-    ragged.write.text(f"{root}/estuary/fda/recalls")
+    # As text, so that the comma starts a cell of its own; a header leads every file.
+    lines = orders.select("o_orderkey", F.concat(key, F.lit(","), "o_orderstatus", extra).alias("value"))
+    _headed(lines, F.col("o_orderkey"), ["id,Note"]).write.text(f"{root}/estuary/fda/recalls")
 
 
 @query(
@@ -361,6 +367,31 @@ def landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "replayed_intake",
+    """SELECT 'OSHA' AS source, count(*) AS events, count(DISTINCT o_orderkey) AS ids, 1::BIGINT AS moments FROM orders
+      UNION ALL SELECT 'FDA', count(*), count(DISTINCT o_orderkey), 1 FROM orders""",
+)
+def replayed_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that dies between its rows and its ledger entry, then a run that finds it
+    unfinished beside new files: every row is there once, with the batch's first moment."""
+    paths = pipeline.Paths(_scratch(spark, "replayed"))
+    _write_landing(spark, sf_dir, paths.landing)
+    pipeline.build_dimensions(spark, paths, gazetteer=queries_entities.gazetteer(spark, sf_dir))
+    listed = landing.list_landing(spark, paths.landing)
+    early = listed.where("source = 'OSHA'")
+    for _ in range(2):
+        entry = ledger.plan(spark, paths.ledger, "first", early, F.lit(STAMP).cast("timestamp"))
+        pipeline.write_batch(spark, paths, "first", early, F.lit(entry.first().ingested_at))
+    for _ in range(2):
+        pipeline.run_ingest(spark, paths)
+    held = tables.read_quarantine(spark, paths.lake)
+    return held.groupBy(F.col("event_source").alias("source")).agg(
+        F.count("*").alias("events"), F.count_distinct("event_id").alias("ids"),
+        F.count_distinct("ingested_at").alias("moments"),
+    )
+
+
 @query(
     "backfill_scan",
     "SELECT o_orderpriority AS priority, count(*) AS events, count(DISTINCT o_orderkey) AS ids FROM orders GROUP BY 1",

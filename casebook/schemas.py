@@ -24,6 +24,9 @@ BRONZE = T.StructType(
     + _texts("partition_source", "partition_year")
 )
 
+# As it lies in a zone: the batch that wrote a file is its innermost folder.
+BRONZE_STORED = T.StructType(BRONZE.fields + _texts("batch"))
+
 _SILVER_SPECIAL = {
     **_SPECIAL, "ingested_at": T.TimestampType(), "event_date": T.TimestampType(),
 }

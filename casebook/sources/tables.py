@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -20,9 +22,9 @@ def zone_path(lake: str, zone: str) -> str:
 
 
 def _read_zone(spark: SparkSession, lake: str, zone: str) -> DataFrame:
-    # The stored schema names both partition columns as strings, so years are
+    # The stored schema names the partition columns as strings, so years are
     # not inferred as numbers; filters on them prune folders.
-    return spark.read.schema(schemas.BRONZE).parquet(zone_path(lake, zone))
+    return spark.read.schema(schemas.BRONZE_STORED).parquet(zone_path(lake, zone)).drop("batch")
 
 
 def read_bronze(spark: SparkSession, lake: str) -> DataFrame:
@@ -61,16 +63,19 @@ def peek_quarantine(spark: SparkSession, lake: str, rows: int = 10) -> tuple[Dat
 
 
 def write_zones(
-    routed: DataFrame, lake: str, max_rows_per_file: int = 0
+    routed: DataFrame, lake: str, max_rows_per_file: int = 0, batch: str | None = None
 ) -> None:
     """Append valid and quarantined rows in one pass.
 
     ``zone`` is the first partition column, so the rows are computed once and
-    nothing is cached; no shuffle is needed, a task writes its own files.
+    nothing is cached; no shuffle is needed, a task writes its own files. The
+    last one is the batch: the same batch written again replaces its own rows
+    and no others. Without a name the batch is new.
     """
     (
-        routed.write.mode("append")
-        .partitionBy("zone", "partition_source", "partition_year")
+        routed.withColumn("batch", F.lit(batch or uuid.uuid4().hex))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("zone", "partition_source", "partition_year", "batch")
         .option("maxRecordsPerFile", max_rows_per_file)
         .parquet(lake)
     )
@@ -146,8 +151,8 @@ def _ddl(fields) -> str:
 def create_bronze_table(spark: SparkSession, lake: str, name: str = "reef") -> None:
     """External table over the bronze folder, then partition discovery."""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(schemas.BRONZE.fields)}) USING PARQUET "
-        f"PARTITIONED BY (partition_source, partition_year) "
+        f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(schemas.BRONZE_STORED.fields)}) USING PARQUET "
+        f"PARTITIONED BY (partition_source, partition_year, batch) "
         f"LOCATION '{zone_path(lake, vocab.BRONZE_ZONE)}'"
     )
     repair_partitions(spark, name)

@@ -39,13 +39,20 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
 def intake(
     spark: SparkSession, paths: pipeline.Paths, max_files: int = 1000, once: bool = True, **options
 ) -> StreamingQuery:
-    """New landing files -> bronze and quarantine, a batch of files at a time."""
+    """New landing files -> bronze and quarantine, a batch of files at a time.
+
+    A batch is named after the stream and its number, so one that Spark hands
+    over again after a failure replaces its own rows.
+    """
+    checkpoint = f"{paths.checkpoints}/intake"
 
     def handle(files: DataFrame, batch_id: int) -> None:
-        pipeline.run_ingest(files.sparkSession, paths, files, **options)
+        session = files.sparkSession
+        batch = f"intake-{stream_id(session, checkpoint)}-{batch_id}"
+        pipeline.run_ingest(session, paths, files, batch=batch, **options)
 
     stream = landing.stream_landing(spark, paths.landing, max_files)
-    return run(stream, handle, f"{paths.checkpoints}/intake", once)
+    return run(stream, handle, checkpoint, once)
 
 
 def upsert(
@@ -67,9 +74,9 @@ def upsert(
         merge.merge_into_silver(session, rows, paths.silver, batch, keep_enrichment)
 
     stream = (
-        spark.readStream.schema(schemas.BRONZE)
+        spark.readStream.schema(schemas.BRONZE_STORED)
         .option("maxFilesPerTrigger", max_files)
-        .parquet(tables.zone_path(paths.lake, "reef"))
+        .parquet(tables.zone_path(paths.lake, "reef")).drop("batch")
     )
     return run(stream, handle, checkpoint, once)
 

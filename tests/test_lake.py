@@ -368,3 +368,19 @@ def test_every_site_is_in_some_document(spark, tmp_path):
     assert pages.select(F.explode("sites.slug").alias("s")).distinct().count() == 100
     docs = documents.site_page_documents(pages, F.lit("now"))
     assert sorted(r.SK for r in docs.collect()) == [f"SITES#{k:08d}" for k in (2, 3, 4)]
+
+
+def test_a_batch_taken_in_again_replaces_its_rows(spark, tmp_path):
+    built = lake.build(spark, tmp_path)
+    files = landing.list_landing(spark, built.landing)
+    for stamp in ("2025-06-01 00:00:00", "2026-06-01 00:00:00"):
+        # As a stream that is handed a batch again before its ledger entry was written.
+        pipeline.run_ingest(spark, built, files, batch="stream-0", ingested_at=lake.stamp(stamp))
+        good = tables.read_bronze(spark, built.lake)
+        assert good.count() + tables.read_quarantine(spark, built.lake).count() == 9
+        assert {r.ingested_at for r in good.select("ingested_at").collect()} == {"2025-06-01T00:00:00.000Z"}
+        (tmp_path / "lake" / "ledger" / "done").rename(tmp_path / f"done-{stamp[:4]}")
+    # Planned and unfinished: the next run finishes it and finds nothing else to do.
+    assert pipeline.run_ingest(spark, built) == 4
+    assert pipeline.run_ingest(spark, built) == 0
+    assert tables.read_bronze(spark, built.lake).count() == good.count() == 8
