@@ -249,6 +249,33 @@ def earlier_places(
     )
 
 
+def changes(
+    spark: SparkSession, table: str, version: int, columns: Sequence[str] = schemas.SILVER_COLUMNS
+) -> DataFrame:
+    """What a merge changed, as signed rows: -1 for an event as it was, 1 for it as it is.
+
+    Only the partitions that the merge rewrote are read, in both versions. An event
+    whose columns stayed the same has no row.
+    """
+    before = manifest(spark, table, version - 1) if version > 1 else []
+    after = manifest(spark, table, version)
+    kept = {(e.holder, *(e[c] for c in PLACE)) for e in after}
+    gone = [e for e in before if (e.holder, *(e[c] for c in PLACE)) not in kept]
+    new = [e for e in after if e.holder == version]
+    shown = F.struct(*columns)
+    old_rows = _read_entries(spark, table, gone).select("event_id", shown.alias("old"))
+    new_rows = _read_entries(spark, table, new).select("event_id", shown.alias("new"))
+    both = old_rows.join(new_rows, "event_id", "full_outer").where(~F.col("old").eqNullSafe(F.col("new")))
+    signed = F.array(
+        F.struct(F.lit(-1).alias("sign"), F.col("old").alias("row")),
+        F.struct(F.lit(1).alias("sign"), F.col("new").alias("row")),
+    )
+    return (
+        both.select(F.explode(signed).alias("s")).where("s.row is not null")
+        .select("s.sign", "s.row.*")
+    )
+
+
 def _write_version(rows: DataFrame, table: str, version: int) -> str:
     path = f"{table.rstrip('/')}/data/version={version}"
     # Rebalancing by the partition columns avoids a file per task and partition;

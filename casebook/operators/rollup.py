@@ -2,9 +2,9 @@
 
 The levels share one shape: stats of a key, a directory of its children, and
 the newest events per source. All counts come from one small cube (one row per
-state, city and company), and all recents from one candidate set (the newest
-events per cube cell and source), so silver is scanned twice for every level
-together instead of three times per level.
+state, city, company and site), and all recents from one candidate set (the
+newest events per cube cell and source), so silver is scanned twice for every
+level together instead of three times per level.
 """
 
 from __future__ import annotations
@@ -16,10 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from casebook import vocab
+from casebook import session, vocab
 from casebook.functions import dates
 
 CELL = ("state", "city_slug", "company_slug")
+FINE_CELL = (*CELL, "site_id")
 LABELS = ("city", "company_name")
 EVENT = (
     "event_source", "event_id", "event_title", "event_description", "event_date",
@@ -62,9 +63,10 @@ COMPANY = Level("company", ("company_slug",), None, None, None, (*_HEAD, *_PLACE
 SITE = Level("site", ("company_slug", "site_id"), None, None, None, (*_HEAD, *_PLACE))
 
 
-def shown_events(silver: DataFrame) -> DataFrame:
-    """Roll-up columns only; enriched texts replace the raw ones."""
+def shown_events(silver: DataFrame, further: Sequence[str] = ()) -> DataFrame:
+    """Roll-up columns (and further ones) only; enriched texts replace the raw ones."""
     return silver.select(
+        *further,
         *[
             F.coalesce(f"bedrock_{c}", c).alias(c)
             if c in ("event_title", "event_description") else F.col(c)
@@ -124,13 +126,9 @@ def company_stats(cube: DataFrame) -> DataFrame:
     )
 
 
-def site_stats(silver: DataFrame) -> DataFrame:
-    """Sites are finer than the cube's cells, so they are counted from the events:
-    per name first (a hash aggregate), then the names of a site are folded."""
-    named = _given(silver, SITE.keys).groupBy(*SITE.keys, "company_name").agg(
-        F.count("*").alias("events"), F.max("event_date").alias("last_date")
-    )
-    return named.groupBy(*SITE.keys).agg(
+def site_stats(cube: DataFrame) -> DataFrame:
+    """From a cube whose cells tell sites apart."""
+    return _given(cube, SITE.keys).groupBy(*SITE.keys).agg(
         F.max("company_name").alias("company_name"),
         _total(),
         dates.stamp(F.max("last_date")).alias("last_active"),
@@ -196,13 +194,12 @@ def recent_events(
     return ranked(rows, [*keys, "event_source"], newest_first(), top)
 
 
-def recent_candidates(events: DataFrame, top: int = vocab.RECENT_PER_SOURCE) -> DataFrame:
+def recent_candidates(
+    events: DataFrame, top: int = vocab.RECENT_PER_SOURCE, cell: Sequence[str] = CELL
+) -> DataFrame:
     """Newest events per cube cell and source. The newest of any coarser key are
     among them, since every coarser group is a union of cells."""
-    return ranked(
-        events.where("event_source is not null"), [*CELL, "event_source"],
-        newest_first(), top,
-    ).drop("rank")
+    return ranked(events, [*cell, "event_source"], newest_first(), top).drop("rank")
 
 
 def _event_struct(level: Level) -> Column:
@@ -329,21 +326,26 @@ def company_gold(cube: DataFrame, candidates: DataFrame) -> DataFrame:
     )
 
 
-def site_gold(events: DataFrame, top: int = vocab.RECENT_PER_SOURCE) -> DataFrame:
-    stats = site_stats(events)
-    return stats.join(recent_lists(events, SITE, top), list(SITE.keys), "left")
+def site_gold(
+    cube: DataFrame, candidates: DataFrame, top: int = vocab.RECENT_PER_SOURCE
+) -> DataFrame:
+    return site_stats(cube).join(recent_lists(candidates, SITE, top), list(SITE.keys), "left")
 
 
-def all_gold(silver: DataFrame, as_of: Column) -> tuple[dict[str, DataFrame], list[DataFrame]]:
-    """Every level, plus the shared frames to unpersist once they are written."""
-    events = shown_events(silver)
-    cube = event_cube(events).persist()
-    candidates = recent_candidates(events).persist()
-    gold = {
+def levels_of(cube: DataFrame, candidates: DataFrame, as_of: Column) -> dict[str, DataFrame]:
+    """Every level from a cube and candidates whose cells tell sites apart."""
+    return {
         "nation": nation_gold(cube, candidates, as_of),
         "state": state_gold(cube, candidates),
         "city": city_gold(cube, candidates),
         "company": company_gold(cube, candidates),
-        "site": site_gold(events),
+        "site": site_gold(cube, candidates),
     }
-    return gold, [cube, candidates]
+
+
+def all_gold(silver: DataFrame, as_of: Column) -> tuple[dict[str, DataFrame], list[DataFrame]]:
+    """Every level, and the two stored frames they share: no level reads silver again."""
+    events = shown_events(silver)
+    cube = session.stored(event_cube(events, FINE_CELL), "cube")
+    candidates = session.stored(recent_candidates(events, cell=FINE_CELL), "candidates")
+    return levels_of(cube, candidates, as_of), [cube, candidates]

@@ -16,6 +16,7 @@ from casebook.operators import (
     ingest,
     merge,
     quarantine,
+    refresh,
     rollup,
     sitemap,
     sites,
@@ -48,6 +49,11 @@ class Paths:
     def gold(self) -> str:
         return self._at("gold")
 
+    @property
+    def summary(self) -> str:
+        """Counts, newest events and gold by key, for refreshes."""
+        return self._at("summary")
+
     @property
     def documents(self) -> str:
         return self._at("documents")
@@ -223,13 +229,17 @@ def run_merge(
 
 
 def run_gold(spark: SparkSession, paths: Paths, as_of: Column) -> None:
-    gold, shared = rollup.all_gold(merge.read_silver(spark, paths.silver), as_of)
-    try:
-        for level, frame in gold.items():
-            tables.write_gold(frame, paths.gold, level)
-    finally:
-        for frame in shared:
-            frame.unpersist()
+    gold, _ = rollup.all_gold(merge.read_silver(spark, paths.silver), as_of)
+    for level, frame in gold.items():
+        tables.write_gold(frame, paths.gold, level)
+
+
+def run_refresh(spark: SparkSession, paths: Paths, version: int, as_of: Column) -> dict[str, int]:
+    """Bring the summary up to date with what one merge changed: the keys of its events
+    and no others. Returns how many keys of each level were built anew."""
+    columns = [c for c in merge.schemas.SILVER_COLUMNS if c in refresh.NEEDED]
+    changed = merge.changes(spark, paths.silver, version, columns)
+    return refresh.refresh(spark, paths.summary, changed, merge.read_silver(spark, paths.silver), as_of)
 
 
 def run_serving(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from casebook import schemas, session, vocab
 from casebook.functions import dates, events
-from casebook.operators import dimensions, merge, quarantine, rollup
+from casebook.operators import dimensions, merge, quarantine, refresh, rollup
 from casebook.plans import pipeline, queries_entities, views
 from casebook.plans.queries_rollup import as_of
 from casebook.plans.queries_serving import event_rows
@@ -165,31 +165,53 @@ def recovery_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Gold and dimensions ---------------------------------------------------------
 
 
-@query(
-    "gold_round_trip",
-    views.with_base(
-        "SELECT 'city' AS level, city_slug AS key, count(*) AS total_events, count(DISTINCT company_slug) AS listed, "
-        "count(DISTINCT event_source) AS sources FROM silver WHERE city_slug IS NOT NULL GROUP BY 2 UNION ALL "
-        "SELECT 'state', state, count(*), count(DISTINCT city_slug), count(DISTINCT event_source) "
-        "FROM silver WHERE state IS NOT NULL GROUP BY 2 UNION ALL "
-        "SELECT 'nation', 'usa', count(*), count(DISTINCT state), count(DISTINCT event_source) FROM silver UNION ALL "
-        "SELECT 'company', company_slug, count(*), NULL, count(DISTINCT event_source) FROM silver "
-        "WHERE company_slug IS NOT NULL GROUP BY 2 UNION ALL "
-        "SELECT 'site', company_slug || ' ' || site_id, count(*), NULL, NULL FROM silver "
-        "WHERE company_slug IS NOT NULL AND site_id IS NOT NULL GROUP BY 2"
-    ),
+_GOLD_DIGEST_SQL = views.with_base(
+    "SELECT 'city' AS level, city_slug AS key, count(*) AS total_events, count(DISTINCT company_slug) AS listed, "
+    "count(DISTINCT event_source) AS sources FROM silver WHERE city_slug IS NOT NULL GROUP BY 2 UNION ALL "
+    "SELECT 'state', state, count(*), count(DISTINCT city_slug), count(DISTINCT event_source) "
+    "FROM silver WHERE state IS NOT NULL GROUP BY 2 UNION ALL "
+    "SELECT 'nation', 'usa', count(*), count(DISTINCT state), count(DISTINCT event_source) FROM silver UNION ALL "
+    "SELECT 'company', company_slug, count(*), NULL, count(DISTINCT event_source) FROM silver "
+    "WHERE company_slug IS NOT NULL GROUP BY 2 UNION ALL "
+    "SELECT 'site', company_slug || ' ' || site_id, count(*), NULL, NULL FROM silver "
+    "WHERE company_slug IS NOT NULL AND site_id IS NOT NULL GROUP BY 2"
 )
+
+
+@query("gold_round_trip", _GOLD_DIGEST_SQL)
 def gold_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All levels written as JSON, city files by state, over older files, and read again."""
     root = _scratch(spark, "gold")
-    gold, shared = rollup.all_gold(views.latest(spark, sf_dir), as_of())
-    try:
-        tables.write_gold(gold["nation"].limit(0), root, "nation")
-        for level, frame in gold.items():
-            tables.write_gold(frame, root, level)
-    finally:
-        for frame in shared:
-            frame.unpersist()
+    gold, _ = rollup.all_gold(views.latest(spark, sf_dir), as_of())
+    tables.write_gold(gold["nation"].limit(0), root, "nation")
+    for level, frame in gold.items():
+        tables.write_gold(frame, root, level)
+    return _gold_digest({level: tables.read_gold(spark, root, level) for level in gold})
+
+
+@query("entity_refresh", _GOLD_DIGEST_SQL)
+def entity_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold of every event as it first came, some of them elsewhere and some twice as many,
+    then a batch that puts them right: only keys that the batch changes are built anew."""
+    paths = pipeline.Paths(_scratch(spark, "refresh"))
+    silver = views.latest(spark, sf_dir).select(*schemas.SILVER_COLUMNS)
+    hit = F.pmod(F.xxhash64("event_id"), F.lit(50)) == 0
+    early = F.col("ingested_at") - F.expr("INTERVAL 1 DAY")
+    first = silver.withColumns({
+        "ingested_at": F.when(hit, F.coalesce(early, F.lit("2000-01-01").cast("timestamp"))).otherwise(F.col("ingested_at")),
+        "city_slug": F.when(hit, F.lit("XX-elsewhere")).otherwise(F.col("city_slug")),
+        "state": F.when(hit, F.lit("XX")).otherwise(F.col("state")),
+        "company_slug": F.when(hit, F.lit("someone-else")).otherwise(F.col("company_slug")),
+    })
+    merge.merge_into_silver(spark, first, paths.silver)
+    refresh.build(spark, paths.summary, merge.read_silver(spark, paths.silver), as_of())
+    late = silver.where(hit).withColumn("ingested_at", F.current_timestamp())
+    pipeline.run_refresh(spark, paths, merge.merge_into_silver(spark, late, paths.silver), as_of())
+    return _gold_digest({level: refresh.read_gold(spark, paths.summary, level) for level in tables.LEVELS})
+
+
+def _gold_digest(gold: dict[str, DataFrame]) -> DataFrame:
+    """(level, key, total_events, listed, sources) of every gold row."""
     keys = {
         "city": (F.col("city_slug"), "companies_directory"), "state": (F.col("state"), "cities_directory"),
         "nation": (F.lit("usa"), "states_directory"), "company": (F.col("company_slug"), None),
@@ -197,7 +219,7 @@ def gold_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     rows = None
     for level, (key, directory) in keys.items():
-        frame = tables.read_gold(spark, root, level)
+        frame = gold[level]
         none = F.lit(None).cast("bigint")
         part = frame.select(
             F.lit(level).alias("level"), key.alias("key"), "total_events",

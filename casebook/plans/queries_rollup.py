@@ -174,6 +174,14 @@ def _shared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return rollup.event_cube(events), rollup.recent_candidates(events)
 
 
+def _site_frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    events = session.stored(_events(spark, sf_dir), "shown-events")
+    return (
+        rollup.event_cube(events, rollup.FINE_CELL),
+        rollup.recent_candidates(events, cell=rollup.FINE_CELL),
+    )
+
+
 def _stamp() -> Column:
     return F.lit(STAMPED)
 
@@ -415,7 +423,7 @@ def document_first_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def site_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gold = rollup.site_gold(_events(spark, sf_dir))
+    gold = rollup.site_gold(*_site_frames(spark, sf_dir))
     docs = documents.site_documents(gold, _stamp()).select(
         F.col("PK").alias("pk"), "name", F.col("stats.totalEvents").alias("total_events"),
         F.col("stats.lastActive").alias("last_active"), "recentEvents",
@@ -435,7 +443,7 @@ def site_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def site_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollup.site_stats(_events(spark, sf_dir))
+    return rollup.site_stats(rollup.event_cube(_events(spark, sf_dir), rollup.FINE_CELL))
 
 
 _SITES_SQL = (

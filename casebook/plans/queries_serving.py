@@ -24,7 +24,9 @@ def _documents(spark: SparkSession, sf_dir: str, *levels: str) -> DataFrame:
         "state": lambda: rollup.state_gold(cube, recents),
         "city": lambda: rollup.city_gold(cube, recents),
         "company": lambda: rollup.company_gold(cube, recents),
-        "site": lambda: rollup.site_gold(events),
+        "site": lambda: rollup.site_gold(
+            rollup.event_cube(events, rollup.FINE_CELL), rollup.recent_candidates(events, cell=rollup.FINE_CELL)
+        ),
     }
     return documents.serving_table(
         {n: documents.BUILDERS[n](gold[n](), F.lit(STAMPED)) for n in levels}
