@@ -50,6 +50,35 @@ def test_large_cluster_in_parts(spark, monkeypatch):
     assert sorted(r.doc_id for r in left) == sorted(d for d, _ in jaccard_keepers(rows))
 
 
+def test_a_large_family_is_joined_without_all_pairs(spark, monkeypatch):
+    """20,000 texts of one family: what is compared grows with the candidates, not their square."""
+    rng = random.Random(8)
+    base = prose(rng, 60).split()
+    rows = []
+    for k in range(20000):
+        words = list(base)
+        words[rng.randrange(4)] = f"head{k}"
+        rows.append((k, " ".join(words)))
+    compared = spark.sparkContext.accumulator(0)
+    plain = near.verified
+    monkeypatch.setattr(near, "verified", lambda pairs, *rest: (compared.add(pairs.count()), plain(pairs, *rest))[1])
+    left_over = []
+    pairwise = near.all_pairs
+    monkeypatch.setattr(near, "all_pairs", lambda left, *rest: (left_over.append(left.count()), pairwise(left, *rest))[1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    assert [r.doc_id for r in near.one_of_each(docs).collect()] == [0]
+    assert compared.value < 40 * len(rows) and left_over == [0]
+
+
+def test_bands_find_the_pairs_of_given_documents(spark):
+    """Recall of the bands over all distinct texts, against every pair at 0.8 or more."""
+    texts = sorted({r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect() if r.text})
+    sets = [near.shingles(t.encode()) for t in texts]
+    keys = [set(near.bands(s)) for s in sets]
+    near_pairs = [(a, b) for a in range(len(sets)) for b in range(a) if near._near(sets[a], sets[b], near.LEAST)]
+    assert near_pairs and all(keys[a] & keys[b] for a, b in near_pairs)
+
+
 def test_one_row_of_each_group_with_repeated_and_null_ids(spark):
     rng = random.Random(6)
     texts = [prose(rng, 300) for _ in range(4)]
