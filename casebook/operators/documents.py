@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -249,6 +251,20 @@ def site_documents(
     )
 
 
+def keys_of(entities: dict[str, DataFrame]) -> DataFrame:
+    """(level, PK) of entities given by their keys."""
+    slug = tx.strip_key_prefix(F.col("company_slug"), "COMPANY", "SLUG")
+    key = {
+        "state": lambda: F.concat(F.lit("STATE#"), F.upper("state")),
+        "city": lambda: F.concat(F.lit("CITY#"), tx.strip_key_prefix(F.col("city_slug"), "CITY")),
+        "company": lambda: F.concat(F.lit("COMPANY#"), slug),
+        "site": lambda: F.concat(F.lit("SITE#"), slug, F.lit("_"), "site_id"),
+    }
+    return reduce(DataFrame.unionByName, [
+        rows.select(F.lit(level).alias("level"), key[level]().alias("PK")) for level, rows in entities.items()
+    ])
+
+
 BUILDERS = {
     "nation": nation_documents, "state": state_documents, "city": city_documents,
     "company": company_documents, "site": site_documents,

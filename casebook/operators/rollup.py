@@ -75,7 +75,7 @@ def shown_events(silver: DataFrame, further: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def _given(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+def given(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     for key in keys:
         rows = rows.where(F.col(key).isNotNull())
     return rows
@@ -102,7 +102,7 @@ def _total() -> Column:
 
 
 def city_stats(cube: DataFrame) -> DataFrame:
-    return _given(cube, CITY.keys).groupBy("city_slug").agg(
+    return given(cube, CITY.keys).groupBy("city_slug").agg(
         F.max("city").alias("city"),
         F.max("state").alias("state"),
         _total(),
@@ -111,7 +111,7 @@ def city_stats(cube: DataFrame) -> DataFrame:
 
 
 def state_stats(cube: DataFrame) -> DataFrame:
-    return _given(cube, STATE.keys).groupBy("state").agg(
+    return given(cube, STATE.keys).groupBy("state").agg(
         _total(),
         F.count_distinct("company_slug").alias("total_companies"),
         F.count_distinct("city_slug").alias("total_cities"),
@@ -119,7 +119,7 @@ def state_stats(cube: DataFrame) -> DataFrame:
 
 
 def company_stats(cube: DataFrame) -> DataFrame:
-    return _given(cube, COMPANY.keys).groupBy("company_slug").agg(
+    return given(cube, COMPANY.keys).groupBy("company_slug").agg(
         F.max("company_name").alias("company_name"),
         _total(),
         dates.stamp(F.max("last_date")).alias("last_active"),
@@ -128,7 +128,7 @@ def company_stats(cube: DataFrame) -> DataFrame:
 
 def site_stats(cube: DataFrame) -> DataFrame:
     """From a cube whose cells tell sites apart."""
-    return _given(cube, SITE.keys).groupBy(*SITE.keys).agg(
+    return given(cube, SITE.keys).groupBy(*SITE.keys).agg(
         F.max("company_name").alias("company_name"),
         _total(),
         dates.stamp(F.max("last_date")).alias("last_active"),
@@ -153,7 +153,7 @@ def child_counts(cube: DataFrame, level: Level) -> DataFrame:
     Filtering on the key only keeps this reading of the cube equal to the one
     the stats use, so the two share one exchange.
     """
-    counted = _given(cube, level.keys).groupBy(*level.keys, level.child).agg(
+    counted = given(cube, level.keys).groupBy(*level.keys, level.child).agg(
         F.max(level.child_label).alias("name"), F.sum("events").alias("count")
     )
     slug = F.lower(level.child) if level.child == "state" else F.col(level.child)
@@ -190,7 +190,7 @@ def recent_events(
     events: DataFrame, keys: Sequence[str], top: int = vocab.RECENT_PER_SOURCE
 ) -> DataFrame:
     """Newest events per key and source, with their rank."""
-    rows = _given(events, (*keys, "event_source"))
+    rows = given(events, (*keys, "event_source"))
     return ranked(rows, [*keys, "event_source"], newest_first(), top)
 
 
@@ -249,7 +249,7 @@ def recent_maps(recents: DataFrame, level: Level) -> DataFrame:
 
 def recent_lists(events: DataFrame, level: Level, top: int) -> DataFrame:
     """One flat list per key, newest first, whatever the source."""
-    rows = ranked(_given(events, level.keys), level.keys, newest_first(), top)
+    rows = ranked(given(events, level.keys), level.keys, newest_first(), top)
     item = F.struct(
         "rank",
         F.struct(

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from casebook import session
 from casebook.functions import dates
 from casebook.operators import (
     dimensions,
@@ -234,12 +235,74 @@ def run_gold(spark: SparkSession, paths: Paths, as_of: Column) -> None:
         tables.write_gold(frame, paths.gold, level)
 
 
-def run_refresh(spark: SparkSession, paths: Paths, version: int, as_of: Column) -> dict[str, int]:
-    """Bring the summary up to date with what one merge changed: the keys of its events
-    and no others. Returns how many keys of each level were built anew."""
+def run_refresh(spark: SparkSession, paths: Paths, as_of: Column) -> list[dict[str, DataFrame]]:
+    """Bring the summary, and the documents where there are any, up to the newest silver.
+
+    Each merge since is applied by itself: the keys of its changed events and no others.
+    Returns, by merge, the keys built anew of each level. A summary that stands for no
+    version, as after a refresh that died, is built again, and all documents with it.
+    """
+    newest = merge.newest_version(spark, paths.silver)
+    before = refresh.stands_for(spark, paths.summary)
+    if before is None:
+        refresh.build(spark, paths.summary, merge.read_silver(spark, paths.silver), as_of, newest)
+        serve_summary(spark, paths, as_of)
+        return []
     columns = [c for c in merge.schemas.SILVER_COLUMNS if c in refresh.NEEDED]
-    changed = merge.changes(spark, paths.silver, version, columns)
-    return refresh.refresh(spark, paths.summary, changed, merge.read_silver(spark, paths.silver), as_of)
+    done = []
+    for version in range(before + 1, newest + 1):
+        changed = merge.changes(spark, paths.silver, version, columns)
+        silver = merge.read_silver(spark, paths.silver, version)
+        touched = refresh.refresh(spark, paths.summary, changed, silver, as_of, version)
+        if touched:
+            serve_changed(spark, paths, as_of, touched)
+        done.append(touched)
+    return done
+
+
+def _summary_documents(
+    spark: SparkSession, paths: Paths, as_of: Column, gold: dict[str, DataFrame], silver: DataFrame
+) -> DataFrame:
+    """Documents of the given gold rows; silver has at least their companies' events."""
+    updated_at = dates.iso_millis(as_of.cast("timestamp"))
+    company_sites = sites.company_sites(silver)
+    extra = {
+        "company": {"sites": sites.site_lists(company_sites)},
+        "site": {"siblings": sites.sibling_lists(sites.siblings(company_sites))},
+    }
+    docs = {
+        level: documents.BUILDERS[level](rows, updated_at, **extra.get(level, {}))
+        for level, rows in gold.items()
+    }
+    pages = documents.site_page_documents(sites.site_pages(company_sites), updated_at)
+    return documents.serving_table(docs | {"company_sites": pages})
+
+
+def serve_summary(spark: SparkSession, paths: Paths, as_of: Column) -> None:
+    gold = {level: refresh.read_gold(spark, paths.summary, level) for level in tables.LEVELS}
+    silver = merge.read_silver(spark, paths.silver)
+    tables.write_documents(_summary_documents(spark, paths, as_of, gold, silver), paths.documents)
+
+
+def serve_changed(
+    spark: SparkSession, paths: Paths, as_of: Column, touched: dict[str, DataFrame]
+) -> list[tuple[str, str]]:
+    """Documents of the keys a refresh built anew; those of keys left without events go.
+
+    A company's site list, and what its sites say of one another, follow from all its
+    events, so a touched company's sites are all served again.
+    """
+    companies = touched["company"]
+    gold = {}
+    for level, keys in touched.items():
+        rows = refresh.read_gold(spark, paths.summary, level)
+        on = companies if level == "site" else keys
+        gold[level] = rows.join(on, on.columns, "left_semi") if on.columns else rows
+    silver = merge.read_silver(spark, paths.silver).join(companies, "company_slug", "left_semi")
+    docs = session.stored(_summary_documents(spark, paths, as_of, gold, silver), "served-documents")
+    # Every document of a touched key goes before its new ones come, pages included.
+    gone = documents.keys_of({level: keys for level, keys in touched.items() if keys.columns})
+    return tables.upsert_stored_documents(spark, paths.documents, docs, gone)
 
 
 def run_serving(
@@ -267,11 +330,11 @@ def run_serving(
         for level in wanted
     }
     table = documents.serving_table(docs | parts)
-    tables.write_documents(table, paths.documents, whole=levels is None)
+    tables.write_documents(table, paths.documents, None if levels is None else wanted)
 
 
 def run_sitemaps(spark: SparkSession, paths: Paths, base_url: str, as_of: Column) -> None:
-    keys = tables.document_keys(spark.read.parquet(paths.documents))
+    keys = tables.document_keys(tables.read_documents(spark, paths.documents))
     pages = sitemap.urls(keys, base_url)
     sitemap.write_sitemaps(sitemap.sitemap_files(sitemap.chunked(pages), as_of), paths.sitemaps)
     index = sitemap.sitemap_index(sitemap.file_names(pages), base_url, as_of)

@@ -189,12 +189,11 @@ def gold_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _gold_digest({level: tables.read_gold(spark, root, level) for level in gold})
 
 
-@query("entity_refresh", _GOLD_DIGEST_SQL)
-def entity_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold of every event as it first came, some of them elsewhere and some twice as many,
-    then a batch that puts them right: only keys that the batch changes are built anew."""
-    paths = pipeline.Paths(_scratch(spark, "refresh"))
-    silver = views.latest(spark, sf_dir).select(*schemas.SILVER_COLUMNS)
+def _refreshed(spark: SparkSession, sf_dir: str, name: str) -> pipeline.Paths:
+    """A lake whose silver first had some events elsewhere, with a summary and documents,
+    then a batch that puts these events right, and a refresh."""
+    paths = pipeline.Paths(_scratch(spark, name))
+    silver = session.stored(views.latest(spark, sf_dir).select(*schemas.SILVER_COLUMNS), "latest")
     hit = F.pmod(F.xxhash64("event_id"), F.lit(50)) == 0
     early = F.col("ingested_at") - F.expr("INTERVAL 1 DAY")
     first = silver.withColumns({
@@ -204,12 +203,44 @@ def entity_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
         "company_slug": F.when(hit, F.lit("someone-else")).otherwise(F.col("company_slug")),
     })
     merge.merge_into_silver(spark, first, paths.silver)
-    refresh.build(spark, paths.summary, merge.read_silver(spark, paths.silver), as_of())
+    pipeline.run_refresh(spark, paths, as_of())
     late = silver.where(hit).withColumn("ingested_at", F.current_timestamp())
-    pipeline.run_refresh(spark, paths, merge.merge_into_silver(spark, late, paths.silver), as_of())
+    merge.merge_into_silver(spark, late, paths.silver)
+    pipeline.run_refresh(spark, paths, as_of())
+    return paths
+
+
+@query("entity_refresh", _GOLD_DIGEST_SQL)
+def entity_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold by key after a refresh of what a batch changed: as if rolled up anew."""
+    paths = _refreshed(spark, sf_dir, "refresh")
     return _gold_digest({level: refresh.read_gold(spark, paths.summary, level) for level in tables.LEVELS})
 
 
+@query(
+    "documents_stored_upsert",
+    views.with_base(
+        "SELECT pk, level, count(*) AS total_events, count(DISTINCT part) AS places FROM ("
+        "SELECT 'STATE#' || state AS pk, 'state' AS level, city_slug AS part FROM silver WHERE state IS NOT NULL UNION ALL "
+        "SELECT 'CITY#' || city_slug, 'city', NULL FROM silver WHERE city_slug IS NOT NULL UNION ALL "
+        "SELECT 'NATION#USA', 'nation', city_slug FROM silver UNION ALL "
+        "SELECT 'COMPANY#' || company_slug, 'company', NULL FROM silver WHERE company_slug IS NOT NULL UNION ALL "
+        "SELECT 'SITE#' || company_slug || '_' || site_id, 'site', NULL FROM silver "
+        "WHERE company_slug IS NOT NULL AND site_id IS NOT NULL) GROUP BY 1, 2"
+    ),
+)
+def documents_stored_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored documents by key after a refresh: changed ones replaced, those of places
+    that lost their last event gone, all others as they were."""
+    paths = _refreshed(spark, sf_dir, "keyed-documents")
+    docs = tables.read_documents(spark, paths.documents).where("SK = 'SUMMARY'")
+    number = lambda p: F.coalesce(F.get_json_object("document", p).cast("bigint"), F.lit(0).cast("bigint"))
+    return docs.select(
+        F.col("PK").alias("pk"), "level", number("$.stats.totalEvents").alias("total_events"),
+        number("$.stats.totalCities").alias("places"),
+    )
+
+
 def _gold_digest(gold: dict[str, DataFrame]) -> DataFrame:
     """(level, key, total_events, listed, sources) of every gold row."""
     keys = {

@@ -106,6 +106,7 @@ GOLD = {
     ),
 }
 
+DOCUMENTS_STORED = T.StructType(_texts("PK", "SK", "document", "updatedAt", "level", "pk_part"))
 ALIASES = T.StructType(_texts("alias_key", "target"))
 NARRATIVE_REPLY = T.StructType(
     _texts("title", "explanation", "riskAssessment", "compliance")

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Collection
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from casebook import schemas, vocab
+from casebook import schemas, session, vocab
 
 LEVELS = ("nation", "state", "city", "company", "site")
 GOLD_FOLDERS = {
@@ -112,12 +113,80 @@ def level_of_path(key: Column) -> Column:
     )
 
 
-def write_documents(docs: DataFrame, path: str, whole: bool = True) -> None:
-    """Replace all documents, or only the levels that ``docs`` has. Entities that
-    vanished from gold vanish here too."""
-    mode = "static" if whole else "dynamic"
-    writer = docs.write.mode("overwrite").option("partitionOverwriteMode", mode)
-    writer.partitionBy("level").parquet(path)
+# Parts by key of a new document table; the folder names say of how many they are.
+DOCUMENT_PARTS = 16
+
+
+def document_part(parts: int) -> Column:
+    return F.concat(F.pmod(F.xxhash64("PK"), F.lit(parts)).cast("string"), F.lit(f"-of-{parts}"))
+
+
+def _in_parts(docs: DataFrame, parts: int) -> DataFrame:
+    """Documents dealt by level and part, sorted by key within each."""
+    dealt = docs.withColumn("pk_part", document_part(parts)).hint("rebalance", F.col("level"), F.col("pk_part"))
+    return dealt.sortWithinPartitions("level", "pk_part", "PK", "SK")
+
+
+def write_documents(docs: DataFrame, path: str, levels: Collection[str] | None = None) -> None:
+    """Replace all documents, or those of the given levels. Entities that vanished
+    from gold vanish here too."""
+    if levels is None:
+        _in_parts(docs, DOCUMENT_PARTS).write.mode("overwrite").partitionBy("level", "pk_part").parquet(path)
+        return
+    for level in levels:
+        own = _in_parts(docs.where(F.col("level") == level), DOCUMENT_PARTS).drop("level")
+        own.write.mode("overwrite").partitionBy("pk_part").parquet(f"{path.rstrip('/')}/level={level}")
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(schemas.DOCUMENTS_STORED).parquet(path)
+
+
+def _document_parts(stored: DataFrame) -> int:
+    """The number of parts a table was written with."""
+    one = stored.select("pk_part").first()
+    return int(one.pk_part.rsplit("-", 1)[1]) if one else DOCUMENT_PARTS
+
+
+def find_stored_document(spark: SparkSession, path: str, pk: str, sk: str = "SUMMARY") -> DataFrame:
+    """One document by key: one part of each level is opened, and within its files
+    only the row groups whose keys enclose this one."""
+    stored = read_documents(spark, path)
+    part = spark.range(1).select(F.lit(pk).alias("PK")).select(document_part(_document_parts(stored))).first()[0]
+    return find_document(stored.where(F.col("pk_part") == part), pk, sk).drop("pk_part")
+
+
+def upsert_stored_documents(
+    spark: SparkSession, path: str, changed: DataFrame, gone: DataFrame | None = None
+) -> list[tuple[str, str]]:
+    """Upsert into the stored table; returns the (level, part) folders written.
+
+    Only parts that a changed key falls in are read and written. All documents of the
+    keys ``gone`` (level, PK) go first. A later ``updatedAt`` wins.
+    """
+    stored = read_documents(spark, path)
+    parts = _document_parts(stored)
+    place = ["level", "pk_part"]
+    changed = session.stored(changed.withColumn("pk_part", document_part(parts)), "changed-documents")
+    touched = changed.select(*place)
+    if gone is not None:
+        touched = touched.unionByName(gone.withColumn("pk_part", document_part(parts)).select(*place))
+    # At most the number of levels times parts.
+    found = sorted((r.level, r.pk_part) for r in touched.distinct().collect())
+    if not found:
+        return []
+    current = stored.where(F.concat_ws("/", *place).isin(["/".join(f) for f in found]))
+    if gone is not None:
+        current = current.join(gone.select("level", "PK"), ["level", "PK"], "left_anti")
+    merged = upsert_documents(current.select(*changed.columns), changed).drop("pk_part")
+    merged = session.stored(merged, "merged-documents")
+    writer = _in_parts(merged, parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*place).parquet(path)
+    left = {(r.level, r.pk_part) for r in merged.select("level", document_part(parts).alias("pk_part")).distinct().collect()}
+    for level, part in set(found) - left:
+        # All documents of the part are gone; an empty file takes their place.
+        merged.drop("level").limit(0).write.mode("overwrite").parquet(f"{path.rstrip('/')}/level={level}/pk_part={part}")
+    return found
 
 
 def upsert_documents(current: DataFrame, changed: DataFrame) -> DataFrame:
