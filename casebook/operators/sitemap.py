@@ -15,6 +15,8 @@ PAGES = {
     "COMPANY": ("company", "companies"), "SITE": ("site", "sites"),
 }
 BUCKET_DIGITS = 3
+# Where the files lie below the site's root.
+FOLDER = "sitemaps"
 
 
 def page_url(pk: Column, base: str) -> Column:
@@ -117,7 +119,7 @@ def sitemap_files(chunks: DataFrame, day: Column) -> DataFrame:
 def sitemap_index(files: DataFrame, base: str, day: Column) -> DataFrame:
     """(file, value) of the index: one line per sitemap file."""
     line = F.concat(
-        F.lit(f"<sitemap><loc>{base}/sitemaps/"), "file", F.lit("</loc><lastmod>"),
+        F.lit(f"<sitemap><loc>{base}/{FOLDER}/"), "file", F.lit("</loc><lastmod>"),
         F.date_format(day, "yyyy-MM-dd"), F.lit("</lastmod></sitemap>"),
     )
     head = (
@@ -130,6 +132,7 @@ def sitemap_index(files: DataFrame, base: str, day: Column) -> DataFrame:
     ).select(F.lit("sitemap.xml").alias("file"), "value")
 
 
-def write_sitemaps(files: DataFrame, path: str) -> None:
-    """One folder per sitemap file, each with one text."""
-    files.select("file", "value").write.mode("overwrite").partitionBy("file").text(path)
+def published(files: DataFrame, index: DataFrame) -> DataFrame:
+    """(file, value) below the site's root: the files where the index says they are."""
+    own = files.select(F.concat(F.lit(f"{FOLDER}/"), "file").alias("file"), "value")
+    return own.unionByName(index.select("file", "value"))

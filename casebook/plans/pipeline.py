@@ -22,7 +22,7 @@ from casebook.operators import (
     sitemap,
     sites,
 )
-from casebook.sources import landing, ledger, tables
+from casebook.sources import landing, ledger, named_files, tables
 
 
 @dataclass(frozen=True)
@@ -60,8 +60,9 @@ class Paths:
         return self._at("documents")
 
     @property
-    def sitemaps(self) -> str:
-        return self._at("sitemaps")
+    def site(self) -> str:
+        """What the web server serves: the sitemap index and, below it, its files."""
+        return self._at("site")
 
     @property
     def cities(self) -> str:
@@ -336,9 +337,9 @@ def run_serving(
 def run_sitemaps(spark: SparkSession, paths: Paths, base_url: str, as_of: Column) -> None:
     keys = tables.document_keys(tables.read_documents(spark, paths.documents))
     pages = sitemap.urls(keys, base_url)
-    sitemap.write_sitemaps(sitemap.sitemap_files(sitemap.chunked(pages), as_of), paths.sitemaps)
+    files = sitemap.sitemap_files(sitemap.chunked(pages), as_of)
     index = sitemap.sitemap_index(sitemap.file_names(pages), base_url, as_of)
-    index.select("value").write.mode("overwrite").text(f"{paths.sitemaps}-index")
+    named_files.write(sitemap.published(files, index), paths.site)
 
 
 def run_pipeline(

@@ -11,7 +11,7 @@ from casebook.operators import documents, merge, narrative, rollup, sitemap
 from casebook.plans import views
 from casebook.plans.queries_rollup import STAMPED, as_of
 from casebook.plans.views import longs, query, table, with_base
-from casebook.sources import tables
+from casebook.sources import named_files, tables
 from casebook.streaming import intake
 
 _BASE_URL = "https://example.org"
@@ -172,6 +172,24 @@ def sitemap_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sitemap.sitemap_index(sitemap_files(spark, sf_dir), _BASE_URL, as_of())
 
 
+@query("sitemap_written", with_base("SELECT file, value FROM files", _KEYS_SQL, _URLS_SQL, _CHUNKS_SQL, _FILES_SQL))
+def sitemap_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files and index written under their names, then each file read where the index says,
+    after an earlier run that left another file."""
+    root = session.scratch_path(spark, "site")
+    named_files.write(spark.createDataFrame([("sitemaps/old-9.xml", "old")], "file string, value string"), root)
+    files = session.stored(sitemap_files(spark, sf_dir), "sitemap-files")
+    named_files.write(sitemap.published(files, sitemap.sitemap_index(files, _BASE_URL, as_of())), root)
+    index = spark.read.text(f"{root}/sitemap.xml", wholetext=True)
+    named = index.select(F.explode(F.regexp_extract_all("value", F.lit(f"<loc>{_BASE_URL}/([^<]*)</loc>"), 1)).alias("path"))
+    there = spark.read.text(f"{root}/sitemaps", wholetext=True).select(
+        F.col("_metadata.file_name").alias("file"), "value"
+    )
+    return there.join(named.select(F.element_at(F.split("path", "/"), -1).alias("file"), "path"), "file", "full").select(
+        F.coalesce("file", "path").alias("file"), F.when(F.col("path").isNotNull(), F.col("value")).alias("value")
+    )
+
+
 @query("sitemap_file_names", with_base("SELECT file FROM files", _KEYS_SQL, _URLS_SQL, _CHUNKS_SQL, _FILES_SQL))
 def sitemap_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sitemap.file_names(page_urls(spark, sf_dir), 100)

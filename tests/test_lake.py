@@ -137,9 +137,11 @@ def test_gold_and_documents(spark, paths):
 
 def test_sitemaps(spark, paths):
     pipeline.run_sitemaps(spark, paths, "https://example.org", as_of())
-    files = {r.file for r in spark.read.text(paths.sitemaps).select("file").distinct().collect()}
+    there = spark.read.text(f"{paths.site}/sitemaps", wholetext=True).select("_metadata.file_name", "value").collect()
+    files = {r.file_name for r in there}
+    assert all(r.value.endswith("</urlset>") for r in there)
     assert files == {"states.xml", "cities.xml", "companies.xml", "sites.xml"}
-    index = "\n".join(r.value for r in spark.read.text(f"{paths.sitemaps}-index").collect())
+    index = "\n".join(r.value for r in spark.read.text(f"{paths.site}/sitemap.xml").collect())
     assert index.count("<sitemap>") == 4 and "/sitemaps/cities.xml" in index
 
 
