@@ -5,32 +5,38 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from casebook import schemas, vocab
 from casebook.functions import companies, places
 from casebook.functions import text as tx
 
 
+def _usable_place() -> Column:
+    return F.coalesce((F.col("USPS") != "") & (F.col("NAME") != ""), F.lit(False))
+
+
 def cities(gazetteer: DataFrame) -> DataFrame:
-    """One row per city key, the first of its lines; ``copies`` counts them all."""
+    """One row per city key, the first of its lines; ``copies`` counts them all.
+
+    Both come out of one aggregate, so the gazetteer is read once and lines of one
+    key shrink to a row per task before they move.
+    """
     part = places.place_parts(F.col("NAME"))
     named = (
-        gazetteer.where("USPS <> '' and NAME <> ''")
+        gazetteer.where(_usable_place())
         .withColumn("place", part)
         .withColumn("slug_part", tx.underscored(F.col("place.name")))
         .withColumn("city_slug", F.concat(F.upper("USPS"), F.lit("-"), "slug_part"))
     )
-    by_key = Window.partitionBy("city_slug")
-    first = named.withColumn(
-        "rn", F.row_number().over(by_key.orderBy("line"))
-    ).where("rn = 1")
-    copies = named.groupBy("city_slug").agg(F.count("*").alias("copies"))
+    kept = F.struct("place", "slug_part", *[c for c in gazetteer.columns if c != "line"])
+    first = named.groupBy("city_slug").agg(
+        F.min_by(kept, "line").alias("first"), F.count("*").alias("copies")
+    ).select("city_slug", "copies", "first.*")
     value = lambda c: tx.blank_to_null(F.col(c))
-    return first.join(copies, "city_slug").select(
+    return first.select(
         "city_slug",
         F.col("place.kind").alias("place_type"),
         F.col("place.name").alias("name"),
@@ -49,7 +55,7 @@ def cities(gazetteer: DataFrame) -> DataFrame:
 
 def city_load_counts(gazetteer: DataFrame) -> DataFrame:
     """What a city load takes in: lines, skipped, imported, and key collisions."""
-    usable = F.coalesce((F.col("USPS") != "") & (F.col("NAME") != ""), F.lit(False))
+    usable = _usable_place()
     name = places.place_parts(F.col("NAME"))["name"]
     key = F.when(usable, F.concat(F.upper("USPS"), F.lit("-"), tx.underscored(name)))
     per_key = gazetteer.groupBy(key.alias("city_slug")).agg(F.count("*").alias("n"))
@@ -243,6 +249,20 @@ def write_dimension(dim: DataFrame, path: str) -> None:
     dim.write.mode("overwrite").parquet(path)
 
 
+def load_cities(gazetteer: DataFrame, path: str) -> dict[str, int]:
+    """Write the city dimension; returns what the load took in. The counters are
+    observed on the rows as they pass, so nothing is read or computed for them."""
+    lines, keys = Observation("gazetteer lines"), Observation("city keys")
+    counted = gazetteer.observe(
+        lines, F.count("*").alias("lines"), F.count_if(~_usable_place()).alias("skipped")
+    )
+    dim = cities(counted).observe(
+        keys, F.count("*").alias("imported"), F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("collisions")
+    )
+    write_dimension(dim, path)
+    return {**lines.get, **keys.get}
+
+
 def stored(spark: SparkSession, path: str) -> DataFrame | None:
     """A stored table, None where there is none yet."""
     try:

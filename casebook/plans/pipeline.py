@@ -113,7 +113,7 @@ def build_dimensions(
     added to those stored; one given again replaces its earlier row."""
     dimensions.write_dimension(dimensions.states(spark), paths.states)
     if gazetteer is not None:
-        dimensions.write_dimension(dimensions.cities(gazetteer), paths.cities)
+        dimensions.load_cities(gazetteer, paths.cities)
     if listings is not None:
         dimensions.write_dimension(dimensions.listed_companies(listings), paths.companies)
     if curated:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook import schemas, vocab
+from casebook import schemas, session, vocab
 from casebook.operators import dimensions, ingest, resolve
 from casebook.plans import views
 from casebook.plans.queries_functions import RAW_LISTING_SQL, raw_listings
@@ -355,6 +355,17 @@ def city_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimensions.city_load_counts(gazetteer(spark, sf_dir))
 
 
+@query(
+    "observed_load_counts",
+    f"""WITH {GAZETTEER_SQL} SELECT sum(copies)::BIGINT AS lines, 0::BIGINT AS skipped, count(*) AS imported,
+      sum(copies - 1)::BIGINT AS collisions FROM first""",
+)
+def observed_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counters of a city load, observed while the dimension is written."""
+    counts = dimensions.load_cities(gazetteer(spark, sf_dir), session.scratch_path(spark, "cities"))
+    return spark.createDataFrame([counts], "lines long, skipped long, imported long, collisions long")
+
+
 CITY_ALIASES_SQL = """SELECT replace(lower(name), ' ', '_') || '-' || lower(usps) AS alias_key,
       'CITY#' || city_slug AS target FROM first
     UNION ALL SELECT usps || '-' || lower(string_split(name, '-')[1]), 'CITY#' || city_slug FROM first

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from casebook.operators import dimensions, merge, quarantine, sitemap
+from casebook.operators import dimensions, merge, quarantine, refresh, sitemap
 from casebook.plans import pipeline
 from casebook.sources import landing, tables
 from casebook.streaming import intake
@@ -385,4 +385,74 @@ def test_a_batch_taken_in_again_replaces_its_rows(spark, tmp_path):
     # Planned and unfinished: the next run finishes it and finds nothing else to do.
     assert pipeline.run_ingest(spark, built) == 4
     assert pipeline.run_ingest(spark, built) == 0
-    assert tables.read_bronze(spark, built.lake).count() == good.count() == 8
+    assert tables.read_bronze(spark, built.lake).count() == 8
+
+
+def test_cities_are_read_once_and_counted_on_the_way(spark, tmp_path):
+    rows = [(1, "OR", "Ridge city"), (2, "OR", "Ridge town"), (3, "", "Nowhere"), (4, None, "x"), (5, "KY", "Lark city")]
+    names = ("GEOID", "ANSICODE", "ALAND", "AWATER", "ALAND_SQMI", "AWATER_SQMI", "INTPTLAT", "INTPTLONG")
+    gazetteer = spark.createDataFrame(rows, "line int, USPS string, NAME string").withColumns({n: F.lit("1") for n in names})
+    gazetteer.write.parquet(f"{tmp_path}/gazetteer")
+    stored = spark.read.parquet(f"{tmp_path}/gazetteer")
+    plan = dimensions.cities(stored)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    counts = dimensions.load_cities(stored, f"{tmp_path}/cities")
+    assert counts == {"lines": 5, "skipped": 2, "imported": 2, "collisions": 1}
+    assert {r.city_slug: r.copies for r in spark.read.parquet(f"{tmp_path}/cities").collect()} == {"OR-ridge": 2, "KY-lark": 1}
+
+
+def test_refresh_builds_touched_keys_only(spark, tmp_path):
+    built = pipeline.Paths(f"file:{tmp_path}/lake")
+
+    def rows(*events):
+        made = spark.createDataFrame(
+            [(*e, f"title {e[0]}") for e in events],
+            "event_id string, stamp string, day string, state string, city_slug string, company_slug string, site_id string, event_title string",
+        )
+        own = {
+            "ingested_at": F.col("stamp").cast("timestamp"), "event_date": F.col("day").cast("timestamp"),
+            "event_source": F.lit("OSHA"), "city": F.col("city_slug"), "company_name": F.col("company_slug"),
+        }
+        named = {c: F.col(c) for c in made.columns if c not in ("stamp", "day")} | own
+        return made.select(*[named.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in merge.schemas.SILVER.fields])
+
+    def whole(version):
+        gold, _ = refresh.rollup.all_gold(merge.read_silver(spark, built.silver, version), as_of())
+        return {level: sorted(map(str, frame.select(sorted(frame.columns)).collect())) for level, frame in gold.items()}
+
+    def kept():
+        found = {level: refresh.read_gold(spark, built.summary, level) for level in tables.LEVELS}
+        return {level: sorted(map(str, frame.select(sorted(frame.columns)).collect())) for level, frame in found.items()}
+
+    first = [(f"e{k}", "2024-01-01", f"2024-01-{k % 28 + 1:02}", f"S{k % 4}", f"S{k % 4}-c{k % 12}", f"firm-{k % 5}", str(k % 3)) for k in range(120)]
+    merge.merge_into_silver(spark, rows(*first), built.silver)
+    pipeline.run_refresh(spark, built, as_of())
+    assert kept() == whole(1)
+    # One event leaves the newest of its keys for a new city; one is new; one comes again unchanged.
+    moved = ("e27", "2024-02-01", "2023-01-01", "S0", "S0-new", "firm-2", "0")
+    new = ("x", "2024-02-01", "2024-03-01", "S1", "S1-c1", "firm-1", None)
+    merge.merge_into_silver(spark, rows(moved, new, first[5]), built.silver)
+    touched, = pipeline.run_refresh(spark, built, as_of())
+    assert kept() == whole(2)
+    keys = {level: {tuple(r) for r in frame.collect()} for level, frame in touched.items()}
+    assert keys["city"] == {("S3-c3",), ("S0-new",), ("S1-c1",)}
+    assert keys["state"] == {("S0",), ("S1",), ("S3",)} and keys["company"] == {("firm-2",), ("firm-1",)}
+    assert keys["site"] == {("firm-2", "0")}
+    docs = tables.read_documents(spark, built.documents).where("SK = 'SUMMARY'")
+    assert docs.count() == sum(len(v) for v in kept().values())
+    found = tables.find_stored_document(spark, built.documents, "CITY#S0-new")
+    assert json.loads(found.first().document)["stats"]["totalEvents"] == 1
+    plan = found._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(pk_part" in plan and "EqualTo(PK,CITY#S0-new)" in plan
+    # A city that loses its last event goes from gold and from the documents.
+    back = ("e27", "2024-03-01", "2024-01-28", "S3", "S3-c3", "firm-2", "0")
+    merge.merge_into_silver(spark, rows(back), built.silver)
+    pipeline.run_refresh(spark, built, as_of())
+    assert kept() == whole(3)
+    assert tables.find_stored_document(spark, built.documents, "CITY#S0-new").isEmpty()
+    assert refresh.find_gold(spark, built.summary, "city", "S3-c3").first().total_events == 10
+    assert pipeline.run_refresh(spark, built, as_of()) == []
+    # A refresh that died leaves no version noted, and the next one builds all anew.
+    refresh._note(spark, built.summary, None)
+    pipeline.run_refresh(spark, built, as_of())
+    assert kept() == whole(3) and refresh.stands_for(spark, built.summary) == 3
