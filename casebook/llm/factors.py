@@ -272,7 +272,7 @@ def _columns(blob: bytes, n: int) -> list[np.ndarray]:
 
 def _trimmed(content: np.ndarray, count: np.ndarray, shape: Shape) -> bytes:
     """The segments' bytes one after the other, without what fills their rows; compressed."""
-    return zstandard.compress(content.view(np.uint8)[shape.masks[count - 1].view(np.uint8) > 0].tobytes(), 3)
+    return zstandard.compress(content.view(np.uint8)[shape.masks[count - 1].view(np.uint8) > 0].tobytes(), 6)
 
 
 def _filled(data: bytes, count: np.ndarray, shape: Shape) -> np.ndarray:
@@ -488,7 +488,7 @@ def without_later_copies(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         """Texts compressed: they are moved once more than anything else of their size."""
         for batch in batches:
             texts = batch.column("text").cast(pa.large_binary())
-            blobs = pa.array([zstandard.compress(t.as_py(), 3) for t in texts], pa.binary())
+            blobs = pa.array([zstandard.compress(t.as_py(), 6) for t in texts], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tag"), blobs], ["doc_id", "tag", "blob"])
 
     texts = rows.mapInArrow(packed, "doc_id long, tag long, blob binary").select(
