@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -19,7 +20,7 @@ HEADLINE = (
     "ingest_events", "resolve_company", "company_fold", "clean_city", "event_id_hash",
     "top_companies_by_state", "recent20_by_state", "trend_12m", "safety_score",
     "sitemap_chunks", "prompt_requests", "stream_equals_batch",
-    "landing_csv_ingest", "upsert_out_of_order", "gold_round_trip",
+    "landing_csv_ingest", "upsert_out_of_order", "gold_round_trip", "entity_refresh",
 )
 
 
@@ -38,6 +39,7 @@ def main() -> None:
         {
             "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "12g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="casebook-bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

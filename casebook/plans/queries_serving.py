@@ -123,6 +123,41 @@ def level_of_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("level", tables.level_of_path(F.col("path")))
 
 
+@query(
+    "empty_lists",
+    """SELECT 'CITY#XX-' || n_nationkey AS pk, CASE WHEN n_nationkey % 3 = 0 THEN 0 ELSE 1 END::BIGINT AS sources,
+      CASE WHEN n_nationkey % 3 = 0 THEN NULL WHEN n_nationkey % 2 = 1 THEN 'id-' || n_nationkey
+        ELSE substr(sha256('city-2001-02-03--firm-' || n_regionkey || '-0'), 1, 16) END AS event_id,
+      CASE WHEN n_nationkey % 3 = 0 THEN NULL WHEN n_nationkey % 2 = 1 THEN n_name ELSE 'Unknown Event' END AS title
+      FROM nation""",
+)
+def empty_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cities whose gold has a source without events, or none at all, and events without
+    id and title: empty lists are dropped, such events get an id of their own and a title."""
+    key = F.col("n_nationkey").cast("string")
+    given = F.col("n_nationkey") % 2 == 1
+    fields = {
+        "eventId": F.when(given, F.concat(F.lit("id-"), key)), "eventTitle": F.when(given, F.col("n_name")).otherwise(""),
+        "eventDate": F.lit("2001-02-03"), "companySlug": F.concat(F.lit("firm-"), F.col("n_regionkey").cast("string")),
+    }
+    kinds = schemas.GOLD["city"]
+    lists = kinds["recentByEventSource"].dataType
+    event = F.struct(*[fields.get(n, F.lit(None).cast("string")).alias(n) for n in lists.valueType.elementType.fieldNames()])
+    full = F.when(F.col("n_nationkey") % 3 == 0, F.array().cast(lists.valueType)).otherwise(F.array(event))
+    values = {
+        "city_slug": F.concat(F.lit("XX-"), key), "city": F.col("n_name"), "state": F.lit("XX"),
+        "companies_directory": F.array(), "total_events": F.lit(1), "total_companies": F.lit(0),
+        "recentByEventSource": F.create_map(F.lit("OSHA"), full, F.lit("EPA"), F.array().cast(lists.valueType)),
+    }
+    gold = table(spark, sf_dir, "nation").select(*[values[f.name].cast(f.dataType).alias(f.name) for f in kinds.fields])
+    docs = documents.city_documents(gold, F.lit(STAMPED))
+    first = F.try_element_at(F.try_element_at("recentByAgency", F.lit("OSHA")), F.lit(1))
+    return docs.select(
+        F.col("PK").alias("pk"), F.size("recentByAgency").cast("bigint").alias("sources"),
+        first["eventId"].alias("event_id"), first["eventTitle"].alias("title"),
+    )
+
+
 # --- Sitemap -----------------------------------------------------------------
 
 
