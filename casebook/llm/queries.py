@@ -22,6 +22,7 @@ QUERIES = {
 ORACLES = {
     "op2_reply_trees": chat.OP2_SQL,
     "op3_pareto_mix": mixing.OP3_SQL,
+    "op7_suffix_repeats": repeats.OP7_SQL,
     "op10_digest_index": digests.OP10_SQL,
     "op11_treap_search": treaps.OP11_SQL,
     "op12_gumbel_resampling": resampling.OP12_SQL,

@@ -352,3 +352,21 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(docs).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
     )
+
+
+OP7_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+w AS (SELECT r, doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS q FROM d),
+x AS (
+  SELECT r, doc_id, q, string_agg(word, ' ') OVER o AS passage, count(*) OVER o AS n FROM w WHERE doc_id IS NOT NULL
+  WINDOW o AS (PARTITION BY r ORDER BY q ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)),
+f AS (SELECT passage, min(doc_id) AS doc_id FROM x WHERE n = 13 GROUP BY passage HAVING count(*) > 1),
+g AS (
+  SELECT DISTINCT r, q + i AS q FROM (
+    SELECT x.r, x.q, unnest(range(13)) AS i FROM x JOIN f ON x.n = 13 AND x.passage = f.passage AND x.doc_id > f.doc_id)),
+k AS (SELECT r, string_agg(word, ' ' ORDER BY q) AS kept FROM w ANTI JOIN g USING (r, q) GROUP BY r),
+n AS (SELECT r, count(*) AS n_removed FROM g GROUP BY r)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r) LEFT JOIN n USING (r)
+"""
