@@ -39,7 +39,7 @@ class DigestIndex:
         known = self._known(spark, path)
         if known is None:
             known = {"buckets": buckets or BUCKETS, "id_type": id_type or "bigint"}
-            spark.createDataFrame([tuple(known.values())], "buckets int, id_type string").write.parquet(f"{path}/{ABOUT}")
+            spark.createDataFrame([tuple(known.values())], "buckets int, id_type string").coalesce(1).write.parquet(f"{path}/{ABOUT}")
         for name, asked in (("buckets", buckets), ("id_type", id_type)):
             if asked is not None and asked != known[name]:
                 raise ValueError(f"the index at {path} has {name} {known[name]}, not {asked}")
