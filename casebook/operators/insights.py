@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from casebook import vocab
 from casebook.functions import events
-from casebook.operators import rollup
+from casebook.operators import ranks, rollup
 
 FATALITIES = ("total_deaths", "total_injury_deaths", "total_illness_deaths")
 HOSPITALISATIONS = ("injuries_hospitalized",)
@@ -100,6 +100,14 @@ def directory_page(directory: DataFrame, keys: Sequence[str], page: int) -> Data
     return rollup.ranked(directory, keys, [F.desc("count"), F.asc("slug")], page)
 
 
+def directory_pages(
+    directory: DataFrame, keys: Sequence[str], page: int = vocab.DIRECTORY_PAGE
+) -> DataFrame:
+    """(keys, page, items): all pages of each directory, most events first."""
+    order = [F.desc("count"), F.asc("slug")]
+    return ranks.pages(directory, keys, order, F.struct("slug", "name", "count"), page)
+
+
 ORDERINGS = {
     "most_incidents": lambda: [F.desc("count"), F.asc("slug")],
     "most_recent": lambda: [F.col("last_date").desc_nulls_last(), F.asc("slug")],

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from casebook import session
 from casebook.functions import dates
-from casebook.operators import insights, rollup
+from casebook.operators import insights, rollup, search
 from casebook.plans import views
 from casebook.plans.queries_rollup import as_of
 from casebook.plans.views import longs, query, sql_stamp, table, with_base
@@ -188,6 +189,41 @@ def directory_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return insights.directory_search(_city_directory(spark, sf_dir), "Build")
 
 
+_SEARCHED = ("Build", "ing", "G", "n ", "", "g 1", "zzz", "no such place")
+_SEARCHED_SQL = ", ".join(f"('{t}')" for t in _SEARCHED)
+
+
+@query(
+    "directory_search_indexed",
+    with_base(
+        f"SELECT text, listed.* FROM listed JOIN (VALUES {_SEARCHED_SQL}) t(text) ON contains(lower(name), lower(text))",
+        _CITY_DIRECTORY_SQL,
+    ),
+)
+def directory_search_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several texts, short ones and an empty one included, looked up in the index."""
+    path = session.scratch_path(spark, "names")
+    search.write_index(_city_directory(spark, sf_dir), path)
+    return search.search(spark, path, _SEARCHED)
+
+
+@query(
+    "directory_all_pages",
+    with_base(
+        "SELECT city_slug, (rank - 1) // 30 + 1 AS page, (rank - 1) % 30 AS place, slug, name, count FROM ("
+        "SELECT *, row_number() OVER (PARTITION BY city_slug ORDER BY count DESC, slug) AS rank FROM ("
+        "SELECT city_slug, company_slug AS slug, max(company_name) AS name, count(*) AS count FROM silver "
+        "WHERE city_slug IS NOT NULL AND company_slug IS NOT NULL GROUP BY 1, 2))",
+    ),
+)
+def directory_all_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every company of every city, page after page."""
+    listed = rollup.directory(rollup.event_cube(views.latest(spark, sf_dir)), rollup.CITY)
+    pages = insights.directory_pages(listed.drop("state"), ["city_slug"])
+    rows = pages.select("city_slug", "page", F.posexplode("items").alias("place", "item"))
+    return longs(rows.select("city_slug", "page", "place", "item.*"), "page", "place")
+
+
 @query(
     "directory_page",
     with_base(
