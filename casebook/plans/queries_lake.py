@@ -189,6 +189,37 @@ def gold_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _gold_digest({level: tables.read_gold(spark, root, level) for level in gold})
 
 
+@query(
+    "gold_bad_lines",
+    """SELECT level, count(*) FILTER (n <> 2) AS lines, count(*) FILTER (n < 2) AS skipped,
+      count(*) FILTER (n > 2) AS read, coalesce(sum(total) FILTER (n > 2), 0)::BIGINT AS total_events
+      FROM (SELECT level, o_orderkey % 7 AS n, o_custkey AS total FROM orders, (VALUES ('state'), ('city')) t(level))
+      GROUP BY 1""",
+)
+def gold_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold files with lines cut short, with words for numbers and without anything:
+    what is read, and what the report says was left out."""
+    root, n = _scratch(spark, "gold"), F.col("o_orderkey") % 7
+    total = F.col("o_custkey").cast("string")
+    line = F.concat(F.lit('{"city":"A","total_events":'), F.when(n == 1, '"many"').otherwise(total), F.lit("}"))
+    text = F.when(n == 0, F.substring_index(line, ":", 2)).when(n == 2, " ").otherwise(line)
+    lines = table(spark, sf_dir, "orders").select(text.alias("value"), F.lit("TN").alias("state"))
+    lines.drop("state").write.text(tables.gold_path(root, "state"))
+    lines.write.partitionBy("state").text(tables.gold_path(root, "city"))
+
+    def report(level: str) -> DataFrame:
+        counts = tables.gold_line_counts(spark, root, level).agg(
+            F.sum("lines").alias("lines"), F.sum("skipped").alias("skipped")
+        )
+        kept = tables.read_gold(spark, root, level).agg(
+            F.count("*").alias("read"), F.coalesce(F.sum("total_events"), F.lit(0)).alias("total_events")
+        )
+        parts = [part.withColumn("level", F.lit(level)) for part in (counts, kept)]
+        return parts[0].join(parts[1], "level")
+
+    return report("state").unionByName(report("city"))
+
+
 def _refreshed(spark: SparkSession, sf_dir: str, name: str) -> pipeline.Paths:
     """A lake whose silver first had some events elsewhere, with a summary and documents,
     then a batch that puts these events right, and a refresh."""

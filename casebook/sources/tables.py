@@ -7,6 +7,7 @@ from collections.abc import Collection
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from casebook import schemas, session, vocab
@@ -95,7 +96,8 @@ def write_gold(gold: DataFrame, root: str, level: str) -> None:
 
 
 def read_gold(spark: SparkSession, root: str, level: str) -> DataFrame:
-    """JSON lines of one level; blank and broken lines are skipped."""
+    """JSON lines of one level; blank and broken lines are skipped, which
+    ``gold_line_counts`` reports."""
     return (
         spark.read.schema(schemas.GOLD[level])
         .option("mode", "DROPMALFORMED")
@@ -103,6 +105,19 @@ def read_gold(spark: SparkSession, root: str, level: str) -> DataFrame:
     )
 
 
+def gold_line_counts(spark: SparkSession, root: str, level: str) -> DataFrame:
+    """(file, lines, skipped): how many lines each gold file has, and how many of them
+    ``read_gold`` leaves out as they are no JSON or not of the level's types. Blank lines
+    do not count."""
+    kinds = T.StructType([*schemas.GOLD[level].fields, T.StructField("_broken", T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
+    lines = spark.read.text(gold_path(root, level)).select(
+        F.col("_metadata.file_path").alias("file"), "value"
+    ).where(F.trim("value") != "")
+    broken = F.from_json("value", kinds, options)["_broken"]
+    return lines.groupBy("file").agg(F.count("*").alias("lines"), F.count(broken).alias("skipped"))
+
+
 def level_of_path(key: Column) -> Column:
     """Which roll-up a gold file belongs to, null for other files."""
     return F.coalesce(
