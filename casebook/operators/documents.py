@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -251,6 +252,52 @@ def site_documents(
     )
 
 
+class Facts(NamedTuple):
+    """What dimensions add to documents, by level: ``meta`` has a frame (slug, further
+    columns) whose columns become the document's ``meta``, ``subtitles`` a frame (slug,
+    subtitle) for the items of its directory."""
+
+    meta: dict[str, DataFrame] = {}
+    subtitles: dict[str, DataFrame] = {}
+
+    def told(self, docs: DataFrame, level: str) -> DataFrame:
+        if level in self.meta:
+            docs = with_meta(docs, self.meta[level])
+        if level in self.subtitles:
+            docs = with_subtitles(docs, self.subtitles[level])
+        return docs
+
+
+def _one_each(rows: DataFrame, value: Column) -> DataFrame:
+    """One value a slug, the largest of several, so that no document multiplies."""
+    known = rows.where("slug is not null")
+    return known.groupBy(F.col("slug").alias("_slug")).agg(F.max(value).alias("_value"))
+
+
+def with_meta(docs: DataFrame, dimension: DataFrame) -> DataFrame:
+    """Documents with ``meta``, null where the dimension does not know the slug."""
+    fields = [c for c in dimension.columns if c != "slug"]
+    side = _one_each(dimension, F.struct(*[dimension[c] for c in fields]))
+    joined = docs.join(side, docs["slug"] == F.col("_slug"), "left")
+    return joined.select(*[docs[c] for c in docs.columns], F.col("_value").alias("meta"))
+
+
+def with_subtitles(docs: DataFrame, subtitles: DataFrame) -> DataFrame:
+    """Items of the directories with ``subtitle``, in their order. The items are joined one
+    by one, so neither side needs to be small."""
+    key = ["PK", "SK"]
+    items = docs.select(*key, F.posexplode("directory").alias("_at", "_item"))
+    side = _one_each(subtitles, F.col("subtitle"))
+    told = items.join(side, F.col("_item.slug") == F.col("_slug"), "left").select(
+        *key, "_at", F.struct("_item.*", F.col("_value").alias("subtitle")).alias("_item")
+    )
+    lists = told.groupBy(*key).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("_at", "_item"))), lambda x: x["_item"]).alias("_list")
+    )
+    empty = F.when(F.col("directory").isNotNull(), F.array().cast(lists.schema["_list"].dataType))
+    return docs.join(lists, key, "left").withColumn("directory", F.coalesce("_list", empty)).drop("_list")
+
+
 def keys_of(entities: dict[str, DataFrame]) -> DataFrame:
     """(level, PK) of entities given by their keys."""
     slug = tx.strip_key_prefix(F.col("company_slug"), "COMPANY", "SLUG")

@@ -262,7 +262,8 @@ def run_refresh(spark: SparkSession, paths: Paths, as_of: Column) -> list[dict[s
 
 
 def _summary_documents(
-    spark: SparkSession, paths: Paths, as_of: Column, gold: dict[str, DataFrame], silver: DataFrame
+    spark: SparkSession, paths: Paths, as_of: Column, gold: dict[str, DataFrame], silver: DataFrame,
+    facts: documents.Facts,
 ) -> DataFrame:
     """Documents of the given gold rows; silver has at least their companies' events."""
     updated_at = dates.iso_millis(as_of.cast("timestamp"))
@@ -272,21 +273,24 @@ def _summary_documents(
         "site": {"siblings": sites.sibling_lists(sites.siblings(company_sites))},
     }
     docs = {
-        level: documents.BUILDERS[level](rows, updated_at, **extra.get(level, {}))
+        level: facts.told(documents.BUILDERS[level](rows, updated_at, **extra.get(level, {})), level)
         for level, rows in gold.items()
     }
     pages = documents.site_page_documents(sites.site_pages(company_sites), updated_at)
     return documents.serving_table(docs | {"company_sites": pages})
 
 
-def serve_summary(spark: SparkSession, paths: Paths, as_of: Column) -> None:
+def serve_summary(
+    spark: SparkSession, paths: Paths, as_of: Column, facts: documents.Facts = documents.Facts()
+) -> None:
     gold = {level: refresh.read_gold(spark, paths.summary, level) for level in tables.LEVELS}
     silver = merge.read_silver(spark, paths.silver)
-    tables.write_documents(_summary_documents(spark, paths, as_of, gold, silver), paths.documents)
+    tables.write_documents(_summary_documents(spark, paths, as_of, gold, silver, facts), paths.documents)
 
 
 def serve_changed(
-    spark: SparkSession, paths: Paths, as_of: Column, touched: dict[str, DataFrame]
+    spark: SparkSession, paths: Paths, as_of: Column, touched: dict[str, DataFrame],
+    facts: documents.Facts = documents.Facts(),
 ) -> list[tuple[str, str]]:
     """Documents of the keys a refresh built anew; those of keys left without events go.
 
@@ -300,17 +304,18 @@ def serve_changed(
         on = companies if level == "site" else keys
         gold[level] = rows.join(on, on.columns, "left_semi") if on.columns else rows
     silver = merge.read_silver(spark, paths.silver).join(companies, "company_slug", "left_semi")
-    docs = session.stored(_summary_documents(spark, paths, as_of, gold, silver), "served-documents")
+    docs = session.stored(_summary_documents(spark, paths, as_of, gold, silver, facts), "served-documents")
     # Every document of a touched key goes before its new ones come, pages included.
     gone = documents.keys_of({level: keys for level, keys in touched.items() if keys.columns})
     return tables.upsert_stored_documents(spark, paths.documents, docs, gone)
 
 
 def run_serving(
-    spark: SparkSession, paths: Paths, as_of: Column, levels: Collection[str] | None = None
+    spark: SparkSession, paths: Paths, as_of: Column, levels: Collection[str] | None = None,
+    facts: documents.Facts = documents.Facts(),
 ) -> None:
-    """Gold files -> documents with site lists and siblings: all of them, or a
-    refresh of the given levels, whose gold alone is read."""
+    """Gold files -> documents with site lists, siblings and what dimensions tell: all
+    of them, or a refresh of the given levels, whose gold alone is read."""
     updated_at = dates.iso_millis(as_of.cast("timestamp"))
     wanted = [level for level in tables.LEVELS if levels is None or level in levels]
     if not wanted:
@@ -325,8 +330,11 @@ def run_serving(
             pages = sites.site_pages(company_sites)
             parts["company_sites"] = documents.site_page_documents(pages, updated_at)
     docs = {
-        level: documents.BUILDERS[level](
-            tables.read_gold(spark, paths.gold, level), updated_at, **extra.get(level, {})
+        level: facts.told(
+            documents.BUILDERS[level](
+                tables.read_gold(spark, paths.gold, level), updated_at, **extra.get(level, {})
+            ),
+            level,
         )
         for level in wanted
     }

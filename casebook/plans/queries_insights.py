@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from casebook import session
 from casebook.functions import dates
-from casebook.operators import insights, rollup, search
+from casebook.operators import documents, insights, rollup, search
 from casebook.plans import views
-from casebook.plans.queries_rollup import as_of
+from casebook.plans.queries_rollup import STAMPED, as_of
 from casebook.plans.views import longs, query, sql_stamp, table, with_base
 
 _DAY_SQL = "TIMESTAMP '2001-12-31'"
@@ -282,6 +282,43 @@ def directory_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "documents_with_meta",
+    with_base(
+        "SELECT 'CITY#' || city_slug AS pk, customers, segment, md5(list) AS directory_md5 FROM ("
+        "SELECT city_slug, string_agg(slug || '=' || coalesce(industry, ''), ';' ORDER BY count DESC, slug) AS list FROM ("
+        "SELECT city_slug, company_slug AS slug, count(*) AS count FROM silver WHERE city_slug IS NOT NULL GROUP BY 1, 2) "
+        "LEFT JOIN (SELECT replace(p_name, ' ', '-') AS slug, max(p_type) AS industry FROM part "
+        "WHERE NOT starts_with(p_name, 'b') GROUP BY 1) USING (slug) GROUP BY 1) "
+        "LEFT JOIN (SELECT city_slug, count(*) AS customers, max(c_mktsegment) AS segment FROM ("
+        "SELECT chr(65 + n_nationkey) || chr(65 + n_regionkey) || '-' || replace(lower(c_mktsegment), ' ', '_') || '_' "
+        "|| c_custkey % 4 AS city_slug, c_custkey % 4 AS number, c_mktsegment FROM customer JOIN nation ON c_nationkey = n_nationkey) "
+        "WHERE number <> 3 GROUP BY 1) USING (city_slug)"
+    ),
+)
+def documents_with_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """City documents that tell of their customers, companies with their industry; some
+    cities and companies are in no dimension."""
+    events = rollup.shown_events(views.latest(spark, sf_dir))
+    gold = rollup.city_gold(rollup.event_cube(events), rollup.recent_candidates(events))
+    known = views.customer_places(spark, sf_dir).where(~F.col("city").endswith(" 3"))
+    cities = known.groupBy(F.col("city_slug").alias("slug")).agg(
+        F.count("*").alias("customers"), F.max(F.substring_index("city", " ", 1)).alias("segment")
+    )
+    parts = table(spark, sf_dir, "part").where(~F.col("p_name").startswith("b"))
+    industries = parts.select(F.replace("p_name", F.lit(" "), F.lit("-")).alias("slug"), F.col("p_type").alias("subtitle"))
+    facts = documents.Facts({"city": cities}, {"city": industries})
+    docs = facts.told(documents.city_documents(gold, F.lit(STAMPED)), "city")
+    served = documents.serving_table({"city": docs}).withColumn("d", F.from_json(
+        "document", "meta struct<customers: bigint, segment: string>, directory array<struct<slug: string, subtitle: string>>"
+    ))
+    listed = F.transform("d.directory", lambda i: F.concat(i["slug"], F.lit("="), F.coalesce(i["subtitle"], F.lit(""))))
+    return served.select(
+        F.col("PK").alias("pk"), "d.meta.customers", "d.meta.segment",
+        F.md5(F.array_join(listed, ";").cast("binary")).alias("directory_md5"),
+    )
+
+
 @query(
     "company_recents",
     with_base(

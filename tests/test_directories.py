@@ -6,7 +6,8 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from casebook.operators import insights, ranks, search
+from casebook.operators import documents, insights, ranks, search
+from casebook.sources import tables
 
 
 @pytest.fixture(scope="module")
@@ -108,3 +109,37 @@ def test_a_search_pushes_its_grams_to_the_scan(spark, index, text, pushed):
     plan = search.search(spark, index[1], [text])._jdf.queryExecution().toString()
     filters = plan.split("PushedFilters: [", 1)[1].split("]", 1)[0]
     assert pushed in filters or pushed.replace("In(gram", "EqualTo(gram") in filters
+
+
+def test_facts_of_dimensions_in_documents(spark):
+    docs = spark.createDataFrame(
+        [
+            ("CITY#a", "SUMMARY", "a", [("f", 3), ("g", 2), ("f", 1)]), ("CITY#b", "SUMMARY", "b", []),
+            ("CITY#c", "SUMMARY", "c", None), ("CITY#n", "SUMMARY", None, [(None, 1)]),
+        ],
+        "PK string, SK string, slug string, directory array<struct<slug: string, count: int>>",
+    )
+    cities = spark.createDataFrame(
+        [("a", 5, "x"), ("a", 7, None), ("b", None, None), (None, 1, "y")], "slug string, population int, PK string"
+    )
+    firms = spark.createDataFrame([("f", "Food"), ("f", "Bread"), (None, "None"), ("h", "Hats")], "slug string, subtitle string")
+    told = documents.Facts({"city": cities}, {"city": firms}).told(docs, "city")
+    assert sorted(told.columns) == sorted([*docs.columns, "meta"])
+    rows = {r.PK: r for r in told.collect()}
+    assert len(rows) == 4
+    assert [tuple(i) for i in rows["CITY#a"].directory] == [("f", 3, "Food"), ("g", 2, None), ("f", 1, "Food")]
+    assert rows["CITY#b"].directory == [] and rows["CITY#c"].directory is None
+    assert [tuple(i) for i in rows["CITY#n"].directory] == [(None, 1, None)]
+    assert tuple(rows["CITY#a"].meta) == (7, None) and tuple(rows["CITY#b"].meta) == (None, None)
+    assert rows["CITY#c"].meta is None and rows["CITY#n"].meta is None
+    assert documents.Facts().told(docs, "city") is docs
+
+
+def test_lines_that_reading_gold_leaves_out(spark, tmp_path):
+    folder = tmp_path / "states"
+    folder.mkdir()
+    (folder / "a.json").write_text('{"state":"TN","total_events":3}\n\n{"state":"TX"\n{"state":"NM","total_events":"x"}\n')
+    (folder / "b.json").write_text('{"state":"AL"}\n')
+    counts = tables.gold_line_counts(spark, str(tmp_path), "state").collect()
+    assert {r.file.rsplit("/", 1)[1]: (r["lines"], r.skipped) for r in counts} == {"a.json": (3, 2), "b.json": (1, 0)}
+    assert sorted(r.state for r in tables.read_gold(spark, str(tmp_path), "state").collect()) == ["AL", "TN"]
