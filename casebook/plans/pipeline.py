@@ -236,7 +236,9 @@ def run_gold(spark: SparkSession, paths: Paths, as_of: Column) -> None:
         tables.write_gold(frame, paths.gold, level)
 
 
-def run_refresh(spark: SparkSession, paths: Paths, as_of: Column) -> list[dict[str, DataFrame]]:
+def run_refresh(
+    spark: SparkSession, paths: Paths, as_of: Column, facts: documents.Facts = documents.Facts()
+) -> list[dict[str, DataFrame]]:
     """Bring the summary, and the documents where there are any, up to the newest silver.
 
     Each merge since is applied by itself: the keys of its changed events and no others.
@@ -247,7 +249,7 @@ def run_refresh(spark: SparkSession, paths: Paths, as_of: Column) -> list[dict[s
     before = refresh.stands_for(spark, paths.summary)
     if before is None:
         refresh.build(spark, paths.summary, merge.read_silver(spark, paths.silver), as_of, newest)
-        serve_summary(spark, paths, as_of)
+        serve_summary(spark, paths, as_of, facts)
         return []
     columns = [c for c in merge.schemas.SILVER_COLUMNS if c in refresh.NEEDED]
     done = []
@@ -256,7 +258,7 @@ def run_refresh(spark: SparkSession, paths: Paths, as_of: Column) -> list[dict[s
         silver = merge.read_silver(spark, paths.silver, version)
         touched = refresh.refresh(spark, paths.summary, changed, silver, as_of, version)
         if touched:
-            serve_changed(spark, paths, as_of, touched)
+            serve_changed(spark, paths, as_of, touched, facts)
         done.append(touched)
     return done
 
