@@ -1,10 +1,11 @@
 """Near-duplicates by the Jaccard similarity of word shingles, checked exactly.
 
-SimHash at three bits of 64 leaves most near copies apart, and at a similarity of 0.8
-about 15 % of a SimHash's bits differ, too many for keys on its segments. So documents
-that may be near are found by minimum hashes: 192 of them in 32 bands of six, of which
-a pair with similarity 0.8 shares one or more with odds of 0.99994. Only documents of
-one band's group are ever compared, by their shingle sets. In each group all are first
+Documents that may be near are found by the SimHash operator: fingerprints of their
+shingles, linked by its pigeonring search, make a group of every component. At a
+similarity of 0.8 about 15 % of a SimHash's bits differ, too many for keys on its
+segments, so groups by minimum hashes stand beside: 192 of them in 32 bands of six, of
+which a pair with similarity 0.8 shares one or more with odds of 0.99994. Only documents
+of one group are ever compared, by their shingle sets. In each group all are first
 compared with one leader, twice over, which joins families of copies in linear time;
 what is joined is one component and needs no comparison any more. Only in groups that
 still hold several components all pairs are compared. Such a group is cut into parts
@@ -57,30 +58,43 @@ def bands(found: np.ndarray) -> list[int]:
 
 
 def sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, t (hash of the text), node and the band keys of every row; stored."""
+    """doc_id, t (hash of the text), node, fp (SimHash) and the band keys of every row; stored."""
     common.python_ready(docs.sparkSession)
     rows = docs.select("doc_id", F.xxhash64("text").alias("t"), "text")
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, t long, node binary, keys array<long>"
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, t long, node binary, fp long, keys array<long>"
 
     def run(batches):
         for batch in batches:
             texts = batch.column("text").cast(pa.large_binary()).fill_null(b"")
-            nodes, keys = [], []
+            nodes, fps, keys = [], [], []
             for x in texts:
-                found = shingles(x.as_py(), words)
+                data = x.as_py()
+                found = shingles(data, words)
+                fps.append(simhash._signed(simhash.fingerprint(data, words)))
                 nodes.append(xxhash.xxh3_128_digest(found.tobytes(), words))
                 keys.append(bands(found))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("t"), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "t", "node", "keys"],
+                [
+                    batch.column("doc_id"), batch.column("t"), pa.array(nodes, pa.binary()),
+                    pa.array(fps, pa.int64()), pa.array(keys, pa.list_(pa.int64())),
+                ],
+                ["doc_id", "t", "node", "fp", "keys"],
             )
 
     return common.stored(rows.mapInArrow(run, schema), "near-sketches")
 
 
+def rings(rows: DataFrame) -> DataFrame:
+    """(node, k): nodes by the component of their fingerprints that pigeonring search links."""
+    fps = common.stored(rows.select("fp", "node").distinct(), "near-fingerprints")
+    roots = simhash.components(simhash.links(fps.select("fp").distinct()))
+    named = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    return named.select("node", F.xxhash64(F.lit("ring"), F.coalesce("root", "fp")).alias("k"))
+
+
 def members(rows: DataFrame) -> DataFrame:
-    """(k, node) of every band's group of two nodes or more; stored."""
-    keyed = rows.select("node", F.explode("keys").alias("k")).distinct()
+    """(k, node) of every group of two nodes or more, by fingerprint or band; stored."""
+    keyed = rings(rows).union(rows.select("node", F.explode("keys").alias("k"))).distinct()
     shared = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("k")
     return common.stored(keyed.join(shared, "k"), "near-members")
 

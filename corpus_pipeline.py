@@ -19,7 +19,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents alike in 0.8 of their five-word shingles, the one with the smallest id."""
+    """Of documents alike in 0.8 of their five-word shingles, the one with the smallest id:
+    SimHash fingerprints linked by pigeonring search, and minimum hashes beside, then exact."""
     return near.one_of_each(docs)
 
 

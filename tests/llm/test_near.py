@@ -90,3 +90,22 @@ def test_one_row_of_each_group_with_repeated_and_null_ids(spark):
         left = kept.collect()
         assert sorted(r.text.lower() for r in left) == sorted(texts)
         assert {r.text.lower(): r.doc_id for r in left} == dict(zip(texts, [None, 1, 2, 5]))
+
+
+def test_fingerprints_linked_by_pigeonring_find_near_copies(spark, monkeypatch):
+    """Without any shared band, documents whose SimHashes lie within three bits are found."""
+    rng = random.Random(9)
+    base = prose(rng, 2000).split()
+    last = prose(rng, 2000)
+    rows = [(k, " ".join([f"head{k}", *base[1:]])) for k in range(6)] + [(9, last)]
+    prints = [simhash.fingerprint(t.encode(), near.WORDS) for _, t in rows[:6]]
+    assert all((a ^ prints[0]).bit_count() <= simhash.MOST for a in prints)
+    rows_of = near.sketches
+
+    def unbanded(docs, words):
+        found = rows_of(docs, words)
+        return found.withColumn("keys", near.F.array(near.F.xxhash64("node")))
+
+    monkeypatch.setattr(near, "sketches", unbanded)
+    left = near.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in left) == [0, 9]
