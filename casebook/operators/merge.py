@@ -51,14 +51,16 @@ def latest_per_event(
     rows: DataFrame,
     tie_breakers: Sequence[Column | str] = (),
     newest_by: str = "ingested_at",
+    keys: Sequence[str] = ("event_id",),
 ) -> DataFrame:
     """One row per event: the newest ingest. Ties fall to the given columns.
+    ``keys`` are the columns that tell events apart.
 
     ``row_number() = 1`` is planned with a group limit before the exchange, so
     a heavily re-delivered event shrinks to one row per input partition.
     """
     order = [F.col(newest_by).desc_nulls_last(), *tie_breakers]
-    newest = Window.partitionBy("event_id").orderBy(*order)
+    newest = Window.partitionBy(*keys).orderBy(*order)
     return rows.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1").drop("_rn")
 
 

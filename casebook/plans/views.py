@@ -61,17 +61,24 @@ TIES = ("l_partkey", "l_suppkey", "l_extendedprice")
 
 
 @lru_cache(maxsize=8)
-def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All deliveries of all events (the bronze role). Only the plan is kept."""
+def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line with its order, customer, part, supplier and nation, columns as they were.
+
+    Customers join the orders, not the lines, and the lines meet their orders first: they
+    move once, while they are narrow, and then lie as their deduplication needs them.
+    """
     t = lambda name: table(spark, sf_dir, name)
-    facts = t("lineitem").repartition("l_orderkey", "l_linenumber")
+    heads = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
     rows = (
-        facts.join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
+        t("lineitem").join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
     )
+    return rows.withColumn("ingested_at", F.col("l_shipdate").cast("timestamp"))
+
+
+def _event_columns() -> list[Column]:
     flag = F.col("l_returnflag")
     state = F.when(F.col("n_nationkey") % 12 == 11, "US").otherwise(code_letters())
     city = F.when(
@@ -79,11 +86,11 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat("c_mktsegment", F.lit(" "), (F.col("s_suppkey") % 4).cast("string")),
     )
     line = F.col("l_linenumber")
-    return rows.select(
+    return [
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("event_id"),
         F.when(flag == "A", "OSHA").when(flag == "N", "FDA").otherwise("NHTSA").alias("event_source"),
         F.concat(F.lit("estuary/orders/"), "o_orderpriority").alias("source_url"),
-        F.col("l_shipdate").cast("timestamp").alias("ingested_at"),
+        F.col("ingested_at"),
         F.col("o_orderdate").cast("timestamp").alias("event_date"),
         state.alias("state"),
         city.alias("city"),
@@ -108,14 +115,28 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderstatus") == "F", F.lit("Closed order")).alias("bedrock_event_description"),
         (F.col("o_orderstatus") == "F").alias("bedrock_verified"),
         F.concat(F.lit("seen in "), F.year("l_shipdate").cast("string")).alias("quarantine_reason"),
-        *TIES,
-    )
+        *map(F.col, TIES),
+    ]
+
+
+@lru_cache(maxsize=8)
+def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All deliveries of all events (the bronze role). Only the plan is kept."""
+    return _joined(spark, sf_dir).select(*_event_columns())
 
 
 @lru_cache(maxsize=8)
 def latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per event, its newest delivery (the silver role)."""
-    return merge.latest_per_event(deliveries(spark, sf_dir), [F.col(c).asc() for c in TIES])
+    """One row per event, its newest delivery (the silver role).
+
+    Order and line stand for the event: they are what its id is made of, and no order is
+    null here. The rows lie by order already, and the event's texts are made of the rows
+    that are left.
+    """
+    rows = merge.latest_per_event(
+        _joined(spark, sf_dir), [F.col(c).asc() for c in TIES], keys=("l_orderkey", "l_linenumber")
+    )
+    return rows.select(*_event_columns())
 
 
 _COLUMNS_SQL = """
