@@ -18,7 +18,7 @@ _BASE_URL = "https://example.org"
 
 
 def _documents(spark: SparkSession, sf_dir: str, *levels: str) -> DataFrame:
-    events = rollup.shown_events(views.latest(spark, sf_dir))
+    events = session.stored(rollup.shown_events(views.latest(spark, sf_dir)), "shown-events")
     cube, recents = rollup.event_cube(events), rollup.recent_candidates(events)
     gold = {
         "state": lambda: rollup.state_gold(cube, recents),
