@@ -252,7 +252,8 @@ def directory_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def directory_orderings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = insights.company_directory(views.latest(spark, sf_dir))
+    # All orders rank one stored list.
+    listed = session.stored(insights.company_directory(views.latest(spark, sf_dir)), "company-directory")
     out = None
     for name, order in insights.ORDERINGS.items():
         top = rollup.ranked(listed, [], order(), 30).select(
@@ -299,7 +300,7 @@ def directory_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 def documents_with_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """City documents that tell of their customers, companies with their industry; some
     cities and companies are in no dimension."""
-    events = rollup.shown_events(views.latest(spark, sf_dir))
+    events = session.stored(rollup.shown_events(views.latest(spark, sf_dir)), "shown-events")
     gold = rollup.city_gold(rollup.event_cube(events), rollup.recent_candidates(events))
     known = views.customer_places(spark, sf_dir).where(~F.col("city").endswith(" 3"))
     cities = known.groupBy(F.col("city_slug").alias("slug")).agg(
