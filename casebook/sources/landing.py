@@ -50,9 +50,9 @@ def object_key(path: Column, root: str) -> Column:
     return F.substring_index(plain, f"/{folder}/", -1)
 
 
-def scanned_path() -> Column:
+def scanned_path(encoded: Column | None = None) -> Column:
     """The row's file. Scans report it URL-encoded, listings do not."""
-    encoded = F.col("_metadata.file_path")
+    encoded = F.col("_metadata.file_path") if encoded is None else encoded
     return F.try_url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
@@ -142,7 +142,7 @@ def _first_lines(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str,
     place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id())
     lines = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("file"), scanned_path().alias("path"), place.alias("place"), "value",
-        (F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1).alias("open"),
+        ((F.length("value") - F.length(F.replace("value", F.lit('"')))) % 2 == 1).alias("open"),
     )
     filled = tx.trim(F.regexp_replace("value", "^\ufeff", "")) != ""
     first = F.min_by(F.struct("value", "open"), F.when(filled, F.col("place")))
@@ -216,15 +216,16 @@ def read_rows(
 
     Columns are positional, so header names that differ only in case are fine.
     Empty cells are ``""``, never null. Files whose quotes span lines are read a
-    record at a time, a task each; all others split. ``multiline`` sets one way
-    for all files.
+    record at a time, a task each, and their records dealt by a hash of their cells,
+    so that what is made of them is the work of many tasks; all others split.
+    ``multiline`` sets one way for all files.
     """
     names = [f"c{i}" for i in range(len(layout.header))]
     whole = "_record"
     schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, whole)])
 
     def scan(paths: list[str], across_lines: bool) -> DataFrame:
-        return (
+        found = (
             spark.read.schema(schema)
             .option("header", True)
             .option("enforceSchema", True)
@@ -238,8 +239,11 @@ def read_rows(
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", whole)
             .csv(paths)
-            .select("*", object_key(scanned_path(), root).alias("key"))
+            .select("*", F.col("_metadata.file_path").alias("_file"))
         )
+        if across_lines:
+            found = found.repartition(F.xxhash64(*names, whole))
+        return found.withColumn("key", object_key(scanned_path(F.col("_file")), root)).drop("_file")
 
     spanning = [p for p in layout.paths if (p in layout.quoted if multiline is None else multiline)]
     single = [p for p in layout.paths if p not in set(spanning)]
