@@ -242,14 +242,16 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, in
         """Nodes of whole groups: leaves in documents beyond a node's smallest are repeats."""
         held, at = [], None
         for batch in batches:
-            for group, bucket, blob in zip(*(batch.column(c).to_pylist() for c in ("grp", "bucket", "blob"))):
+            # Blobs are large: one at a time leaves Arrow.
+            small = (batch.column(c).to_pylist() for c in ("grp", "bucket"))
+            for group, bucket, blob in zip(*small, batch.column("blob")):
                 if group < 0:
-                    yield made([(bucket, blob)])
+                    yield made([(bucket, blob.as_py())])
                     continue
                 if group != at:
                     yield made(nodes(held))
                     held, at = [], group
-                held.append(_unpacked(blob, 4))
+                held.append(_unpacked(blob.as_py(), 4))
         yield made(nodes(held))
 
     def made(found):
@@ -262,6 +264,7 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, in
         if len(held) < 2:
             return
         digest, doc, tag, place = (np.concatenate(x) for x in zip(*held))
+        held.clear()
         doc, tag = doc.view(np.int64), tag.view(np.int64)
         order = np.lexsort((tag, doc, digest))
         digest, doc, tag, place = digest[order], doc[order], tag[order], place[order]
