@@ -6,8 +6,10 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from casebook import session
 from casebook.operators import insights, merge, resolve, rollup, sitemap, sites
-from casebook.plans import catalog
+from casebook.plans import catalog, views
+from casebook.sources import landing, tables
 
 SF_DIR = "/root/testdata/sf0.001"
 COLUMNS = (
@@ -244,3 +246,55 @@ def test_newest_version_without_its_note(spark, tmp_path):
     (table / "newest").rename(tmp_path / "late")
     assert merge.newest_version(spark, f"file:{table}") == 3
     assert merge.is_merged(spark, f"file:{table}", "b1") and not merge.is_merged(spark, f"file:{table}", "b3")
+
+
+def test_deduplication_moves_no_row_by_its_text_id(spark):
+    plan = _plan(views.latest(spark, SF_DIR).select("event_id", "event_details"))
+    assert "Window" in plan and "hashpartitioning(event_id" not in plan
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["document_lookup", "documents_with_meta", "directory_orderings", "document_first_pages", "gold_round_trip"],
+)
+def test_events_are_deduplicated_once(spark, name):
+    assert "lineitem.parquet" not in _plan(catalog.QUERIES[name](spark, SF_DIR))
+
+
+def test_levels_share_stored_frames(spark, silver, monkeypatch):
+    names = []
+    stored = session.stored
+    monkeypatch.setattr(session, "stored", lambda rows, name: (names.append(name), stored(rows, name))[1])
+    gold, _ = rollup.all_gold(silver, F.lit("2026-01-01").cast("timestamp"))
+    assert names == ["cube", "candidates", "coarse-candidates"]
+    for level in ("nation", "state", "city", "company"):
+        assert "/candidates-" not in _plan(gold[level]) and "/coarse-candidates-" in _plan(gold[level])
+
+
+def test_zone_writes_keep_files_open_and_put_the_setting_back(spark, tmp_path, monkeypatch):
+    name, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    before = spark.conf.get(name)
+    named = tables.uuid.uuid4
+    monkeypatch.setattr(tables.uuid, "uuid4", lambda: (seen.append(spark.conf.get(name)), named())[1])
+    fields = "zone string, partition_source string, partition_year string, event_id string"
+    rows = spark.createDataFrame([(z, "S", "2025", f"{z}{k}") for k in range(50) for z in ("reef", "quarantine")], fields)
+    tables.write_zones(rows.coalesce(1), f"file:{tmp_path}/lake")
+    assert seen == [str(tables.OPEN_FILES)] and spark.conf.get(name) == before
+    counts = spark.read.parquet(f"file:{tmp_path}/lake").groupBy("zone").count().collect()
+    assert sorted(tuple(r) for r in counts) == [("quarantine", 50), ("reef", 50)]
+    with pytest.raises(Exception):
+        tables.write_zones(rows.drop("zone"), f"file:{tmp_path}/broken")
+    assert spark.conf.get(name) == before
+
+
+def test_records_of_quoted_files_are_dealt(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,note\n1,"x\ny"\n2,z\n')
+    path = f"file:{tmp_path}/a.csv"
+    layout = landing.Layout("s", "d", ("id", "note"), (path,), frozenset([path]))
+    rows = landing.read_rows(spark, layout, f"file:{tmp_path.parent}")
+    assert "hashpartitioning" in _plan(rows)
+    assert sorted((r.c0, r.c1, r.key) for r in rows.collect()) == [
+        ("1", "x\ny", f"{tmp_path.name}/a.csv"), ("2", "z", f"{tmp_path.name}/a.csv")
+    ]
+    plain = landing.read_rows(spark, layout, f"file:{tmp_path.parent}", multiline=False)
+    assert "hashpartitioning" not in _plan(plain)
