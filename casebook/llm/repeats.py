@@ -28,6 +28,8 @@ PREFIXES, BITS = (1, 2, 4), (12, 16, 16)
 #: Leaves of a group, bytes of text in a chunk, and bits of a path digest: a group's
 #: size bounds the chance that two windows in it are confused, 2^21 in 2^56.
 GROUP, CHUNK, DIGEST_BITS = 1 << 21, 1 << 22, 56
+#: Slots that ids are hashed to where it is noted which of them have several texts.
+SLOTS = 1 << 20
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 _N = np.uint64(0xBF58476D1CE4E5B9)
@@ -194,16 +196,33 @@ def _tag() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
 
 
+def _slot() -> Column:
+    return F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(SLOTS))
+
+
+def tagged(docs: DataFrame) -> DataFrame:
+    """doc_id, text, tag. Only ids that have several texts need tags, and four random bytes
+    with each leaf would fill a third of what moves; so tag is 0 outside the slots of such ids."""
+    docs = docs.select("doc_id", "text")
+    texts = docs.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+    shared = texts.agg(F.min(_tag()).alias("least"), F.max(_tag()).alias("most")).filter("least < most")
+    shared = common.stored(shared.select(_slot().alias("shared")).distinct(), "shared-ids")
+    # Proven bound: SLOTS rows.
+    rows = docs.join(F.broadcast(shared), _slot() == F.col("shared"), "left")
+    return rows.select("doc_id", "text", F.when(F.col("shared").isNotNull(), _tag()).otherwise(0).alias("tag"))
+
+
 def repeated_windows(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, int]:
     """(bucket, blob) rows and the number of buckets: repeats by bucket of documents.
 
     A blob packs documents, their texts' tags and the first places of windows in them that
     a smaller id has too, each distinct window of a row once. A document's bucket is its id modulo
     the number of buckets, which grows with the number of windows so that a bucket's
-    repeats fit in memory. doc_id is an integer; null ids are left out.
+    repeats fit in memory. docs are as `tagged` gives them; doc_id is an integer; null ids
+    are left out.
     """
     common.python_ready(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _tag().alias("tag"), "text").filter("doc_id IS NOT NULL")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "tag", "text").filter("doc_id IS NOT NULL")
     counts = prefix_counts(rows, width)
     buckets = _prime_from(8 + 8 * int(counts[0].sum()) // GROUP)
     shared = docs.sparkSession.sparkContext.broadcast(Partition(counts))
@@ -286,11 +305,13 @@ def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     another, and each loses only what its own text repeats; rows with a null id keep all.
     Texts of any length are read whole. Other columns are not read.
     """
+    docs = tagged(docs)
     found, buckets = repeated_windows(docs, width)
-    found = common.stored(found, "repeats")
+    # The leaves go before the texts move.
+    found = common.stored(found, "repeats", free=True)
     kind = docs.schema["doc_id"].dataType.simpleString()
     own = F.pmod(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")), F.lit(buckets)).cast("int")
-    texts = docs.select(own.alias("bucket"), F.lit(1).alias("kind"), "doc_id", _tag().alias("tag"), "text", F.lit(None).cast("binary").alias("blob"))
+    texts = docs.select(own.alias("bucket"), F.lit(1).alias("kind"), "doc_id", "tag", "text", F.lit(None).cast("binary").alias("blob"))
     repeats = found.select(
         "bucket", F.lit(0).alias("kind"), F.lit(None).cast(kind).alias("doc_id"), F.lit(None).cast("long").alias("tag"),
         F.lit(None).cast("string").alias("text"), "blob",

@@ -154,6 +154,37 @@ def test_repeats_against_all_windows(spark, small, odd, monkeypatch, chunk, grou
     assert plain(got) == brute.repeats(rows)
 
 
+def test_only_ids_with_several_texts_are_tagged(spark):
+    rows = [(1, "a b"), (2, "a b"), (3, None), (4, ""), (5, "a b"), (5, "c"), (6, None), (6, "d"), (7, "e"), (7, "e"), (8, None), (8, ""), (None, "f"), (None, "g")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string").repartition(4)
+    got = repeats.tagged(docs).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in got) == sorted((str(d), str(t)) for d, t in rows)
+    assert {r.doc_id for r in got if r.tag} == {5, 6}
+    assert len({r.tag for r in got if r.doc_id == 5}) == len({r.tag for r in got if r.doc_id == 6}) == 2
+
+
+def test_leaves_leave_the_disk_before_the_texts_move(spark, monkeypatch):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held, stored = {}, repeats.common.stored
+
+    def shuffled():
+        return set(re.findall(r"shuffle_\d+_\d+_\d+\.data", disk.getAllFiles().mkString(",")))
+
+    def watched(rows, name, **options):
+        before = shuffled()
+        found = stored(rows, name, **options)
+        held[name] = shuffled() - before
+        return found
+
+    setting = spark.conf.get(repeats.common.FREE)
+    monkeypatch.setattr(repeats.common, "stored", watched)
+    passage = " ".join(f"p{k}" for k in range(40))
+    docs = spark.createDataFrame([(k, passage + f" {k}") for k in range(50)], "doc_id long, text string").repartition(4)
+    assert {r.n_removed for r in repeats.without_repeats(docs).collect()} == {0, 40}
+    assert held["repeats"] == set()
+    assert spark.conf.get(repeats.common.FREE) == setting
+
+
 def test_prefixes_are_as_long_as_groups_ask_for():
     rng = np.random.default_rng(1)
     counts = [np.zeros(1 << b, np.int64) for b in repeats.BITS]
