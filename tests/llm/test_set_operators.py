@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -173,7 +174,12 @@ def test_leaves_leave_the_disk_before_the_texts_move(spark, monkeypatch):
     def watched(rows, name, **options):
         before = shuffled()
         found = stored(rows, name, **options)
-        held[name] = shuffled() - before
+        # Files go a moment after the query that made them has ended.
+        for _ in range(100):
+            held[name] = shuffled() - before
+            if not held[name]:
+                break
+            time.sleep(0.05)
         return found
 
     setting = spark.conf.get(repeats.common.FREE)
