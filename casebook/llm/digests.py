@@ -81,8 +81,15 @@ class DigestIndex:
         """
         firsts = new.groupBy("digest").agg(F.min("doc_id").alias("keep_id"))
         fresh = firsts.join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
-        fresh = common.stored(fresh, "fresh-digests")
-        fresh.repartition(self.buckets, "digest").write.insertInto(self.name)
+        fresh = common.stored(fresh, "fresh-digests", free=True)
+        self._dealt(fresh).write.insertInto(self.name)
+
+    def _dealt(self, rows: DataFrame) -> DataFrame:
+        """Rows with a task for each bucket, whatever the session's number of partitions.
+
+        Tasks that hold parts of all buckets would write a file for each of them.
+        """
+        return rows.repartitionById(self.buckets, F.pmod(F.hash("digest"), F.lit(self.buckets)))
 
     def keepers(self) -> DataFrame:
         """The index read as plain files, for joins whose hot keys must be split."""
@@ -90,7 +97,7 @@ class DigestIndex:
 
     def compact(self, path: str) -> "DigestIndex":
         packed = DigestIndex(self.spark, path, self.buckets, self.id_type)
-        self.rows().repartition(self.buckets, "digest").write.insertInto(packed.name)
+        packed._dealt(self.rows()).write.insertInto(packed.name)
         return packed
 
 
@@ -100,7 +107,7 @@ def digest_rows(docs: DataFrame) -> DataFrame:
     A null text counts as empty; null ids are an id of their own.
     """
     rows = docs.select(text_digest("text").alias("digest"), F.col("doc_id"))
-    return common.stored(rows.groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias("n")), "digests")
+    return common.stored(rows.groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias("n")), "digests", free=True)
 
 
 def exact_groups(docs: DataFrame, index: DigestIndex, batches: int = 2) -> DataFrame:
@@ -127,7 +134,7 @@ def exact_groups(docs: DataFrame, index: DigestIndex, batches: int = 2) -> DataF
     if edges:
         index.add(rows.filter(part.isNull()))
     sizes = rows.groupBy("digest").agg(F.sum("n").alias("group_size"))
-    groups = common.stored(index.keepers().join(sizes, "digest"), "digest-groups")
+    groups = common.stored(index.keepers().join(sizes, "digest"), "digest-groups", free=True)
     copies = F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))
     return (
         rows.join(groups, "digest")

@@ -81,12 +81,12 @@ def sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
                 ["doc_id", "t", "node", "fp", "keys"],
             )
 
-    return common.stored(rows.mapInArrow(run, schema), "near-sketches")
+    return common.stored(rows.mapInArrow(run, schema), "near-sketches", free=True)
 
 
 def rings(rows: DataFrame) -> DataFrame:
     """(node, k): nodes by the component of their fingerprints that pigeonring search links."""
-    fps = common.stored(rows.select("fp", "node").distinct(), "near-fingerprints")
+    fps = common.stored(rows.select("fp", "node").distinct(), "near-fingerprints", free=True)
     roots = simhash.components(simhash.links(fps.select("fp").distinct()))
     named = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     return named.select("node", F.xxhash64(F.lit("ring"), F.coalesce("root", "fp")).alias("k"))
@@ -96,15 +96,16 @@ def members(rows: DataFrame) -> DataFrame:
     """(k, node) of every group of two nodes or more, by fingerprint or band; stored."""
     keyed = rings(rows).union(rows.select("node", F.explode("keys").alias("k"))).distinct()
     shared = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("k")
-    return common.stored(keyed.join(shared, "k"), "near-members")
+    return common.stored(keyed.join(shared, "k"), "near-members", free=True)
 
 
 def shingle_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(node, found): the sorted shingle hashes of the wanted nodes, as bytes; stored."""
     texts = docs.select(F.xxhash64("text").alias("t"), "text")
-    # Equal texts have one node: any of their rows will do.
+    # Equal texts have one node: any of their rows will do. The join leaves rows dealt by
+    # t, so texts do not move again.
     chosen = nodes.join(wanted, "node", "left_semi").select("node", "rep.t")
-    taken = chosen.join(texts, "t").dropDuplicates(["node"]).select("node", "text")
+    taken = chosen.join(texts, "t").dropDuplicates(["t", "node"]).select("node", "text")
 
     def run(batches):
         for batch in batches:
@@ -112,7 +113,7 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, words: in
             made = pa.array([shingles(x.as_py(), words).tobytes() for x in texts], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("node"), made], ["node", "found"])
 
-    return common.stored(taken.mapInArrow(run, "node binary, found binary"), "near-sets")
+    return common.stored(taken.mapInArrow(run, "node binary, found binary"), "near-sets", free=True)
 
 
 def _near(a: np.ndarray, b: np.ndarray, least: tuple[int, int]) -> bool:
@@ -166,29 +167,33 @@ def alike(sets: list[np.ndarray], least: tuple[int, int] = LEAST) -> np.ndarray:
         top = np.minimum(lower, lower[lower])
 
 
-def _rooted(held: DataFrame, found: DataFrame) -> DataFrame:
+def _rooted(held: DataFrame, roots: DataFrame) -> DataFrame:
     """(k, node, root) of the groups that still hold several components."""
-    roots = simhash.components(found)
     named = held.join(roots, "node", "left").select("k", "node", F.coalesce("root", "node").alias("root"))
     several = named.groupBy("k").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    return common.stored(named.join(several.select("k"), "k"), "near-open")
+    return common.stored(named.join(several.select("k"), "k"), "near-open", free=True)
 
 
 def links(docs: DataFrame, nodes: DataFrame, rows: DataFrame, words: int = WORDS, least: tuple[int, int] = LEAST) -> DataFrame:
-    """(a, b): links among nodes that connect all near pairs that share a band."""
+    """(a, b): links among nodes that connect all near pairs that share a band.
+
+    What a step linked goes on as a link of each node to its root, and only groups that
+    are still open are looked at again.
+    """
     held = members(rows)
     sets = shingle_sets(docs, nodes, held.select("node"), words)
     leader = held.groupBy("k").agg(F.min("node").alias("b"))
     pairs = held.join(leader, "k").filter("node <> b").select(F.col("node").alias("a"), "b").distinct()
-    found = common.stored(verified(pairs, sets, least), "near-links")
-    left = _rooted(held, found)
+    roots = simhash.components(verified(pairs, sets, least))
+    left = _rooted(held, roots)
     # A second leader, of another component than the first.
-    low = left.groupBy("k").agg(F.min(F.struct("root", "node")).alias("first"), F.max(F.struct("root", "node")).alias("last"))
-    pairs = left.join(low.select("k", "last"), "k").filter("root <> last.root")
+    low = left.groupBy("k").agg(F.max(F.struct("root", "node")).alias("last"))
+    pairs = left.join(low, "k").filter("root <> last.root")
     pairs = pairs.select(F.col("node").alias("a"), F.col("last.node").alias("b")).distinct()
-    found = common.stored(found.union(verified(pairs, sets, least)), "near-links")
-    rest = all_pairs(_rooted(held, found), sets, least)
-    return found.union(rest)
+    found = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    roots = simhash.components(found.union(verified(pairs, sets, least)))
+    rest = all_pairs(_rooted(left.select("k", "node"), roots), sets, least)
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(rest)
 
 
 def all_pairs(left: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFrame:
@@ -226,11 +231,11 @@ def keepers(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LEAST)
     """(stay, t): smallest id and the text hash of one row of every near group."""
     rows = sketches(docs, words)
     rank = F.struct(F.isnull("doc_id").alias("void"), "doc_id", "t")
-    nodes = common.stored(rows.groupBy("node").agg(F.min(rank).alias("rep")), "near-nodes")
+    nodes = common.stored(rows.groupBy("node").agg(F.min(rank).alias("rep")), "near-nodes", free=True)
     roots = simhash.components(links(docs, nodes, rows, words, least))
     named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     best = named.groupBy("root").agg(F.min("rep").alias("rep"))
-    return common.stored(best.select(F.col("rep.doc_id").alias("stay"), "rep.t"), "near-keepers")
+    return common.stored(best.select(F.col("rep.doc_id").alias("stay"), "rep.t"), "near-keepers", free=True)
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LEAST) -> DataFrame:

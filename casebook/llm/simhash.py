@@ -87,7 +87,7 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
                 [batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fp"]
             )
 
-    return common.stored(rows.mapInArrow(run, schema), "simhash")
+    return common.stored(rows.mapInArrow(run, schema), "simhash", free=True)
 
 
 def _in_ring(x: np.ndarray, start: int) -> np.ndarray:
@@ -194,27 +194,32 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node reachable, for every node with a link.
 
     Alternates large and small stars (neighbours above a node move to its smallest
-    neighbour, those below likewise) until a round changes nothing; every round is
-    stored. The number of rounds grows with the logarithm of the longest path.
+    neighbour, those below likewise) until every component is a star, which further
+    rounds would not change; every round is stored, and what it shuffled leaves the disk.
+    The number of rounds grows with the logarithm of the longest path. Links that are
+    stars already take none.
     """
     edges = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    edges = common.stored(edges.filter("u <> v").distinct(), "links")
-    mark = None
-    while True:
-        seen = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if seen == mark or not seen[0]:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        mark = seen
+    edges = common.stored(edges.filter("u <> v").distinct(), "links", free=True)
+    while not _are_stars(edges):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (
-            both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        ).distinct()
-        large = common.stored(large, "large-stars")
+        # As many rows as edges, some of them repeated.
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = common.stored(large, "large-stars", free=True)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.union(least.select("u", F.col("m").alias("v")))
-        edges = common.stored(small.filter("u <> v").distinct(), "small-stars")
+        edges = common.stored(small.filter("u <> v").distinct(), "small-stars", free=True)
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every u of the distinct links (u, v) has one v and is nobody's v."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.union(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not ends.filter("up > 0 and up + down > 1").agg(F.count(F.lit(1))).first()[0]
 
 
 def near_groups(docs: DataFrame, words: int = 3) -> DataFrame:
@@ -224,14 +229,14 @@ def near_groups(docs: DataFrame, words: int = 3) -> DataFrame:
     null where no other row of the component has an id. Empty table: no rows.
     """
     rows = fingerprints(docs, words)
-    nodes = common.stored(rows.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-nodes")
+    nodes = common.stored(rows.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-nodes", free=True)
     near = links(nodes.select("fp"))
     roots = components(near)
     # Components are found on fingerprints; their smallest document id follows.
     named = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    named = common.stored(named.withColumn("root", F.coalesce("root", "fp")), "simhash-roots")
+    named = common.stored(named.withColumn("root", F.coalesce("root", "fp")), "simhash-roots", free=True)
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    final = common.stored(named.select("fp", "root").join(least, "root").select("fp", "component_id"), "simhash-components")
+    final = common.stored(named.select("fp", "root").join(least, "root").select("fp", "component_id"), "simhash-components", free=True)
     return rows.join(final, "fp").select("doc_id", "fp", "component_id")
 
 
@@ -250,10 +255,10 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     hashed = docs.select(F.struct("doc_id", F.xxhash64("text").alias("t")).alias("doc_id"), "text")
     rows = fingerprints(hashed)
     rank = F.struct(F.isnull("doc_id.doc_id").alias("void"), "doc_id.doc_id", "doc_id.t")
-    nodes = common.stored(rows.groupBy("fp").agg(F.min(rank).alias("rep")), "simhash-nodes")
+    nodes = common.stored(rows.groupBy("fp").agg(F.min(rank).alias("rep")), "simhash-nodes", free=True)
     named = nodes.join(components(links(nodes.select("fp"))).withColumnRenamed("node", "fp"), "fp", "left")
     best = named.groupBy(F.coalesce("root", "fp")).agg(F.min("rep").alias("rep"))
-    return kept_rows(docs, common.stored(best.select(F.col("rep.doc_id").alias("stay"), "rep.t"), "simhash-keepers"))
+    return kept_rows(docs, common.stored(best.select(F.col("rep.doc_id").alias("stay"), "rep.t"), "simhash-keepers", free=True))
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:

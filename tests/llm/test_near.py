@@ -1,6 +1,8 @@
 """The near-duplicate stage against all pairs of five-word shingle sets."""
 
 import random
+import re
+import time
 
 import corpus_pipeline
 from casebook.llm import near, simhash
@@ -109,3 +111,32 @@ def test_fingerprints_linked_by_pigeonring_find_near_copies(spark, monkeypatch):
     monkeypatch.setattr(near, "sketches", unbanded)
     left = near.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(r.doc_id for r in left) == [0, 9]
+
+
+def test_what_a_step_shuffled_leaves_the_disk_with_it(spark, monkeypatch):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held, stored = {}, near.common.stored
+
+    def shuffled():
+        return set(re.findall(r"shuffle_\d+_\d+_\d+\.data", disk.getAllFiles().mkString(",")))
+
+    def watched(rows, name, **options):
+        before = shuffled()
+        found = stored(rows, name, **options)
+        # Files go a moment after the query that made them has ended.
+        for _ in range(100):
+            left = shuffled() - before
+            if not left:
+                break
+            time.sleep(0.05)
+        held[name] = held.get(name, set()) | left
+        return found
+
+    monkeypatch.setattr(near.common, "stored", watched)
+    rng = random.Random(12)
+    base = prose(rng, 100).split()
+    rows = [(k, edited(rng, base, 1 + k % 2)) for k in range(40)] + [(50, prose(rng, 100))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(r.doc_id for r in near.one_of_each(docs).collect()) == sorted(d for d, _ in jaccard_keepers(rows))
+    assert {"near-sets", "near-members", "near-open", "near-keepers", "links"} <= set(held)
+    assert not any(held.values())

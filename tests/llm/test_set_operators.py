@@ -87,6 +87,20 @@ def test_components_of_paths_and_stars(spark):
     assert simhash.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_stars_take_no_round(spark, monkeypatch):
+    names, stored = [], simhash.common.stored
+    monkeypatch.setattr(simhash.common, "stored", lambda rows, name, **options: (names.append(name), stored(rows, name, **options))[1])
+    edges = [(1, k) for k in range(2, 30)] + [(k, 1) for k in range(2, 5)] + [(50, 40)]
+    found = simhash.components(spark.createDataFrame(edges, "a long, b long"))
+    assert {r.node: r.root for r in found.collect()} == {**{k: 1 for k in range(2, 30)}, 50: 40}
+    assert names == ["links"]
+    # One step more and a link to two centres both need rounds.
+    for more in ((29, 30), (40, 3)):
+        simhash.components(spark.createDataFrame([*edges, more], "a long, b long"))
+        assert "small-stars" in names
+        names.clear()
+
+
 def test_one_document_of_each_near_group(spark, odd):
     docs = spark.read.parquet(f"{odd}/documents.parquet")
     left = simhash.one_of_each(docs)
@@ -125,6 +139,23 @@ def test_digest_index_across_batches(spark, tmp_path):
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("digest_index")]
 
 
+def test_a_bucket_is_one_file_whatever_the_partitions(spark, monkeypatch):
+    """Also where a session raises the counts that rows are dealt by, as the check does."""
+    frame = type(spark.range(0))
+    dealt = frame.repartition
+    monkeypatch.setattr(frame, "repartition", lambda self, n, *by: dealt(self, max(n, 31) if by and isinstance(n, int) else n, *by))
+    rows = spark.range(500).selectExpr("id AS doc_id", "string(id) AS text")
+    rows = rows.select(digests.text_digest("text").alias("digest"), "doc_id")
+    with digests.DigestIndex(spark, scratch_path(spark, "digest-test"), buckets=4) as index:
+        index.add(rows.filter("doc_id < 300"))
+        assert len(index.keepers().inputFiles()) == 4
+        index.add(rows)
+        assert len(index.keepers().inputFiles()) == 8
+        assert index.rows().count() == 500
+        with index.compact(scratch_path(spark, "digest-packed")) as packed:
+            assert len(packed.keepers().inputFiles()) == 4 and packed.rows().count() == 500
+
+
 def test_documents_that_stay(spark, odd):
     docs = spark.read.parquet(f"{odd}/documents.parquet")
     left = digests.drop_copies(docs)
