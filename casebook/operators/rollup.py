@@ -356,9 +356,27 @@ def levels_of(cube: DataFrame, candidates: DataFrame, as_of: Column) -> dict[str
     }
 
 
+# Many events are rolled up in so many groups of cells, each of which reads silver.
+CELL_GROUPS = 4
+
+
+def by_cells(events: DataFrame, rows: int) -> list[DataFrame]:
+    """The events in one frame, or in several where they are many; no cell is in two."""
+    groups = session.groups(rows, range(CELL_GROUPS))
+    if len(groups) == 1:
+        return [events]
+    group = F.pmod(F.xxhash64(*FINE_CELL), F.lit(CELL_GROUPS))
+    return [events.where(group.isin(own)) for own in groups]
+
+
 def all_gold(silver: DataFrame, as_of: Column) -> tuple[dict[str, DataFrame], list[DataFrame]]:
-    """Every level, and the two stored frames they share: no level reads silver again."""
-    events = shown_events(silver)
-    cube = session.stored(event_cube(events, FINE_CELL), "cube")
-    candidates = session.stored(recent_candidates(events, cell=FINE_CELL), "candidates")
+    """Every level, and the two stored frames they share: no level reads silver again.
+    Silver should be stored, as it is counted and read several times where it is large."""
+    parts = by_cells(shown_events(silver), silver.count())
+
+    def stored(rows: list[DataFrame], name: str) -> DataFrame:
+        return session.stored(rows[0], name) if len(rows) == 1 else session.stored_in_turn(rows, name)
+
+    cube = stored([event_cube(mine, FINE_CELL) for mine in parts], "cube")
+    candidates = stored([recent_candidates(mine, cell=FINE_CELL) for mine in parts], "candidates")
     return levels_of(cube, candidates, as_of), [cube, candidates]
